@@ -8,8 +8,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.plans import gold, silver
+from lakeops.functions.keys import surrogate_key
+from lakeops.functions.measures import flag
+from lakeops.operators.aggregates import counts_by, distinct_keys
+from lakeops.operators.cleaning import lowered, typed
+from lakeops.operators.dedup import latest_by
+from lakeops.operators.joins import enrich, exists_flag
+from lakeops.plans import context, gold, silver
 from lakeops.session import configure
 from lakeops.sources import bindings as B
 
@@ -78,7 +85,161 @@ def _model(attr: str) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+# --- single operators (Silver) -------------------------------------------------
+
+
+def q_dedup_latest_single(spark, sf_dir):
+    raw = Models(spark, sf_dir).raw("raw_appointments")
+    return latest_by(raw, ["id"], "_loaded_at", silver.APPOINTMENT_TIEBREAK)
+
+
+def q_dedup_latest_composite(spark, sf_dir):
+    raw = Models(spark, sf_dir).raw("raw_ad_spend")
+    return latest_by(raw, ["client_id", "channel", "date"], "_dlt_load_time", silver.AD_SPEND_TIEBREAK)
+
+
+def q_surrogate_key_single(spark, sf_dir):
+    raw = Models(spark, sf_dir).raw("raw_clients")
+    return raw.select("id", "_loaded_at", surrogate_key("id").alias("client_key"))
+
+
+def q_surrogate_key_composite(spark, sf_dir):
+    raw = Models(spark, sf_dir).raw("raw_seo_rankings")
+    # NULL parts are forced into some rows to exercise the placeholder.
+    parts = raw.select(
+        F.when(F.col("position") % 11 == 0, F.lit(None)).otherwise(F.col("client_id")).alias("client_id"),
+        F.when(F.col("position") % 7 == 0, F.lit(None)).otherwise(F.col("keyword")).alias("keyword"),
+        "snapshot_date",
+    )
+    return parts.withColumn("seo_key", surrogate_key("client_id", "keyword", "snapshot_date"))
+
+
+def q_cast_types(spark, sf_dir):
+    raw = Models(spark, sf_dir).raw("raw_ad_spend")
+    src = raw.select(
+        "client_id",
+        F.col("date").alias("spend_date"),
+        F.col("date").alias("spend_ts"),
+        "spend",
+        "impressions",
+        "clicks",
+        F.col("_dlt_load_time").alias("load_date"),
+    )
+    return typed(
+        src,
+        {
+            "client_id": "int",
+            "spend_date": "date",
+            "spend_ts": "timestamp_ntz",
+            "spend": "decimal(10,2)",
+            "impressions": "int",
+            "clicks": "int",
+            "load_date": "date",
+        },
+    )
+
+
+def q_normalize_lower(spark, sf_dir):
+    raw = Models(spark, sf_dir).raw("raw_leads")
+    return lowered(raw.select("id", "source", "status"), ["source", "status"])
+
+
+# --- single operators (Gold) ---------------------------------------------------
+
+
+def q_join_left_single(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return enrich(m.leads.select("lead_id", "client_id"), m.clients, "client_id", gold.CLIENT_ATTRS)
+
+
+def q_join_left_composite(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    daily = gold.daily_lead_counts(m.leads).withColumnRenamed("lead_date", "spend_date")
+    ads = m.ad_spend.select("ad_spend_key", "client_id", "spend_date")
+    return ads.join(daily, ["client_id", "spend_date"], "left")
+
+
+def q_exists_flag(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return exists_flag(m.leads.select("lead_id"), m.appointments, "lead_id", "has_appointment")
+
+
+def q_agg_count_by_key(spark, sf_dir):
+    return counts_by(Models(spark, sf_dir).leads, ["client_id"], "total_leads")
+
+
+def q_agg_count_filter(spark, sf_dir):
+    return gold.lead_counts(Models(spark, sf_dir).leads)
+
+
+def q_agg_count_by_day(spark, sf_dir):
+    return gold.daily_lead_counts(Models(spark, sf_dir).leads)
+
+
+def q_distinct_keys(spark, sf_dir):
+    return distinct_keys(Models(spark, sf_dir).appointments, "lead_id")
+
+
+def q_case_flag(spark, sf_dir):
+    leads = Models(spark, sf_dir).leads
+    # Some statuses are forced to NULL: the flag must then be false, not NULL.
+    status = F.when(F.col("lead_id") % 9 == 0, F.lit(None)).otherwise(F.col("lead_status"))
+    return leads.select("lead_id", status.alias("lead_status")).withColumn(
+        "is_converted", flag(F.col("lead_status") == F.lit("converted"))
+    )
+
+
+def q_ratio_rate4(spark, sf_dir):
+    perf = Models(spark, sf_dir).fct_ad_performance
+    return perf.select("ad_spend_key", "clicks", "impressions", "ctr")
+
+
+def q_ratio_cost2(spark, sf_dir):
+    perf = Models(spark, sf_dir).fct_ad_performance
+    return perf.select("ad_spend_key", "spend", "clicks", "daily_leads", "cpc", "cpl")
+
+
+def q_date_diff_days(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    appts = m.fct_appointments.select("appointment_id", "lead_created_at", "scheduled_at", "days_to_appointment")
+    return appts
+
+
+# --- context ---------------------------------------------------------------------
+
+
+def q_context_lookup(spark, sf_dir):
+    return context.client_metrics(Models(spark, sf_dir).dim_clients)
+
+
+def q_topk_keywords(spark, sf_dir):
+    return context.top_keywords(Models(spark, sf_dir).seo, k=5)
+
+
+def q_trailing_spend(spark, sf_dir):
+    return context.trailing_spend(Models(spark, sf_dir).fct_ad_performance, AS_OF, days=30)
+
+
+def _snapshot(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return context.snapshot(m.dim_clients, m.seo, m.fct_ad_performance, AS_OF, RUN_TS)
+
+
+def q_client_context(spark, sf_dir):
+    return context.snapshot_flat(_snapshot(spark, sf_dir))
+
+
+def q_client_context_json(spark, sf_dir):
+    return context.snapshot_json(_snapshot(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "dedup_latest_single": q_dedup_latest_single,
+    "dedup_latest_composite": q_dedup_latest_composite,
+    "surrogate_key_single": q_surrogate_key_single,
+    "surrogate_key_composite": q_surrogate_key_composite,
+    "cast_types": q_cast_types,
+    "normalize_lower": q_normalize_lower,
     "stg_clients": _model("clients"),
     "stg_leads": _model("leads"),
     "stg_appointments": _model("appointments"),
@@ -88,4 +249,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_leads": _model("fct_leads"),
     "fct_ad_performance": _model("fct_ad_performance"),
     "fct_appointments": _model("fct_appointments"),
+    "join_left_single": q_join_left_single,
+    "join_left_composite": q_join_left_composite,
+    "exists_flag": q_exists_flag,
+    "agg_count_by_key": q_agg_count_by_key,
+    "agg_count_filter": q_agg_count_filter,
+    "agg_count_by_day": q_agg_count_by_day,
+    "distinct_keys": q_distinct_keys,
+    "case_flag": q_case_flag,
+    "ratio_rate4": q_ratio_rate4,
+    "ratio_cost2": q_ratio_cost2,
+    "date_diff_days": q_date_diff_days,
+    "context_lookup": q_context_lookup,
+    "topk_keywords": q_topk_keywords,
+    "trailing_spend": q_trailing_spend,
+    "client_context": q_client_context,
+    "client_context_json": q_client_context_json,
 }

@@ -249,4 +249,37 @@ fct_appointments AS (
     FROM stg_appointments a
     LEFT JOIN stg_leads l ON a.lead_id = l.lead_id
     LEFT JOIN stg_clients c ON a.client_id = c.client_id
+),
+seo_top5 AS (
+    SELECT client_id, rank, keyword, position FROM (
+        SELECT client_id, keyword, position,
+               row_number() OVER (PARTITION BY client_id
+                                  ORDER BY position ASC NULLS LAST, keyword ASC NULLS LAST,
+                                           snapshot_date DESC NULLS LAST) AS rank
+        FROM stg_seo_rankings
+    ) WHERE rank <= 5
+),
+trailing_spend_30 AS (
+    SELECT client_id,
+           CAST(coalesce(sum(spend), 0) AS DOUBLE) AS monthly_spend_usd,
+           round(avg(cpl), 6) AS avg_cpl
+    FROM fct_ad_performance
+    WHERE spend_date >= CAST(DATE '2024-02-10' - INTERVAL '30 days' AS DATE)
+    GROUP BY client_id
+),
+client_context AS (
+    SELECT
+        d.client_id, d.client_name, d.industry, d.plan_tier, d.days_active, d.total_leads,
+        d.converted_leads, d.lead_conversion_rate, d.total_appointments,
+        coalesce(k.top_keywords, '[]') AS top_keywords,
+        coalesce(s.monthly_spend_usd, 0.0) AS monthly_spend_usd,
+        s.avg_cpl,
+        '2024-02-10T00:00:00+00:00' AS last_updated
+    FROM dim_clients d
+    LEFT JOIN (
+        SELECT client_id,
+               CAST(to_json(list({'keyword': keyword, 'position': position} ORDER BY rank)) AS VARCHAR) AS top_keywords
+        FROM seo_top5 GROUP BY client_id
+    ) k ON d.client_id = k.client_id
+    LEFT JOIN trailing_spend_30 s ON d.client_id = s.client_id
 )

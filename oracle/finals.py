@@ -10,4 +10,73 @@ FINALS: dict[str, str] = {
     "fct_leads": "SELECT * FROM fct_leads",
     "fct_ad_performance": "SELECT * FROM fct_ad_performance",
     "fct_appointments": "SELECT * FROM fct_appointments",
+    "dedup_latest_single": """
+SELECT id, lead_id, client_id, scheduled_at, status, notes, _loaded_at FROM (
+    SELECT *, row_number() OVER (
+        PARTITION BY id
+        ORDER BY _loaded_at DESC NULLS LAST, scheduled_at DESC NULLS LAST, status DESC NULLS LAST,
+                 notes DESC NULLS LAST, lead_id DESC NULLS LAST, client_id DESC NULLS LAST) AS rn
+    FROM raw_appointments
+) WHERE rn = 1""",
+    "dedup_latest_composite": """
+SELECT client_id, channel, date, spend, impressions, clicks, _dlt_load_time FROM (
+    SELECT *, row_number() OVER (
+        PARTITION BY client_id, channel, date
+        ORDER BY _dlt_load_time DESC NULLS LAST, spend DESC NULLS LAST, impressions DESC NULLS LAST,
+                 clicks DESC NULLS LAST) AS rn
+    FROM raw_ad_spend
+) WHERE rn = 1""",
+    "surrogate_key_single": """
+SELECT id, _loaded_at, md5(coalesce(CAST(id AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS client_key
+FROM raw_clients""",
+    "surrogate_key_composite": """
+SELECT client_id, keyword, snapshot_date,
+       md5(coalesce(CAST(client_id AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
+           coalesce(CAST(keyword AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
+           coalesce(CAST(snapshot_date AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS seo_key
+FROM (
+    SELECT CASE WHEN position % 11 = 0 THEN NULL ELSE client_id END AS client_id,
+           CASE WHEN position % 7 = 0 THEN NULL ELSE keyword END AS keyword,
+           snapshot_date
+    FROM raw_seo_rankings
+)""",
+    "cast_types": """
+SELECT CAST(client_id AS INTEGER) AS client_id,
+       CAST(date AS DATE) AS spend_date,
+       CAST(date AS TIMESTAMP) AS spend_ts,
+       CAST(spend AS DECIMAL(10, 2)) AS spend,
+       CAST(impressions AS INTEGER) AS impressions,
+       CAST(clicks AS INTEGER) AS clicks,
+       CAST(_dlt_load_time AS DATE) AS load_date
+FROM raw_ad_spend""",
+    "normalize_lower": "SELECT id, lower(source) AS source, lower(status) AS status FROM raw_leads",
+    "join_left_single": """
+SELECT l.lead_id, l.client_id, c.industry, c.plan_tier
+FROM stg_leads l LEFT JOIN stg_clients c ON l.client_id = c.client_id""",
+    "join_left_composite": """
+SELECT a.ad_spend_key, a.client_id, a.spend_date, l.daily_leads
+FROM stg_ad_spend a
+LEFT JOIN lead_counts_by_day l ON a.client_id = l.client_id AND a.spend_date = l.lead_date""",
+    "exists_flag": """
+SELECT l.lead_id, CASE WHEN a.lead_id IS NOT NULL THEN true ELSE false END AS has_appointment
+FROM stg_leads l LEFT JOIN appointment_leads a ON l.lead_id = a.lead_id""",
+    "agg_count_by_key": "SELECT client_id, count(*) AS total_leads FROM stg_leads GROUP BY client_id",
+    "agg_count_filter": "SELECT client_id, total_leads, converted_leads FROM lead_counts",
+    "agg_count_by_day": "SELECT client_id, lead_date, daily_leads FROM lead_counts_by_day",
+    "distinct_keys": "SELECT DISTINCT lead_id FROM stg_appointments",
+    "case_flag": """
+SELECT lead_id, lead_status,
+       CASE WHEN lead_status = 'converted' THEN true ELSE false END AS is_converted
+FROM (SELECT lead_id, CASE WHEN lead_id % 9 = 0 THEN NULL ELSE lead_status END AS lead_status FROM stg_leads)""",
+    "ratio_rate4": "SELECT ad_spend_key, clicks, impressions, ctr FROM fct_ad_performance",
+    "ratio_cost2": "SELECT ad_spend_key, spend, clicks, daily_leads, cpc, cpl FROM fct_ad_performance",
+    "date_diff_days": """
+SELECT appointment_id, lead_created_at, scheduled_at, days_to_appointment FROM fct_appointments""",
+    "context_lookup": """
+SELECT client_id, client_name, industry, plan_tier, days_active, total_leads, converted_leads,
+       lead_conversion_rate, total_appointments
+FROM dim_clients""",
+    "topk_keywords": "SELECT client_id, rank, keyword, position FROM seo_top5",
+    "trailing_spend": "SELECT client_id, monthly_spend_usd, avg_cpl FROM trailing_spend_30",
+    "client_context": "SELECT * FROM client_context",
 }
