@@ -16,7 +16,9 @@ from lakeops.operators.aggregates import counts_by, distinct_keys
 from lakeops.operators.cleaning import lowered, typed
 from lakeops.operators.dedup import latest_by
 from lakeops.operators.joins import enrich, exists_flag
-from lakeops.plans import context, gold, silver
+from lakeops.operators import checks as C
+from lakeops.operators.contracts import contract_report
+from lakeops.plans import context, gold, quality, silver
 from lakeops.session import configure
 from lakeops.sources import bindings as B
 
@@ -233,6 +235,209 @@ def q_client_context_json(spark, sf_dir):
     return context.snapshot_json(_snapshot(spark, sf_dir))
 
 
+# --- contracts and quality --------------------------------------------------------
+
+BROKEN_DIM = "dim_clients_broken"
+
+
+def broken_dim_clients(clients: DataFrame, run_ts=RUN_TS) -> DataFrame:
+    """The reference's negative contract case: ``client_name`` dropped, constants typed loosely."""
+    return clients.select(
+        "client_key",
+        "client_id",
+        "industry",
+        "plan_tier",
+        "onboard_date",
+        "city",
+        "state",
+        F.lit(0).alias("days_active"),
+        F.lit(0).alias("total_leads"),
+        F.lit(0).alias("converted_leads"),
+        F.lit(0).alias("total_appointments"),
+        F.lit(None).alias("lead_conversion_rate"),
+        F.lit(run_ts.isoformat(sep=" ")).cast("timestamp").alias("_loaded_at"),
+    )
+
+
+def q_contract_diff(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    parts = [contract_report(getattr(m, t), c, t) for t, c in quality.MART_CONTRACTS.items()]
+    parts.append(contract_report(broken_dim_clients(m.clients), quality.MART_CONTRACTS["dim_clients"], BROKEN_DIM))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+class Tables:
+    """Name -> DataFrame resolver for check specs (raw, Silver and Gold names)."""
+
+    def __init__(self, m: Models):
+        self.m = m
+
+    def __call__(self, name: str) -> DataFrame:
+        if name.startswith("raw_"):
+            return self.m.raw(name)
+        if name == BROKEN_DIM:
+            return broken_dim_clients(self.m.clients)
+        attr = {
+            "stg_clients": "clients",
+            "stg_leads": "leads",
+            "stg_appointments": "appointments",
+            "stg_seo_rankings": "seo",
+            "stg_ad_spend": "ad_spend",
+        }.get(name, name)
+        return getattr(self.m, attr)
+
+
+# Check specs take a resolver (name -> DataFrame or None) so that the DuckDB
+# oracle can be generated from the very same declarations.
+def spec_not_null(r):
+    return {
+        "fct_leads": [C.not_null("client_id"), C.not_null("industry")],
+        "fct_ad_performance": [C.not_null("spend"), C.not_null("cpc")],
+        "stg_appointments": [C.not_null("notes")],
+    }
+
+
+def spec_unique(r):
+    return {
+        "raw_clients": [C.unique("id")],
+        "stg_clients": [C.unique("client_id")],
+        "raw_appointments": [C.unique("id")],
+        "stg_seo_rankings": [C.unique("seo_key")],
+    }
+
+
+def spec_accepted_values(r):
+    return {
+        "raw_leads": [C.accepted_values("status", quality.LEAD_STATUSES)],
+        "stg_leads": [C.accepted_values("lead_status", quality.LEAD_STATUSES)],
+        "raw_ad_spend": [C.accepted_values("channel", quality.CHANNELS)],
+        "stg_ad_spend": [C.accepted_values("channel", quality.CHANNELS)],
+    }
+
+
+def spec_relationships(r):
+    return {
+        "fct_leads": [C.relationship("client_id", r("dim_clients"), "client_id", "dim_clients")],
+        "fct_appointments": [C.relationship("lead_id", r("fct_leads"), "lead_id", "fct_leads")],
+        "stg_seo_rankings": [C.relationship("client_id", r("stg_clients"), "client_id", "stg_clients")],
+    }
+
+
+def spec_freshness(r):
+    return {t: [C.freshness(col, w, e, RUN_TS)] for t, (col, w, e) in quality.SOURCE_FRESHNESS.items()}
+
+
+def spec_staleness(r):
+    silver_limit = quality.STALENESS_LIMITS["silver"]
+    gold_limit = quality.STALENESS_LIMITS["gold"]
+    return {
+        "stg_clients": [C.staleness("_loaded_at", silver_limit, RUN_TS)],
+        "stg_leads": [C.staleness("_loaded_at", silver_limit, RUN_TS)],
+        "stg_seo_rankings": [C.staleness("_loaded_at", quality.STALENESS_LIMITS["stg_seo_rankings"], RUN_TS)],
+        "stg_ad_spend": [C.staleness("_loaded_at", silver_limit, RUN_TS)],
+        "dim_clients": [C.staleness("_loaded_at", gold_limit, RUN_TS)],
+        "fct_appointments": [C.staleness("_loaded_at", gold_limit, RUN_TS)],
+    }
+
+
+def spec_row_count_between(r):
+    return {
+        "dim_clients": [C.row_count_between(*quality.DIM_CLIENTS_ROWS)],
+        "stg_clients": [C.row_count_between(1_000, 2_000)],
+        "stg_leads": [C.row_count_between(17_500, 32_500)],
+    }
+
+
+def spec_row_count_min(r):
+    return {
+        "fct_leads": [C.row_count_min(quality.FCT_LEADS_MIN_ROWS)],
+        "fct_appointments": [C.row_count_min(1_000)],
+    }
+
+
+def spec_row_count_near(r):
+    return {
+        "fct_ad_performance": [
+            C.row_count_near(quality.FCT_AD_PERFORMANCE_EXPECTED_ROWS, quality.FCT_AD_PERFORMANCE_TOLERANCE),
+            C.row_count_near(6_500, quality.FCT_AD_PERFORMANCE_TOLERANCE),
+        ],
+    }
+
+
+def spec_required_columns(r):
+    return {
+        "dim_clients": [C.has_columns(quality.DIM_CLIENTS_REQUIRED)],
+        BROKEN_DIM: [C.has_columns(quality.DIM_CLIENTS_REQUIRED)],
+    }
+
+
+def spec_between(r):
+    return {
+        "stg_leads": [C.between("lead_value", 0, 10_000)],
+        "stg_seo_rankings": [C.between("position", 1, 100)],
+        "fct_ad_performance": [C.between("ctr", 0, 1), C.between("cpl", None, 100)],
+    }
+
+
+def spec_suite_clients(r):
+    return {"stg_clients": quality.suite_checks(quality.SUITE_CLIENTS)}
+
+
+def spec_suite_leads(r):
+    return {"stg_leads": quality.suite_checks(quality.SUITE_LEADS)}
+
+
+def spec_source_tests(r):
+    return quality.declared_checks(quality.SOURCE_TESTS, _Lazy(r))
+
+
+def spec_mart_tests(r):
+    return quality.declared_checks(quality.MART_TESTS, _Lazy(r))
+
+
+class _Lazy(dict):
+    """Mapping view over a resolver, for ``declared_checks``."""
+
+    def __init__(self, r):
+        super().__init__()
+        self.r = r
+
+    def __getitem__(self, name):
+        return self.r(name)
+
+
+CHECK_SPECS = {
+    "check_not_null": spec_not_null,
+    "check_unique": spec_unique,
+    "check_accepted_values": spec_accepted_values,
+    "check_relationships": spec_relationships,
+    "check_freshness": spec_freshness,
+    "check_staleness": spec_staleness,
+    "check_row_count_between": spec_row_count_between,
+    "check_row_count_min": spec_row_count_min,
+    "check_row_count_near": spec_row_count_near,
+    "check_required_columns": spec_required_columns,
+    "check_between": spec_between,
+    "suite_clients": spec_suite_clients,
+    "suite_leads": spec_suite_leads,
+    "source_tests": spec_source_tests,
+    "mart_tests": spec_mart_tests,
+}
+
+
+def _checks_query(spec):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = Tables(Models(spark, sf_dir))
+        checks = spec(tables)
+        return C.run_many({t: tables(t) for t in checks}, checks)
+
+    q.__name__ = spec.__name__.replace("spec_", "q_")
+    return q
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest_single": q_dedup_latest_single,
     "dedup_latest_composite": q_dedup_latest_composite,
@@ -265,4 +470,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trailing_spend": q_trailing_spend,
     "client_context": q_client_context,
     "client_context_json": q_client_context_json,
+    "contract_diff": q_contract_diff,
+    **{k: _checks_query(v) for k, v in CHECK_SPECS.items()},
 }

@@ -282,4 +282,12 @@ client_context AS (
         FROM seo_top5 GROUP BY client_id
     ) k ON d.client_id = k.client_id
     LEFT JOIN trailing_spend_30 s ON d.client_id = s.client_id
+),
+dim_clients_broken AS (
+    -- the reference's negative contract case: client_name dropped
+    SELECT client_key, client_id, industry, plan_tier, onboard_date, city, state,
+           0 AS days_active, 0 AS total_leads, 0 AS converted_leads, 0 AS total_appointments,
+           NULL AS lead_conversion_rate,
+           CAST(TIMESTAMP '2024-02-10 00:00:00' AS TIMESTAMPTZ) AS _loaded_at
+    FROM stg_clients
 )
