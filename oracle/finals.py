@@ -79,4 +79,43 @@ FROM dim_clients""",
     "topk_keywords": "SELECT client_id, rank, keyword, position FROM seo_top5",
     "trailing_spend": "SELECT client_id, monthly_spend_usd, avg_cpl FROM trailing_spend_30",
     "client_context": "SELECT * FROM client_context",
+    "bronze_roundtrip": """
+SELECT 'raw_clients' AS table_name, count(*) AS row_count, sum(id) AS key_sum, max(_loaded_at) AS load_max FROM raw_clients
+UNION ALL
+SELECT 'raw_leads' AS table_name, count(*) AS row_count, sum(id) AS key_sum, max(_loaded_at) AS load_max FROM raw_leads
+UNION ALL
+SELECT 'raw_appointments' AS table_name, count(*) AS row_count, sum(id) AS key_sum, max(_loaded_at) AS load_max FROM raw_appointments
+UNION ALL
+SELECT 'raw_seo_rankings' AS table_name, count(*) AS row_count, sum(client_id) AS key_sum, max(_dlt_load_time) AS load_max FROM raw_seo_rankings
+UNION ALL
+SELECT 'raw_ad_spend' AS table_name, count(*) AS row_count, sum(client_id) AS key_sum, max(_dlt_load_time) AS load_max FROM raw_ad_spend""",
+    "ad_stream_ingest": "SELECT * FROM stg_ad_spend",
+    "pipeline_counts": """
+SELECT 'raw_clients' AS table_name, count(*) AS row_count FROM raw_clients
+UNION ALL
+SELECT 'raw_leads' AS table_name, count(*) AS row_count FROM raw_leads
+UNION ALL
+SELECT 'raw_appointments' AS table_name, count(*) AS row_count FROM raw_appointments
+UNION ALL
+SELECT 'raw_seo_rankings' AS table_name, count(*) AS row_count FROM raw_seo_rankings
+UNION ALL
+SELECT 'raw_ad_spend' AS table_name, count(*) AS row_count FROM raw_ad_spend
+UNION ALL
+SELECT 'stg_clients' AS table_name, count(*) AS row_count FROM stg_clients
+UNION ALL
+SELECT 'stg_leads' AS table_name, count(*) AS row_count FROM stg_leads
+UNION ALL
+SELECT 'stg_appointments' AS table_name, count(*) AS row_count FROM stg_appointments
+UNION ALL
+SELECT 'stg_seo_rankings' AS table_name, count(*) AS row_count FROM stg_seo_rankings
+UNION ALL
+SELECT 'stg_ad_spend' AS table_name, count(*) AS row_count FROM stg_ad_spend
+UNION ALL
+SELECT 'dim_clients' AS table_name, count(*) AS row_count FROM dim_clients
+UNION ALL
+SELECT 'fct_leads' AS table_name, count(*) AS row_count FROM fct_leads
+UNION ALL
+SELECT 'fct_ad_performance' AS table_name, count(*) AS row_count FROM fct_ad_performance
+UNION ALL
+SELECT 'fct_appointments' AS table_name, count(*) AS row_count FROM fct_appointments""",
 }
