@@ -138,7 +138,8 @@ def _row(check: Check, table: str, success: Column, observed: Column, unexpected
     )
 
 
-_NULL = F.lit(None)
+def _null() -> Column:
+    return F.lit(None)
 
 
 def _count_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame | None:
@@ -151,11 +152,11 @@ def _count_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame
         a, b = f"__a{i}", f"__b{i}"
         if c.kind == "not_null":
             aggs.append(F.count_if(F.col(c.column).isNull()).alias(a))
-            rows.append(_row(c, table, F.col(a) == 0, n, F.col(a), _NULL))
+            rows.append(_row(c, table, F.col(a) == 0, n, F.col(a), _null()))
         elif c.kind == "accepted_values":
             col = F.col(c.column)
             aggs.append(F.count_if(col.isNotNull() & ~col.isin(*c.values)).alias(a))
-            rows.append(_row(c, table, F.col(a) == 0, n, F.col(a), _NULL))
+            rows.append(_row(c, table, F.col(a) == 0, n, F.col(a), _null()))
         elif c.kind == "between":
             col = F.col(c.column)
             outside = F.lit(False)
@@ -165,20 +166,20 @@ def _count_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame
                 outside = outside | (col > F.lit(c.hi))
             aggs.append(F.count(col).alias(b))
             aggs.append(F.count_if(col.isNotNull() & outside).alias(a))
-            rows.append(_row(c, table, F.col(a) == 0, F.col(b), F.col(a), _NULL))
+            rows.append(_row(c, table, F.col(a) == 0, F.col(b), F.col(a), _null()))
         elif c.kind in ("row_count_between", "row_count_min"):
             ok = F.lit(True)
             if c.lo is not None:
                 ok = ok & (n >= F.lit(c.lo))
             if c.hi is not None:
                 ok = ok & (n <= F.lit(c.hi))
-            rows.append(_row(c, table, ok, n, _NULL, _NULL))
+            rows.append(_row(c, table, ok, n, _null(), _null()))
         elif c.kind == "row_count_near":
             dev = F.abs(n - F.lit(c.expected))
-            rows.append(_row(c, table, dev / F.lit(float(c.expected)) < F.lit(c.tol), n, dev, _NULL))
+            rows.append(_row(c, table, dev / F.lit(float(c.expected)) < F.lit(c.tol), n, dev, _null()))
         elif c.kind == "has_columns":
             missing = sorted(set(c.names) - present)
-            detail = F.lit(",".join(missing)) if missing else _NULL
+            detail = F.lit(",".join(missing)) if missing else _null()
             rows.append(
                 _row(c, table, F.lit(not missing), F.lit(len(c.names) - len(missing)), F.lit(len(missing)), detail)
             )
@@ -195,11 +196,11 @@ def _count_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame
                 if c.warn is not None:
                     status = status.when(age_us > F.lit(_us(c.warn)), F.lit("warn"))
                 status = status.otherwise(F.lit("pass"))
-                rows.append(_row(c, table, status != F.lit("error"), age_s, _NULL, status))
+                rows.append(_row(c, table, status != F.lit("error"), age_s, _null(), status))
             else:
                 fresh = F.col(a).isNotNull() & (age_us <= F.lit(_us(c.error)))
                 status = F.when(fresh, F.lit("fresh")).otherwise(F.lit("stale"))
-                rows.append(_row(c, table, fresh, age_s, _NULL, status))
+                rows.append(_row(c, table, fresh, age_s, _null(), status))
         else:
             continue
     if not rows:
@@ -215,7 +216,7 @@ def _unique_pass(df: DataFrame, table: str, c: Check) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("__c") > 1, F.col("__c"))), F.lit(0)).alias("__dup"),
     )
     return totals.select(
-        F.inline(F.array(_row(c, table, F.col("__dup") == 0, F.col("__obs"), F.col("__dup"), _NULL)))
+        F.inline(F.array(_row(c, table, F.col("__dup") == 0, F.col("__obs"), F.col("__dup"), _null())))
     )
 
 
