@@ -12,15 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.functions.measures import ts_literal
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -126,118 +126,135 @@ def _us(d: timedelta) -> int:
     return (d.days * 86_400 + d.seconds) * 1_000_000 + d.microseconds
 
 
-def _row(check: Check, table: str, success: Column, observed: Column, unexpected: Column, detail: Column) -> Column:
-    return F.struct(
-        F.lit(check.kind).alias("check"),
-        F.lit(table).alias("table_name"),
-        F.lit(check.column).cast("string").alias("column_name"),
-        F.coalesce(success, F.lit(False)).alias("success"),
-        observed.cast("bigint").alias("observed"),
-        unexpected.cast("bigint").alias("unexpected"),
-        detail.cast("string").alias("detail"),
+# Result rows are written as SQL expression text: every pass below is built
+# with a handful of ``selectExpr`` calls (one parse each) instead of many small
+# Column objects, which keeps plan construction cheap for suites of many checks.
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return f"CAST('{v!r}' AS DOUBLE)"
+    if isinstance(v, Decimal):
+        return f"{v}BD"
+    if isinstance(v, datetime):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    if isinstance(v, date):
+        return f"DATE '{v.isoformat()}'"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def _row(check: Check, table: str, success: str, observed: str, unexpected: str, detail: str) -> str:
+    return (
+        f"named_struct('check', {_lit(check.kind)}, 'table_name', {_lit(table)}, "
+        f"'column_name', CAST({_lit(check.column)} AS STRING), 'success', coalesce({success}, false), "
+        f"'observed', CAST({observed} AS BIGINT), 'unexpected', CAST({unexpected} AS BIGINT), "
+        f"'detail', CAST({detail} AS STRING))"
     )
 
 
-def _null() -> Column:
-    return F.lit(None)
+def _rows(df: DataFrame, rows: list[str]) -> DataFrame:
+    return df.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _count_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame | None:
     """All count-style checks of one table in a single aggregate pass."""
-    aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
-    rows: list[Column] = []
-    n = F.col("__n")
+    aggs = ["count(1) AS __n"]
+    rows: list[str] = []
     present = set(df.columns)
     for i, c in enumerate(checks):
         a, b = f"__a{i}", f"__b{i}"
+        col = _ident(c.column) if c.column else None
         if c.kind == "not_null":
-            aggs.append(F.count_if(F.col(c.column).isNull()).alias(a))
-            rows.append(_row(c, table, F.col(a) == 0, n, F.col(a), _null()))
+            aggs.append(f"count_if({col} IS NULL) AS {a}")
+            rows.append(_row(c, table, f"{a} = 0", "__n", a, "NULL"))
         elif c.kind == "accepted_values":
-            col = F.col(c.column)
-            aggs.append(F.count_if(col.isNotNull() & ~col.isin(*c.values)).alias(a))
-            rows.append(_row(c, table, F.col(a) == 0, n, F.col(a), _null()))
+            values = ", ".join(_lit(v) for v in c.values)
+            aggs.append(f"count_if({col} IS NOT NULL AND NOT ({col} IN ({values}))) AS {a}")
+            rows.append(_row(c, table, f"{a} = 0", "__n", a, "NULL"))
         elif c.kind == "between":
-            col = F.col(c.column)
-            outside = F.lit(False)
+            outside = []
             if c.lo is not None:
-                outside = outside | (col < F.lit(c.lo))
+                outside.append(f"{col} < {_lit(c.lo)}")
             if c.hi is not None:
-                outside = outside | (col > F.lit(c.hi))
-            aggs.append(F.count(col).alias(b))
-            aggs.append(F.count_if(col.isNotNull() & outside).alias(a))
-            rows.append(_row(c, table, F.col(a) == 0, F.col(b), F.col(a), _null()))
+                outside.append(f"{col} > {_lit(c.hi)}")
+            aggs.append(f"count({col}) AS {b}")
+            aggs.append(f"count_if({col} IS NOT NULL AND ({' OR '.join(outside) or 'false'})) AS {a}")
+            rows.append(_row(c, table, f"{a} = 0", b, a, "NULL"))
         elif c.kind in ("row_count_between", "row_count_min"):
-            ok = F.lit(True)
+            ok = ["true"]
             if c.lo is not None:
-                ok = ok & (n >= F.lit(c.lo))
+                ok.append(f"__n >= {c.lo}")
             if c.hi is not None:
-                ok = ok & (n <= F.lit(c.hi))
-            rows.append(_row(c, table, ok, n, _null(), _null()))
+                ok.append(f"__n <= {c.hi}")
+            rows.append(_row(c, table, " AND ".join(ok), "__n", "NULL", "NULL"))
         elif c.kind == "row_count_near":
-            dev = F.abs(n - F.lit(c.expected))
-            rows.append(_row(c, table, dev / F.lit(float(c.expected)) < F.lit(c.tol), n, dev, _null()))
+            dev = f"abs(__n - {c.expected})"
+            ok = f"CAST({dev} AS DOUBLE) / {_lit(float(c.expected))} < {_lit(float(c.tol))}"
+            rows.append(_row(c, table, ok, "__n", dev, "NULL"))
         elif c.kind == "has_columns":
             missing = sorted(set(c.names) - present)
-            detail = F.lit(",".join(missing)) if missing else _null()
-            rows.append(
-                _row(c, table, F.lit(not missing), F.lit(len(c.names) - len(missing)), F.lit(len(missing)), detail)
-            )
+            detail = _lit(",".join(missing)) if missing else "NULL"
+            rows.append(_row(c, table, _lit(not missing), str(len(c.names) - len(missing)), str(len(missing)), detail))
         elif c.kind in ("freshness", "staleness"):
-            aggs.append(F.max(F.col(c.column)).alias(a))
-            age_us = F.unix_micros(ts_literal(c.now).cast("timestamp")) - F.unix_micros(
-                F.col(a).cast("timestamp_ntz").cast("timestamp")
+            aggs.append(f"max({col}) AS {a}")
+            age = (
+                f"(unix_micros(CAST({_lit(c.now)} AS TIMESTAMP)) - "
+                f"unix_micros(CAST(CAST({a} AS TIMESTAMP_NTZ) AS TIMESTAMP)))"
             )
-            age_s = F.floor(age_us / F.lit(1_000_000))
+            age_s = f"floor({age} / 1000000)"
             if c.kind == "freshness":
-                status = F.when(F.col(a).isNull(), F.lit("error"))
+                whens = [f"WHEN {a} IS NULL THEN 'error'"]
                 if c.error is not None:
-                    status = status.when(age_us > F.lit(_us(c.error)), F.lit("error"))
+                    whens.append(f"WHEN {age} > {_us(c.error)} THEN 'error'")
                 if c.warn is not None:
-                    status = status.when(age_us > F.lit(_us(c.warn)), F.lit("warn"))
-                status = status.otherwise(F.lit("pass"))
-                rows.append(_row(c, table, status != F.lit("error"), age_s, _null(), status))
+                    whens.append(f"WHEN {age} > {_us(c.warn)} THEN 'warn'")
+                status = f"CASE {' '.join(whens)} ELSE 'pass' END"
+                rows.append(_row(c, table, f"{status} <> 'error'", age_s, "NULL", status))
             else:
-                fresh = F.col(a).isNotNull() & (age_us <= F.lit(_us(c.error)))
-                status = F.when(fresh, F.lit("fresh")).otherwise(F.lit("stale"))
-                rows.append(_row(c, table, fresh, age_s, _null(), status))
-        else:
-            continue
+                fresh = f"({a} IS NOT NULL AND {age} <= {_us(c.error)})"
+                rows.append(_row(c, table, fresh, age_s, "NULL", f"CASE WHEN {fresh} THEN 'fresh' ELSE 'stale' END"))
     if not rows:
         return None
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    return _rows(df.selectExpr(*aggs), rows)
 
 
 def _unique_pass(df: DataFrame, table: str, c: Check) -> DataFrame:
     # Rows per value (partial aggregate first), then totals over the values.
-    per_value = df.where(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count(F.lit(1)).alias("__c"))
-    totals = per_value.agg(
-        F.coalesce(F.sum("__c"), F.lit(0)).alias("__obs"),
-        F.coalesce(F.sum(F.when(F.col("__c") > 1, F.col("__c"))), F.lit(0)).alias("__dup"),
-    )
-    return totals.select(
-        F.inline(F.array(_row(c, table, F.col("__dup") == 0, F.col("__obs"), F.col("__dup"), _null())))
+    col = _ident(c.column)
+    per_value = df.selectExpr(f"{col} AS __k").where("__k IS NOT NULL").groupBy("__k").agg(F.count(F.lit(1)).alias("__c"))
+    totals = per_value.selectExpr(
+        "coalesce(sum(__c), 0) AS __obs", "coalesce(sum(CASE WHEN __c > 1 THEN __c END), 0) AS __dup"
     )
+    return _rows(totals, [_row(c, table, "__dup = 0", "__obs", "__dup", "NULL")])
 
 
 def _relationship_pass(df: DataFrame, table: str, c: Check) -> DataFrame:
-    child = df.where(F.col(c.column).isNotNull()).groupBy(F.col(c.column).alias("__k")).agg(
+    # Child keys are counted per key first, so a hot key is one row in the join.
+    child = df.selectExpr(f"{_ident(c.column)} AS __k").where("__k IS NOT NULL").groupBy("__k").agg(
         F.count(F.lit(1)).alias("__c")
     )
     parent = (
-        c.parent.select(F.col(c.parent_col).alias("__k"))
-        .where(F.col("__k").isNotNull())
+        c.parent.selectExpr(f"{_ident(c.parent_col)} AS __k")
+        .where("__k IS NOT NULL")
         .distinct()
-        .withColumn("__hit", F.lit(True))
-    )
-    totals = child.join(parent, "__k", "left").agg(
-        F.coalesce(F.sum("__c"), F.lit(0)).alias("__obs"),
-        F.coalesce(F.sum(F.when(F.col("__hit").isNull(), F.col("__c"))), F.lit(0)).alias("__orph"),
+        .selectExpr("__k", "true AS __hit")
     )
-    detail = F.lit(f"{c.parent_name}.{c.parent_col}")
-    return totals.select(
-        F.inline(F.array(_row(c, table, F.col("__orph") == 0, F.col("__obs"), F.col("__orph"), detail)))
+    totals = child.join(parent, "__k", "left").selectExpr(
+        "coalesce(sum(__c), 0) AS __obs", "coalesce(sum(CASE WHEN __hit IS NULL THEN __c END), 0) AS __orph"
     )
+    detail = _lit(f"{c.parent_name}.{c.parent_col}")
+    return _rows(totals, [_row(c, table, "__orph = 0", "__obs", "__orph", detail)])
 
 
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:

@@ -36,8 +36,23 @@ CHANNEL_BY_EVENT = {"view": "google", "purchase": "Google", "click": "meta", "si
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The test table ``name``; each file is resolved once per Spark application.
+
+    Resolving a Parquet path lists it and infers its schema (a small job);
+    the test tables are read-only, so the resolved relation is reused, as a
+    catalog table would be.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _RELATIONS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _RELATIONS[key] = df
+    return df
 
 
 def _case(col: Column, mapping: dict, other) -> Column:
