@@ -167,30 +167,52 @@ def _rows(df: DataFrame, rows: list[str]) -> DataFrame:
     return df.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def _count_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame | None:
-    """All count-style checks of one table in a single aggregate pass."""
-    aggs = ["count(1) AS __n"]
-    rows: list[str] = []
+def _type(df: DataFrame, col: str) -> str:
+    return df.schema[col].dataType.simpleString()
+
+
+def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """Evaluate ``checks`` on ``df`` in one scan; one result row per check.
+
+    Each input row is expanded into one row per key group: group 0 carries the
+    per-row flags of the count checks (NULL, outside a set or a range, the
+    loaded-at value), group ``i`` the key of the i-th ``unique`` or
+    ``relationship`` check. One aggregate over ``(group, key)`` then gives row
+    counts per key (partial aggregation first: group 0, a single key, becomes
+    one row per task) and a global aggregate folds everything into the result
+    row. Relationship checks join the per-key counts of their group with the
+    parent's distinct keys; they reuse the same aggregate exchange.
+    """
+    if not checks:
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     present = set(df.columns)
+    keyed = [(i, c) for i, c in enumerate(checks) if c.kind in ("unique", "relationship")]
+    slot = {i: g for g, (i, _) in enumerate(keyed, start=1)}
+    key_cols = {g: (_ident(c.column), _type(df, c.column)) for g, (_, c) in enumerate(keyed, start=1)}
+
+    flags: dict[str, tuple[str, str]] = {}  # name -> (row expression, type)
+    finals = ["coalesce(sum(CASE WHEN __w = 0 THEN __c END), 0) AS __n"]
+    rows: list[str] = []
     for i, c in enumerate(checks):
-        a, b = f"__a{i}", f"__b{i}"
         col = _ident(c.column) if c.column else None
-        if c.kind == "not_null":
-            aggs.append(f"count_if({col} IS NULL) AS {a}")
-            rows.append(_row(c, table, f"{a} = 0", "__n", a, "NULL"))
-        elif c.kind == "accepted_values":
-            values = ", ".join(_lit(v) for v in c.values)
-            aggs.append(f"count_if({col} IS NOT NULL AND NOT ({col} IN ({values}))) AS {a}")
-            rows.append(_row(c, table, f"{a} = 0", "__n", a, "NULL"))
-        elif c.kind == "between":
-            outside = []
-            if c.lo is not None:
-                outside.append(f"{col} < {_lit(c.lo)}")
-            if c.hi is not None:
-                outside.append(f"{col} > {_lit(c.hi)}")
-            aggs.append(f"count({col}) AS {b}")
-            aggs.append(f"count_if({col} IS NOT NULL AND ({' OR '.join(outside) or 'false'})) AS {a}")
-            rows.append(_row(c, table, f"{a} = 0", b, a, "NULL"))
+        s, m, obs, dup = f"__s{i}", f"__m{i}", f"__o{i}", f"__d{i}"
+        if c.kind in ("not_null", "accepted_values", "between"):
+            if c.kind == "not_null":
+                bad = f"{col} IS NULL"
+            elif c.kind == "accepted_values":
+                bad = f"{col} IS NOT NULL AND NOT ({col} IN ({', '.join(_lit(v) for v in c.values)}))"
+            else:
+                outside = []
+                if c.lo is not None:
+                    outside.append(f"{col} < {_lit(c.lo)}")
+                if c.hi is not None:
+                    outside.append(f"{col} > {_lit(c.hi)}")
+                bad = f"{col} IS NOT NULL AND ({' OR '.join(outside) or 'false'})"
+                flags[obs] = (f"CASE WHEN {col} IS NOT NULL THEN 1 ELSE 0 END", "int")
+                finals.append(f"coalesce(sum(CASE WHEN __w = 0 THEN {obs} END), 0) AS {obs}")
+            flags[s] = (f"CASE WHEN {bad} THEN 1 ELSE 0 END", "int")
+            finals.append(f"coalesce(sum(CASE WHEN __w = 0 THEN {s} END), 0) AS {s}")
+            rows.append(_row(c, table, f"{s} = 0", obs if c.kind == "between" else "__n", s, "NULL"))
         elif c.kind in ("row_count_between", "row_count_min"):
             ok = ["true"]
             if c.lo is not None:
@@ -207,14 +229,15 @@ def _count_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame
             detail = _lit(",".join(missing)) if missing else "NULL"
             rows.append(_row(c, table, _lit(not missing), str(len(c.names) - len(missing)), str(len(missing)), detail))
         elif c.kind in ("freshness", "staleness"):
-            aggs.append(f"max({col}) AS {a}")
+            flags[m] = (col, _type(df, c.column))
+            finals.append(f"max(CASE WHEN __w = 0 THEN {m} END) AS {m}")
             age = (
                 f"(unix_micros(CAST({_lit(c.now)} AS TIMESTAMP)) - "
-                f"unix_micros(CAST(CAST({a} AS TIMESTAMP_NTZ) AS TIMESTAMP)))"
+                f"unix_micros(CAST(CAST({m} AS TIMESTAMP_NTZ) AS TIMESTAMP)))"
             )
             age_s = f"floor({age} / 1000000)"
             if c.kind == "freshness":
-                whens = [f"WHEN {a} IS NULL THEN 'error'"]
+                whens = [f"WHEN {m} IS NULL THEN 'error'"]
                 if c.error is not None:
                     whens.append(f"WHEN {age} > {_us(c.error)} THEN 'error'")
                 if c.warn is not None:
@@ -222,28 +245,39 @@ def _count_pass(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame
                 status = f"CASE {' '.join(whens)} ELSE 'pass' END"
                 rows.append(_row(c, table, f"{status} <> 'error'", age_s, "NULL", status))
             else:
-                fresh = f"({a} IS NOT NULL AND {age} <= {_us(c.error)})"
+                fresh = f"({m} IS NOT NULL AND {age} <= {_us(c.error)})"
                 rows.append(_row(c, table, fresh, age_s, "NULL", f"CASE WHEN {fresh} THEN 'fresh' ELSE 'stale' END"))
-    if not rows:
-        return None
-    return _rows(df.selectExpr(*aggs), rows)
-
-
-def _unique_pass(df: DataFrame, table: str, c: Check) -> DataFrame:
-    # Rows per value (partial aggregate first), then totals over the values.
-    col = _ident(c.column)
-    per_value = df.selectExpr(f"{col} AS __k").where("__k IS NOT NULL").groupBy("__k").agg(F.count(F.lit(1)).alias("__c"))
-    totals = per_value.selectExpr(
-        "coalesce(sum(__c), 0) AS __obs", "coalesce(sum(CASE WHEN __c > 1 THEN __c END), 0) AS __dup"
-    )
-    return _rows(totals, [_row(c, table, "__dup = 0", "__obs", "__dup", "NULL")])
+        elif c.kind == "unique":
+            g = slot[i]
+            hit = f"__w = {g} AND __k{g} IS NOT NULL"
+            finals.append(f"coalesce(sum(CASE WHEN {hit} THEN __c END), 0) AS {obs}")
+            finals.append(f"coalesce(sum(CASE WHEN {hit} AND __c > 1 THEN __c END), 0) AS {dup}")
+            rows.append(_row(c, table, f"{dup} = 0", obs, dup, "NULL"))
+
+    # One expanded row per group: group 0 holds the flags, group g the g-th key.
+    def element(g: int) -> str:
+        parts = [f"'__w', {g}"]
+        for h, (expr, typ) in key_cols.items():
+            parts.append(f"'__k{h}', CAST({expr if h == g else 'NULL'} AS {typ})")
+        for name, (expr, typ) in flags.items():
+            parts.append(f"'{name}', CAST({expr if g == 0 else 'NULL'} AS {typ})")
+        return f"named_struct({', '.join(parts)})"
+
+    expanded = df.selectExpr(f"inline(array({', '.join(element(g) for g in range(len(keyed) + 1))}))")
+    group_cols = ["__w", *[f"__k{h}" for h in key_cols]]
+    aggs = ["count(1) AS __c", *[f"sum({n}) AS {n}" if t == "int" else f"max({n}) AS {n}" for n, (_, t) in flags.items()]]
+    grouped = expanded.groupBy(*group_cols).agg(*[F.expr(a) for a in aggs])
+    parts = [_rows(grouped.selectExpr(*finals), rows)] if rows else []
+    for i, c in keyed:
+        if c.kind == "relationship":
+            g = slot[i]
+            child = grouped.where(f"__w = {g} AND __k{g} IS NOT NULL").selectExpr(f"__k{g} AS __k", "__c")
+            parts.append(_relationship_rows(child, table, c))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _relationship_pass(df: DataFrame, table: str, c: Check) -> DataFrame:
-    # Child keys are counted per key first, so a hot key is one row in the join.
-    child = df.selectExpr(f"{_ident(c.column)} AS __k").where("__k IS NOT NULL").groupBy("__k").agg(
-        F.count(F.lit(1)).alias("__c")
-    )
+def _relationship_rows(child: DataFrame, table: str, c: Check) -> DataFrame:
+    # Child keys arrive counted per key, so a hot key is one row in the join.
     parent = (
         c.parent.selectExpr(f"{_ident(c.parent_col)} AS __k")
         .where("__k IS NOT NULL")
@@ -257,22 +291,6 @@ def _relationship_pass(df: DataFrame, table: str, c: Check) -> DataFrame:
     return _rows(totals, [_row(c, table, "__orph = 0", "__obs", "__orph", detail)])
 
 
-def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate ``checks`` on ``df``; one result row per check."""
-    parts: list[DataFrame] = []
-    counted = _count_pass(df, table, checks)
-    if counted is not None:
-        parts.append(counted)
-    for c in checks:
-        if c.kind == "unique":
-            parts.append(_unique_pass(df, table, c))
-        elif c.kind == "relationship":
-            parts.append(_relationship_pass(df, table, c))
-    if not parts:
-        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    return reduce(DataFrame.unionByName, parts)
-
-
 def run_many(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]]) -> DataFrame:
     """``run_checks`` for several tables, as one result DataFrame."""
     parts = [run_checks(tables[t], t, cs) for t, cs in checks.items() if cs]

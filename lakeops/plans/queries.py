@@ -430,13 +430,13 @@ CHECK_SPECS = {
 }
 
 
-def _checks_query(spec):
+def _checks_query(key, spec):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = Tables(Models(spark, sf_dir))
         checks = spec(tables)
         return C.run_many({t: tables(t) for t in checks}, checks)
 
-    q.__name__ = spec.__name__.replace("spec_", "q_")
+    q.__name__ = f"q_{key}"
     return q
 
 
@@ -549,7 +549,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "client_context": q_client_context,
     "client_context_json": q_client_context_json,
     "contract_diff": q_contract_diff,
-    **{k: _checks_query(v) for k, v in CHECK_SPECS.items()},
+    **{k: _checks_query(k, v) for k, v in CHECK_SPECS.items()},
     "bronze_roundtrip": q_bronze_roundtrip,
     "ad_stream_ingest": q_ad_stream_ingest,
     "pipeline_counts": q_pipeline_counts,

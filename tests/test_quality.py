@@ -131,8 +131,21 @@ def test_declared_test_sets_have_reference_sizes():
     assert sum(len(s["expectations"]) for s in (quality.SUITE_CLIENTS, quality.SUITE_LEADS)) == 13
 
 
-def test_count_checks_share_one_aggregate(spark):
-    df = spark.createDataFrame([(1, "a")], "k int, s string")
-    out = C.run_checks(df, "t", [C.not_null("k"), C.not_null("s"), C.accepted_values("s", ["a"]), C.row_count_between(1, 2)])
+def test_all_checks_of_a_table_share_one_scan(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    spark.createDataFrame([(1, "a"), (1, "b"), (2, None)], "k int, s string").write.parquet(path)
+    df = spark.read.parquet(path)
+    checks = [C.not_null("k"), C.unique("k"), C.unique("s"), C.accepted_values("s", ["a"]), C.row_count_between(1, 2)]
+    out = C.run_checks(df, "t", checks)
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("HashAggregate") == 2  # one partial + one final: a single pass
+    assert plan.count("FileScan parquet") == 1
+    res = results(out)
+    assert res[("t", "unique", "k")].unexpected == 2 and res[("t", "unique", "s")].unexpected == 0
+    assert not res[("t", "row_count_between", None)].success
+
+
+def test_empty_table_still_reports_every_check(spark):
+    df = spark.createDataFrame([], "k int")
+    res = C.run_checks(df, "t", [C.not_null("k"), C.unique("k"), C.row_count_between(1, None)]).collect()
+    assert len(res) == 3
+    assert {r.check: r.success for r in res} == {"not_null": True, "unique": True, "row_count_between": False}
