@@ -12,10 +12,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.measures import date_literal, ts_literal
 
 # Fixed fixture values (see FIXTURES.md §2).
 RUN_TS = datetime(2024, 2, 10, 0, 0, 0)
@@ -55,22 +54,24 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _case(col: Column, mapping: dict, other) -> Column:
-    out = None
-    for k, v in mapping.items():
-        out = F.when(col == F.lit(k), F.lit(v)) if out is None else out.when(col == F.lit(k), F.lit(v))
-    return out.otherwise(F.lit(other))
+def _case(col: str, mapping: dict, other) -> str:
+    """``CASE col WHEN k THEN v ... ELSE other END`` as SQL text."""
 
+    def q(v):
+        return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
 
-def _client_of_order(o_custkey: Column) -> Column:
-    # Orders of every 50th customer (key ending in 7 mod 50) point to a client id
-    # that does not exist: those customers have no leads (NULL conversion rate)
-    # and the leads are orphans that survive the left joins. No row is dropped.
-    return F.when(o_custkey % 50 == 7, -o_custkey).otherwise(o_custkey)
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in mapping.items())
+    return f"CASE {col} {whens} ELSE {q(other)} END"
 
 
-def _day30(o_orderdate: Column) -> Column:
-    return F.datediff(o_orderdate.cast("date"), date_literal(ORDER_EPOCH)) % 30
+# Orders of every 50th customer (key 7 mod 50) point to a client id that does
+# not exist: those customers have no leads (NULL conversion rate) and their
+# leads are orphans that must survive the left joins. No row is dropped.
+_CLIENT_OF_ORDER = "CASE WHEN o_custkey % 50 = 7 THEN -o_custkey ELSE o_custkey END"
+_DAY30 = f"datediff(CAST(o_orderdate AS DATE), DATE '{ORDER_EPOCH}') % 30"
+
+# The bindings are plain selects written as SQL expressions (one parse per
+# select), mirroring the DuckDB text in oracle/base.sql.
 
 
 def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,89 +83,79 @@ def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (
         c.join(n, c.c_nationkey == n.n_nationkey)
         .join(r, n.n_regionkey == r.r_regionkey)
-        .select(
-            F.col("c_custkey").alias("id"),
-            F.col("c_name").alias("name"),
-            _case(F.col("c_mktsegment"), INDUSTRY_BY_SEGMENT, INDUSTRY_OTHER).alias("industry"),
-            F.when(F.col("c_acctbal") < 2500, "Starter")
-            .when(F.col("c_acctbal") < 6500, "Pro")
-            .otherwise("Enterprise")
-            .alias("plan_tier"),
-            F.date_format(F.date_add(date_literal(ONBOARD_BASE), (F.col("c_custkey") % 181).cast("int")), "yyyy-MM-dd").alias(
-                "onboard_date"
-            ),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            ts_literal(CLIENT_LOAD_TS).alias("_loaded_at"),
+        .selectExpr(
+            "c_custkey AS id",
+            "c_name AS name",
+            f"{_case('c_mktsegment', INDUSTRY_BY_SEGMENT, INDUSTRY_OTHER)} AS industry",
+            "CASE WHEN c_acctbal < 2500 THEN 'Starter' WHEN c_acctbal < 6500 THEN 'Pro' ELSE 'Enterprise' END AS plan_tier",
+            f"CAST(date_add(DATE '{ONBOARD_BASE}', CAST(c_custkey % 181 AS INT)) AS STRING) AS onboard_date",
+            "n_name AS city",
+            "r_name AS state",
+            f"TIMESTAMP_NTZ '{CLIENT_LOAD_TS}' AS _loaded_at",
         )
     )
     # An older copy of every 10th client, re-sent with another tier; it must lose.
-    resent = base.where(F.col("id") % 10 == 0).withColumns(
-        {"plan_tier": F.lit("Starter"), "_loaded_at": ts_literal(CLIENT_RESENT_TS)}
+    resent = base.where("id % 10 = 0").selectExpr(
+        "id", "name", "industry", "'Starter' AS plan_tier", "onboard_date", "city", "state",
+        f"TIMESTAMP_NTZ '{CLIENT_RESENT_TS}' AS _loaded_at",
     )
     return base.unionByName(resent)
 
 
 def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders")
-    base = o.select(
-        F.col("o_orderkey").alias("id"),
-        _client_of_order(F.col("o_custkey")).alias("client_id"),
-        _case(F.col("o_orderkey") % 4, SOURCE_BY_KEY_MOD4, None).alias("source"),
-        _case(F.col("o_orderpriority"), STATUS_BY_PRIORITY, STATUS_OTHER).alias("status"),
-        F.col("o_totalprice").alias("value"),
-        F.date_add(date_literal(LEAD_BASE), _day30(F.col("o_orderdate")).cast("int")).cast("timestamp_ntz").alias("created_at"),
-        ts_literal(CLIENT_LOAD_TS).alias("_loaded_at"),
+    base = read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        f"{_CLIENT_OF_ORDER} AS client_id",
+        f"{_case('o_orderkey % 4', SOURCE_BY_KEY_MOD4, None)} AS source",
+        f"{_case('o_orderpriority', STATUS_BY_PRIORITY, STATUS_OTHER)} AS status",
+        "o_totalprice AS value",
+        f"CAST(date_add(DATE '{LEAD_BASE}', CAST({_DAY30} AS INT)) AS TIMESTAMP_NTZ) AS created_at",
+        f"TIMESTAMP_NTZ '{CLIENT_LOAD_TS}' AS _loaded_at",
     )
-    resent = base.where(F.col("id") % 20 == 0).withColumns(
-        {"status": F.lit("New"), "_loaded_at": ts_literal(CLIENT_RESENT_TS)}
+    resent = base.where("id % 20 = 0").selectExpr(
+        "id", "client_id", "source", "'New' AS status", "value", "created_at",
+        f"TIMESTAMP_NTZ '{CLIENT_RESENT_TS}' AS _loaded_at",
     )
     return base.unionByName(resent)
 
 
 def raw_appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
-    o = read(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
-    return j.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-        F.col("l_orderkey").alias("lead_id"),
-        _client_of_order(F.col("o_custkey")).alias("client_id"),
-        F.date_add(
-            date_literal(LEAD_BASE), (_day30(F.col("o_orderdate")) + F.col("l_partkey") % 14 + 1).cast("int")
-        )
-        .cast("timestamp_ntz")
-        .alias("scheduled_at"),
-        _case(F.col("l_returnflag"), APPOINTMENT_STATUS_BY_FLAG, None).alias("status"),
-        F.col("l_linestatus").alias("notes"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("_loaded_at"),
+    o = read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(
+        "l_orderkey * 8 + l_linenumber AS id",
+        "l_orderkey AS lead_id",
+        f"{_CLIENT_OF_ORDER} AS client_id",
+        f"CAST(date_add(DATE '{LEAD_BASE}', CAST({_DAY30} + l_partkey % 14 + 1 AS INT)) AS TIMESTAMP_NTZ) AS scheduled_at",
+        f"{_case('l_returnflag', APPOINTMENT_STATUS_BY_FLAG, None)} AS status",
+        "l_linestatus AS notes",
+        "CAST(l_shipdate AS TIMESTAMP_NTZ) AS _loaded_at",
     )
 
 
 def raw_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").where(F.col("event_type") != "error")
-    k = F.get_json_object(F.col("props"), "$.k").cast("int")
-    return e.select(
-        F.col("user_id").alias("client_id"),
-        _case(F.col("event_type"), CHANNEL_BY_EVENT, None).alias("channel"),
-        F.date_format(F.col("ts"), "yyyy-MM-dd").alias("date"),
-        F.col("value").alias("spend"),
-        F.when(k % 10 == 0, F.lit(0)).otherwise(k * 100).alias("impressions"),
-        F.when(k % 7 == 0, F.lit(0)).otherwise(k).alias("clicks"),
-        F.col("ts").cast("timestamp_ntz").alias("_dlt_load_time"),
+    e = read(spark, sf_dir, "events").where("event_type <> 'error'")
+    with_k = e.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    return with_k.selectExpr(
+        "user_id AS client_id",
+        f"{_case('event_type', CHANNEL_BY_EVENT, None)} AS channel",
+        "CAST(CAST(ts AS DATE) AS STRING) AS date",
+        "value AS spend",
+        "CASE WHEN k % 10 = 0 THEN 0 ELSE k * 100 END AS impressions",
+        "CASE WHEN k % 7 = 0 THEN 0 ELSE k END AS clicks",
+        "CAST(ts AS TIMESTAMP_NTZ) AS _dlt_load_time",
     )
 
 
 def raw_seo_rankings(spark: SparkSession, sf_dir: str, run_ts: datetime = RUN_TS) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     p = read(spark, sf_dir, "part")
-    j = li.join(p, li.l_partkey == p.p_partkey)
-    return j.select(
-        F.col("l_suppkey").alias("client_id"),
-        F.col("p_name").alias("keyword"),
-        F.col("l_quantity").cast("int").alias("position"),
-        F.date_format(F.date_trunc("week", F.col("l_shipdate")), "yyyy-MM-dd").alias("snapshot_date"),
-        ts_literal(run_ts).alias("_dlt_load_time"),
+    return li.join(p, li.l_partkey == p.p_partkey).selectExpr(
+        "l_suppkey AS client_id",
+        "p_name AS keyword",
+        "CAST(l_quantity AS INT) AS position",
+        "CAST(CAST(date_trunc('week', l_shipdate) AS DATE) AS STRING) AS snapshot_date",
+        f"TIMESTAMP_NTZ '{run_ts.isoformat(sep=' ')}' AS _dlt_load_time",
     )
 
 
