@@ -124,7 +124,12 @@ def check_sql(table: str, c: Check) -> str:
 
 
 def checks_sql(spec: dict[str, list[Check]]) -> str:
-    parts = [check_sql(t, c) for t, cs in spec.items() for c in cs]
+    parts = [
+        f'SELECT "check", table_name, column_name, success, CAST(observed AS BIGINT) AS observed, '
+        f"CAST(unexpected AS BIGINT) AS unexpected, detail FROM ({check_sql(t, c)})"
+        for t, cs in spec.items()
+        for c in cs
+    ]
     return "\nUNION ALL\n".join(f"({p})" for p in parts)
 
 
@@ -144,6 +149,6 @@ def contract_sql(table: str, contract: Contract, present: set[str] | None = None
         parts.append(
             f"SELECT {_s(table)} AS table_name, {_s(c.name)} AS column_name, {_s(c.data_type)} AS expected_type, "
             f"{actual} AS actual_type, CASE WHEN {actual} = {_s(c.data_type)} THEN 'ok' ELSE 'type_mismatch' END AS issue, "
-            f"{str(c.not_null).lower()} AS not_null, count_if({_q(c.name)} IS NULL) AS null_rows FROM {table}"
+            f"{str(c.not_null).lower()} AS not_null, CAST(count_if({_q(c.name)} IS NULL) AS BIGINT) AS null_rows FROM {table}"
         )
     return "\nUNION ALL\n".join(f"({p})" for p in parts)

@@ -76,19 +76,19 @@ SELECT appointment_id, lead_created_at, scheduled_at, days_to_appointment FROM f
 SELECT client_id, client_name, industry, plan_tier, days_active, total_leads, converted_leads,
        lead_conversion_rate, total_appointments
 FROM dim_clients""",
-    "topk_keywords": "SELECT client_id, rank, keyword, position FROM seo_top5",
+    "topk_keywords": "SELECT client_id, CAST(rank AS INTEGER) AS rank, keyword, position FROM seo_top5",
     "trailing_spend": "SELECT client_id, monthly_spend_usd, avg_cpl FROM trailing_spend_30",
     "client_context": "SELECT * FROM client_context",
     "bronze_roundtrip": """
-SELECT 'raw_clients' AS table_name, count(*) AS row_count, sum(id) AS key_sum, max(_loaded_at) AS load_max FROM raw_clients
+SELECT 'raw_clients' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS key_sum, max(_loaded_at) AS load_max FROM raw_clients
 UNION ALL
-SELECT 'raw_leads' AS table_name, count(*) AS row_count, sum(id) AS key_sum, max(_loaded_at) AS load_max FROM raw_leads
+SELECT 'raw_leads' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS key_sum, max(_loaded_at) AS load_max FROM raw_leads
 UNION ALL
-SELECT 'raw_appointments' AS table_name, count(*) AS row_count, sum(id) AS key_sum, max(_loaded_at) AS load_max FROM raw_appointments
+SELECT 'raw_appointments' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS key_sum, max(_loaded_at) AS load_max FROM raw_appointments
 UNION ALL
-SELECT 'raw_seo_rankings' AS table_name, count(*) AS row_count, sum(client_id) AS key_sum, max(_dlt_load_time) AS load_max FROM raw_seo_rankings
+SELECT 'raw_seo_rankings' AS table_name, count(*) AS row_count, CAST(sum(client_id) AS BIGINT) AS key_sum, max(_dlt_load_time) AS load_max FROM raw_seo_rankings
 UNION ALL
-SELECT 'raw_ad_spend' AS table_name, count(*) AS row_count, sum(client_id) AS key_sum, max(_dlt_load_time) AS load_max FROM raw_ad_spend""",
+SELECT 'raw_ad_spend' AS table_name, count(*) AS row_count, CAST(sum(client_id) AS BIGINT) AS key_sum, max(_dlt_load_time) AS load_max FROM raw_ad_spend""",
     "ad_stream_ingest": "SELECT * FROM stg_ad_spend",
     "pipeline_counts": """
 SELECT 'raw_clients' AS table_name, count(*) AS row_count FROM raw_clients
