@@ -118,4 +118,14 @@ UNION ALL
 SELECT 'fct_ad_performance' AS table_name, count(*) AS row_count FROM fct_ad_performance
 UNION ALL
 SELECT 'fct_appointments' AS table_name, count(*) AS row_count FROM fct_appointments""",
+    "client_context_json": """
+SELECT client_id,
+       CAST(to_json({
+           'client_id': client_id, 'client_name': client_name, 'industry': industry,
+           'plan_tier': plan_tier, 'days_active': days_active, 'total_leads': total_leads,
+           'converted_leads': converted_leads, 'lead_conversion_rate': lead_conversion_rate,
+           'total_appointments': total_appointments, 'top_keywords': CAST(top_keywords AS JSON),
+           'monthly_spend_usd': monthly_spend_usd, 'avg_cpl': avg_cpl, 'last_updated': last_updated
+       }) AS VARCHAR) AS context_json
+FROM client_context""",
 }
