@@ -111,6 +111,10 @@ def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*cols)
 
 
+def _sql_text(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def contract_report(df: DataFrame, contract: Contract, table_name: str | None = None) -> DataFrame:
     """One row per contracted or present column: types, issue and NULL count.
 
@@ -122,20 +126,16 @@ def contract_report(df: DataFrame, contract: Contract, table_name: str | None =
     diff = schema_diff(df, contract)
     declared_nn = {c.name: c.not_null for c in contract.columns}
     present = [f.name for f in df.schema.fields]
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__null_{i}") for i, c in enumerate(present)])
     idx = {c: i for i, c in enumerate(present)}
+    counts = df.selectExpr(
+        *[f"count_if(`{c.replace('`', '``')}` IS NULL) AS __null_{i}" for i, c in enumerate(present)]
+    )
     rows = []
     for col, exp, act, issue in diff:
-        nulls = F.col(f"__null_{idx[col]}") if col in idx else F.lit(None).cast("bigint")
+        nulls = f"__null_{idx[col]}" if col in idx else "CAST(NULL AS BIGINT)"
         rows.append(
-            F.struct(
-                F.lit(name).alias("table_name"),
-                F.lit(col).alias("column_name"),
-                F.lit(exp).cast("string").alias("expected_type"),
-                F.lit(act).cast("string").alias("actual_type"),
-                F.lit(issue).alias("issue"),
-                F.lit(declared_nn.get(col, False)).alias("not_null"),
-                nulls.cast("bigint").alias("null_rows"),
-            )
+            f"named_struct('table_name', {_sql_text(name)}, 'column_name', {_sql_text(col)}, "
+            f"'expected_type', {_sql_text(exp)}, 'actual_type', {_sql_text(act)}, 'issue', {_sql_text(issue)}, "
+            f"'not_null', {'true' if declared_nn.get(col, False) else 'false'}, 'null_rows', CAST({nulls} AS BIGINT))"
         )
-    return counts.select(F.inline(F.array(*rows)))
+    return counts.selectExpr(f"inline(array({', '.join(rows)}))")
