@@ -26,12 +26,19 @@ def ingest_new_csv(
     schema: T.StructType = AD_SPEND_SCHEMA,
     load_col: str = "_dlt_load_time",
     max_files_per_batch: int | None = None,
+    archive_dir: str | None = None,
+    max_file_age: str | None = None,
 ) -> StreamingQuery:
     """Append every CSV that arrived in ``landing`` since the last call to ``table_path``.
 
     Rows without ``load_col`` are stamped with the micro-batch time, so a
     re-sent key from a later file wins the Silver dedup. Returns the finished
     query (its ``recentProgress`` says how many rows each batch took).
+
+    At scale the landing folder's listing grows with every file ever landed:
+    ``archive_dir`` moves processed files there (``cleanSource=archive``) and
+    ``max_file_age`` ignores files older than that age, so each trigger lists
+    only recent arrivals. ``max_files_per_batch`` bounds one micro-batch.
     """
     stream = (
         spark.readStream.schema(schema)
@@ -41,6 +48,10 @@ def ingest_new_csv(
     )
     if max_files_per_batch:
         stream = stream.option("maxFilesPerTrigger", str(max_files_per_batch))
+    if archive_dir:
+        stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    if max_file_age:
+        stream = stream.option("maxFileAge", max_file_age)
     rows = stream.csv(landing)
     if load_col not in schema.fieldNames():
         rows = rows.withColumn(load_col, F.current_timestamp().cast("timestamp_ntz"))

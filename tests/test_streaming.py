@@ -26,3 +26,16 @@ def test_only_new_files_are_ingested_and_resent_keys_win(spark, tmpdir_path):
     assert raw.count() == 3 and raw.where(F.col("_dlt_load_time").isNull()).count() == 0
     stg = {r.channel: float(r.spend) for r in silver.stg_ad_spend(raw, RUN_TS).collect()}
     assert stg == {"google": 9.0, "meta": 2.0}  # the later batch stamp wins the dedup
+
+
+def test_processed_files_are_archived(spark, tmpdir_path):
+    import glob
+
+    landing, table, ckpt, archive = (f"{tmpdir_path}/{n}" for n in ("landing", "table", "ckpt", "archive"))
+    rows = spark.createDataFrame([(2, "email", "2024-01-02", 1.5, 10, 1)], AD_SPEND_SCHEMA)
+    land_csv(rows, landing)
+    ingest_new_csv(spark, landing, table, ckpt, archive_dir=archive, max_files_per_batch=1)
+    land_csv(rows, landing)  # a second drop; its arrival makes the first batch's files eligible for archiving
+    ingest_new_csv(spark, landing, table, ckpt, archive_dir=archive, max_files_per_batch=1)
+    assert spark.read.parquet(table).count() == 2
+    assert glob.glob(f"{archive}/**/*.csv", recursive=True)
