@@ -46,3 +46,27 @@ def test_repeat_runs_are_equal(spark):
     a = QUERIES["fct_appointments"](spark, SF)
     b = QUERIES["fct_appointments"](spark, SF)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_build_rejects_unknown_model(spark, tmpdir_path):
+    lake = Lake(spark, f"{tmpdir_path}/lake")
+    with pytest.raises(KeyError):
+        pipeline.build(lake, ["no_such_model"], date(2024, 2, 10), datetime(2024, 2, 10))
+
+
+def test_publish_table_checks_contract_before_writing(spark, tmpdir_path):
+    from lakeops.operators.contracts import ContractViolation
+    from lakeops.plans.queries import broken_dim_clients
+    from lakeops.plans.quality import MART_CONTRACTS
+    from lakeops.sources.bronze import publish_table, publish_view
+
+    clients = publish_view(spark.range(3).selectExpr(
+        "md5(CAST(id AS STRING)) AS client_key", "CAST(id AS INT) AS client_id", "'n' AS client_name",
+        "'legal' AS industry", "'pro' AS plan_tier", "DATE '2024-01-01' AS onboard_date",
+        "CAST(NULL AS STRING) AS city", "CAST(NULL AS STRING) AS state",
+        "TIMESTAMP_NTZ '2024-01-31 00:00:00' AS _loaded_at"), "clients_view")
+    assert spark.table("clients_view").count() == 3
+    lake = Lake(spark, f"{tmpdir_path}/lake")
+    with pytest.raises(ContractViolation):
+        publish_table(lake, broken_dim_clients(clients), "dim_clients", MART_CONTRACTS["dim_clients"])
+    assert not __import__("os").path.exists(f"{tmpdir_path}/lake/gold/dim_clients")
