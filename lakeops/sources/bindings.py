@@ -74,6 +74,21 @@ _DAY30 = f"datediff(CAST(o_orderdate AS DATE), DATE '{ORDER_EPOCH}') % 30"
 # select), mirroring the DuckDB text in oracle/base.sql.
 
 
+def _with_resent(base: DataFrame, cond: str, changed: dict[str, str]) -> DataFrame:
+    """Each row, plus an older re-sent copy (with ``changed`` columns) where ``cond`` holds.
+
+    Same rows as ``base UNION ALL (changed copy of base WHERE cond)``, from one
+    scan of the input instead of two.
+    """
+    cols = base.columns
+    original = ", ".join(f"'{c}', {c}" for c in cols)
+    copy = ", ".join(f"'{c}', {changed.get(c, c)}" for c in cols)
+    return base.selectExpr(
+        f"inline(CASE WHEN {cond} THEN array(named_struct({original}), named_struct({copy})) "
+        f"ELSE array(named_struct({original})) END)"
+    )
+
+
 def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer")
     # nation (25 rows) and region (5 rows) have a fixed size at every scale
@@ -95,11 +110,9 @@ def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     # An older copy of every 10th client, re-sent with another tier; it must lose.
-    resent = base.where("id % 10 = 0").selectExpr(
-        "id", "name", "industry", "'Starter' AS plan_tier", "onboard_date", "city", "state",
-        f"TIMESTAMP_NTZ '{CLIENT_RESENT_TS}' AS _loaded_at",
+    return _with_resent(
+        base, "id % 10 = 0", {"plan_tier": "'Starter'", "_loaded_at": f"TIMESTAMP_NTZ '{CLIENT_RESENT_TS}'"}
     )
-    return base.unionByName(resent)
 
 
 def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,11 +125,8 @@ def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"CAST(date_add(DATE '{LEAD_BASE}', CAST({_DAY30} AS INT)) AS TIMESTAMP_NTZ) AS created_at",
         f"TIMESTAMP_NTZ '{CLIENT_LOAD_TS}' AS _loaded_at",
     )
-    resent = base.where("id % 20 = 0").selectExpr(
-        "id", "client_id", "source", "'New' AS status", "value", "created_at",
-        f"TIMESTAMP_NTZ '{CLIENT_RESENT_TS}' AS _loaded_at",
-    )
-    return base.unionByName(resent)
+    # An older copy of every 20th lead, re-sent as new; it must lose.
+    return _with_resent(base, "id % 20 = 0", {"status": "'New'", "_loaded_at": f"TIMESTAMP_NTZ '{CLIENT_RESENT_TS}'"})
 
 
 def raw_appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
