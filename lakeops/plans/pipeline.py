@@ -7,6 +7,7 @@ inputs from published tables, so one model can be rebuilt alone.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import partial
@@ -71,31 +72,60 @@ class PipelineConfig:
     suites: Mapping[str, Mapping] = field(
         default_factory=lambda: {"stg_clients": quality.SUITE_CLIENTS, "stg_leads": quality.SUITE_LEADS}
     )
+    parallel_jobs: int = 4  # independent tables of one layer are written concurrently
+
+
+def each_table(fn: Callable[[str], str], names: Iterable[str], parallel_jobs: int) -> list[str]:
+    """Run ``fn`` for independent tables, submitting their Spark jobs from a few threads.
+
+    Only job submission happens on the driver; Spark schedules the jobs' tasks
+    side by side, which keeps a large cluster busy when single tables are small.
+    Results keep the input order; the first failure is raised.
+    """
+    names = list(names)
+    if parallel_jobs <= 1 or len(names) <= 1:
+        return [fn(n) for n in names]
+    with ThreadPoolExecutor(max_workers=min(parallel_jobs, len(names))) as pool:
+        return list(pool.map(fn, names))
 
 
 def load_bronze(lake: Lake, cfg: PipelineConfig) -> list[str]:
-    """A7: land every raw table (database tables, SEO file, ad spend file), in that order."""
-    return [
-        write_bronze(lake, df, name, partition_by=cfg.partition_by.get(name, ()))
-        for name, df in cfg.raw.items()
-    ]
+    """A7: land every raw table (database tables, SEO file, ad spend file)."""
+    return each_table(
+        lambda name: write_bronze(lake, cfg.raw[name], name, partition_by=cfg.partition_by.get(name, ())),
+        cfg.raw,
+        cfg.parallel_jobs,
+    )
 
 
-def build(lake: Lake, names: Iterable[str], as_of: date, run_ts: datetime, contracts: bool = True) -> list[str]:
-    """build and publish the named models from their published inputs."""
+def build(
+    lake: Lake,
+    names: Iterable[str],
+    as_of: date,
+    run_ts: datetime,
+    contracts: bool = True,
+    parallel_jobs: int = 1,
+) -> list[str]:
+    """build and publish the named models from their published inputs.
+
+    The named models must not depend on each other when ``parallel_jobs > 1``
+    (one layer at a time, as ``run_all`` calls it).
+    """
     reg = registry(as_of, run_ts)
-    out = []
+    names = list(names)
     for name in names:
         if name not in reg:
             raise KeyError(f"unknown model {name}")
+
+    def one(name: str) -> str:
         m = reg[name]
         inputs = [lake.ref(*i.split(".")) for i in m.inputs]
         df = m.build(*inputs)
         if m.layer == "gold":
-            out.append(publish_table(lake, df, name, quality.MART_CONTRACTS[name] if contracts else None))
-        else:
-            out.append(lake.write(df, m.layer, name))
-    return out
+            return publish_table(lake, df, name, quality.MART_CONTRACTS[name] if contracts else None)
+        return lake.write(df, m.layer, name)
+
+    return each_table(one, names, parallel_jobs)
 
 
 def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
@@ -104,7 +134,7 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     tables: dict[str, str] = {}
     for full in load_bronze(lake, cfg):
         tables[full.split(".")[1]] = full
-    for full in build(lake, SILVER_TABLES, cfg.as_of, cfg.run_ts):
+    for full in build(lake, SILVER_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs):
         tables[full.split(".")[1]] = full
     gate_results = C.run_many(
         {t: lake.ref("silver", t) for t in cfg.suites},
@@ -113,7 +143,7 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     tables["gate_results"] = lake.write(gate_results, "quality", "gate_results")
     if cfg.gate == "raise":
         C.gate(lake.ref("quality", "gate_results"))
-    for full in build(lake, GOLD_TABLES, cfg.as_of, cfg.run_ts):
+    for full in build(lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs):
         tables[full.split(".")[1]] = full
     marts = {t: lake.ref("gold", t) for t in GOLD_TABLES}
     tests = quality.run_declared(quality.MART_TESTS, marts).unionByName(quality.mart_asset_checks(marts))

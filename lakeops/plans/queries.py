@@ -470,16 +470,21 @@ def q_bronze_roundtrip(spark, sf_dir):
     """Land the five raw tables (replace write, partitioned where declared) and read them back."""
     m = Models(spark, sf_dir)
     lake = Lake(spark, shared_path(spark, "bronze_roundtrip", unique=True))
+    written = pipeline.each_table(
+        lambda name: write_bronze(lake, m.raw(name), name, partition_by=BRONZE_PARTITIONS.get(name, ())),
+        list(RAW_KEYS),
+        parallel_jobs=4,
+    )
     parts = []
-    for name, (key, load_col) in RAW_KEYS.items():
-        full = write_bronze(lake, m.raw(name), name, partition_by=BRONZE_PARTITIONS.get(name, ()))
-        back = spark.table(full)
+    for full, (name, (key, load_col)) in zip(written, RAW_KEYS.items()):
         parts.append(
-            back.agg(
+            spark.table(full)
+            .agg(
                 F.count(F.lit(1)).alias("row_count"),
                 F.sum(key).alias("key_sum"),
                 F.max(load_col).alias("load_max"),
-            ).select(F.lit(name).alias("table_name"), "row_count", "key_sum", "load_max")
+            )
+            .select(F.lit(name).alias("table_name"), "row_count", "key_sum", "load_max")
         )
     out = parts[0]
     for p in parts[1:]:
