@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.keys import surrogate_key
 from lakeops.functions.measures import flag
@@ -205,8 +206,7 @@ def q_ratio_cost2(spark, sf_dir):
 
 def q_date_diff_days(spark, sf_dir):
     m = Models(spark, sf_dir)
-    appts = m.fct_appointments.select("appointment_id", "lead_created_at", "scheduled_at", "days_to_appointment")
-    return appts
+    return m.fct_appointments.select("appointment_id", "lead_created_at", "scheduled_at", "days_to_appointment")
 
 
 # --- context ---------------------------------------------------------------------
@@ -442,8 +442,6 @@ def _checks_query(key, spec):
 
 # --- sources, sinks, stream, pipeline ---------------------------------------------
 
-from pyspark.sql import types as T  # noqa: E402
-
 AD_SPEND_LANDED_SCHEMA = T.StructType(
     [
         T.StructField("client_id", T.LongType()),
