@@ -48,13 +48,11 @@ def top_keywords(seo: DataFrame, k: int = 5, client_id: int | None = None) -> Da
     """D2: the ``k`` best (lowest) positions per client over all snapshots.
 
     A keyword may appear more than once (one row per snapshot). Ties are
-    ordered by keyword, then newest snapshot; NULL positions sort last.
+    ordered by keyword; NULL positions sort last. Rows equal in position and
+    keyword are interchangeable (the output is the same whichever ranks
+    first), so the snapshot date is not computed for the ranking.
     """
-    order: list[Column] = [
-        F.col("position").asc_nulls_last(),
-        F.col("keyword").asc_nulls_last(),
-        F.col("snapshot_date").desc_nulls_last(),
-    ]
+    order: list[Column] = [F.col("position").asc_nulls_last(), F.col("keyword").asc_nulls_last()]
     ranked = top_k(_only(seo, client_id), ["client_id"], order, k, rank_col="rank")
     return ranked.select("client_id", "rank", "keyword", "position")
 

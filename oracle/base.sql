@@ -254,8 +254,7 @@ seo_top5 AS (
     SELECT client_id, rank, keyword, position FROM (
         SELECT client_id, keyword, position,
                row_number() OVER (PARTITION BY client_id
-                                  ORDER BY position ASC NULLS LAST, keyword ASC NULLS LAST,
-                                           snapshot_date DESC NULLS LAST) AS rank
+                                  ORDER BY position ASC NULLS LAST, keyword ASC NULLS LAST) AS rank
         FROM stg_seo_rankings
     ) WHERE rank <= 5
 ),
