@@ -19,16 +19,33 @@ SESSION_DEFAULTS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Initial shuffle partitions so each holds about ``target_bytes`` of input.
+
+    AQE coalesces small partitions after each map stage, so starting high is
+    cheap; starting low forces every reducer to hold (and spill) too much.
+    100 TB at 256 MB gives about 400,000.
+    """
+    return max(1, -(-int(input_bytes) // int(target_bytes)))
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Pin the settings the models depend on (UTC, ANSI, AQE) when unset.
 
     The time zone is always forced to UTC: day boundaries of every model are
-    UTC days, as in the reference's only write path.
+    UTC days, as in the reference's only write path. With ``input_bytes``, the
+    initial shuffle partition count is sized from it unless the cluster sets one.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     for key, value in SESSION_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if input_bytes is not None and spark.conf.get(initial, None) in (None, "<undefined>"):
+        spark.conf.set(initial, str(shuffle_partitions_for(input_bytes)))
     return spark
 
 

@@ -54,3 +54,10 @@ def test_configure_keeps_explicit_settings(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+def test_shuffle_partitions_sized_from_input():
+    from lakeops.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(100 * 1024**4) == 409_600
+    assert shuffle_partitions_for(1) == 1
