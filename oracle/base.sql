@@ -1,7 +1,7 @@
 -- Shared CTE chain for every oracle query (DuckDB SQL).
 -- Bindings (testdata -> raw tables, see FIXTURES.md), then the Silver and Gold
--- models written the way the reference's SQL models are written, with the fixed
--- clock as_of = 2024-02-10, run_ts = 2024-02-10 00:00:00 and our tie-breaks.
+-- semantics stated independently in plain SQL, with the fixed clock
+-- as_of = 2024-02-10, run_ts = 2024-02-10 00:00:00 and the same tie-breaks as lakeops.
 raw_clients_base AS (
     SELECT
         c.c_custkey AS id,
