@@ -129,7 +129,12 @@ def build(
 
 
 def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
-    """Bronze -> Silver -> gate -> Gold -> tests. Returns table name -> catalog name."""
+    """Bronze -> Silver -> gate -> Gold -> tests. Returns table name -> catalog name.
+
+    The tests (written to ``quality.test_results``) are the declared source
+    tests and source freshness on Bronze, the declared mart tests and the
+    row-count/schema checks on Gold.
+    """
     lake = Lake(spark, cfg.root)
     tables: dict[str, str] = {}
     for full in load_bronze(lake, cfg):
@@ -146,7 +151,13 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     for full in build(lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs):
         tables[full.split(".")[1]] = full
     marts = {t: lake.ref("gold", t) for t in GOLD_TABLES}
-    tests = quality.run_declared(quality.MART_TESTS, marts).unionByName(quality.mart_asset_checks(marts))
+    bronze = {t: lake.ref("bronze", t) for t in cfg.raw}
+    tests = (
+        quality.run_declared([t for t in quality.SOURCE_TESTS if t[0] in bronze], bronze)
+        .unionByName(quality.source_freshness(bronze, cfg.run_ts))
+        .unionByName(quality.run_declared(quality.MART_TESTS, marts))
+        .unionByName(quality.mart_asset_checks(marts))
+    )
     tables["test_results"] = lake.write(tests, "quality", "test_results")
     return tables
 

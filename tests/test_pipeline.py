@@ -34,7 +34,7 @@ def test_full_run_and_rebuild_one_model(spark, tmpdir_path):
     assert counts["stg_clients"] == 150 and counts["dim_clients"] == 150
     assert counts["fct_ad_performance"] == counts["stg_ad_spend"]
     tests = spark.table(tables["test_results"]).collect()
-    assert len(tests) == 34 + 4
+    assert len(tests) == 27 + 5 + 34 + 4  # source tests, freshness, mart tests, asset checks
     lake = Lake(spark, root)
     again = pipeline.build(lake, ["fct_leads"], date(2024, 2, 10), datetime(2024, 2, 10))
     assert spark.table(again[0]).count() == counts["fct_leads"]
