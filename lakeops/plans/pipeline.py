@@ -15,7 +15,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.operators import checks as C
-from lakeops.plans import gold, quality, silver
+from lakeops.plans import context, gold, quality, silver
 from lakeops.sources.bronze import Lake, publish_table, row_counts, write_bronze
 
 RAW_TABLES = ("raw_clients", "raw_leads", "raw_appointments", "raw_seo_rankings", "raw_ad_spend")
@@ -131,6 +131,8 @@ def build(
 def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     """Bronze -> Silver -> gate -> Gold -> tests. Returns table name -> catalog name.
 
+    After the marts, the context document of every client is published as
+    ``gold.client_context`` (clustered by ``client_id`` for point lookups).
     The tests (written to ``quality.test_results``) are the declared source
     tests and source freshness on Bronze, the declared mart tests and the
     row-count/schema checks on Gold.
@@ -151,6 +153,10 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     for full in build(lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs):
         tables[full.split(".")[1]] = full
     marts = {t: lake.ref("gold", t) for t in GOLD_TABLES}
+    doc = context.snapshot(
+        marts["dim_clients"], lake.ref("silver", "stg_seo_rankings"), marts["fct_ad_performance"], cfg.as_of, cfg.run_ts
+    )
+    tables["client_context"] = lake.write(doc, "gold", "client_context", cluster_by="client_id")
     bronze = {t: lake.ref("bronze", t) for t in cfg.raw}
     tests = (
         quality.run_declared([t for t in quality.SOURCE_TESTS if t[0] in bronze], bronze)

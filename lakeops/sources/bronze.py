@@ -41,15 +41,21 @@ class Lake:
         mode: str = "overwrite",
         partition_by: Sequence[str] = (),
         bucket_by: tuple[int, str] | None = None,
+        cluster_by: str | None = None,
     ) -> str:
         """Replace (or append to) ``layer.name``; returns the table name.
 
         Partitioned writes are rebalanced on the partition columns first:
         AQE then splits a partition value that holds a large share of the
         rows over several tasks instead of one, and each task writes few files.
+        ``cluster_by`` range-partitions and sorts by one column, so each file
+        covers a narrow key range and a point lookup skips all but one row
+        group by its min/max statistics (for tables unique on that column).
         """
         if partition_by:
             df = df.hint("rebalance", *partition_by)
+        if cluster_by:
+            df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
         w = df.write.mode(mode).format(self.fmt).option("path", self.path(layer, name))
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -35,6 +35,15 @@ def test_full_run_and_rebuild_one_model(spark, tmpdir_path):
     assert counts["fct_ad_performance"] == counts["stg_ad_spend"]
     tests = spark.table(tables["test_results"]).collect()
     assert len(tests) == 27 + 5 + 34 + 4  # source tests, freshness, mart tests, asset checks
+    from lakeops.plans import context
+
+    docs = spark.table(tables["client_context"])
+    assert docs.count() == counts["dim_clients"]
+    some_id = docs.select("client_id").first().client_id
+    one = context.lookup(docs, some_id)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert f"EqualTo(client_id,{some_id})" in plan
+    assert one.count() == 1 and context.lookup(docs, -12345).count() == 0
     lake = Lake(spark, root)
     again = pipeline.build(lake, ["fct_leads"], date(2024, 2, 10), datetime(2024, 2, 10))
     assert spark.table(again[0]).count() == counts["fct_leads"]
