@@ -88,3 +88,40 @@ def test_jdbc_scan_is_split_into_key_ranges():
     }
     whole = read_jdbc(_StubSession(), "jdbc:postgresql://db/app", "clients")
     assert "partitionColumn" not in whole.options
+
+
+def test_raw_tables_from_files_are_stamped(spark, tmpdir_path):
+    from datetime import datetime
+
+    from lakeops.plans import silver
+    from lakeops.sources.raw import raw_from_sources
+
+    seo = os.path.join(tmpdir_path, "seo.json")
+    with open(seo, "w") as f:
+        json.dump([{"client_id": 1, "keyword": "legal near me", "position": 42, "snapshot_date": "2023-01-02"}], f)
+    ads = os.path.join(tmpdir_path, "ads.csv")
+    with open(ads, "w") as f:
+        f.write("client_id,channel,date,spend,impressions,clicks\n1,google,2023-01-01,187.43,20952,391\n")
+    run_ts = datetime(2024, 2, 10)
+    raw = raw_from_sources(spark, run_ts, seo_json=seo, ad_spend_csv=ads)
+    assert set(raw) == {"raw_seo_rankings", "raw_ad_spend"}
+    assert raw["raw_ad_spend"].first()._dlt_load_time == run_ts
+    r = silver.stg_ad_spend(raw["raw_ad_spend"], run_ts).first()
+    assert (r.client_id, str(r.spend), r.clicks) == (1, "187.43", 391)
+    assert silver.stg_seo_rankings(raw["raw_seo_rankings"], run_ts).first().position == 42
+
+
+def test_cli_context_lookup(spark, tmpdir_path, capsys):
+    from lakeops import cli
+
+    root = f"{tmpdir_path}/lake"
+    spark.createDataFrame(
+        [(7, "Seven", "legal", "pro", 3, 2, 1, 0.5, 1, [("kw", 2)], 10.0, None, "2024-02-10T00:00:00+00:00")],
+        "client_id int, client_name string, industry string, plan_tier string, days_active bigint, total_leads bigint, "
+        "converted_leads bigint, lead_conversion_rate double, total_appointments bigint, "
+        "top_keywords array<struct<keyword:string,position:int>>, monthly_spend_usd double, avg_cpl double, last_updated string",
+    ).write.parquet(f"{root}/gold/client_context")
+    assert cli.main(["context", "--root", root, "--client-id", "7"]) == 0
+    doc = json.loads(capsys.readouterr().out)
+    assert doc["client_name"] == "Seven" and doc["avg_cpl"] is None and doc["top_keywords"] == [{"keyword": "kw", "position": 2}]
+    assert cli.main(["context", "--root", root, "--client-id", "8"]) == 2
