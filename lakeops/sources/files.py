@@ -44,13 +44,18 @@ def _load(reader, path: str, fmt: str, what: str) -> DataFrame:
         raise
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType = SEO_RANKINGS_SCHEMA) -> DataFrame:
-    """Rows of files that each hold one JSON array of objects.
+def read_json_array(
+    spark: SparkSession, path: str, schema: T.StructType = SEO_RANKINGS_SCHEMA, json_lines: bool = False
+) -> DataFrame:
+    """Rows of files that each hold one JSON array of objects (``path`` may be a folder or glob).
 
-    A multi-line JSON file cannot be split, so each file is one task; land
-    many files (or JSON Lines, read with ``multiLine=False``) at scale.
+    A file holding one JSON array cannot be split, so each file is one task:
+    at scale, land many files, or land JSON Lines (one object per line) and
+    pass ``json_lines=True``, which Spark splits into many tasks per file.
     """
-    reader = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    if not json_lines:
+        reader = reader.option("multiLine", True)
     return _load(reader, path, "json", "JSON input")
 
 

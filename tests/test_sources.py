@@ -38,6 +38,20 @@ def test_json_array_file(spark, tmpdir_path):
     assert got == [(1, "legal near me", 42), (2, "dentist", 3)]
 
 
+def test_json_lines_form_is_split(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "seo.jsonl")
+    with open(path, "w") as f:
+        for i in range(2000):
+            f.write(json.dumps({"client_id": i % 7, "keyword": f"kw {i}", "position": i % 100 + 1, "snapshot_date": "2023-01-02"}) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = read_json_array(spark, path, json_lines=True)
+        assert df.rdd.getNumPartitions() > 1
+        assert df.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_bronze_replace_and_named_read(spark, tmpdir_path):
     lake = Lake(spark, f"{tmpdir_path}/lake")
     df = spark.createDataFrame([(1, "google", "2024-01-01", 1.0, 1, 1)], AD_SPEND_SCHEMA)
