@@ -24,3 +24,16 @@ def surrogate_key(*cols: str | Column) -> Column:
         for c in cols
     ]
     return F.md5(F.concat_ws(SEPARATOR, *parts))
+
+
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def surrogate_key_sql(*cols: str) -> str:
+    """``surrogate_key`` as SQL expression text, for ``selectExpr`` projections."""
+    if not cols:
+        raise ValueError("surrogate_key needs at least one column")
+    parts = ", ".join(f"coalesce(CAST({quote(c)} AS STRING), '{NULL_PLACEHOLDER}')" for c in cols)
+    return f"md5(concat_ws('{SEPARATOR}', {parts}))"

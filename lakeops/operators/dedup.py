@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.functions.keys import quote
+
 
 def _desc(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).desc_nulls_last()
@@ -33,5 +35,13 @@ def latest_by(
     if not keys:
         raise ValueError("latest_by needs at least one key column")
     rn = "__lakeops_rn"
-    w = Window.partitionBy(*keys).orderBy(_desc(order_col), *[_desc(c) for c in tiebreak])
-    return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
+    order = [order_col, *tiebreak]
+    if all(isinstance(c, str) for c in order):
+        # Same window as SQL text: one parse instead of a Column object per part.
+        part = ", ".join(quote(k) for k in keys)
+        by = ", ".join(f"{quote(c)} DESC NULLS LAST" for c in order)
+        ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {part} ORDER BY {by}) AS {rn}")
+    else:
+        w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in order])
+        ranked = df.withColumn(rn, F.row_number().over(w))
+    return ranked.where(f"{rn} = 1").drop(rn)

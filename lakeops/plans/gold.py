@@ -11,12 +11,25 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions.measures import date_literal, days_between, flag, safe_ratio, ts_literal, zero_fill
+from lakeops.functions.measures import days_between_sql, flag_sql, safe_ratio_sql, zero_fill_sql
 from lakeops.operators.aggregates import counts_by
 from lakeops.operators.joins import enrich, exists_flag
 
 CLIENT_ATTRS = ("industry", "plan_tier")
 
+# Projections are SQL expression text built by the ``*_sql`` helpers of
+# ``lakeops.functions`` (the same expressions as their Column forms).
+IS_CONVERTED = flag_sql("lead_status = 'converted'")
+IS_COMPLETED = flag_sql("appointment_status = 'completed'")
+
+
+def _day(value: date | str) -> date:
+    return date.fromisoformat(value) if isinstance(value, str) else value
+
+
+def _instant(value: datetime | str) -> datetime:
+    return datetime.fromisoformat(value) if isinstance(value, str) else value
+
 
 def lead_counts(leads: DataFrame) -> DataFrame:
     """Total and converted leads per client (C1 + C2)."""
@@ -41,8 +54,7 @@ def daily_lead_counts(leads: DataFrame) -> DataFrame:
 
 def dim_clients(clients: DataFrame, leads: DataFrame, appointments: DataFrame, as_of: date | str) -> DataFrame:
     j = clients.join(lead_counts(leads), "client_id", "left").join(appointment_counts(appointments), "client_id", "left")
-    total = zero_fill("total_leads")
-    return j.select(
+    return j.selectExpr(
         "client_key",
         "client_id",
         "client_name",
@@ -51,11 +63,12 @@ def dim_clients(clients: DataFrame, leads: DataFrame, appointments: DataFrame, a
         "onboard_date",
         "city",
         "state",
-        days_between("onboard_date", date_literal(as_of)).alias("days_active"),
-        total.alias("total_leads"),
-        zero_fill("converted_leads").alias("converted_leads"),
-        zero_fill("total_appointments").alias("total_appointments"),
-        safe_ratio("converted_leads", total, 4).alias("lead_conversion_rate"),
+        f"{days_between_sql('onboard_date', _day(as_of))} AS days_active",
+        f"{zero_fill_sql('total_leads')} AS total_leads",
+        f"{zero_fill_sql('converted_leads')} AS converted_leads",
+        f"{zero_fill_sql('total_appointments')} AS total_appointments",
+        # NULL (no leads) and 0 both give NULL, as "coalesce(total, 0) = 0" does
+        f"{safe_ratio_sql('converted_leads', 'total_leads', 4)} AS lead_conversion_rate",
         "_loaded_at",
     )
 
@@ -63,7 +76,7 @@ def dim_clients(clients: DataFrame, leads: DataFrame, appointments: DataFrame, a
 def fct_leads(leads: DataFrame, clients: DataFrame, appointments: DataFrame, run_ts: datetime | str) -> DataFrame:
     j = enrich(leads, clients, "client_id", CLIENT_ATTRS)
     j = exists_flag(j, appointments, "lead_id", "has_appointment")
-    return j.select(
+    return j.selectExpr(
         "lead_key",
         "lead_id",
         "client_id",
@@ -73,9 +86,9 @@ def fct_leads(leads: DataFrame, clients: DataFrame, appointments: DataFrame, run
         "lead_status",
         "lead_value",
         "created_at",
-        flag(F.col("lead_status") == F.lit("converted")).alias("is_converted"),
+        f"{IS_CONVERTED} AS is_converted",
         "has_appointment",
-        days_between("created_at", ts_literal(run_ts)).alias("age_days"),
+        f"{days_between_sql('created_at', _instant(run_ts))} AS age_days",
         "_loaded_at",
     )
 
@@ -86,8 +99,7 @@ def fct_ad_performance(ad_spend: DataFrame, clients: DataFrame, leads: DataFrame
     over channels)."""
     daily = daily_lead_counts(leads).withColumnRenamed("lead_date", "spend_date")
     j = enrich(ad_spend, clients, "client_id", CLIENT_ATTRS).join(daily, ["client_id", "spend_date"], "left")
-    leads_that_day = zero_fill("daily_leads")
-    return j.select(
+    return j.selectExpr(
         "ad_spend_key",
         "client_id",
         "industry",
@@ -97,21 +109,19 @@ def fct_ad_performance(ad_spend: DataFrame, clients: DataFrame, leads: DataFrame
         "spend",
         "impressions",
         "clicks",
-        safe_ratio("clicks", "impressions", 4).alias("ctr"),
-        safe_ratio("spend", "clicks", 2).alias("cpc"),
-        leads_that_day.alias("daily_leads"),
-        safe_ratio("spend", leads_that_day, 2).alias("cpl"),
+        f"{safe_ratio_sql('clicks', 'impressions', 4)} AS ctr",
+        f"{safe_ratio_sql('spend', 'clicks', 2)} AS cpc",
+        f"{zero_fill_sql('daily_leads')} AS daily_leads",
+        f"{safe_ratio_sql('spend', 'daily_leads', 2)} AS cpl",
         "_loaded_at",
     )
 
 
 def fct_appointments(appointments: DataFrame, leads: DataFrame, clients: DataFrame) -> DataFrame:
-    lead_cols = leads.select(
-        "lead_id", "lead_source", "lead_value", F.col("created_at").alias("lead_created_at")
-    )
+    lead_cols = leads.selectExpr("lead_id", "lead_source", "lead_value", "created_at AS lead_created_at")
     j = appointments.join(lead_cols, "lead_id", "left")
     j = enrich(j, clients, "client_id", CLIENT_ATTRS)
-    return j.select(
+    return j.selectExpr(
         "appointment_key",
         "appointment_id",
         "client_id",
@@ -123,7 +133,7 @@ def fct_appointments(appointments: DataFrame, leads: DataFrame, clients: DataFra
         "appointment_status",
         "scheduled_at",
         "lead_created_at",
-        days_between("lead_created_at", "scheduled_at").alias("days_to_appointment"),
-        flag(F.col("appointment_status") == F.lit("completed")).alias("is_completed"),
+        f"{days_between_sql('lead_created_at', 'scheduled_at')} AS days_to_appointment",
+        f"{IS_COMPLETED} AS is_completed",
         "_loaded_at",
     )

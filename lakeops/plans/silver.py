@@ -9,12 +9,14 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lakeops.functions.keys import surrogate_key
-from lakeops.functions.measures import ts_literal
+from lakeops.functions.keys import surrogate_key_sql
+from lakeops.functions.measures import ts_sql
 from lakeops.operators.dedup import latest_by
 
+# The projections are SQL expression text (one parse per model); the keys use
+# ``surrogate_key_sql``, the text form of ``functions.surrogate_key``.
+
 # Tie-breaks after the load time. The reference leaves equal load times to
 # chance; a total order makes every run return the same rows.
 CLIENT_TIEBREAK = ("name", "industry", "plan_tier", "onboard_date", "city", "state")
@@ -25,56 +27,56 @@ AD_SPEND_TIEBREAK = ("spend", "impressions", "clicks")
 
 def stg_clients(raw: DataFrame) -> DataFrame:
     latest = latest_by(raw, ["id"], "_loaded_at", CLIENT_TIEBREAK)
-    return latest.select(
-        surrogate_key("id").alias("client_key"),
-        F.col("id").cast("int").alias("client_id"),
-        F.col("name").alias("client_name"),
-        F.lower("industry").alias("industry"),
-        F.lower("plan_tier").alias("plan_tier"),
-        F.col("onboard_date").cast("date").alias("onboard_date"),
-        F.col("city"),
-        F.col("state"),
-        F.col("_loaded_at").cast("timestamp_ntz").alias("_loaded_at"),
+    return latest.selectExpr(
+        f"{surrogate_key_sql('id')} AS client_key",
+        "CAST(id AS INT) AS client_id",
+        "name AS client_name",
+        "lower(industry) AS industry",
+        "lower(plan_tier) AS plan_tier",
+        "CAST(onboard_date AS DATE) AS onboard_date",
+        "city",
+        "state",
+        "CAST(_loaded_at AS TIMESTAMP_NTZ) AS _loaded_at",
     )
 
 
 def stg_leads(raw: DataFrame) -> DataFrame:
     latest = latest_by(raw, ["id"], "_loaded_at", LEAD_TIEBREAK)
-    return latest.select(
-        surrogate_key("id").alias("lead_key"),
-        F.col("id").cast("int").alias("lead_id"),
-        F.col("client_id").cast("int").alias("client_id"),
-        F.lower("source").alias("lead_source"),
-        F.lower("status").alias("lead_status"),
-        F.col("value").cast("decimal(10,2)").alias("lead_value"),
-        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
-        F.col("_loaded_at").cast("timestamp_ntz").alias("_loaded_at"),
+    return latest.selectExpr(
+        f"{surrogate_key_sql('id')} AS lead_key",
+        "CAST(id AS INT) AS lead_id",
+        "CAST(client_id AS INT) AS client_id",
+        "lower(source) AS lead_source",
+        "lower(status) AS lead_status",
+        "CAST(value AS DECIMAL(10, 2)) AS lead_value",
+        "CAST(created_at AS TIMESTAMP_NTZ) AS created_at",
+        "CAST(_loaded_at AS TIMESTAMP_NTZ) AS _loaded_at",
     )
 
 
 def stg_appointments(raw: DataFrame) -> DataFrame:
     latest = latest_by(raw, ["id"], "_loaded_at", APPOINTMENT_TIEBREAK)
-    return latest.select(
-        surrogate_key("id").alias("appointment_key"),
-        F.col("id").cast("int").alias("appointment_id"),
-        F.col("lead_id").cast("int").alias("lead_id"),
-        F.col("client_id").cast("int").alias("client_id"),
-        F.col("scheduled_at").cast("timestamp_ntz").alias("scheduled_at"),
-        F.lower("status").alias("appointment_status"),
-        F.col("notes"),
-        F.col("_loaded_at").cast("timestamp_ntz").alias("_loaded_at"),
+    return latest.selectExpr(
+        f"{surrogate_key_sql('id')} AS appointment_key",
+        "CAST(id AS INT) AS appointment_id",
+        "CAST(lead_id AS INT) AS lead_id",
+        "CAST(client_id AS INT) AS client_id",
+        "CAST(scheduled_at AS TIMESTAMP_NTZ) AS scheduled_at",
+        "lower(status) AS appointment_status",
+        "notes",
+        "CAST(_loaded_at AS TIMESTAMP_NTZ) AS _loaded_at",
     )
 
 
 def stg_seo_rankings(raw: DataFrame, run_ts: datetime | str) -> DataFrame:
     """No dedup by design: the source's composite key is declared unique."""
-    return raw.select(
-        surrogate_key("client_id", "keyword", "snapshot_date").alias("seo_key"),
-        F.col("client_id").cast("int").alias("client_id"),
-        F.col("keyword"),
-        F.col("position").cast("int").alias("position"),
-        F.col("snapshot_date").cast("date").alias("snapshot_date"),
-        ts_literal(run_ts).alias("_loaded_at"),
+    return raw.selectExpr(
+        f"{surrogate_key_sql('client_id', 'keyword', 'snapshot_date')} AS seo_key",
+        "CAST(client_id AS INT) AS client_id",
+        "keyword",
+        "CAST(position AS INT) AS position",
+        "CAST(snapshot_date AS DATE) AS snapshot_date",
+        f"{ts_sql(run_ts)} AS _loaded_at",
     )
 
 
@@ -85,13 +87,13 @@ def stg_ad_spend(raw: DataFrame, run_ts: datetime | str) -> DataFrame:
     typing happen after both.
     """
     latest = latest_by(raw, ["client_id", "channel", "date"], "_dlt_load_time", AD_SPEND_TIEBREAK)
-    return latest.select(
-        surrogate_key("client_id", "channel", "date").alias("ad_spend_key"),
-        F.col("client_id").cast("int").alias("client_id"),
-        F.lower("channel").alias("channel"),
-        F.col("date").cast("date").alias("spend_date"),
-        F.col("spend").cast("decimal(10,2)").alias("spend"),
-        F.col("impressions").cast("int").alias("impressions"),
-        F.col("clicks").cast("int").alias("clicks"),
-        ts_literal(run_ts).alias("_loaded_at"),
+    return latest.selectExpr(
+        f"{surrogate_key_sql('client_id', 'channel', 'date')} AS ad_spend_key",
+        "CAST(client_id AS INT) AS client_id",
+        "lower(channel) AS channel",
+        "CAST(date AS DATE) AS spend_date",
+        "CAST(spend AS DECIMAL(10, 2)) AS spend",
+        "CAST(impressions AS INT) AS impressions",
+        "CAST(clicks AS INT) AS clicks",
+        f"{ts_sql(run_ts)} AS _loaded_at",
     )
