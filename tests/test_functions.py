@@ -55,3 +55,22 @@ def test_zero_fill_keeps_bigint(spark):
     out = df.select(zero_fill("c").alias("z"))
     assert out.schema["z"].dataType.simpleString() == "bigint"
     assert [r.z for r in out.collect()] == [0, 3]
+
+
+def test_sql_forms_equal_column_forms(spark):
+    from lakeops.functions import days_between_sql, safe_ratio_sql, surrogate_key_sql, zero_fill_sql
+
+    df = spark.createDataFrame(
+        [(1, "g", 10, 3, None, datetime(2024, 1, 1, 23, 0), datetime(2024, 1, 2, 1, 0)),
+         (None, None, 5, 0, 4, datetime(2024, 1, 3), datetime(2024, 1, 1))],
+        "a long, b string, n int, d int, c bigint, s timestamp_ntz, e timestamp_ntz",
+    )
+    cols = df.select(
+        surrogate_key("a", "b").alias("k"), safe_ratio(F.col("n"), F.col("d"), 2).alias("r"),
+        zero_fill(F.col("c")).alias("z"), days_between(F.col("s"), F.col("e")).alias("dd"),
+    ).collect()
+    text = df.selectExpr(
+        f"{surrogate_key_sql('a', 'b')} AS k", f"{safe_ratio_sql('n', 'd', 2)} AS r",
+        f"{zero_fill_sql('c')} AS z", f"{days_between_sql('s', 'e')} AS dd",
+    ).collect()
+    assert cols == text
