@@ -81,3 +81,15 @@ def test_stg_seo_has_no_dedup(spark):
         "client_id long, keyword string, position int, snapshot_date string, _dlt_load_time timestamp_ntz",
     )
     assert silver.stg_seo_rankings(raw, T2).count() == 2
+
+
+def test_latest_by_column_arguments_match_names(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(
+        [(1, "a", T1), (1, "b", T2), (2, "c", None), (2, "d", T1), (3, "e", T1), (3, "f", T1)],
+        "id int, v string, ts timestamp_ntz",
+    )
+    by_name = sorted(latest_by(df, ["id"], "ts", ["v"]).collect())
+    by_column = sorted(latest_by(df, ["id"], F.col("ts"), [F.col("v")]).collect())
+    assert by_name == by_column and [r.v for r in by_name] == ["b", "d", "f"]
