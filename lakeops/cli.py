@@ -20,10 +20,15 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
+    """The launcher's session; the web UI stays off unless the launcher turns it on."""
+    from pyspark import SparkConf
+
     from lakeops.session import configure
 
-    spark = SparkSession.builder.appName("lakeops").getOrCreate()
-    return configure(spark)
+    builder = SparkSession.builder.appName("lakeops")
+    if not SparkConf().contains("spark.ui.enabled"):
+        builder = builder.config("spark.ui.enabled", "false")
+    return configure(builder.getOrCreate())
 
 
 def _clock(args) -> tuple[date, datetime]:
