@@ -171,24 +171,18 @@ def _type(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
 
-def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate ``checks`` on ``df`` in one scan; one result row per check.
+def _evaluate(df: DataFrame, table: str, checks: Sequence[Check], serve_keys: Sequence[str] = ()) -> "_Evaluated":
+    """The single-scan evaluation behind ``run_checks`` (see there).
 
-    Each input row is expanded into one row per key group: group 0 carries the
-    per-row flags of the count checks (NULL, outside a set or a range, the
-    loaded-at value), group ``i`` the key of the i-th ``unique`` or
-    ``relationship`` check. One aggregate over ``(group, key)`` then gives row
-    counts per key (partial aggregation first: group 0, a single key, becomes
-    one row per task) and a global aggregate folds everything into the result
-    row. Relationship checks join the per-key counts of their group with the
-    parent's distinct keys; they reuse the same aggregate exchange.
+    ``serve_keys`` are columns whose distinct values other tables' relationship
+    checks need; they become extra key groups of the same scan.
     """
-    if not checks:
-        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     present = set(df.columns)
     keyed = [(i, c) for i, c in enumerate(checks) if c.kind in ("unique", "relationship")]
     slot = {i: g for g, (i, _) in enumerate(keyed, start=1)}
     key_cols = {g: (_ident(c.column), _type(df, c.column)) for g, (_, c) in enumerate(keyed, start=1)}
+    served = {col: len(keyed) + n for n, col in enumerate(dict.fromkeys(serve_keys), start=1)}
+    key_cols.update({g: (_ident(col), _type(df, col)) for col, g in served.items()})
 
     flags: dict[str, tuple[str, str]] = {}  # name -> (row expression, type)
     finals = ["coalesce(sum(CASE WHEN __w = 0 THEN __c END), 0) AS __n"]
@@ -263,27 +257,55 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
             parts.append(f"'{name}', CAST({expr if g == 0 else 'NULL'} AS {typ})")
         return f"named_struct({', '.join(parts)})"
 
-    expanded = df.selectExpr(f"inline(array({', '.join(element(g) for g in range(len(keyed) + 1))}))")
+    expanded = df.selectExpr(f"inline(array({', '.join(element(g) for g in range(len(key_cols) + 1))}))")
     group_cols = ["__w", *[f"__k{h}" for h in key_cols]]
     aggs = ["count(1) AS __c", *[f"sum({n}) AS {n}" if t == "int" else f"max({n}) AS {n}" for n, (_, t) in flags.items()]]
     grouped = expanded.groupBy(*group_cols).agg(*[F.expr(a) for a in aggs])
-    parts = [_rows(grouped.selectExpr(*finals), rows)] if rows else []
-    for i, c in keyed:
-        if c.kind == "relationship":
-            g = slot[i]
-            child = grouped.where(f"__w = {g} AND __k{g} IS NOT NULL").selectExpr(f"__k{g} AS __k", "__c")
-            parts.append(_relationship_rows(child, table, c))
+
+    def keys_of(g: int) -> DataFrame:
+        return grouped.where(f"__w = {g} AND __k{g} IS NOT NULL").selectExpr(f"__k{g} AS __k", "__c")
+
+    return _Evaluated(
+        table=table,
+        counted=_rows(grouped.selectExpr(*finals), rows) if rows else None,
+        children=[(c, keys_of(slot[i])) for i, c in keyed if c.kind == "relationship"],
+        served={col: keys_of(g).select("__k") for col, g in served.items()},
+    )
+
+
+@dataclass
+class _Evaluated:
+    table: str
+    counted: DataFrame | None
+    children: list  # (relationship check, child keys with row counts)
+    served: dict  # column -> distinct non-NULL values, for checks that use this table as parent
+
+
+def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """Evaluate ``checks`` on ``df`` in one scan; one result row per check.
+
+    Each input row is expanded into one row per key group: group 0 carries the
+    per-row flags of the count checks (NULL, outside a set or a range, the
+    loaded-at value), group ``i`` the key of the i-th ``unique`` or
+    ``relationship`` check. One aggregate over ``(group, key)`` then gives row
+    counts per key (partial aggregation first: group 0, a single key, becomes
+    one row per task) and a global aggregate folds everything into the result
+    row. Relationship checks join the per-key counts of their group with the
+    parent's distinct keys.
+    """
+    if not checks:
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    ev = _evaluate(df, table, checks)
+    parts = [ev.counted] if ev.counted is not None else []
+    parts += [_relationship_rows(child, table, c) for c, child in ev.children]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _relationship_rows(child: DataFrame, table: str, c: Check) -> DataFrame:
+def _relationship_rows(child: DataFrame, table: str, c: Check, parent_keys: DataFrame | None = None) -> DataFrame:
     # Child keys arrive counted per key, so a hot key is one row in the join.
-    parent = (
-        c.parent.selectExpr(f"{_ident(c.parent_col)} AS __k")
-        .where("__k IS NOT NULL")
-        .distinct()
-        .selectExpr("__k", "true AS __hit")
-    )
+    if parent_keys is None:
+        parent_keys = c.parent.selectExpr(f"{_ident(c.parent_col)} AS __k").where("__k IS NOT NULL").distinct()
+    parent = parent_keys.selectExpr("__k", "true AS __hit")
     totals = child.join(parent, "__k", "left").selectExpr(
         "coalesce(sum(__c), 0) AS __obs", "coalesce(sum(CASE WHEN __hit IS NULL THEN __c END), 0) AS __orph"
     )
@@ -292,8 +314,30 @@ def _relationship_rows(child: DataFrame, table: str, c: Check) -> DataFrame:
 
 
 def run_many(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]]) -> DataFrame:
-    """``run_checks`` for several tables, as one result DataFrame."""
-    parts = [run_checks(tables[t], t, cs) for t, cs in checks.items() if cs]
+    """``run_checks`` for several tables, as one result DataFrame.
+
+    When a relationship's parent is itself a checked table of this run, the
+    parent's keys come from that table's own scan instead of a second
+    computation of the parent.
+    """
+    checked = [t for t, cs in checks.items() if cs]
+    serve: dict[str, list[str]] = {}
+    for t in checked:
+        for c in checks[t]:
+            if c.kind == "relationship":
+                owner = next((p for p in checked if tables[p] is c.parent), None)
+                if owner is not None:
+                    serve.setdefault(owner, []).append(c.parent_col)
+    done = {t: _evaluate(tables[t], t, checks[t], serve.get(t, ())) for t in checked}
+    parts: list[DataFrame] = []
+    for t in checked:
+        ev = done[t]
+        if ev.counted is not None:
+            parts.append(ev.counted)
+        for c, child in ev.children:
+            owner = next((p for p in checked if tables[p] is c.parent), None)
+            keys = done[owner].served.get(c.parent_col) if owner is not None else None
+            parts.append(_relationship_rows(child, t, c, keys))
     return reduce(DataFrame.unionByName, parts)
 
 
