@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.functions.measures import date_literal, round_half_away
+from lakeops.functions.measures import round_half_away_sql
 from lakeops.operators.ranking import top_k
 
 METRIC_COLUMNS = (
@@ -62,11 +62,11 @@ def trailing_spend(perf: DataFrame, as_of: date | str, days: int = 30, client_id
 
     ``avg`` skips NULL ``cpl``; a client whose rows all lack it gets NULL.
     """
-    since = F.date_sub(date_literal(as_of), days)
-    window = _only(perf, client_id).where(F.col("spend_date") >= since)
+    day = date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    window = _only(perf, client_id).where(f"spend_date >= date_sub(DATE '{day.isoformat()}', {int(days)})")
     return window.groupBy("client_id").agg(
-        F.sum("spend").cast("double").alias("monthly_spend_usd"),
-        round_half_away(F.avg("cpl"), AVG_PLACES).alias("avg_cpl"),
+        F.expr("CAST(sum(spend) AS DOUBLE) AS monthly_spend_usd"),
+        F.expr(f"{round_half_away_sql('avg(cpl)', AVG_PLACES)} AS avg_cpl"),
     )
 
 
@@ -74,10 +74,10 @@ def keyword_lists(seo: DataFrame, k: int = 5, client_id: int | None = None) -> D
     """D5: ``[{keyword, position}, ...]`` per client in rank order (at most ``k`` items)."""
     ranked = top_keywords(seo, k, client_id)
     return ranked.groupBy("client_id").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("rank", "keyword", "position"))),
-            lambda x: F.struct(x["keyword"].alias("keyword"), x["position"].alias("position")),
-        ).alias("top_keywords")
+        F.expr(
+            "transform(sort_array(collect_list(struct(rank, keyword, position))), "
+            "x -> named_struct('keyword', x.keyword, 'position', x.position)) AS top_keywords"
+        )
     )
 
 
@@ -106,12 +106,12 @@ def snapshot(
     kw = keyword_lists(seo, k, client_id)
     spend = trailing_spend(perf, as_of, days, client_id)
     doc = metrics.join(kw, "client_id", "left").join(spend, "client_id", "left")
-    return doc.select(
+    return doc.selectExpr(
         *METRIC_COLUMNS,
-        F.coalesce(F.col("top_keywords"), F.array().cast(KEYWORD_TYPE)).alias("top_keywords"),
-        F.coalesce(F.col("monthly_spend_usd"), F.lit(0.0)).alias("monthly_spend_usd"),
-        F.col("avg_cpl"),
-        F.lit(iso_timestamp(run_ts)).alias("last_updated"),
+        f"coalesce(top_keywords, CAST(array() AS {KEYWORD_TYPE.simpleString()})) AS top_keywords",
+        "coalesce(monthly_spend_usd, CAST(0 AS DOUBLE)) AS monthly_spend_usd",
+        "avg_cpl",
+        f"'{iso_timestamp(run_ts)}' AS last_updated",
     )
 
 
