@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.functions.keys import quote
+
 
 def enrich(fact: DataFrame, dim: DataFrame, keys: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Left-join dimension attributes onto a fact; orphan facts keep NULLs.
@@ -32,12 +34,13 @@ def exists_flag(df: DataFrame, other: DataFrame, key: str, name: str, other_key:
     """
     ok = other_key or key
     marker = "__lakeops_hit"
-    hits = other.select(F.col(ok).alias(key)).where(F.col(key).isNotNull()).distinct().withColumn(marker, F.lit(True))
-    return (
-        df.join(hits, on=key, how="left")
-        .withColumn(name, F.when(F.col(marker).isNotNull(), F.lit(True)).otherwise(F.lit(False)))
-        .drop(marker)
+    hits = (
+        other.selectExpr(f"{quote(ok)} AS {quote(key)}")
+        .where(f"{quote(key)} IS NOT NULL")
+        .distinct()
+        .selectExpr(quote(key), f"true AS {marker}")
     )
+    return df.join(hits, on=key, how="left").withColumn(name, F.expr(f"{marker} IS NOT NULL")).drop(marker)
 
 
 def orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakeops.functions.measures import days_between_sql, flag_sql, safe_ratio_sql, zero_fill_sql
 from lakeops.operators.aggregates import counts_by
@@ -37,7 +36,7 @@ def lead_counts(leads: DataFrame) -> DataFrame:
         leads,
         ["client_id"],
         "total_leads",
-        where={"converted_leads": F.col("lead_status") == F.lit("converted")},
+        where={"converted_leads": "lead_status = 'converted'"},
     )
 
 
@@ -47,9 +46,8 @@ def appointment_counts(appointments: DataFrame) -> DataFrame:
 
 def daily_lead_counts(leads: DataFrame) -> DataFrame:
     """Leads per client and calendar day of creation (C3)."""
-    return counts_by(
-        leads, [F.col("client_id"), F.col("created_at").cast("date").alias("lead_date")], "daily_leads"
-    )
+    days = leads.selectExpr("client_id", "CAST(created_at AS DATE) AS lead_date")
+    return counts_by(days, ["client_id", "lead_date"], "daily_leads")
 
 
 def dim_clients(clients: DataFrame, leads: DataFrame, appointments: DataFrame, as_of: date | str) -> DataFrame:
