@@ -181,8 +181,15 @@ def _evaluate(df: DataFrame, table: str, checks: Sequence[Check], serve_keys: Se
     keyed = [(i, c) for i, c in enumerate(checks) if c.kind in ("unique", "relationship")]
     slot = {i: g for g, (i, _) in enumerate(keyed, start=1)}
     key_cols = {g: (_ident(c.column), _type(df, c.column)) for g, (_, c) in enumerate(keyed, start=1)}
-    served = {col: len(keyed) + n for n, col in enumerate(dict.fromkeys(serve_keys), start=1)}
-    key_cols.update({g: (_ident(col), _type(df, col)) for col, g in served.items()})
+    # A served column that already has a key group (unique/relationship on it) reuses that group.
+    by_column = {c.column: slot[i] for i, c in keyed}
+    served: dict[str, int] = {}
+    for col in dict.fromkeys(serve_keys):
+        if col in by_column:
+            served[col] = by_column[col]
+        else:
+            served[col] = len(key_cols) + 1
+            key_cols[served[col]] = (_ident(col), _type(df, col))
 
     flags: dict[str, tuple[str, str]] = {}  # name -> (row expression, type)
     finals = ["coalesce(sum(CASE WHEN __w = 0 THEN __c END), 0) AS __n"]
