@@ -51,7 +51,8 @@ GRAM = 20
 SPAN = LEAST - GRAM + 1  # 20-byte strings in a window
 BLOCK_BYTES = 4 << 20
 PIECE = 1 << 20
-PART_POINTS = 1 << 21  # points that one task compares
+BLOCKS_A_TASK = 3
+PART_POINTS = 1 << 20  # points that one task compares
 PART_BYTES = 4 << 20  # bytes of segments that one task sorts
 _UPPER = np.uint64(0xFFFFFFFF00000000)
 _LOWER = np.uint64(0xFFFFFFFF)
@@ -198,6 +199,11 @@ def _pack(docs: DataFrame, text: str) -> DataFrame:
     return written(docs.mapInArrow(run, "block long, uri string, bytes long"), "manifest")
 
 
+def _spread(blocks: DataFrame) -> DataFrame:
+    """Block rows over many tasks: the rows are small, the work on each is not."""
+    return blocks.repartition(max(1, -(-blocks.count() // BLOCKS_A_TASK)), "block")
+
+
 def _cuts(points: np.ndarray, parts: int) -> np.ndarray:
     """Where sorted points leave each of ``parts`` equal hash ranges."""
     edges = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
@@ -257,7 +263,7 @@ def _shared_points(manifest: DataFrame, doc_id: str, text: str, crowd: int) -> D
             at += n
         return pd.DataFrame(rows, columns=["block", "points", "hot"])
 
-    sent = manifest.repartition("block").mapInArrow(send, "part long, block long, points binary, several binary")
+    sent = _spread(manifest).mapInArrow(send, "part long, block long, points binary, several binary")
     return sent.groupBy("part").applyInPandas(compare, "block long, points binary, hot binary")
 
 
@@ -397,7 +403,8 @@ def _answers(docs: DataFrame, doc_id: str, text: str, crowd: int) -> DataFrame:
     size = points.agg(F.sum(F.length("points") + 8 * F.length("hot"))).first()[0] or 0
     parts = max(1, -(-size * 9 // PART_BYTES))  # a point has 8 bytes, its segment about 66
     mine = points.groupBy("block").agg(F.collect_list("points").alias("points"), F.collect_list("hot").alias("hot"))
-    bundles = _segment_bundles(mine.join(manifest, "block"), parts, doc_id, text)
+    marked = written(mine.join(manifest, "block"), "marked")
+    bundles = _segment_bundles(_spread(marked), parts, doc_id, text)
     resolved = bundles.groupBy("part").applyInPandas(
         resolve, "block long, number binary, first binary, earlier binary"
     )
@@ -408,7 +415,7 @@ def _answers(docs: DataFrame, doc_id: str, text: str, crowd: int) -> DataFrame:
         .selectExpr("block AS b", "a.number AS number", "a.first AS first", "a.earlier AS earlier")
     )
     joined = manifest.join(answers, F.col("block") == F.col("b"), "left")
-    return joined.select("block", "uri", "number", "first", "earlier")
+    return _spread(written(joined.select("block", "uri", "number", "first", "earlier"), "answers"))
 
 
 _KEPT = {
@@ -454,7 +461,7 @@ def remove_repeats(
 
     types = dict(docs.dtypes)
     added = f"n_bytes long, n_removed long, n_spans long, {kept} {kind}"
-    return answers.repartition("block").mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in carry), added]))
+    return answers.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in carry), added]))
 
 
 def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

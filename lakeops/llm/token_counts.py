@@ -33,6 +33,7 @@ from .bpe import tokenizer
 from .common import new_folder, slices, written
 
 BLOCK_BYTES = 4 << 20
+BLOCKS_A_TASK = 4
 
 
 def _opened(uri: str) -> tuple[fs.FileSystem, str]:
@@ -116,7 +117,10 @@ def count_tokens(files: DataFrame, separator: int, width: int = 2, block_bytes:
 
     last = F.floor((F.col("bytes") - 1) / F.lit(block_bytes)).cast("long")
     blocks = files.where("bytes > 0").select("file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"))
-    scanned = blocks.repartition("file", "block").mapInArrow(
+    blocks = written(blocks, "blocks")
+    # the rows are small, the work on each is not
+    spread = blocks.repartition(max(1, -(-blocks.count() // BLOCKS_A_TASK)), "file", "block")
+    scanned = spread.select("file", "bytes", "block").mapInArrow(
         run, "file string, block long, n_sep long, head long, tail long, inner array<long>"
     )
     order = Window.partitionBy("file").orderBy("block")
