@@ -50,7 +50,8 @@ LEAST = 50
 GRAM = 20
 SPAN = LEAST - GRAM + 1  # 20-byte strings in a window
 BLOCK_BYTES = 4 << 20
-PIECE = 1 << 20
+PIECE = 1 << 18
+WINDOWS = 1 << 17  # windows that are sorted at once, unless one point has more
 BLOCKS_A_TASK = 3
 PART_POINTS = 1 << 20  # points that one task compares
 PART_BYTES = 4 << 20  # bytes of segments that one task sorts
@@ -296,6 +297,12 @@ def _distinct_segments(held: Block, points: np.ndarray, hot: np.ndarray) -> tupl
     return start, many, number, texts, own, first
 
 
+_BUNDLE = pa.schema(
+    [("part", pa.int64()), ("block", pa.int64())]
+    + [(name, pa.binary()) for name in ("number", "point", "first", "size", "bytes")]
+)
+
+
 def _segment_bundles(marked: DataFrame, parts: int, doc_id: str, text: str) -> DataFrame:
     """Distinct hit segments of each block by part; their places stay beside the block's file."""
 
@@ -311,26 +318,33 @@ def _segment_bundles(marked: DataFrame, parts: int, doc_id: str, text: str) -> D
                 _save(row["uri"] + ".places", lambda out, p=places: out.write(small.compress(p)))
                 order = np.argsort(own)
                 cuts = _cuts(own[order], parts)
+                rows = []
                 for k in np.flatnonzero(np.diff(cuts)).tolist():
                     mine = order[cuts[k] : cuts[k + 1]]
                     chosen = [texts[i] for i in mine.tolist()]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([k], pa.int64()),
-                            pa.array([row["block"]], pa.int64()),
-                            pa.array([mine.astype(np.int32).tobytes()], pa.binary()),
-                            pa.array([own[mine].tobytes()], pa.binary()),
-                            pa.array([first[mine].tobytes()], pa.binary()),
-                            pa.array([np.fromiter(map(len, chosen), np.int32, len(chosen)).tobytes()], pa.binary()),
-                            pa.array([small.compress(b"".join(chosen))], pa.binary()),
-                        ],
-                        names=["part", "block", "number", "point", "first", "size", "bytes"],
-                    )
+                    sizes = np.fromiter(map(len, chosen), np.int32, len(chosen))
+                    arrays = (mine.astype(np.int32), own[mine], first[mine], sizes)
+                    packed = small.compress(b"".join(chosen))
+                    rows.append((k, row["block"], *(x.tobytes() for x in arrays), packed))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _BUNDLE.types, strict=True)], schema=_BUNDLE
+                )
 
     schema = "part long, block long, number binary, point binary, first binary, size binary, bytes binary"
     return marked.select("block", "uri", "points", "hot").mapInArrow(send, schema)
 
 
+def _earlier_bits(texts: list[bytes], many: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Of each segment, as bits, the windows that a document before its first one has."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = many + LEAST - 1
+    owner = np.repeat(np.arange(len(texts)), many)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+    start = np.repeat(np.cumsum(sizes) - sizes, many) + step
+    hits = earlier_matches(np.lib.stride_tricks.sliding_window_view(data, LEAST)[start], first[owner])
+    return np.bitwise_or.reduceat(np.where(hits, np.int64(1) << step, 0), np.cumsum(many) - many)
+
+
 def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
     """(block, number, first, earlier) bundles: of each segment its first document and, as bits, the
     windows that a still earlier document has."""
@@ -351,17 +365,13 @@ def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
     _, group, in_group = np.unique(point, return_inverse=True, return_counts=True)
     texts = list(numbers)
     mixed = np.flatnonzero(in_group[group] > 1)
-    if len(mixed):
-        data = np.frombuffer(b"".join([texts[i] for i in mixed.tolist()]), np.uint8)
-        sizes = np.fromiter((len(texts[i]) for i in mixed.tolist()), np.int64, len(mixed))
-        many = sizes - LEAST + 1
-        owner = np.repeat(np.arange(len(mixed)), many)
-        step = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-        start = np.repeat(np.cumsum(sizes) - sizes, many) + step
-        rows = np.lib.stride_tricks.sliding_window_view(data, LEAST)[start]
-        hits = earlier_matches(rows, first[mixed][owner])
-        bits = np.where(hits, np.int64(1) << step, 0)
-        earlier[mixed] = np.bitwise_or.reduceat(bits, np.cumsum(many) - many)
+    mixed = mixed[np.argsort(group[mixed], kind="stable")]
+    many = np.fromiter((len(texts[i]) - LEAST + 1 for i in mixed.tolist()), np.int64, len(mixed))
+    whole = np.flatnonzero(np.diff(group[mixed], append=-1))  # last segment of each point
+    bins = np.cumsum(many)[whole] // WINDOWS
+    for part in np.split(np.arange(len(mixed)), whole[:-1][np.diff(bins) > 0] + 1):
+        if len(part):
+            earlier[mixed[part]] = _earlier_bits([texts[i] for i in mixed[part].tolist()], many[part], first[mixed[part]])
     counts = [len(n) // 4 for n in pdf["number"]]
     rows, at = [], 0
     for block, number, n in zip(pdf["block"], pdf["number"], counts, strict=True):
@@ -373,7 +383,7 @@ def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _removed(held: Block, row: dict) -> np.ndarray:
     """Which bytes of a block go."""
-    edge = np.zeros(len(held.data) + 1, np.int64)
+    edge = np.zeros(len(held.data) + 1, np.int32)
     if row["number"]:
         system, place = _opened(row["uri"] + ".places")
         with system.open_input_stream(place) as source:
@@ -384,7 +394,7 @@ def _removed(held: Block, row: dict) -> np.ndarray:
         first, earlier = np.full(n, np.iinfo(np.int64).max), np.zeros(n, np.int64)
         first[answer] = np.frombuffer(b"".join(row["first"]), np.int64)
         earlier[answer] = np.frombuffer(b"".join(row["earlier"]), np.uint32)
-        document = np.repeat(np.arange(len(held.sizes)), held.sizes)
+        document = np.repeat(np.arange(len(held.sizes), dtype=np.int32), held.sizes)
         later = held.ids[document[start]] > first[number]
         np.add.at(edge, start[later], 1)
         np.add.at(edge, start[later] + many[later] + LEAST - 1, -1)
@@ -393,7 +403,7 @@ def _removed(held: Block, row: dict) -> np.ndarray:
             at = start[some[earlier[number[some]] >> k & 1 == 1]] + k
             np.add.at(edge, at, 1)
             np.add.at(edge, at + LEAST, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
 
 
 def _answers(docs: DataFrame, doc_id: str, text: str, crowd: int) -> DataFrame:
