@@ -30,7 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="lakeops-llm-")
     spark.sparkContext.setCheckpointDir(made)
