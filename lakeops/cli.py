@@ -53,7 +53,8 @@ def cmd_pipeline(args) -> int:
             props["user"] = args.jdbc_user
         if args.jdbc_password_env:
             props["password"] = os.environ[args.jdbc_password_env]
-        raw = raw_from_sources(spark, run_ts, args.jdbc_url, props, args.jdbc_parts, None, args.seo_json, args.ad_spend_csv)
+        raw = raw_from_sources(spark, run_ts, args.jdbc_url, props, args.jdbc_parts, None, args.seo_json,
+                               args.seo_json_lines, args.ad_spend_csv)
     cfg = pipeline.PipelineConfig(root=args.root, as_of=as_of, run_ts=run_ts, raw=raw, gate=args.gate)
     try:
         tables = pipeline.run_all(spark, cfg)
@@ -106,6 +107,7 @@ def main(argv=None) -> int:
     pl.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
     pl.add_argument("--jdbc-parts", type=int, default=1)
     pl.add_argument("--seo-json")
+    pl.add_argument("--seo-json-lines", action="store_true", help="the SEO file is JSON Lines")
     pl.add_argument("--ad-spend-csv")
     pl.add_argument("--gate", choices=("raise", "record"), default="raise")
     pl.add_argument("--as-of")

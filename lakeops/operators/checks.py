@@ -194,6 +194,7 @@ def _evaluate(df: DataFrame, table: str, checks: Sequence[Check], serve_keys: Se
     flags: dict[str, tuple[str, str]] = {}  # name -> (row expression, type)
     finals = ["coalesce(sum(CASE WHEN __w = 0 THEN __c END), 0) AS __n"]
     rows: list[str] = []
+    schema_rows: list[str] = []  # answered by the schema alone
     for i, c in enumerate(checks):
         col = _ident(c.column) if c.column else None
         s, m, obs, dup = f"__s{i}", f"__m{i}", f"__o{i}", f"__d{i}"
@@ -228,7 +229,7 @@ def _evaluate(df: DataFrame, table: str, checks: Sequence[Check], serve_keys: Se
         elif c.kind == "has_columns":
             missing = sorted(set(c.names) - present)
             detail = _lit(",".join(missing)) if missing else "NULL"
-            rows.append(_row(c, table, _lit(not missing), str(len(c.names) - len(missing)), str(len(missing)), detail))
+            schema_rows.append(_row(c, table, _lit(not missing), str(len(c.names) - len(missing)), str(len(missing)), detail))
         elif c.kind in ("freshness", "staleness"):
             flags[m] = (col, _type(df, c.column))
             finals.append(f"max(CASE WHEN __w = 0 THEN {m} END) AS {m}")
@@ -274,7 +275,10 @@ def _evaluate(df: DataFrame, table: str, checks: Sequence[Check], serve_keys: Se
 
     return _Evaluated(
         table=table,
-        counted=_rows(grouped.selectExpr(*finals), rows) if rows else None,
+        counted=[
+            *([_rows(grouped.selectExpr(*finals), rows)] if rows else []),
+            *([_rows(df.sparkSession.range(1), schema_rows)] if schema_rows else []),
+        ],
         children=[(c, keys_of(slot[i])) for i, c in keyed if c.kind == "relationship"],
         served={col: keys_of(g).select("__k") for col, g in served.items()},
     )
@@ -283,7 +287,7 @@ def _evaluate(df: DataFrame, table: str, checks: Sequence[Check], serve_keys: Se
 @dataclass
 class _Evaluated:
     table: str
-    counted: DataFrame | None
+    counted: list[DataFrame]  # results of the scan, results of the schema
     children: list  # (relationship check, child keys with row counts)
     served: dict  # column -> distinct non-NULL values, for checks that use this table as parent
 
@@ -303,7 +307,7 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     if not checks:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     ev = _evaluate(df, table, checks)
-    parts = [ev.counted] if ev.counted is not None else []
+    parts = list(ev.counted)
     parts += [_relationship_rows(child, table, c) for c, child in ev.children]
     return reduce(DataFrame.unionByName, parts)
 
@@ -339,8 +343,7 @@ def run_many(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]]) -
     parts: list[DataFrame] = []
     for t in checked:
         ev = done[t]
-        if ev.counted is not None:
-            parts.append(ev.counted)
+        parts += ev.counted
         for c, child in ev.children:
             owner = next((p for p in checked if tables[p] is c.parent), None)
             keys = done[owner].served.get(c.parent_col) if owner is not None else None

@@ -32,7 +32,7 @@ DOCUMENT_FIELDS = (*METRIC_COLUMNS, "top_keywords", "monthly_spend_usd", "avg_cp
 KEYWORD_TYPE = T.ArrayType(
     T.StructType([T.StructField("keyword", T.StringType()), T.StructField("position", T.IntegerType())])
 )
-AVG_PLACES = 6  # avg of doubles depends on summation order; 6 places make it repeatable
+AVG_PLACES = 6  # avg of doubles depends on summation order; compared at 6 places
 
 
 def _only(df: DataFrame, client_id: int | None) -> DataFrame:
@@ -57,16 +57,26 @@ def top_keywords(seo: DataFrame, k: int = 5, client_id: int | None = None) -> Da
     return ranked.select("client_id", "rank", "keyword", "position")
 
 
-def trailing_spend(perf: DataFrame, as_of: date | str, days: int = 30, client_id: int | None = None) -> DataFrame:
+def trailing_spend(
+    perf: DataFrame,
+    as_of: date | str,
+    days: int = 30,
+    client_id: int | None = None,
+    avg_places: int | None = None,
+) -> DataFrame:
     """D3: spend and mean cost per lead since ``as_of - days`` (inclusive, no upper bound).
 
-    ``avg`` skips NULL ``cpl``; a client whose rows all lack it gets NULL.
+    ``perf`` needs ``client_id, spend_date, spend, cpl`` (``fct_ad_performance``,
+    or ``gold.daily_costs`` without its client join). ``avg`` skips NULL ``cpl``;
+    a client whose rows all lack it gets NULL. ``avg_places`` rounds the mean,
+    for comparisons between engines only.
     """
+    mean = "avg(cpl)" if avg_places is None else round_half_away_sql("avg(cpl)", avg_places)
     day = date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     window = _only(perf, client_id).where(f"spend_date >= date_sub(DATE '{day.isoformat()}', {int(days)})")
     return window.groupBy("client_id").agg(
         F.expr("CAST(sum(spend) AS DOUBLE) AS monthly_spend_usd"),
-        F.expr(f"{round_half_away_sql('avg(cpl)', AVG_PLACES)} AS avg_cpl"),
+        F.expr(f"{mean} AS avg_cpl"),
     )
 
 
@@ -96,6 +106,7 @@ def snapshot(
     client_id: int | None = None,
     k: int = 5,
     days: int = 30,
+    avg_places: int | None = None,
 ) -> DataFrame:
     """D6: one row per client with the 13 document fields, nested keyword list.
 
@@ -104,7 +115,7 @@ def snapshot(
     """
     metrics = client_metrics(dim, client_id)
     kw = keyword_lists(seo, k, client_id)
-    spend = trailing_spend(perf, as_of, days, client_id)
+    spend = trailing_spend(perf, as_of, days, client_id, avg_places)
     doc = metrics.join(kw, "client_id", "left").join(spend, "client_id", "left")
     return doc.selectExpr(
         *METRIC_COLUMNS,

@@ -91,6 +91,13 @@ def fct_leads(leads: DataFrame, clients: DataFrame, appointments: DataFrame, run
     )
 
 
+def daily_costs(ad_spend: DataFrame, leads: DataFrame) -> DataFrame:
+    """``client_id, spend_date, spend, cpl`` of ``fct_ad_performance``, without its join to clients."""
+    daily = daily_lead_counts(leads).withColumnRenamed("lead_date", "spend_date")
+    j = ad_spend.select("client_id", "spend_date", "spend").join(daily, ["client_id", "spend_date"], "left")
+    return j.selectExpr("client_id", "spend_date", "spend", f"{safe_ratio_sql('spend', 'daily_leads', 2)} AS cpl")
+
+
 def fct_ad_performance(ad_spend: DataFrame, clients: DataFrame, leads: DataFrame) -> DataFrame:
     """Daily performance per client x channel; ``cpl`` divides each channel's
     spend by *all* of that client's leads that day (never sum ``daily_leads``

@@ -22,6 +22,7 @@ from lakeops.operators.contracts import contract_report
 from lakeops.plans import context, gold, pipeline, quality, silver
 from lakeops.session import configure, shared_path
 from lakeops.sources.bronze import Lake, write_bronze
+from lakeops.sources.files import read_csv_typed, read_json_array
 from lakeops.streaming.ingest import ingest_new_csv, land_csv
 from lakeops.sources import bindings as B
 
@@ -221,12 +222,15 @@ def q_topk_keywords(spark, sf_dir):
 
 
 def q_trailing_spend(spark, sf_dir):
-    return context.trailing_spend(Models(spark, sf_dir).fct_ad_performance, AS_OF, days=30)
+    m = Models(spark, sf_dir)
+    costs = gold.daily_costs(m.ad_spend, m.leads)
+    return context.trailing_spend(costs, AS_OF, days=30, avg_places=context.AVG_PLACES)
 
 
 def _snapshot(spark, sf_dir):
     m = Models(spark, sf_dir)
-    return context.snapshot(m.dim_clients, m.seo, m.fct_ad_performance, AS_OF, RUN_TS)
+    costs = gold.daily_costs(m.ad_spend, m.leads)
+    return context.snapshot(m.dim_clients, m.seo, costs, AS_OF, RUN_TS, avg_places=context.AVG_PLACES)
 
 
 def q_client_context(spark, sf_dir):
@@ -494,7 +498,7 @@ def q_ad_stream_ingest(spark, sf_dir):
     run = shared_path(spark, "ad_stream_ingest", unique=True)
     landing, table, ckpt = f"{run}/landing", f"{run}/bronze/raw_ad_spend", f"{run}/checkpoint"
     raw = m.raw("raw_ad_spend")
-    first = F.col("date") < F.lit("2024-01-16")
+    first = F.coalesce(F.col("date") < F.lit("2024-01-16"), F.lit(False))  # a NULL date is in the second drop
     land_csv(raw.where(first), landing)
     ingest_new_csv(spark, landing, table, ckpt, schema=AD_SPEND_LANDED_SCHEMA)
     land_csv(raw.where(~first), landing)
@@ -502,6 +506,21 @@ def q_ad_stream_ingest(spark, sf_dir):
     return silver.stg_ad_spend(spark.read.parquet(table), RUN_TS)
 
 
+def q_csv_scan(spark, sf_dir):
+    """Ad spend landed as CSV with another column order, read back by name and typed."""
+    path = shared_path(spark, "csv_scan", unique=True)
+    raw = Models(spark, sf_dir).raw("raw_ad_spend")
+    land_csv(raw.select(*reversed(raw.columns)), path)
+    return read_csv_typed(spark, path, AD_SPEND_LANDED_SCHEMA)
+
+
+def q_json_scan(spark, sf_dir):
+    """Rankings landed as JSON Lines, read back typed."""
+    path = shared_path(spark, "json_scan", unique=True)
+    Models(spark, sf_dir).raw("raw_seo_rankings").drop("_dlt_load_time").write.json(path)
+    return read_json_array(spark, path, json_lines=True)
+
+
 def q_pipeline_counts(spark, sf_dir):
     """The full run on the bindings; the gate records instead of stopping (the
     reference's suite bounds are for 500 clients and fail on these tables)."""
@@ -553,5 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{k: _checks_query(k, v) for k, v in CHECK_SPECS.items()},
     "bronze_roundtrip": q_bronze_roundtrip,
     "ad_stream_ingest": q_ad_stream_ingest,
+    "csv_scan": q_csv_scan,
+    "json_scan": q_json_scan,
     "pipeline_counts": q_pipeline_counts,
 }

@@ -35,11 +35,13 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITIO
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Pin the settings the models depend on (UTC, ANSI, AQE) when unset.
 
-    The time zone is always forced to UTC: day boundaries of every model are
-    UTC days, as in the reference's only write path. With ``input_bytes``, the
+    The time zone is always forced to UTC (day boundaries of every model are
+    UTC days, as in the reference's only write path) and so is ANSI mode (a
+    value that does not cast is an error, never NULL). With ``input_bytes``, the
     initial shuffle partition count is sized from it unless the cluster sets one.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     for key, value in SESSION_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
@@ -70,8 +72,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is read from the session. Only where nothing is set
-    (local tests) a fresh folder is created and registered.
+    The cluster's setting is read from the session. Only in local mode, where
+    nothing is set, a fresh folder is created and registered; a cluster without
+    the setting is an error, as its machines share no temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -81,6 +84,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return (sc.getCheckpointDir() or configured).rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="lakeops-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")

@@ -30,7 +30,7 @@ SOURCE_BY_KEY_MOD4 = {0: "Organic", 1: "Paid", 2: "Referral", 3: "Social"}
 STATUS_BY_PRIORITY = {"1-URGENT": "Converted", "2-HIGH": "Qualified", "3-MEDIUM": "Contacted", "4-NOT SPECIFIED": "New"}
 STATUS_OTHER = "Lost"
 APPOINTMENT_STATUS_BY_FLAG = {"N": "Scheduled", "A": "Completed", "R": "Cancelled"}
-CHANNEL_BY_EVENT = {"view": "google", "purchase": "Google", "click": "meta", "signup": "email"}
+CHANNEL_BY_EVENT = {"view": "google", "purchase": "Google", "click": "meta", "signup": "email", "error": "unattributed"}
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -91,10 +91,8 @@ def _with_resent(base: DataFrame, cond: str, changed: dict[str, str]) -> DataFra
 
 def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer")
-    # nation (25 rows) and region (5 rows) have a fixed size at every scale
-    # factor, so broadcasting them is bounded.
-    n = F.broadcast(read(spark, sf_dir, "nation"))
-    r = F.broadcast(read(spark, sf_dir, "region"))
+    n = read(spark, sf_dir, "nation")
+    r = read(spark, sf_dir, "region")
     base = (
         c.join(n, c.c_nationkey == n.n_nationkey)
         .join(r, n.n_regionkey == r.r_regionkey)
@@ -131,7 +129,7 @@ def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
-    o = read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    o = read(spark, sf_dir, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(
         "l_orderkey * 8 + l_linenumber AS id",
         "l_orderkey AS lead_id",
@@ -144,7 +142,7 @@ def raw_appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_ad_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").where("event_type <> 'error'")
+    e = read(spark, sf_dir, "events")
     with_k = e.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
     return with_k.selectExpr(
         "user_id AS client_id",

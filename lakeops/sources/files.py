@@ -60,12 +60,24 @@ def read_json_array(
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType = AD_SPEND_SCHEMA) -> DataFrame:
-    """CSV with a header, columns typed by ``schema``; a value that does not
-    parse (``abc`` for an int) fails the job instead of becoming NULL."""
+    """CSV with a header, read by column name and typed by ``schema``.
+
+    The header may name the columns in any order and have others besides; a
+    column that it lacks raises ``ValueError``. All files of ``path`` need the
+    same header (another one fails the job). A value that does not parse
+    (``abc`` for an int) fails the job instead of becoming NULL.
+    """
+    named = _load(spark.read.option("header", True), path, "csv", "CSV input").columns
+    missing = [n for n in schema.fieldNames() if n not in named]
+    if missing:
+        raise ValueError(f"CSV input at {path} has no column {', '.join(missing)}")
+    known = {f.name: f for f in schema.fields}
+    in_order = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in named])
     reader = (
-        spark.read.schema(schema)
+        spark.read.schema(in_order)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("timestampNTZFormat", TIMESTAMP_TEXT_FORMAT)
     )
-    return _load(reader, path, "csv", "CSV input")
+    return _load(reader, path, "csv", "CSV input").select(*schema.fieldNames())

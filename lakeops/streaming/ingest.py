@@ -18,6 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeops.sources.files import AD_SPEND_SCHEMA, TIMESTAMP_TEXT_FORMAT
 
 
+NO_AGE_LIMIT = "36500d"
+
+
 def ingest_new_csv(
     spark: SparkSession,
     landing: str,
@@ -27,7 +30,6 @@ def ingest_new_csv(
     load_col: str = "_dlt_load_time",
     max_files_per_batch: int | None = None,
     archive_dir: str | None = None,
-    max_file_age: str | None = None,
 ) -> StreamingQuery:
     """Append every CSV that arrived in ``landing`` since the last call to ``table_path``.
 
@@ -35,23 +37,27 @@ def ingest_new_csv(
     re-sent key from a later file wins the Silver dedup. Returns the finished
     query (its ``recentProgress`` says how many rows each batch took).
 
+    No file is left out for its age: Spark's default of seven days, counted
+    from the newest file seen, is lifted. A file whose header is not the
+    schema's column names in their order stops the stream with an error.
+
     At scale the landing folder's listing grows with every file ever landed:
-    ``archive_dir`` moves processed files there (``cleanSource=archive``) and
-    ``max_file_age`` ignores files older than that age, so each trigger lists
-    only recent arrivals. ``max_files_per_batch`` bounds one micro-batch.
+    ``archive_dir`` moves processed files there (``cleanSource=archive``), so
+    each trigger lists only new arrivals. ``max_files_per_batch`` bounds one
+    micro-batch.
     """
     stream = (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("enforceSchema", False)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .option("timestampNTZFormat", TIMESTAMP_TEXT_FORMAT)
     )
     if max_files_per_batch:
         stream = stream.option("maxFilesPerTrigger", str(max_files_per_batch))
     if archive_dir:
         stream = stream.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    if max_file_age:
-        stream = stream.option("maxFileAge", max_file_age)
     rows = stream.csv(landing)
     if load_col not in schema.fieldNames():
         rows = rows.withColumn(load_col, F.current_timestamp().cast("timestamp_ntz"))

@@ -1,6 +1,6 @@
 -- Shared CTE chain for every oracle query (DuckDB SQL).
 -- Bindings (testdata -> raw tables, see FIXTURES.md), then the Silver and Gold
--- semantics stated independently in plain SQL, with the fixed clock
+-- semantics in plain SQL, with the fixed clock
 -- as_of = 2024-02-10, run_ts = 2024-02-10 00:00:00 and the same tie-breaks as lakeops.
 raw_clients_base AS (
     SELECT
@@ -65,7 +65,6 @@ raw_appointments AS (
         CAST(l.l_shipdate AS TIMESTAMP) AS _loaded_at
     FROM lineitem l
     JOIN orders o ON l.l_orderkey = o.o_orderkey
-    WHERE o.o_orderpriority = '1-URGENT'
 ),
 raw_ad_spend AS (
     SELECT
@@ -77,13 +76,13 @@ raw_ad_spend AS (
         SELECT
             user_id AS client_id,
             CASE event_type WHEN 'view' THEN 'google' WHEN 'purchase' THEN 'Google'
-                            WHEN 'click' THEN 'meta' WHEN 'signup' THEN 'email' END AS channel,
+                            WHEN 'click' THEN 'meta' WHEN 'signup' THEN 'email'
+                            WHEN 'error' THEN 'unattributed' END AS channel,
             strftime(ts, '%Y-%m-%d') AS date,
             value AS spend,
             CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
             CAST(ts AS TIMESTAMP) AS _dlt_load_time
         FROM events
-        WHERE event_type <> 'error'
     )
 ),
 raw_seo_rankings AS (

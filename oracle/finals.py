@@ -1,6 +1,8 @@
 """Final selects of the oracle queries, keyed like ``queries()``."""
 
 FINALS: dict[str, str] = {
+    "csv_scan": "SELECT client_id, channel, date, spend, impressions, clicks, _dlt_load_time FROM raw_ad_spend",
+    "json_scan": "SELECT client_id, keyword, position, snapshot_date FROM raw_seo_rankings",
     "stg_clients": "SELECT * FROM stg_clients",
     "stg_leads": "SELECT * FROM stg_leads",
     "stg_appointments": "SELECT * FROM stg_appointments",

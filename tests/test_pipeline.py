@@ -1,3 +1,5 @@
+import os
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -24,7 +26,8 @@ def test_gate_stops_before_gold(spark, tmpdir_path):
     # the reference's suite bounds (500 clients) fail on these tables
     with pytest.raises(QualityGateFailed):
         pipeline.run_all(spark, cfg(spark, f"{tmpdir_path}/lake", "raise"))
-    assert not spark.catalog.tableExists("gold.dim_clients") or True
+    assert not os.path.exists(f"{tmpdir_path}/lake/gold") or not os.listdir(f"{tmpdir_path}/lake/gold")
+    assert os.path.exists(f"{tmpdir_path}/lake/quality/gate_results")
 
 
 def test_full_run_and_rebuild_one_model(spark, tmpdir_path):
@@ -57,6 +60,25 @@ def test_repeat_runs_are_equal(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_build_orders_models_by_what_they_read(spark, tmpdir_path):
+    from lakeops.sources.bronze import write_bronze
+
+    lake = Lake(spark, f"{tmpdir_path}/lake")
+    for name in ("raw_clients", "raw_leads", "raw_appointments"):
+        write_bronze(lake, B.raw_tables(spark, SF)[name], name)
+    names = ["dim_clients", "stg_leads", "stg_appointments", "stg_clients"]
+    built = pipeline.build(lake, names, date(2024, 2, 10), datetime(2024, 2, 10))
+    assert [b.split(".")[1] for b in built] == names
+    assert spark.table(built[0]).count() == 150
+
+
+def test_failed_declared_tests_fail_the_run(spark, tmpdir_path):
+    c = replace(cfg(spark, f"{tmpdir_path}/lake", "raise"), suites={})
+    with pytest.raises(QualityGateFailed):
+        pipeline.run_all(spark, c)
+    assert os.path.exists(f"{tmpdir_path}/lake/quality/test_results")
+
+
 def test_build_rejects_unknown_model(spark, tmpdir_path):
     lake = Lake(spark, f"{tmpdir_path}/lake")
     with pytest.raises(KeyError):

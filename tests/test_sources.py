@@ -139,3 +139,32 @@ def test_cli_context_lookup(spark, tmpdir_path, capsys):
     doc = json.loads(capsys.readouterr().out)
     assert doc["client_name"] == "Seven" and doc["avg_cpl"] is None and doc["top_keywords"] == [{"keyword": "kw", "position": 2}]
     assert cli.main(["context", "--root", root, "--client-id", "8"]) == 2
+
+
+def test_csv_is_read_by_name(spark, tmpdir_path):
+    path = f"{tmpdir_path}/permuted.csv"
+    with open(path, "w") as f:
+        f.write("note,clicks,date,channel,client_id,spend,impressions\nx,1,2024-01-01,google,7,2.5,10\n")
+    row = read_csv_typed(spark, path).first()
+    assert tuple(row) == (7, "google", "2024-01-01", 2.5, 10, 1)
+
+
+def test_csv_without_a_column_is_an_error(spark, tmpdir_path):
+    path = f"{tmpdir_path}/short.csv"
+    with open(path, "w") as f:
+        f.write("client_id,channel,date,spend,clicks\n7,google,2024-01-01,2.5,1\n")
+    with pytest.raises(ValueError, match="impressions"):
+        read_csv_typed(spark, path)
+
+
+def test_jdbc_parts_need_bounds():
+    with pytest.raises(ValueError):
+        read_jdbc(_StubSession(), "jdbc:postgresql://db/app", "leads", parts=8)
+
+
+def test_ansi_is_forced(spark):
+    from lakeops.session import configure
+
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    configure(spark)
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"

@@ -1,3 +1,8 @@
+import os
+import time
+
+import pytest
+
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -39,3 +44,26 @@ def test_processed_files_are_archived(spark, tmpdir_path):
     ingest_new_csv(spark, landing, table, ckpt, archive_dir=archive, max_files_per_batch=1)
     assert spark.read.parquet(table).count() == 2
     assert glob.glob(f"{archive}/**/*.csv", recursive=True)
+
+
+def test_old_dated_file_after_a_new_one_is_ingested(spark, tmpdir_path):
+    landing, table, ckpt = (f"{tmpdir_path}/{x}" for x in ("age", "age_table", "age_ckpt"))
+    os.makedirs(landing)
+    header = "client_id,channel,date,spend,impressions,clicks\n"
+    for name, days in (("new.csv", 0), ("old.csv", 20)):
+        path = f"{landing}/{name}"
+        with open(path, "w") as f:
+            f.write(header + "1,google,2024-01-01,1.0,10,1\n")
+        then = time.time() - days * 86400
+        os.utime(path, (then, then))
+        ingest_new_csv(spark, landing, table, ckpt)
+    assert spark.read.parquet(table).count() == 2
+
+
+def test_file_with_another_header_stops_the_stream(spark, tmpdir_path):
+    landing = f"{tmpdir_path}/other"
+    os.makedirs(landing)
+    with open(f"{landing}/a.csv", "w") as f:
+        f.write("client_id,date,channel,spend,clicks,impressions\n1,2024-01-01,google,1.0,1,10\n")
+    with pytest.raises(Exception):
+        ingest_new_csv(spark, landing, f"{tmpdir_path}/t", f"{tmpdir_path}/c")
