@@ -26,7 +26,6 @@ import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,8 @@ from pyspark.sql import DataFrame
 
 from .common import slices
 
-_MOST_WORDS = 700_000  # remembered by a worker process between blocks
+_MOST_WORDS = 150_000  # remembered by a worker process between blocks
+_MOST_PAIRS = 200_000
 _SHIFT = 1 << 20  # more than the ids of any vocabulary read here
 
 
@@ -52,7 +52,7 @@ class Tokenizer:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.pattern = regex.compile(pattern)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.of_byte = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        self.of_byte = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         if self.pattern.groups:
             raise ValueError("the pattern has groups; words are its whole matches")
         self.pair_ranks: dict[int, int] = {}
@@ -66,6 +66,8 @@ class Tokenizer:
         key = left * _SHIFT + right
         found = self.pair_ranks.get(key)
         if found is None:
+            if len(self.pair_ranks) >= _MOST_PAIRS:
+                self.pair_ranks.clear()
             found = self.pair_ranks[key] = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
         return found
 
@@ -102,14 +104,14 @@ class Tokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as `encode_words`."""
-        cut = [self.words(t) for t in texts]
-        known = self.known  # words of earlier blocks need no replay
-        new = [w for w in dict.fromkeys(chain.from_iterable(cut)) if w not in known]
-        if len(known) + len(new) > _MOST_WORDS:
-            known = self.known = {}
-            new = list(dict.fromkeys(chain.from_iterable(cut)))
-        known.update(zip(new, self.encode_words([w.encode() for w in new]), strict=True))
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+        same: dict[str, str] = {}  # one object per distinct word of the block
+        cut = [list(map(same.setdefault, words, words)) for words in map(self.words, texts)]
+        new = [w for w in same if w not in self.known]  # words of earlier blocks need no replay
+        made = self.encode_words([w.encode() for w in new])
+        table = self.known | dict(zip(new, made, strict=True))
+        room = _MOST_WORDS - len(self.known)
+        self.known.update(zip(new[:room], made[:room], strict=True))
+        return [b"".join(map(table.__getitem__, words)) for words in cut]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of ids given as little-endian unsigned 32-bit integers."""
@@ -119,10 +121,10 @@ class Tokenizer:
 def _ranks_of(t: Tokenizer, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Rank of each pair; -1 where the pair makes no token. Distinct pairs are looked up once."""
     if len(left) <= 8:
-        return np.array([t.pair_rank(a, b) for a, b in zip(left.tolist(), right.tolist(), strict=True)], np.int64)
-    keys, inverse = np.unique(left * _SHIFT + right, return_inverse=True)
+        return np.array([t.pair_rank(a, b) for a, b in zip(left.tolist(), right.tolist(), strict=True)], np.int32)
+    keys, inverse = np.unique(left.astype(np.int64) * _SHIFT + right, return_inverse=True)
     found = [t.pair_rank(k // _SHIFT, k % _SHIFT) for k in keys.tolist()]
-    return np.array(found, np.int64)[inverse]
+    return np.array(found, np.int32)[inverse]
 
 
 def replay(t: Tokenizer, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -132,14 +134,15 @@ def replay(t: Tokenizer, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, li
     if not n:
         return np.zeros(0, np.int64), np.zeros(len(words), np.int64), []
     token = t.of_byte[np.frombuffer(b"".join(words), np.uint8)]
-    word = np.repeat(np.arange(len(words)), sizes)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+    place = np.int32 if n < 1 << 31 else np.int64
     last = np.cumsum(sizes)[sizes > 0] - 1
-    after = np.arange(1, n + 1)  # place n is the end of any word: it has token -1
+    after = np.arange(1, n + 1, dtype=place)  # place n is the end of any word: it has token -1
     after[last] = n
-    before = np.arange(-1, n - 1)
+    before = np.arange(-1, n - 1, dtype=place)
     before[np.concatenate([[0], last[:-1] + 1])] = -1
     live = np.ones(n, bool)
-    rank = np.full(n + 1, -1, np.int64)  # of the pair that starts at a place
+    rank = np.full(n + 1, -1, np.int32)  # of the pair that starts at a place
     odd: set[int] = set()
     index: dict[int, list[np.ndarray]] = {}
     heap: list[int] = []
@@ -208,7 +211,7 @@ def encode(
     carry: list[str],
     output: tuple[str, ...] = ("n_tokens", "ids"),
     text: str = "text",
-    block_bytes: int = 24 << 20,
+    block_bytes: int = 12 << 20,
 ) -> DataFrame:
     """The ``carry`` columns and the ``output`` columns asked for.
 

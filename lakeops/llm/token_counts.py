@@ -60,7 +60,7 @@ def write_token_files(
         uri, ordinal, size = f"{folder}/{uuid.uuid4().hex}.bin", 0, 0
         with ExitStack() as stack:
             out = None
-            for batch in slices(batches, text, 16 << 20):
+            for batch in slices(batches, text, 12 << 20):
                 if out is None:
                     system, place = _opened(uri)
                     system.create_dir(place.rpartition("/")[0], recursive=True)
