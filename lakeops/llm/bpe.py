@@ -32,9 +32,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import release, slices
 
-_MOST_WORDS = 150_000  # remembered by a worker process between blocks
+_MOST_WORDS = 150_000  # remembered by a task between blocks
 _MOST_PAIRS = 200_000
 _SHIFT = 1 << 20  # more than the ids of any vocabulary read here
 
@@ -113,6 +113,12 @@ class Tokenizer:
         self.known.update(zip(new[:room], made[:room], strict=True))
         return [b"".join(map(table.__getitem__, words)) for words in cut]
 
+    def forget(self) -> None:
+        """Drop what was remembered between blocks."""
+        self.known.clear()
+        self.pair_ranks.clear()
+        release()
+
     def decode(self, ids: bytes) -> bytes:
         """The bytes of ids given as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -237,6 +243,7 @@ def encode(
             columns = [batch.column(c) for c in carry]
             columns += [pa.array(values, _ARROW[OUTPUT[c]]) for c, values in made.items()]
             yield pa.RecordBatch.from_arrays(columns, names=[*carry, *output])
+        t.forget()
 
     types = dict(docs.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in carry), *(f"{c} {OUTPUT[c]}" for c in output)])

@@ -44,7 +44,7 @@ from pyarrow import fs, ipc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_folder, slices, text_bytes, written
+from .common import new_folder, release, slices, text_bytes, written
 
 LEAST = 50
 GRAM = 20
@@ -53,7 +53,7 @@ BLOCK_BYTES = 4 << 20
 PIECE = 1 << 18
 WINDOWS = 1 << 17  # windows that are sorted at once, unless one point has more
 BLOCKS_A_TASK = 3
-PART_POINTS = 1 << 20  # points that one task compares
+PART_POINTS = 1 << 18  # points that one task compares
 PART_BYTES = 4 << 20  # bytes of segments that one task sorts
 _UPPER = np.uint64(0xFFFFFFFF00000000)
 _LOWER = np.uint64(0xFFFFFFFF)
@@ -242,6 +242,7 @@ def _shared_points(manifest: DataFrame, doc_id: str, text: str, crowd: int) -> D
                     ],
                     names=["part", "block", "points", "several"],
                 )
+                release()
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = np.array([len(p) // 8 for p in pdf["points"]], np.int64)
@@ -262,6 +263,7 @@ def _shared_points(manifest: DataFrame, doc_id: str, text: str, crowd: int) -> D
             if of.any():
                 rows.append((block, here[of == 1].tobytes(), here[of == 2].tobytes()))
             at += n
+        release()
         return pd.DataFrame(rows, columns=["block", "points", "hot"])
 
     sent = _spread(manifest).mapInArrow(send, "part long, block long, points binary, several binary")
@@ -329,6 +331,7 @@ def _segment_bundles(marked: DataFrame, parts: int, doc_id: str, text: str) -> D
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _BUNDLE.types, strict=True)], schema=_BUNDLE
                 )
+                release()
 
     schema = "part long, block long, number binary, point binary, first binary, size binary, bytes binary"
     return marked.select("block", "uri", "points", "hot").mapInArrow(send, schema)
@@ -378,6 +381,7 @@ def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
         mine = which[at : at + n]
         rows.append((block, number, first[mine].tobytes(), earlier[mine].astype(np.uint32).tobytes()))
         at += n
+    release()
     return pd.DataFrame(rows, columns=["block", "number", "first", "earlier"])
 
 
@@ -468,6 +472,7 @@ def remove_repeats(
                 columns += [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)]
                 columns.append(pa.array(rests, pa.binary() if kind == "binary" else pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*carry, "n_bytes", "n_removed", "n_spans", kept])
+                release()
 
     types = dict(docs.dtypes)
     added = f"n_bytes long, n_removed long, n_spans long, {kept} {kind}"

@@ -78,6 +78,7 @@ def write_token_files(
                     names=["file", "bytes", "ordinal", "doc_id"],
                 )
                 ordinal += n
+        t.forget()
         if ordinal:
             one = batch.column(doc_id).type
             yield pa.RecordBatch.from_arrays(
