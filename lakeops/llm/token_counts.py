@@ -150,9 +150,12 @@ _SCAN = pa.schema(
 
 
 def document_tokens(manifest: DataFrame, separator: int, width: int = 2, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_tokens) of the documents that `write_token_files` wrote."""
+    """(doc_id, n_tokens) of the documents that `write_token_files` wrote.
+
+    The manifest's repeated file names compress so well that its size on disk says little about its
+    size in memory; the join is merged, as it could be broadcast by that estimate.
+    """
     files = manifest.where("ordinal IS NULL").select("file", "bytes")
     counted = count_tokens(files, separator, width, block_bytes)
-    return manifest.where("ordinal IS NOT NULL").select("file", "ordinal", "doc_id").join(
-        counted, ["file", "ordinal"]
-    ).select("doc_id", "n_tokens")
+    documents = manifest.where("ordinal IS NOT NULL").select("file", "ordinal", "doc_id")
+    return documents.hint("merge").join(counted, ["file", "ordinal"]).select("doc_id", "n_tokens")
