@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import release, slices, text_bytes
 from .labelled import labelled_sample
 
 BUCKETS = 1 << 16
@@ -111,6 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2000, where: str = "
                 ],
                 names=["doc_id", "label", "ids", "counts"],
             )
+        release()
 
     sample = labelled_sample(docs, labels, "quality", max_docs, where)
     rows = (
@@ -156,6 +157,8 @@ def score(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -
                 scores.append(1 / (1 + np.exp(-np.clip(margin / max(n, 1) + bias, -500, 500))))
             kept = [batch.column(c) for c in carry]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names=[*carry, "score"])
+        known.clear()
+        release()
 
     types = dict(docs.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in carry] + ["score double"])
