@@ -69,9 +69,11 @@ def cmd_pipeline(args) -> int:
 def cmd_quality(args) -> int:
     from lakeops.operators import checks as C
     from lakeops.plans import quality
+    from lakeops.sources.bronze import Lake
 
     spark = _session()
-    tables = {t: spark.read.parquet(f"{args.root}/silver/{t}") for t in ("stg_clients", "stg_leads")}
+    lake = Lake(spark, args.root)
+    tables = {t: lake.ref("silver", t) for t in ("stg_clients", "stg_leads")}
     results = C.run_many(tables, {"stg_clients": quality.suite_checks(quality.SUITE_CLIENTS),
                                   "stg_leads": quality.suite_checks(quality.SUITE_LEADS)})
     try:
@@ -85,9 +87,11 @@ def cmd_quality(args) -> int:
 
 def cmd_context(args) -> int:
     from lakeops.plans import context
+    from lakeops.sources.bronze import Lake
 
     spark = _session()
-    docs = context.snapshot_json(context.lookup(spark.read.parquet(f"{args.root}/gold/client_context"), args.client_id))
+    published = Lake(spark, args.root).ref("gold", "client_context")
+    docs = context.snapshot_json(context.lookup(published, args.client_id))
     rows = docs.collect()  # at most one row: the client asked for
     if not rows:
         print(f"client {args.client_id} not found", file=sys.stderr)

@@ -111,6 +111,16 @@ def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*cols)
 
 
+def null_report(df: DataFrame, contract: Contract) -> DataFrame:
+    """``table_name, column_name, null_rows`` of every NOT NULL column, in one aggregate: the rows ``enforce`` stops at."""
+    held = [c.name for c in contract.columns if c.not_null]
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__{i}") for i, c in enumerate(held)])
+    rows = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"__{i}").alias("n")) for i, c in enumerate(held)])
+    return counts.select(F.inline(rows)).select(
+        F.lit(contract.table).alias("table_name"), F.col("c").alias("column_name"), F.col("n").alias("null_rows")
+    )
+
+
 def _sql_text(v: str | None) -> str:
     return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -137,6 +137,16 @@ def snapshot_json(doc: DataFrame) -> DataFrame:
     return doc.select("client_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("context_json"))
 
 
+def lookup_ids(published: DataFrame, ids: DataFrame) -> DataFrame:
+    """D1/D7 for a table of requested ``client_id``: one row per distinct id, ``known`` false where there is no client."""
+    asked = ids.select(F.col("client_id").alias("asked_id")).distinct()
+    found = asked.join(published, F.col("asked_id") == F.col("client_id"), "left")
+    rest = [c for c in published.columns if c != "client_id"]
+    return found.select(
+        F.col("asked_id").alias("client_id"), F.col("client_id").isNotNull().alias("known"), *[F.col(c) for c in rest]
+    )
+
+
 def lookup(published: DataFrame, client_id: int) -> DataFrame:
     """D1/D7 on the published document table: one row, or none for an unknown id.
 

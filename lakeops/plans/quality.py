@@ -6,7 +6,7 @@ Everything here is data. The rules run through ``lakeops.operators.checks`` and
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -300,18 +300,34 @@ def run_declared(tests: Sequence[tuple[str, str, str, tuple]], tables: Mapping[s
     return C.run_many(dict(tables), declared_checks(tests, tables))
 
 
-def source_freshness(tables: Mapping[str, DataFrame], now: datetime) -> DataFrame:
-    checks = {
-        t: [C.freshness(col, warn, err, now)] for t, (col, warn, err) in SOURCE_FRESHNESS.items() if t in tables
-    }
-    return C.run_many(dict(tables), checks)
+def freshness_checks(tables: Iterable[str], now: datetime) -> dict[str, list[C.Check]]:
+    return {t: [C.freshness(col, warn, err, now)] for t, (col, warn, err) in SOURCE_FRESHNESS.items() if t in tables}
 
 
-def mart_asset_checks(marts: Mapping[str, DataFrame]) -> DataFrame:
+def asset_checks() -> dict[str, list[C.Check]]:
     """The row-count and schema checks on published marts."""
-    checks = {
+    return {
         "dim_clients": [C.row_count_between(*DIM_CLIENTS_ROWS), C.has_columns(DIM_CLIENTS_REQUIRED)],
         "fct_leads": [C.row_count_min(FCT_LEADS_MIN_ROWS)],
         "fct_ad_performance": [C.row_count_near(FCT_AD_PERFORMANCE_EXPECTED_ROWS, FCT_AD_PERFORMANCE_TOLERANCE)],
     }
-    return C.run_many(dict(marts), checks)
+
+
+def _together(*sets: Mapping[str, Sequence[C.Check]]) -> dict[str, list[C.Check]]:
+    """Check sets by table, so that each table is scanned once for all of them."""
+    out: dict[str, list[C.Check]] = {}
+    for checks in sets:
+        for table, listed in checks.items():
+            out.setdefault(table, []).extend(listed)
+    return out
+
+
+def bronze_tests(tables: Mapping[str, DataFrame], now: datetime) -> DataFrame:
+    """The declared tests and the freshness of the landed tables, in one pass over each."""
+    declared = declared_checks([t for t in SOURCE_TESTS if t[0] in tables], tables)
+    return C.run_many(dict(tables), _together(declared, freshness_checks(tables, now)))
+
+
+def mart_tests(marts: Mapping[str, DataFrame]) -> DataFrame:
+    """The declared tests and the asset checks of the marts, in one pass over each."""
+    return C.run_many(dict(marts), _together(declared_checks(MART_TESTS, marts), asset_checks()))

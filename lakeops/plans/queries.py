@@ -18,7 +18,7 @@ from lakeops.operators.cleaning import lowered, typed
 from lakeops.operators.dedup import latest_by
 from lakeops.operators.joins import enrich, exists_flag
 from lakeops.operators import checks as C
-from lakeops.operators.contracts import contract_report
+from lakeops.operators.contracts import contract_report, null_report
 from lakeops.plans import context, gold, pipeline, quality, silver
 from lakeops.session import configure, shared_path
 from lakeops.sources.bronze import Lake, write_bronze
@@ -30,6 +30,15 @@ RUN_TS = B.RUN_TS
 AS_OF = B.AS_OF
 
 
+SILVER_OF = {
+    "clients": "stg_clients",
+    "leads": "stg_leads",
+    "appointments": "stg_appointments",
+    "seo": "stg_seo_rankings",
+    "ad_spend": "stg_ad_spend",
+}
+
+
 class Models:
     """Lazy Silver and Gold DataFrames over one test folder."""
 
@@ -83,6 +92,20 @@ class Models:
         return self._get("fct_appointments", lambda: gold.fct_appointments(self.appointments, self.leads, self.clients))
 
 
+    def published(self, *attrs: str) -> Models:
+        """The named Silver tables are written once; all marts that share them read them back."""
+        run = shared_path(self.spark, "silver", unique=True)
+
+        def publish(attr: str) -> DataFrame:
+            df = getattr(self, attr)
+            df.write.parquet(f"{run}/{attr}")
+            return self.spark.read.schema(df.schema).parquet(f"{run}/{attr}")
+
+        for attr, df in zip(attrs, pipeline.each_table(publish, attrs, parallel_jobs=4), strict=True):
+            self._cache[SILVER_OF[attr]] = df
+        return self
+
+
 def _model(attr: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return getattr(Models(spark, sf_dir), attr)
@@ -217,6 +240,13 @@ def q_context_lookup(spark, sf_dir):
     return context.client_metrics(Models(spark, sf_dir).dim_clients)
 
 
+def q_context_lookup_ids(spark, sf_dir):
+    """Every client id of the ad spend is asked for, and its negative, which no client has."""
+    m = Models(spark, sf_dir)
+    ids = m.raw("raw_ad_spend").selectExpr("explode(array(client_id, -client_id)) AS client_id")
+    return context.lookup_ids(context.client_metrics(m.dim_clients), ids)
+
+
 def q_topk_keywords(spark, sf_dir):
     return context.top_keywords(Models(spark, sf_dir).seo, k=5)
 
@@ -275,6 +305,12 @@ def q_contract_diff(spark, sf_dir):
     return out
 
 
+def q_contract_nulls(spark, sf_dir):
+    """NOT NULL columns of a mart whose client id is lost in some rows."""
+    broken = Models(spark, sf_dir).fct_leads.withColumn("client_id", F.expr("CASE WHEN client_id % 7 <> 0 THEN client_id END"))
+    return null_report(broken, quality.MART_CONTRACTS["fct_leads"])
+
+
 class Tables:
     """Name -> DataFrame resolver for check specs (raw, Silver and Gold names)."""
 
@@ -286,13 +322,7 @@ class Tables:
             return self.m.raw(name)
         if name == BROKEN_DIM:
             return broken_dim_clients(self.m.clients)
-        attr = {
-            "stg_clients": "clients",
-            "stg_leads": "leads",
-            "stg_appointments": "appointments",
-            "stg_seo_rankings": "seo",
-            "stg_ad_spend": "ad_spend",
-        }.get(name, name)
+        attr = {stg: attr for attr, stg in SILVER_OF.items()}.get(name, name)
         return getattr(self.m, attr)
 
 
@@ -432,9 +462,15 @@ CHECK_SPECS = {
 }
 
 
+# Silver tables that several marts of one query read.
+SHARED_SILVER = {"mart_tests": ("clients", "leads", "appointments", "ad_spend")}
+
+
 def _checks_query(key, spec):
+    shared = SHARED_SILVER.get(key, ())
+
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = Tables(Models(spark, sf_dir))
+        tables = Tables(Models(spark, sf_dir).published(*shared))
         checks = spec(tables)
         return C.run_many({t: tables(t) for t in checks}, checks)
 
@@ -456,42 +492,53 @@ AD_SPEND_LANDED_SCHEMA = T.StructType(
     ]
 )
 
-RAW_KEYS = {
-    "raw_clients": ("id", "_loaded_at"),
-    "raw_leads": ("id", "_loaded_at"),
-    "raw_appointments": ("id", "_loaded_at"),
-    "raw_seo_rankings": ("client_id", "_dlt_load_time"),
-    "raw_ad_spend": ("client_id", "_dlt_load_time"),
-}
 BRONZE_PARTITIONS = {"raw_ad_spend": ("date",), "raw_seo_rankings": ("snapshot_date",)}
 
 
+def _row_sum(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """Row count and sum of row hashes over all columns; doubles count in hundredths, instants in microseconds."""
+
+    def text(name: str, kind: str) -> str:
+        if kind == "timestamp_ntz":
+            name = f"unix_micros(CAST({name} AS TIMESTAMP))"
+        elif kind == "double":
+            name = f"CAST(round({name} * 100) AS BIGINT)"
+        return f"coalesce(CAST({name} AS STRING), '-')"
+
+    hashed = f"md5(concat_ws('|', {', '.join(text(*c) for c in columns)}))"
+    return df.selectExpr(f"CAST(conv(substr({hashed}, 1, 8), 16, 10) AS BIGINT) AS h").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("h").alias("row_sum")
+    )
+
+
 def q_bronze_roundtrip(spark, sf_dir):
-    """Land the five raw tables (replace write, partitioned where declared) and read them back."""
+    """Land the five raw tables twice (the second load replaces the first; partitioned where declared), read all back."""
     m = Models(spark, sf_dir)
     lake = Lake(spark, shared_path(spark, "bronze_roundtrip", unique=True))
-    written = pipeline.each_table(
-        lambda name: write_bronze(lake, m.raw(name), name, partition_by=BRONZE_PARTITIONS.get(name, ())),
-        list(RAW_KEYS),
-        parallel_jobs=4,
-    )
-    parts = []
-    for full, (name, (key, load_col)) in zip(written, RAW_KEYS.items()):
-        parts.append(
-            spark.table(full)
-            .agg(
-                F.count(F.lit(1)).alias("row_count"),
-                F.sum(key).alias("key_sum"),
-                F.max(load_col).alias("load_max"),
-            )
-            .select(F.lit(name).alias("table_name"), "row_count", "key_sum", "load_max")
-        )
+
+    def land(name: str) -> str:
+        parts = BRONZE_PARTITIONS.get(name, ())
+        write_bronze(lake, m.raw(name), name, partition_by=parts)
+        return write_bronze(lake, m.raw(name), name, partition_by=parts)
+
+    written = pipeline.each_table(land, pipeline.RAW_TABLES, parallel_jobs=4)
+    parts = [
+        _row_sum(spark.table(full), m.raw(name).dtypes).select(F.lit(name).alias("table_name"), "row_count", "row_sum")
+        for full, name in zip(written, pipeline.RAW_TABLES, strict=True)
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def q_bronze_stamp(spark, sf_dir):
+    """Raw clients without a load time, landed with the run's."""
+    lake = Lake(spark, shared_path(spark, "bronze_stamp", unique=True))
+    unstamped = Models(spark, sf_dir).raw("raw_clients").drop("_loaded_at")
+    return spark.table(write_bronze(lake, unstamped, "raw_clients", load_col="_loaded_at", run_ts=RUN_TS))
+
+
 def q_ad_stream_ingest(spark, sf_dir):
     """Two CSV drops arrive; each ingest run appends only the new files; Silver dedups."""
     m = Models(spark, sf_dir)
@@ -533,7 +580,7 @@ def q_pipeline_counts(spark, sf_dir):
         gate="record",
     )
     tables = pipeline.run_all(spark, cfg)
-    return pipeline.published_counts(spark, tables)
+    return pipeline.published_sums(spark, tables)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -564,13 +611,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratio_cost2": q_ratio_cost2,
     "date_diff_days": q_date_diff_days,
     "context_lookup": q_context_lookup,
+    "context_lookup_ids": q_context_lookup_ids,
     "topk_keywords": q_topk_keywords,
     "trailing_spend": q_trailing_spend,
     "client_context": q_client_context,
     "client_context_json": q_client_context_json,
     "contract_diff": q_contract_diff,
+    "contract_nulls": q_contract_nulls,
     **{k: _checks_query(k, v) for k, v in CHECK_SPECS.items()},
     "bronze_roundtrip": q_bronze_roundtrip,
+    "bronze_stamp": q_bronze_stamp,
     "ad_stream_ingest": q_ad_stream_ingest,
     "csv_scan": q_csv_scan,
     "json_scan": q_json_scan,

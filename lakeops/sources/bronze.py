@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.functions.keys import quote
 from lakeops.operators.cleaning import stamp
 from lakeops.operators.contracts import Contract, enforce
 
 LAYERS = ("bronze", "silver", "gold", "quality")
+VERSION = "v-"
 
 
 class Lake:
@@ -21,18 +27,39 @@ class Lake:
     storage; in tests, a folder under ``spark.checkpoint.dir``). Tables are
     registered in the session catalog, so ``spark.table("gold.dim_clients")``
     works, and written data cuts the lineage for later steps.
+
+    A layer's database is ``<namespace>_<layer>``, or ``<layer>`` without a
+    namespace. Where another root already has that database, the root's
+    checksum is added, so two roots in one catalog stay apart; use the table
+    names that ``write`` returns, or ``ref``.
+
+    A replaced Parquet table is written to a version folder of its own before
+    the catalog points to it: a failed write leaves the old version readable,
+    and so do running readers of it. ``vacuum`` removes versions no longer read.
     """
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", namespace: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
-        for layer in LAYERS:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
+        self.databases = {layer: self._database(f"{namespace}_{layer}" if namespace else layer, layer) for layer in LAYERS}
+
+    def _database(self, name: str, layer: str) -> str:
+        place = f"{self.root}/{layer}"
+        if self.spark.catalog.databaseExists(name):
+            taken = self.spark.catalog.getDatabase(name).locationUri
+            if _bare(taken) != _bare(place):
+                name = f"{name}_{crc32(self.root.encode()):08x}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{place}'")
+        return name
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def table(self, layer: str, name: str) -> str:
+        """Catalog name of a table."""
+        return f"{self.databases[layer]}.{name}"
+
     def write(
         self,
         df: DataFrame,
@@ -40,10 +67,9 @@ class Lake:
         name: str,
         mode: str = "overwrite",
         partition_by: Sequence[str] = (),
-        bucket_by: tuple[int, str] | None = None,
         cluster_by: str | None = None,
     ) -> str:
-        """Replace (or append to) ``layer.name``; returns the table name.
+        """Replace (or append to) ``layer.name``; returns the catalog name.
 
         Partitioned writes are rebalanced on the partition columns first:
         AQE then splits a partition value that holds a large share of the
@@ -52,23 +78,78 @@ class Lake:
         covers a narrow key range and a point lookup skips all but one row
         group by its min/max statistics (for tables unique on that column).
         """
+        full = self.table(layer, name)
         if partition_by:
             df = df.hint("rebalance", *partition_by)
         if cluster_by:
             df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
-        w = df.write.mode(mode).format(self.fmt).option("path", self.path(layer, name))
+        w = df.write.format(self.fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        if bucket_by:
-            n, col = bucket_by
-            w = w.bucketBy(n, col).sortBy(col)
-        full = f"{layer}.{name}"
-        w.saveAsTable(full)
+        if mode == "append" and self.spark.catalog.tableExists(full):
+            w.mode("append").saveAsTable(full)
+        elif self.fmt == "parquet":
+            place = f"{self.path(layer, name)}/{VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+            w.save(place)
+            self._point(full, df, place, partition_by)
+        else:  # a table format that replaces atomically itself
+            w.mode(mode).option("path", self.path(layer, name)).saveAsTable(full)
         return full
 
+    def _point(self, full: str, df: DataFrame, place: str, partition_by: Sequence[str]) -> None:
+        """Let the catalog's table read the version at ``place``."""
+        columns = ", ".join(f"{quote(c)} {t}" for c, t in df.dtypes)
+        parts = f"PARTITIONED BY ({', '.join(map(quote, partition_by))}) " if partition_by else ""
+        self.spark.sql(f"DROP TABLE IF EXISTS {full}")
+        self.spark.sql(f"CREATE TABLE {full} ({columns}) USING {self.fmt} {parts}LOCATION '{place}'")
+        if partition_by and self.spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true":
+            self.spark.sql(f"MSCK REPAIR TABLE {full}")
+
+    def _versions(self, layer: str, name: str) -> list[str]:
+        """Completely written versions of a table, oldest first."""
+        place = self.path(layer, name)
+        folder, fs = self._folder(place)
+        if not fs.exists(folder):
+            return []
+        found = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+        versions = [f"{place}/{v}" for v in found if v.startswith(VERSION)]
+        return [v for v in versions if fs.exists(self._folder(f"{v}/_SUCCESS")[0])]
+
+    def _folder(self, place: str) -> tuple:
+        """A folder and its file system."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(place)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def ref(self, layer: str, name: str) -> DataFrame:
-        """Named read of a published table."""
-        return self.spark.table(f"{layer}.{name}")
+        """Named read of a published table.
+
+        Where this session's catalog does not have it (a new session without a
+        shared metastore), an unpartitioned table is read from its newest version.
+        """
+        full = self.table(layer, name)
+        if self.spark.catalog.tableExists(full):
+            return self.spark.table(full)
+        place = self.path(layer, name)
+        folder, fs = self._folder(place)
+        if not fs.exists(folder):
+            raise FileNotFoundError(f"no table {layer}.{name} under {self.root}")
+        # a folder without versions was written by something else
+        return self.spark.read.format(self.fmt).load([place, *self._versions(layer, name)][-1])
+
+    def vacuum(self, layer: str, name: str, keep: int = 2) -> int:
+        """Delete all but the newest ``keep`` versions of a Parquet table; returns how many went."""
+        if keep < 1:
+            raise ValueError("the current version must be kept")
+        old = self._versions(layer, name)[:-keep]
+        for v in old:
+            path, fs = self._folder(v)
+            fs.delete(path, True)
+        return len(old)
+
+
+def _bare(uri: str) -> str:
+    """A location without its scheme where that is the local file system's."""
+    return re.sub(r"^file:/*", "/", uri).rstrip("/")
 
 
 def write_bronze(

@@ -1,6 +1,66 @@
 """Final selects of the oracle queries, keyed like ``queries()``."""
 
+# Columns of the raw tables as text, in column order: @ an instant, # a value in hundredths.
+RAW_COLUMNS = {
+    "raw_clients": "id name industry plan_tier onboard_date city state @_loaded_at",
+    "raw_leads": "id client_id source status #value @created_at @_loaded_at",
+    "raw_appointments": "id lead_id client_id @scheduled_at status notes @_loaded_at",
+    "raw_seo_rankings": "client_id keyword position snapshot_date @_dlt_load_time",
+    "raw_ad_spend": "client_id channel date #spend impressions clicks @_dlt_load_time",
+}
+
+
+def _row_sum(table: str) -> str:
+    """Row count and sum of row hashes over all columns of a raw table."""
+
+    def text(col: str) -> str:
+        if col[0] == "@":
+            return f"CAST(epoch_us({col[1:]}) AS VARCHAR)"
+        if col[0] == "#":
+            return f"CAST(CAST(round({col[1:]} * 100) AS BIGINT) AS VARCHAR)"
+        return f"CAST({col} AS VARCHAR)"
+
+    parts = " || '|' || ".join(f"coalesce({text(c)}, '-')" for c in RAW_COLUMNS[table].split())
+    return f"""SELECT '{table}' AS table_name, count(*) AS row_count,
+    CAST(sum(CAST('0x' || substr(md5({parts}), 1, 8) AS BIGINT)) AS BIGINT) AS row_sum FROM {table}"""
+
+
+def _key_sum(table: str, key: str) -> str:
+    """Row count and sum of keys (integer keys as they are, md5 keys by their first 8 digits)."""
+    value = key if not key.endswith("_key") else f"CAST('0x' || substr({key}, 1, 8) AS BIGINT)"
+    return f"""SELECT '{table}' AS table_name, count(*) AS row_count, CAST(sum({value}) AS BIGINT) AS key_sum FROM {table}"""
+
+
+PIPELINE_KEYS = {
+    "raw_clients": "id",
+    "raw_leads": "id",
+    "raw_appointments": "id",
+    "raw_seo_rankings": "client_id",
+    "raw_ad_spend": "client_id",
+    "stg_clients": "client_key",
+    "stg_leads": "lead_key",
+    "stg_appointments": "appointment_key",
+    "stg_seo_rankings": "seo_key",
+    "stg_ad_spend": "ad_spend_key",
+    "dim_clients": "client_key",
+    "fct_leads": "lead_key",
+    "fct_ad_performance": "ad_spend_key",
+    "fct_appointments": "appointment_key",
+}
+
 FINALS: dict[str, str] = {
+    "bronze_stamp": """
+SELECT id, name, industry, plan_tier, onboard_date, city, state, TIMESTAMP '2024-02-10 00:00:00' AS _loaded_at
+FROM raw_clients""",
+    "context_lookup_ids": """
+SELECT asked.client_id, d.client_id IS NOT NULL AS known, client_name, industry, plan_tier, days_active, total_leads,
+       converted_leads, lead_conversion_rate, total_appointments
+FROM (SELECT client_id FROM raw_ad_spend UNION SELECT -client_id FROM raw_ad_spend) asked
+LEFT JOIN dim_clients d ON d.client_id = asked.client_id""",
+    "contract_nulls": """
+SELECT 'fct_leads' AS table_name, unnest(['lead_key', 'lead_id', 'client_id', 'created_at', 'is_converted']) AS column_name,
+       unnest([0, 0, count(*) FILTER (WHERE client_id % 7 = 0), 0, 0]) AS null_rows
+FROM fct_leads""",
     "csv_scan": "SELECT client_id, channel, date, spend, impressions, clicks, _dlt_load_time FROM raw_ad_spend",
     "json_scan": "SELECT client_id, keyword, position, snapshot_date FROM raw_seo_rankings",
     "stg_clients": "SELECT * FROM stg_clients",
@@ -56,15 +116,13 @@ FROM raw_ad_spend""",
 SELECT l.lead_id, l.client_id, c.industry, c.plan_tier
 FROM stg_leads l LEFT JOIN stg_clients c ON l.client_id = c.client_id""",
     "join_left_composite": """
-SELECT a.ad_spend_key, a.client_id, a.spend_date, l.daily_leads
-FROM stg_ad_spend a
-LEFT JOIN lead_counts_by_day l ON a.client_id = l.client_id AND a.spend_date = l.lead_date""",
+SELECT ad_spend_key, client_id, spend_date, nullif(daily_leads, 0) AS daily_leads FROM spend_with_leads""",
     "exists_flag": """
-SELECT l.lead_id, CASE WHEN a.lead_id IS NOT NULL THEN true ELSE false END AS has_appointment
-FROM stg_leads l LEFT JOIN appointment_leads a ON l.lead_id = a.lead_id""",
+SELECT lead_id, EXISTS (SELECT 1 FROM stg_appointments v WHERE v.lead_id = l.lead_id) AS has_appointment
+FROM stg_leads l""",
     "agg_count_by_key": "SELECT client_id, count(*) AS total_leads FROM stg_leads GROUP BY client_id",
-    "agg_count_filter": "SELECT client_id, total_leads, converted_leads FROM lead_counts",
-    "agg_count_by_day": "SELECT client_id, lead_date, daily_leads FROM lead_counts_by_day",
+    "agg_count_filter": "SELECT client_id, leads AS total_leads, wins AS converted_leads FROM client_totals WHERE leads > 0",
+    "agg_count_by_day": "SELECT client_id, CAST(created_at AS DATE) AS lead_date, count(*) AS daily_leads FROM stg_leads GROUP BY ALL",
     "distinct_keys": "SELECT DISTINCT lead_id FROM stg_appointments",
     "case_flag": """
 SELECT lead_id, lead_status,
@@ -81,45 +139,9 @@ FROM dim_clients""",
     "topk_keywords": "SELECT client_id, CAST(rank AS INTEGER) AS rank, keyword, position FROM seo_top5",
     "trailing_spend": "SELECT client_id, monthly_spend_usd, avg_cpl FROM trailing_spend_30",
     "client_context": "SELECT * FROM client_context",
-    "bronze_roundtrip": """
-SELECT 'raw_clients' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS key_sum, max(_loaded_at) AS load_max FROM raw_clients
-UNION ALL
-SELECT 'raw_leads' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS key_sum, max(_loaded_at) AS load_max FROM raw_leads
-UNION ALL
-SELECT 'raw_appointments' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS key_sum, max(_loaded_at) AS load_max FROM raw_appointments
-UNION ALL
-SELECT 'raw_seo_rankings' AS table_name, count(*) AS row_count, CAST(sum(client_id) AS BIGINT) AS key_sum, max(_dlt_load_time) AS load_max FROM raw_seo_rankings
-UNION ALL
-SELECT 'raw_ad_spend' AS table_name, count(*) AS row_count, CAST(sum(client_id) AS BIGINT) AS key_sum, max(_dlt_load_time) AS load_max FROM raw_ad_spend""",
+    "bronze_roundtrip": "\nUNION ALL\n".join(_row_sum(t) for t in RAW_COLUMNS),
     "ad_stream_ingest": "SELECT * FROM stg_ad_spend",
-    "pipeline_counts": """
-SELECT 'raw_clients' AS table_name, count(*) AS row_count FROM raw_clients
-UNION ALL
-SELECT 'raw_leads' AS table_name, count(*) AS row_count FROM raw_leads
-UNION ALL
-SELECT 'raw_appointments' AS table_name, count(*) AS row_count FROM raw_appointments
-UNION ALL
-SELECT 'raw_seo_rankings' AS table_name, count(*) AS row_count FROM raw_seo_rankings
-UNION ALL
-SELECT 'raw_ad_spend' AS table_name, count(*) AS row_count FROM raw_ad_spend
-UNION ALL
-SELECT 'stg_clients' AS table_name, count(*) AS row_count FROM stg_clients
-UNION ALL
-SELECT 'stg_leads' AS table_name, count(*) AS row_count FROM stg_leads
-UNION ALL
-SELECT 'stg_appointments' AS table_name, count(*) AS row_count FROM stg_appointments
-UNION ALL
-SELECT 'stg_seo_rankings' AS table_name, count(*) AS row_count FROM stg_seo_rankings
-UNION ALL
-SELECT 'stg_ad_spend' AS table_name, count(*) AS row_count FROM stg_ad_spend
-UNION ALL
-SELECT 'dim_clients' AS table_name, count(*) AS row_count FROM dim_clients
-UNION ALL
-SELECT 'fct_leads' AS table_name, count(*) AS row_count FROM fct_leads
-UNION ALL
-SELECT 'fct_ad_performance' AS table_name, count(*) AS row_count FROM fct_ad_performance
-UNION ALL
-SELECT 'fct_appointments' AS table_name, count(*) AS row_count FROM fct_appointments""",
+    "pipeline_counts": "\nUNION ALL\n".join(_key_sum(t, k) for t, k in PIPELINE_KEYS.items()),
     "client_context_json": """
 SELECT client_id,
        CAST(to_json({

@@ -79,6 +79,43 @@ def test_failed_declared_tests_fail_the_run(spark, tmpdir_path):
     assert os.path.exists(f"{tmpdir_path}/lake/quality/test_results")
 
 
+def test_failed_write_keeps_the_old_table(spark, tmpdir_path):
+    lake = Lake(spark, f"{tmpdir_path}/lake")
+    name = lake.write(spark.range(3).selectExpr("id", "id % 2 AS part"), "gold", "numbers", partition_by=["part"])
+    with pytest.raises(Exception, match="no more rows"):
+        lake.write(spark.range(5).selectExpr("id", "raise_error('no more rows') AS part"), "gold", "numbers")
+    assert sorted(r.id for r in spark.table(name).collect()) == [0, 1, 2]
+    for n in (4, 6, 8):
+        lake.write(spark.range(n), "gold", "numbers")
+    assert spark.table(name).count() == 8
+    lake.write(spark.range(2), "gold", "numbers", mode="append")
+    assert lake.vacuum("gold", "numbers") == 2 and spark.table(name).count() == 10
+    with pytest.raises(ValueError):
+        lake.vacuum("gold", "numbers", keep=0)
+
+
+def test_two_roots_stay_apart(spark, tmpdir_path):
+    a, b = Lake(spark, f"{tmpdir_path}/a"), Lake(spark, f"{tmpdir_path}/b")
+    names = [lake.write(spark.range(n), "gold", "numbers") for lake, n in ((a, 2), (b, 5))]
+    assert [spark.table(n).count() for n in names] == [2, 5]
+    assert a.ref("gold", "numbers").count() == 2
+    assert Lake(spark, f"{tmpdir_path}/a").ref("gold", "numbers").count() == 2
+    spark.sql(f"DROP TABLE {names[0]}")  # as in a new session: read from the newest version
+    assert a.ref("gold", "numbers").count() == 2
+    with pytest.raises(FileNotFoundError):
+        a.ref("gold", "nothing")
+    assert Lake(spark, f"{tmpdir_path}/c", namespace="team").table("gold", "x").startswith("team_gold")
+
+
+def test_lookup_of_many_ids(spark):
+    from lakeops.plans import context
+
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "client_id int, client_name string")
+    ids = spark.createDataFrame([(2,), (2,), (9,), (None,)], "client_id long")
+    rows = {(r.client_id, r.known, r.client_name) for r in context.lookup_ids(docs, ids).collect()}
+    assert rows == {(2, True, "b"), (9, False, None), (None, False, None)}
+
+
 def test_build_rejects_unknown_model(spark, tmpdir_path):
     lake = Lake(spark, f"{tmpdir_path}/lake")
     with pytest.raises(KeyError):

@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 
@@ -62,7 +63,7 @@ def test_bronze_replace_and_named_read(spark, tmpdir_path):
     back = lake.ref("bronze", "raw_ad_spend")
     assert back.count() == 2  # replaced, not appended
     assert back.first()._dlt_load_time == datetime(2024, 2, 1)
-    assert os.path.isdir(f"{tmpdir_path}/lake/bronze/raw_ad_spend/date=2024-01-01")
+    assert len(glob.glob(f"{tmpdir_path}/lake/bronze/raw_ad_spend/v-*/date=2024-01-01")) == 2  # a folder per version
     plan = back.where("date = '2024-01-01'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
 
