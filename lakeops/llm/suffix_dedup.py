@@ -53,6 +53,7 @@ BLOCK_BYTES = 4 << 20
 PIECE = 1 << 18
 WINDOWS = 1 << 17  # windows that are sorted at once, unless one point has more
 BLOCKS_A_TASK = 3
+_EVEN = np.uint64(0x9E3779B97F4A7C15)  # odd: points, the least of many hashes, spread over all ranges
 PART_POINTS = 1 << 18  # points that one task compares
 PART_BYTES = 4 << 20  # bytes of segments that one task sorts
 _UPPER = np.uint64(0xFFFFFFFF00000000)
@@ -104,7 +105,7 @@ def segments(data: np.ndarray, sizes: np.ndarray, part: np.ndarray) -> tuple[np.
         start = np.flatnonzero(new)
         if len(start):
             many = np.add.reduceat(valid.astype(np.int64), start)
-            found.append((window[start], many, hashes[place[start]], owner[start]))
+            found.append((window[start], many, hashes[place[start]] * _EVEN, owner[start]))
     if not found:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty.astype(np.uint64), empty
