@@ -164,28 +164,46 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """The mix itself: every document as often as it is taken, with all columns of ``docs``.
 
-    Copies are counted per (doc_id, source, size). Of repeated rows, which are alike there, the first
-    few get one copy more if the copies do not divide evenly.
+    Copies are counted per (doc_id, source, size). Of the rows that are alike there (repeated or null
+    doc_ids), the first few by a hash of the row get one copy more if the copies do not divide evenly.
+    Large groups are dealt into hash buckets that get the copy whole or not at all, so that only one
+    bucket of a group needs ranking. (Equal rows share a bucket.)
     """
     counted = (
         mix(docs, text, source, doc_id)
         .groupBy("doc_id", "source", "size")
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("times").alias("copies"))
         .where("copies > 0")
-        .alias("m")
     )
+    counted = written(counted, "copies").alias("m")
     size = F.coalesce(F.regexp_count(F.col(f"d.{text}"), F.lit(WORD)), F.lit(0))
     same = (
         F.col(f"d.{doc_id}").eqNullSafe(F.col("m.doc_id"))
         & F.col(f"d.{source}").eqNullSafe(F.col("m.source"))
         & (size == F.col("m.size"))
     )
-    names = docs.columns
-    joined = docs.alias("d").join(counted, same).select(F.struct("d.*").alias("row"), "m.rows", "m.copies")
-    key = [f"row.`{c}`" for c in (doc_id, source)]
-    place = F.row_number().over(Window.partitionBy(*key, "copies", "rows").orderBy(F.xxhash64("row")))
-    more = (place <= F.col("copies") % F.col("rows")).cast("long")
-    several = joined.where("rows > 1").withColumn("n", F.floor(F.col("copies") / F.col("rows")) + more)
-    times = joined.where("rows = 1").withColumn("n", F.col("copies")).unionByName(several).where("n > 0")
+    names, key = docs.columns, ["doc_id", "source", "size"]
+    joined = docs.alias("d").join(counted, same).select(F.struct("d.*").alias("row"), "m.*")
+    even = joined.where("copies % rows = 0").selectExpr("row", "copies div rows AS n")
+    many = F.ceil(F.col("rows") / F.lit(BUCKET_ROWS))
+    uneven = (
+        joined.where("copies % rows > 0")
+        .withColumn("draw", F.xxhash64("row"))
+        .withColumn("bucket", F.pmod(F.shiftrightunsigned("draw", 16), many))
+    )
+    ahead = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (
+        uneven.groupBy(*key, "bucket")
+        .agg(F.count(F.lit(1)).alias("held"), F.first(F.expr("copies % rows")).alias("more"))
+        .withColumn("more", F.col("more") - F.coalesce(F.sum("held").over(ahead), F.lit(0)))
+        .select(*(F.col(c).alias(f"b_{c}") for c in [*key, "bucket"]), "held", "more")
+    )
+    met = [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in [*key, "bucket"]]
+    dealt = uneven.join(buckets, met)
+    whole = dealt.where("more <= 0 OR more >= held").withColumn("place", F.when(F.col("more") > 0, 0).otherwise(1))
+    rank = F.row_number().over(Window.partitionBy(*key, "bucket").orderBy("draw"))
+    split = dealt.where("more > 0 AND more < held").withColumn("place", (rank > F.col("more")).cast("int"))
+    extra = whole.unionByName(split).selectExpr("row", "copies div rows + 1 - place AS n")
+    times = even.unionByName(extra).where("n > 0")
     repeated = times.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
     return repeated.select(*(F.col(f"row.`{c}`").alias(c) for c in names))
