@@ -8,7 +8,7 @@ by length alone:
 
 1. documents are counted by exact length (source, length);
 2. of every length the same share is taken, rounded down, then whole documents of the longest
-   fitting lengths, until the open budget is small;
+   fitting lengths, until the open budget is small. Sources of few lengths (``room``) skip this;
 3. bounded-knapsack dynamic programming over the documents left finds the subset of lengths whose
    sum comes nearest to the open budget from below (usually it is met exactly);
 4. the wanted number of documents of a length are those with the smallest seeded hashes. Lengths
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, written
 
-DP_BUDGET = 1 << 15  # words that dynamic programming fits
+DP_BUDGET = 1 << 15  # words that dynamic programming fits at least
+DP_BITS = 1 << 29  # of its bit sets, where it fits more
 BUCKET_ROWS = 4096
 SEED = 17
 
@@ -62,6 +63,17 @@ def bounded_subset(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.n
     return taken
 
 
+def room(lengths: np.ndarray, counts: np.ndarray, budget: int) -> int:
+    """Words that dynamic programming fits: DP_BUDGET, doubled while its bit sets stay within DP_BITS."""
+    words = DP_BUDGET
+    while words < budget:
+        bundles = sum(int(min(c, 2 * words // n)).bit_length() for n, c in zip(lengths.tolist(), counts.tolist()) if n)
+        if 4 * words * bundles > DP_BITS:
+            break
+        words *= 2
+    return words
+
+
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Documents to take of each length, at most ``counts``, with a sum near ``budget``."""
     total = int((lengths * counts).sum())
@@ -70,18 +82,23 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
     if budget >= total:
         return np.where(lengths > 0, counts, 0)
     # leave some budget open: dynamic programming needs room to hit it
-    taken = np.array([int(c) * max(0, budget - DP_BUDGET // 2) // total for c in counts], np.int64)
+    words = room(lengths, counts, budget)
+    share = max(0, budget - words // 2) if budget > words else 0
+    taken = np.array([int(c) * share // total for c in counts], np.int64)
     taken[lengths == 0] = 0
     open_ = budget - int((lengths * taken).sum())
     for i in np.argsort(-lengths, kind="stable"):
-        if open_ <= DP_BUDGET:
+        if open_ <= words:
             break
         if lengths[i]:
-            n = int(min(counts[i] - taken[i], (open_ - DP_BUDGET // 2) // lengths[i]))
+            n = int(min(counts[i] - taken[i], (open_ - words // 2) // lengths[i]))
             taken[i] += max(n, 0)
             open_ -= max(n, 0) * int(lengths[i])
     small = np.flatnonzero((lengths > 0) & (lengths <= open_) & (taken < counts))
-    if len(small) and open_ <= 2 * DP_BUDGET:
+    if len(small) and open_ > 2 * words:
+        # all that is left is longer than open_ - words / 2, so one document more fits: the longest
+        taken[small[np.argmax(lengths[small])]] += 1
+    elif len(small):
         taken[small] += bounded_subset(lengths[small], (counts - taken)[small], open_)
     return taken
 

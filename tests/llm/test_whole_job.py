@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+import numpy as np
+
 from lakeops.llm import mixing
 
 
@@ -17,3 +19,16 @@ def test_null_ids_of_many_sizes_get_all_their_copies(spark, monkeypatch):
     for bucket in (mixing.BUCKET_ROWS, 1):  # whole groups, and groups dealt into buckets
         monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket)
         assert Counter(len(r["text"].split()) for r in mixing.mixed(docs).collect()) == want
+
+
+def test_long_documents_fill_the_budget():
+    for length, n, budget, best in (
+        (120_000, 6, 600_000, 600_000), (250_000, 4, 760_000, 750_000), (95_000, 2, 100_000, 95_000)
+    ):
+        taken = mixing.fit_lengths(np.array([length]), np.array([n]), budget)
+        assert int(taken[0]) * length == best
+    lengths, counts = np.array([70_000, 100_000]), np.array([3, 2])
+    assert int((mixing.fit_lengths(lengths, counts, 200_000) * lengths).sum()) == 200_000
+    many = np.arange(300_000, 320_000)  # too many lengths for dynamic programming over all of the budget
+    taken = mixing.fit_lengths(many, np.ones(len(many), np.int64), 1_000_000)
+    assert (taken <= 1).all() and 900_000 < int((taken * many).sum()) <= 1_000_000
