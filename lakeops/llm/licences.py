@@ -1,12 +1,21 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance along paths.
 
-A file's header lines (any line of its whole text) are compared with licence templates by the cosine
-of sparse TF-IDF vectors; inverse document frequencies come from the templates, and a word that no
-template has counts as the rarest. The best line decides if its cosine is ``threshold`` or more.
+A file is compared in three ways, each by the cosine of sparse TF-IDF vectors; inverse document
+frequencies come from the templates, and a word that no template has counts as the rarest:
 
-Lines are skipped without a comparison only if that is exact: the terms of a template are split into
-telling ones and the rest, such that the rest alone cannot reach the threshold (Cauchy-Schwarz), so a
-line needs a telling term of some template.
+1. the whole text with the whole licence texts in ``licence_texts`` (AGPL-3.0 and BSD-2-Clause are
+   derived from the texts of GPL-3.0 and BSD-3-Clause);
+2. the blocks of the text (lines without an empty or bare comment line between them, joined)
+   with titles, first paragraphs and notices of licences (BLOCKS);
+3. all lines with short notices (TEMPLATES).
+
+What reaches ``threshold`` decides: the whole text first, else the better of the best block and the
+best line, where "all rights reserved" alone gives way to any block.
+
+Texts, blocks and lines are skipped without a comparison only if that is exact. Words that no
+template has take so much of a text's norm that it cannot reach the threshold; and the terms of a
+template are split into telling ones and the rest, such that the rest alone cannot reach the
+threshold (both by Cauchy-Schwarz), so a line or block needs a telling term of some template.
 
 A file without a licence of its own inherits that of the nearest directory at or above its own with a
 licence file. Only distinct directories are joined with their ancestors, and files then with their
@@ -15,7 +24,7 @@ can split.
 
 Defined cases: a null or empty text has no header. A null path has no directory and inherits nothing.
 Of several licence files in a directory the one with the smallest path decides; of equal cosines the
-first template by name, of equal lines the first. Repeated rows get equal results. Empty tables give
+first template by name, of equal lines or blocks the first. Repeated rows get equal results. Empty tables give
 empty results. Columns are carried along where asked for; one with the name of an output column gives
 way to it.
 """
@@ -26,6 +35,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-#: Licence notices as they stand in headers, and first paragraphs of licence files. (Fixed values.)
+#: Short licence notices as they stand in headers. (Fixed values.)
 TEMPLATES = [
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -54,6 +65,53 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved."),
     ("Proprietary", "Copyright. All rights reserved."),
 ]
+_GNU = "GNU {}GENERAL PUBLIC LICENSE Version {}"
+_FREE = (
+    "This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General "
+    "Public License as published by the Free Software Foundation; either version {version} of the License, or "
+    "(at your option) any later version."
+)
+#: Titles, first paragraphs and notices of licences. (Fixed values.)
+BLOCKS = [
+    ("AGPL-3.0", _GNU.format("AFFERO ", "3, 19 November 2007")),
+    ("AGPL-3.0", _FREE.format(what="program", kind="Affero ", version="3")),
+    ("Apache-2.0", "Apache License"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
+        "compliance with the License. You may obtain a copy of the License at",
+    ),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("GPL-2.0", _GNU.format("", "2, June 1991")),
+    ("GPL-2.0", _FREE.format(what="program", kind="", version="2")),
+    ("GPL-3.0", _GNU.format("", "3, 29 June 2007")),
+    ("GPL-3.0", _FREE.format(what="program", kind="", version="3")),
+    ("LGPL-2.1", _GNU.format("LESSER ", "2.1, February 1999")),
+    ("LGPL-2.1", _FREE.format(what="library", kind="Lesser ", version="2.1")),
+    ("LGPL-3.0", _GNU.format("LESSER ", "3, 29 June 2007")),
+    ("LGPL-3.0", _FREE.format(what="library", kind="Lesser ", version="3")),
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "This file is licensed under the MIT License."),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without '
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    ),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+]
+#: Between two blocks: a line that is empty or has comment marks only.
+_GAP = re.compile(r"\n[ \t\r]*(?:[#*;%!\-]+|//+|/\*+|\*+/|<!--|-->)?[ \t\r]*(?=\n)")
 _TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 
@@ -61,6 +119,19 @@ def terms(text: str) -> Counter[str]:
     return Counter(_TERM.findall(text.lower()))
 
 
+#: Words of ordinary prose: telling only where the others do not suffice. (Fixed values.)
+_COMMON = frozenset("a an and any as at be by for if in is it not of on or one that the this to use was with you".split())
+
+
+@lru_cache(maxsize=1)
+def texts() -> list[tuple[str, str]]:
+    """The whole licence texts."""
+    found = {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+    found["AGPL-3.0"] = re.sub(r"(GNU\s+)(General\s+Public)", r"\1Affero \2", found["GPL-3.0"], flags=re.I)
+    found["BSD-2-Clause"] = re.sub(r"\n3\. .*?\n\n", "\n", found["BSD-3-Clause"], flags=re.S).replace("3-", "2-")
+    return sorted(found.items())
+
+
 class Templates:
     """TF-IDF vectors of the templates and the telling terms."""
 
@@ -77,7 +148,7 @@ class Templates:
             vector = {t: w / norm for t, w in weights.items()}
             self.vectors.append((name, vector))
             rest = 1.0
-            for t, w in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+            for t, w in sorted(vector.items(), key=lambda x: (x[0] in _COMMON, -x[1], x[0])):
                 if math.sqrt(max(rest, 0)) < threshold:
                     break
                 telling.add(t)
@@ -88,9 +159,13 @@ class Templates:
     def best(self, line: str) -> tuple[float, str] | None:
         """(cosine, name) of the nearest template; None below the threshold."""
         bag = terms(line)
-        weights = {t: n * self.idf.get(t, self.rarest) for t, n in bag.items()}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
+        idf, rarest = self.idf, self.rarest
+        weights = {t: n * idf[t] for t, n in bag.items() if t in idf}
+        known = sum(w * w for w in weights.values())
+        norm = math.sqrt(known + rarest * rarest * sum(n * n for t, n in bag.items() if t not in idf))
         top = None
+        if math.sqrt(known) < (self.threshold - 1e-9) * norm:
+            return None
         for name, vector in self.vectors:
             cosine = sum(w * weights[t] for t, w in vector.items() if t in weights) / norm if norm else 0.0
             if cosine >= self.threshold and (top is None or (-cosine, name) < (-top[0], top[1])):
@@ -109,6 +184,34 @@ class Templates:
             at = end + 1
         return top
 
+    def block(self, text: str) -> tuple[float, str] | None:
+        """The best block of a text."""
+        top, start, at = None, 0, 0
+        while hit := self.telling.search(text, at):
+            gap = _GAP.search(text, start)
+            while gap and gap.end() <= hit.start():  # to the block of the hit
+                start, gap = gap.end(), _GAP.search(text, gap.end())
+            at = gap.start() + 1 if gap and gap.start() >= hit.end() else len(text)
+            found = self.best(text[start:at])
+            if found and (top is None or found[0] > top[0]):
+                top = found
+        return top
+
+
+class Scan:
+    """The whole text, its blocks and its lines against their templates."""
+
+    def __init__(self, templates: list, threshold: float, blocks: list, whole: list):
+        self.lines, self.blocks, self.whole = (Templates(x, threshold) for x in (templates, blocks, whole))
+
+    def licence(self, text: str) -> tuple[float, str] | None:
+        if found := self.whole.best(text):
+            return found
+        line, block = self.lines.header(text), self.blocks.block(text)
+        if block and (not line or block[0] > line[0] or line[1] == "Proprietary"):
+            return block
+        return line
+
 
 OUTPUT = ("own_licence", "own_score", "directory", "licence", "licence_from")
 
@@ -118,11 +221,12 @@ def headers(
 ) -> DataFrame:
     """The ``carry`` columns of every file with own_licence and own_score (null without a header)."""
     carry = [c for c in carry if c not in OUTPUT]
+    whole = texts()  # read by the driver: some 150 KB that go with the tasks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Templates(templates, threshold)
+        known = Scan(templates, threshold, BLOCKS, whole)
         for batch in slices(batches, text, 8 << 20):
-            found = [known.header(t) if t else None for t in batch.column(text).to_pylist()]
+            found = [known.licence(t) if t else None for t in batch.column(text).to_pylist()]
             columns = [batch.column(c) for c in carry]
             columns += [
                 pa.array([f and f[1] for f in found], pa.string()),

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from lakeops.llm import mixing
+from lakeops.llm import licences, mixing
 
 
 def test_null_ids_of_many_sizes_get_all_their_copies(spark, monkeypatch):
@@ -32,3 +32,23 @@ def test_long_documents_fill_the_budget():
     many = np.arange(300_000, 320_000)  # too many lengths for dynamic programming over all of the budget
     taken = mixing.fit_lengths(many, np.ones(len(many), np.int64), 1_000_000)
     assert (taken <= 1).all() and 900_000 < int((taken * many).sum()) <= 1_000_000
+
+
+def test_licence_texts_and_header_blocks_are_found():
+    scan = licences.Scan(licences.TEMPLATES, 0.8, licences.BLOCKS, licences.texts())
+    whole = dict(licences.texts())
+    for name, text in whole.items():
+        changed = text.replace("<year>", "2020").replace("<copyright holders>", "Foo Inc.").replace("<owner>", "Foo Inc.")
+        assert scan.licence(changed)[1] == name and scan.licence(" ".join(changed.split()))[1] == name
+    code = "\n\nimport os\n\n" + "\n".join(f"value{i} = other{i} + 1" for i in range(2000))
+    for name in ("MIT", "GPL-3.0", "LGPL-2.1", "MPL-2.0"):  # a licence above code: its blocks tell
+        for mark in ("", "# ", " * ", "// "):
+            header = "\n".join((mark + x).rstrip() for x in whole[name].split("\n"))
+            assert scan.licence(header + code)[1] == name
+    for line, name in (
+        ("MIT License", "MIT"), ("The MIT License (MIT)", "MIT"), ("Apache License", "Apache-2.0"),
+        ("This file is licensed under the MIT License.", "MIT"),
+        ("    GNU GENERAL PUBLIC LICENSE\n       Version 2, June 1991", "GPL-2.0"),
+    ):
+        assert scan.licence(line + code)[1] == name
+    assert scan.licence("Copyright (c) 2020 Foo" + code) is None
