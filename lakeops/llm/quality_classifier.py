@@ -1,14 +1,16 @@
 """Quality classifier: supervised subword embeddings.
 
-A text is a bag of hashed features: each word, its character n-grams between word ends, and the
-word bigrams, of which those of two equal words share one bucket. Every bucket has a learned
+A text is a bag of hashed features: each word, its character n-grams between word ends (over whole
+words, at any length), and the word bigrams of the whole text, in their order; those of two equal
+words also share one bucket that counts eightfold. Every bucket has a learned
 vector; a document is the mean of the vectors of its features, and a softmax layer turns the mean
 into class probabilities. Vectors and layer are trained by stochastic gradient descent in numpy
 on at most ``max_docs`` labelled documents (whole texts, hashed on the executors; the driver gets
 buckets and counts only).
 
 Scoring reads every whole text once, without a shuffle. As the output layer is linear in the mean,
-each word adds a number (the margin of its features) that is looked up once per distinct word.
+each word adds a number (the margin of its features) that is computed once per distinct word, and
+each pair of neighbours the margin of its bucket.
 
 Defined cases: a null or empty text has no features and gets the probability of the bias alone.
 Without labels the score is 0.5. Repeated rows are scored alike. A null doc_id is not held out.
@@ -33,33 +35,83 @@ BUCKETS = 1 << 16
 DIM = 12
 _REPEAT = 0  # the bucket of a bigram of two equal words
 _MOST_WORDS = 400_000  # distinct words remembered by a task before it starts afresh
+_PIECE = 1 << 15  # words or buckets handled at a time
 
 
-def buckets(word: bytes, low: int = 3, high: int = 5) -> list[int]:
-    """Buckets of a word and of its character n-grams (over bytes, with word ends)."""
-    bounded = b"<" + word[:64] + b">"
-    found = [1 + crc32(word) % (BUCKETS - 1)]
+def buckets(word: bytes, low: int = 3, high: int = 5) -> Iterator[list[int]]:
+    """Buckets of a word and of its character n-grams (over bytes, with word ends), in bounded pieces."""
+    bounded, found = b"<" + word + b">", [1 + crc32(word) % (BUCKETS - 1)]
     for n in range(low, high + 1):
-        found += [1 + crc32(bounded[i : i + n], n) % (BUCKETS - 1) for i in range(len(bounded) - n + 1)]
-    if len(word) > 64:  # the n-grams of the rest, without building them twice
-        found += [1 + crc32(word[i : i + low], low) % (BUCKETS - 1) for i in range(64, len(word) - low + 1)]
-    return found
+        for at in range(0, len(bounded) - n + 1, _PIECE):
+            last = min(at + _PIECE, len(bounded) - n + 1)
+            found += [1 + crc32(bounded[i : i + n], n) % (BUCKETS - 1) for i in range(at, last)]
+            if len(found) >= _PIECE:
+                yield found
+                found = []
+    yield found
+
+
+def bigrams(hashes: np.ndarray) -> np.ndarray:
+    """Buckets of the pairs of neighbours, from the hashes of the words in text order."""
+    a, b = hashes[:-1], hashes[1:]
+    pair = (a * np.uint64(0x9E3779B97F4A7C15)) ^ (b * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1))
+    pair = (pair ^ pair >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93)
+    return (1 + (pair >> np.uint64(32)) % np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
     words = text.split()
     total: Counter[int] = Counter()
-    for word, n in Counter(words).items():
-        for b in buckets(word):
-            total[b] += n
-    if same := sum(a == b for a, b in zip(words, words[1:], strict=False)):
+    counted = Counter(words)
+    for word, n in counted.items():
+        for part in buckets(word):
+            for b in part:
+                total[b] += n
+    hashed = {word: crc32(word) for word in counted}
+    hashes = np.fromiter(map(hashed.__getitem__, words), np.uint64, len(words))
+    for b, n in zip(*(x.tolist() for x in np.unique(bigrams(hashes), return_counts=True)), strict=True):
+        total[b] += n
+    if same := int((hashes[1:] == hashes[:-1]).sum()):
         total[_REPEAT] += same * 8
     ids = np.fromiter(total.keys(), np.int32, len(total))
     order = np.argsort(ids)
     return ids[order], np.fromiter(total.values(), np.int32, len(total))[order]
 
 
+class Scorer(dict):
+    """Probabilities of texts; holds the place of each known word in tables of margin, features and hash."""
+
+    def __init__(self, weights: np.ndarray, bias: float):
+        self.weights, self.bias = weights, bias
+        self.margins, self.counts = np.zeros(_MOST_WORDS), np.zeros(_MOST_WORDS, np.int64)
+        self.hashes = np.zeros(_MOST_WORDS, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = len(self)
+        margin, n = 0.0, 0
+        for part in buckets(word):
+            margin += float(self.weights[part].sum())
+            n += len(part)
+        self.margins[at], self.counts[at], self.hashes[at] = margin, n, crc32(word)
+        return at
+
+    def score(self, text: bytes) -> float:
+        words = text.split()
+        margin, n, last = 0.0, 0, np.zeros(0, np.uint64)
+        for start in range(0, len(words), _PIECE):
+            part = words[start : start + _PIECE]
+            if len(self) + len(part) > _MOST_WORDS:
+                self.clear()
+            at = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
+            hashes = np.concatenate([last, self.hashes[at]])
+            pairs, same = bigrams(hashes), 8 * int((hashes[1:] == hashes[:-1]).sum())
+            margin += float(self.margins[at].sum() + self.weights[pairs].sum() + same * self.weights[_REPEAT])
+            n += int(self.counts[at].sum()) + len(pairs) + same
+            last = hashes[-1:]
+        return float(1 / (1 + np.exp(-np.clip(margin / max(n, 1) + self.bias, -500, 500))))
+
+
 class Model:
     """Bucket vectors, output layer and bias of two classes."""
 
@@ -137,24 +189,9 @@ def score(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -
     shared = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float64), bias))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
-        known: dict[bytes, tuple[float, int]] = {}
+        known = Scorer(*shared.value)
         for batch in slices(batches, text, 8 << 20):
-            scores = []
-            for words in map(bytes.split, text_bytes(batch.column(text))):
-                margin, n = 0.0, 0
-                for word, times in Counter(words).items():
-                    found = known.get(word)
-                    if found is None:
-                        if len(known) >= _MOST_WORDS:
-                            known.clear()
-                        ids = buckets(word)
-                        found = known[word] = (float(weights[ids].sum()), len(ids))
-                    margin += times * found[0]
-                    n += times * found[1]
-                same = 8 * sum(map(bytes.__eq__, words, words[1:]))
-                margin, n = margin + same * weights[_REPEAT], n + same
-                scores.append(1 / (1 + np.exp(-np.clip(margin / max(n, 1) + bias, -500, 500))))
+            scores = [known.score(t) for t in text_bytes(batch.column(text))]
             kept = [batch.column(c) for c in carry]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64())], names=[*carry, "score"])
         known.clear()

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from lakeops.llm import licences, mixing
+from lakeops.llm import licences, mixing, quality_classifier
 
 
 def test_null_ids_of_many_sizes_get_all_their_copies(spark, monkeypatch):
@@ -52,3 +52,24 @@ def test_licence_texts_and_header_blocks_are_found():
     ):
         assert scan.licence(line + code)[1] == name
     assert scan.licence("Copyright (c) 2020 Foo" + code) is None
+
+
+def test_classifier_sees_word_order_and_whole_long_words(monkeypatch):
+    rng = np.random.default_rng(2)
+    words = [f"w{i}".encode() for i in range(12)]
+    ordered = [b" ".join(words[i % 12] for i in range(k, k + 24)) for k in range(12)]
+    shuffled = [b" ".join(rng.permutation(x.split()).tolist()) for x in ordered]
+    model = quality_classifier.Model()
+    bags = [quality_classifier.bag(x) for x in ordered + shuffled]
+    model.train(bags, np.array([1] * 12 + [0] * 12), epochs=60)
+    weights, bias = model.margins()
+    scorer = quality_classifier.Scorer(weights.astype(float), bias)
+    assert np.mean([scorer.score(x) for x in ordered]) > np.mean([scorer.score(x) for x in shuffled]) + 0.05
+    want = [1 / (1 + np.exp(-(c / c.sum() @ weights[i] + bias))) for i, c in bags]
+    assert np.allclose([scorer.score(x) for x in ordered + shuffled], want, atol=1e-5)
+    monkeypatch.setattr(quality_classifier, "_PIECE", 5)
+    again = quality_classifier.Scorer(weights.astype(float), bias)
+    assert np.allclose([again.score(x) for x in ordered + shuffled], want, atol=1e-5)
+    long = b"x" * 80 + b"abcdef" + b"y" * 80
+    found = [b for part in quality_classifier.buckets(long) for b in part]
+    assert len(found) == 1 + sum(len(long) + 2 - n + 1 for n in (3, 4, 5))
