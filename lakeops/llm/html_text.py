@@ -12,7 +12,10 @@ fixed small set): observed minus expected features, the expectations coming from
 
 Blocks: each stretch of text between two block tags. Character references are decoded, white space is
 made one space, blocks are trimmed and joined in page order by a newline. ``br`` is white space. Heads,
-scripts, styles, templates and comments have no text.
+scripts, styles, frames, templates, noscript and svg elements and comments have no text. A head without
+its end tag ends at the body, the first text, or the first element that no head holds. A noscript,
+svg or template element without its end tag ends where its parent does; in the body itself, where the
+next block begins.
 
 Defined cases: a null or empty page has the empty text. Markup may be broken: an end tag closes the
 nearest open element of its name, or nothing; ``<`` that starts no tag is text. Whole pages are read,
@@ -36,7 +39,7 @@ from .html_pages import PAGES
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|head|template|noscript|svg|iframe|title|math|object)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|iframe|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
     r"|<(/?)([a-z][^\s/>]*)([^>]*)>"
     r"|<[!?][^>]*>",
@@ -59,6 +62,48 @@ _CLOSES = {
 _HOLDERS = frozenset("ul ol dl table tbody thead tfoot select menu".split())
 
 
+_SKIPPED = frozenset("noscript svg template".split())
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript template".split())
+
+
+def _head_end(html: str, at: int) -> int:
+    """Where the head ends whose start tag ends at ``at``."""
+    other = -1  # the first thing that no head holds
+    for hit in _TAG.finditer(html, at):
+        if other < 0 and html[at : hit.start()].strip():
+            other = at
+        at = hit.end()
+        tag = (hit[3] or hit[6] or "").lower()
+        if tag == "head" and (hit[2] or hit[5]):
+            return hit.end()
+        if tag == "body" or tag in BLOCKS:
+            return hit.start() if other < 0 else other
+        if other < 0 and tag and tag not in _IN_HEAD:
+            other = hit.start()
+    return other if other >= 0 else at
+
+
+def _skipped_end(html: str, at: int, tag: str, nodes: list[Node], stack: list[int]) -> int:
+    """Where the element ends whose start tag ends at ``at``; ``stack``: the open nodes around it."""
+    inner: dict[str, int] = {}
+    block = -1  # the first block in it
+    for hit in _TAG.finditer(html, at):
+        name, end = (hit[3] or hit[6] or "").lower(), hit[2] or hit[5]
+        if name == tag:
+            if end:
+                return hit.end()
+            if block >= 0:  # the end tag to come is that of this one
+                return block
+        elif name in BLOCKS and not end:
+            inner[name] = inner.get(name, 0) + 1
+            block = hit.start() if block < 0 else block
+        elif name in BLOCKS and inner.get(name):
+            inner[name] -= 1
+        elif end and (name in ("body", "html") or name in BLOCKS and any(nodes[i].tag == name for i in stack)):
+            return hit.start() if len(stack) > 1 or block < 0 else block
+    return block if block >= 0 else len(html)
+
+
 class Node:
     __slots__ = ("parent", "tag", "names", "chars", "linked", "stops", "main")
 
@@ -102,7 +147,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         links = 0
 
     at = 0
-    for hit in _TAG.finditer(html):
+    while hit := _TAG.search(html, at):
         if hit.start() > at:
             text.append(html[at : hit.start()])
             if links:
@@ -112,7 +157,11 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if not tag:
             continue
         end, tag, rest = hit[2] or hit[5], tag.lower(), hit[4] or hit[7] or ""
-        if tag == "a":
+        if tag == "head" and not end:
+            at = _head_end(html, at)
+        elif tag in _SKIPPED and not end and not (tag == "svg" and rest.endswith("/")):
+            at = _skipped_end(html, at, tag, nodes, stack)
+        elif tag == "a":
             links = 0 if end else 1
         elif tag == "br":
             text.append(" ")

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from lakeops.llm import licences, mixing, quality_classifier
+from lakeops.llm import html_text, licences, mixing, quality_classifier
 
 
 def test_null_ids_of_many_sizes_get_all_their_copies(spark, monkeypatch):
@@ -73,3 +73,18 @@ def test_classifier_sees_word_order_and_whole_long_words(monkeypatch):
     long = b"x" * 80 + b"abcdef" + b"y" * 80
     found = [b for part in quality_classifier.buckets(long) for b in part]
     assert len(found) == 1 + sum(len(long) + 2 - n + 1 for n in (3, 4, 5))
+
+
+def test_open_heads_and_elements_do_not_swallow_the_page():
+    def seen(page):
+        return " ".join(text for _, text in html_text.parse(page)[1])
+
+    assert seen("<html><head><title>T</title><meta charset=x><body><p>One.</p><p>Two.</p>") == "One. Two."
+    assert seen("<head><title>T</title><article><p>One.</p></article>") == "One."
+    assert seen("<head><script>a</script>Plain <b>text</b> only.") == "Plain text only."
+    assert seen("<head><title>T</title><style>p</style></head><body><p>One.</p></body>") == "One."
+    for tag in ("noscript", "svg", "template"):
+        assert seen(f"<body><div>A<{tag}><i>no</i></div><p>One.</p></body>") == "A One."
+        assert seen(f"<body><{tag}><i>no</i><p>One.</p><p>Two.</p></body>") == "One. Two."
+        assert seen(f"<body><p>A <{tag}>no</{tag}>B</p><{tag}>no<p>One.</p><{tag}>no</{tag}></body>") == "A B One."
+    assert seen("<p>Let <math><mi>x</mi></math> be <object data=a>a thing</object> <svg/>here.") == "Let x be a thing here."
