@@ -146,7 +146,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         del stack[depth:]
         links = 0
 
-    at = 0
+    at, headed = 0, False
     while hit := _TAG.search(html, at):
         if hit.start() > at:
             text.append(html[at : hit.start()])
@@ -157,8 +157,9 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if not tag:
             continue
         end, tag, rest = hit[2] or hit[5], tag.lower(), hit[4] or hit[7] or ""
-        if tag == "head" and not end:
-            at = _head_end(html, at)
+        if tag == "head":
+            if not (end or headed):  # a page has one head
+                headed, at = True, _head_end(html, at)
         elif tag in _SKIPPED and not end and not (tag == "svg" and rest.endswith("/")):
             at = _skipped_end(html, at, tag, nodes, stack)
         elif tag == "a":
