@@ -3,8 +3,11 @@
 Every document gets rule statistics (word, symbol, line and repetition counts). A hard rule
 rejects very short and very repetitive texts. Of the others, isolation forests decide, one for
 each statistic and one over all of them: trees of random splits isolate unusual rows early, so a
-short mean path marks an anomaly. The path score beyond which a forest rejects comes from labelled
-rows: at most ``max_good_loss`` of those with label 1 lie above it, plus a margin.
+short mean path marks an anomaly. The trees are grown on rows with label 1, and their cuts reach
+beyond the rows of a node, so that a value far outside is isolated sooner than the outermost row.
+The path score beyond which a forest rejects comes from rows of both labels: at most
+``max_good_loss`` of those with label 1 lie above it, and it stands halfway to the lowest score of
+label 0 that can be parted from them (at the highest score kept if there is none).
 
 Bounds: the forest and its threshold are fitted on at most ``max_labelled`` labelled documents;
 every statistic of every document is taken from its whole text in one pass without a shuffle.
@@ -30,6 +33,7 @@ from .labelled import labelled_sample
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
+CONSTANT_RANGE = 0.01
 _CAPITALS = bytes(range(65, 91))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _EXTRA = ("n_lines", "n_upper", "n_marks")
@@ -94,25 +98,33 @@ def _mean_path(n: float) -> float:
 
 
 class IsolationForest:
-    """Trees as flat arrays; ``score`` is in (0, 1), higher for rows that are isolated sooner."""
+    """Trees as flat arrays; ``score`` is in (0, 1), higher for rows that are isolated sooner.
 
-    def __init__(self, rows: np.ndarray, n_trees: int = 60, sample: int = 256, seed: int = 7):
+    Cuts reach ``reach`` times the range of a node's rows beyond them on both sides; a column that is
+    constant in a tree's sample then counts as CONSTANT_RANGE wide.
+    """
+
+    def __init__(self, rows: np.ndarray, n_trees: int = 60, sample: int = 256, seed: int = 7, reach: float = 0.0):
         rng = np.random.default_rng(seed)
+        self.reach = reach
         self.size = min(sample, len(rows))
         self.trees = [self._tree(rows[rng.permutation(len(rows))[: self.size]], rng) for _ in range(n_trees)]
 
     def _tree(self, rows: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, ...]:
-        most = math.ceil(math.log2(max(2, self.size)))
+        most = math.ceil(math.log2(max(2, self.size)) * (1 + 2 * self.reach))
+        constant = rows.max(axis=0) == rows.min(axis=0) if self.reach else np.zeros(rows.shape[1], bool)
         feature, cut, child, path = [-1], [0.0], [0], [0.0]
         todo = [(0, rows, 0)]
         while todo:
             node, part, depth = todo.pop()
-            spread = np.flatnonzero(part.max(axis=0) > part.min(axis=0)) if len(part) > 1 else []
+            spread = np.flatnonzero((part.max(axis=0) > part.min(axis=0)) | constant) if len(part) > 1 else []
             if depth >= most or not len(spread):
                 path[node] = depth + _mean_path(len(part))
                 continue
             f = int(rng.choice(spread))
-            at = float(rng.uniform(part[:, f].min(), part[:, f].max()))
+            low, high = float(part[:, f].min()), float(part[:, f].max())
+            beyond = self.reach * (CONSTANT_RANGE if constant[f] else high - low)
+            at = float(rng.uniform(low - beyond, high + beyond))
             left = part[:, f] <= at
             feature[node], cut[node], child[node] = f, at, len(feature)
             for side in (part[left], part[~left]):
@@ -139,7 +151,7 @@ def base_failed(counts: np.ndarray) -> np.ndarray:
 class Rules:
     """A forest per statistic and one over all, each with the path score beyond which it rejects."""
 
-    def __init__(self, counts: np.ndarray, label: np.ndarray, max_good_loss: float, margin: float = 0.01):
+    def __init__(self, counts: np.ndarray, label: np.ndarray, max_good_loss: float):
         usable = ~base_failed(counts)
         rows, good = features(counts[usable]), label[usable] == 1
         self.forests: list[tuple[list[int], IsolationForest, float]] = []
@@ -147,10 +159,13 @@ class Rules:
             return
         groups = [[f] for f in range(rows.shape[1])] + [list(range(rows.shape[1]))]
         for columns in groups:
-            forest = IsolationForest(rows[:, columns])
+            forest = IsolationForest(rows[good][:, columns], reach=0.5)
             scores = np.sort(forest.score(rows[good][:, columns]))
             highest = scores[min(len(scores), math.ceil((1 - max_good_loss) * len(scores))) - 1]
-            self.forests.append((columns, forest, float(highest + margin)))
+            junk = forest.score(rows[~good][:, columns])
+            above = junk[junk > highest]
+            threshold = (highest + above.min()) / 2 if len(above) else highest
+            self.forests.append((columns, forest, float(threshold)))
 
     def kept(self, counts: np.ndarray) -> np.ndarray:
         keep = ~base_failed(counts)
@@ -189,7 +204,7 @@ def apply_rules(docs: DataFrame, rules: Rules, carry: list[str], text: str = "te
     """The ``carry`` columns with COUNTS, base_failed and kept; these win over a carried column of their name."""
     added = [f"{n} long" for n in COUNTS] + ["base_failed boolean", "kept boolean"]
     carry = [c for c in carry if c not in {a.split()[0] for a in added}]
-    shared = docs.sparkSession.sparkContext.broadcast(rules)  # 420 trees of at most 511 nodes
+    shared = docs.sparkSession.sparkContext.broadcast(rules)  # 420 trees of bounded depth on 256 rows each
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 8 << 20):

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from lakeops.llm import html_text, licences, mixing, quality_classifier
+from lakeops.llm import html_text, licences, mixing, quality_classifier, quality_rules
 
 
 def test_null_ids_of_many_sizes_get_all_their_copies(spark, monkeypatch):
@@ -83,8 +83,29 @@ def test_open_heads_and_elements_do_not_swallow_the_page():
     assert seen("<head><title>T</title><article><p>One.</p></article>") == "One."
     assert seen("<head><script>a</script>Plain <b>text</b> only.") == "Plain text only."
     assert seen("<head><title>T</title><style>p</style></head><body><p>One.</p></body>") == "One."
+    assert seen("<head>a" * 20_000) == "a" * 20_000
     for tag in ("noscript", "svg", "template"):
         assert seen(f"<body><div>A<{tag}><i>no</i></div><p>One.</p></body>") == "A One."
         assert seen(f"<body><{tag}><i>no</i><p>One.</p><p>Two.</p></body>") == "One. Two."
         assert seen(f"<body><p>A <{tag}>no</{tag}>B</p><{tag}>no<p>One.</p><{tag}>no</{tag}></body>") == "A B One."
     assert seen("<p>Let <math><mi>x</mi></math> be <object data=a>a thing</object> <svg/>here.") == "Let x be a thing here."
+
+
+def test_each_forest_rejects_an_outlier_of_its_statistic():
+    rng = np.random.default_rng(4)
+    n = 1200
+    words = rng.integers(100, 900, n)
+    chars = (words * rng.uniform(4.5, 5.5, n)).astype(int)
+    lines = words // 10
+    some = [(x * rng.beta(1, 60, n)).astype(int) for x in (chars, lines, words, chars, words)]
+    good = np.stack([words, chars, some[0], some[1], some[2] // 2, lines, some[3], some[4]], axis=1)
+    junk = np.tile([500, 2500, 5, 0, 2, 50, 30, 3], (6, 1))
+    for i, (column, value) in enumerate(((1, 15_000), (2, 1500), (3, 49), (4, 95), (6, 2400), (7, 450))):
+        junk[i, column] = value
+    counts = np.concatenate([good, junk // 2 * 2])
+    for label in (np.r_[np.ones(n), np.zeros(6)], np.ones(n)):  # with labelled junk, and without any
+        rules = quality_rules.Rules(counts[: len(label)], label.astype(int), 0.0005)
+        rows = quality_rules.features(junk)
+        for i, (columns, forest, threshold) in enumerate(rules.forests[:6]):
+            assert columns == [i] and forest.score(rows[i : i + 1, columns])[0] > threshold
+        assert rules.kept(good).mean() >= 0.99 and not rules.kept(junk).any()
