@@ -41,6 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices, text_bytes, written
 from .components import components
@@ -202,6 +203,17 @@ def links(fps: DataFrame, distance: int = 2, crowd: int = 16) -> DataFrame:
     return met.where("b IS NOT NULL").union(stars)
 
 
+def _components(rows: DataFrame, distance: int) -> DataFrame:
+    """(f, root, component_id) of each distinct fingerprint of (doc_id, fp) rows; roots tell components apart."""
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    found = components(links(distinct.select("fp"), distance))
+    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").selectExpr(
+        "fp", "first", "coalesce(root, fp) AS root"
+    )
+    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rooted.join(named, "root").selectExpr("fp AS f", "root", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -210,13 +222,7 @@ def near_duplicates(
     fingerprint: 16 lowercase hex digits. component_id: the smallest doc_id that links reach.
     """
     rows = written(fingerprints(docs, text, doc_id, length), "fingerprints")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    found = components(links(distinct.select("fp"), distance))
-    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").selectExpr(
-        "fp", "first", "coalesce(root, fp) AS root"
-    )
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    per_fp = rooted.join(named, "root").selectExpr("fp AS f", "component_id")
+    per_fp = _components(rows, distance)
     return rows.join(per_fp, rows["fp"] == per_fp["f"]).selectExpr(
         "doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id"
     )
@@ -227,11 +233,36 @@ def without_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component does, the first by doc_id.
 
-    Of repeated rows of one doc_id one stays. Rows with a null doc_id stay.
+    A component's rows of that doc_id have equal or near texts: of several, the one with the smallest hash
+    of the row stays. Different texts under one doc_id are judged by their own components. Rows with a null
+    doc_id stay.
     """
-    found = near_duplicates(docs.where(F.col(doc_id).isNotNull()), text, doc_id, length, distance)
-    stay = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    joined = docs.alias("d").join(stay.alias("s"), F.col(f"d.{doc_id}") == F.col("s.doc_id"))
-    single = joined.where("s.n = 1").select("d.*")
-    repeated = joined.where("s.n > 1").select("d.*").dropDuplicates([doc_id])
-    return single.unionByName(repeated).unionByName(docs.where(F.col(doc_id).isNull()))
+    known = docs.where(F.col(doc_id).isNotNull())
+    rows = written(fingerprints(known, text, doc_id, length), "fingerprints")
+    per_fp = _components(rows, distance)
+    judged = rows.join(per_fp, rows["fp"] == per_fp["f"]).select("doc_id", "fp", "root", "component_id")
+    heads = written(judged.where("doc_id = component_id").distinct(), "heads")
+    per_id = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    single = heads.join(per_id.where("n = 1"), "doc_id").select("doc_id")
+    alone = docs.alias("d").join(single.alias("s"), F.col(f"d.{doc_id}") == F.col("s.doc_id"), "left_semi")
+    # texts of repeated ids are told apart by their fingerprints
+    several = docs.alias("d").join(
+        per_id.where("n > 1").alias("s"), F.col(f"d.{doc_id}") == F.col("s.doc_id"), "left_semi"
+    )
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "t", 8 << 20):
+            found = [fingerprint(t, length) for t in text_bytes(batch.column("t"))]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.int64())], names=["row", "fp"])
+
+    packed = several.select(F.struct("d.*").alias("row"), F.col(f"d.{text}").alias("t"))
+    schema = T.StructType([packed.schema["row"], T.StructField("fp", T.LongType())])
+    marked = packed.mapInArrow(told, schema).alias("p")
+    same = (F.col(f"p.row.`{doc_id}`") == F.col("h.doc_id")) & (F.col("p.fp") == F.col("h.fp"))
+    chosen = (
+        marked.join(heads.alias("h"), same)
+        .groupBy("h.doc_id", "h.root")
+        .agg(F.min_by("p.row", F.xxhash64("p.row")).alias("row"))
+        .select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    )
+    return alone.unionByName(chosen).unionByName(docs.where(F.col(doc_id).isNull()))

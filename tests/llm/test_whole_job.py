@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 
-from lakeops.llm import html_text, licences, mixing, quality_classifier, quality_rules
+from lakeops.llm import html_text, licences, mixing, quality_classifier, quality_rules, simhash
 
 
 def test_null_ids_of_many_sizes_get_all_their_copies(spark, monkeypatch):
@@ -109,3 +109,11 @@ def test_each_forest_rejects_an_outlier_of_its_statistic():
         for i, (columns, forest, threshold) in enumerate(rules.forests[:6]):
             assert columns == [i] and forest.score(rows[i : i + 1, columns])[0] > threshold
         assert rules.kept(good).mean() >= 0.99 and not rules.kept(junk).any()
+
+
+def test_texts_of_a_repeated_id_are_judged_by_their_own_components(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b), (2, c), (5, c), (9, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = [tuple(r) for r in simhash.without_near_duplicates(docs).collect()]
+    assert Counter(got) == Counter([(5, a), (5, b), (2, c), (None, a)])
