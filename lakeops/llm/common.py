@@ -63,6 +63,14 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x if x is not None else b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def texts(column: pa.Array) -> list[str]:
+    """The texts as strings. The rule for all operators: a null is the empty text, bytes that are not UTF-8 are U+FFFD."""
+    try:
+        return [x or "" for x in column.to_pylist()]
+    except UnicodeDecodeError:
+        return [x.decode("utf-8", "replace") for x in text_bytes(column)]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most_bytes`` of text at most (one row at least)."""
     for batch in batches:

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from . import (
     bitsliced,
     bpe,
+    conversation_repair,
     html_text,
+    lexicon_bpe,
     licences,
     mixing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     simhash,
@@ -105,6 +108,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.inherit(found, is_licence_file="short").drop("short")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_digests(rows)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    columns = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    return periodic_runs.detect(docs, ["doc_id"], columns)
+
+
+def op13_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon_bpe.encode(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        ["doc_id"],
+        ("n_tokens", "ids_sha256", "decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -118,6 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_token_counts,
         op10_license_scan,
+        op11_conversation_repair,
+        op12_periodic_runs,
+        op13_lexicon_bpe,
     )
 }
 
