@@ -51,6 +51,8 @@ LONGEST = 64  # bytes of a word of the lexicon
 HELD_WORDS = 400_000  # counted by a task before it hands them on
 KNOWN_WORDS = 150_000  # remembered by a task between blocks
 BLOCK_BYTES = 12 << 20
+IN_STEP = 40  # bytes of words that are merged together; longer ones are merged by a heap each
+NO_RANK = np.int32((1 << 31) - 1)
 
 #: Fixed by the byte-level pre-tokenizer: its pattern.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -100,6 +102,13 @@ class Vocabulary:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             self.ranks[ids[left] << 32 | ids[right]] = rank
             self.made.append(ids[left + right])
+        pairs = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        order = np.argsort(pairs)
+        self.sorted_pairs = np.append(pairs[order], 1 << 62)
+        self.sorted_ranks = np.append(np.fromiter(self.ranks.values(), np.int32, len(pairs))[order], NO_RANK)
+        self.made_ids, self.byte_ids = np.array(self.made, np.int32), np.array(self.of_byte, np.int32)
+        first, second = np.divmod(np.arange(1 << 16), 256)
+        self.byte_ranks = self.pair_ranks(self.byte_ids[first], self.byte_ids[second]).reshape(256, 256)
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.tokens |= {i: content.encode() for content, i in self.added.items()}
         longest_first = sorted(self.added, key=len, reverse=True)
@@ -153,6 +162,57 @@ class Vocabulary:
                 heapq.heappush(heap, (r, h))
         return [x for x in ids if x >= 0]
 
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """`merge` of each word, as little-endian unsigned 32-bit integers; short words of equal length go in step."""
+        found: list[bytes] = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for size in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == size)
+            if size > IN_STEP or len(at) < 8:
+                for i in at.tolist():
+                    found[i] = np.array(self.merge(words[i]), "<u4").tobytes()
+                continue
+            data = np.frombuffer(b"".join([words[i] for i in at.tolist()]), np.uint8).reshape(len(at), size)
+            for rows, ids in self._in_step(data):
+                width, data_ = 4 * ids.shape[1], ids.astype("<u4").tobytes()
+                for k, i in enumerate(at[rows].tolist()):
+                    found[i] = data_[k * width : (k + 1) * width]
+        return found
+
+    def _in_step(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(rows, their ids) of words of equal length, given as rows of bytes. Each step merges one pair of every
+        row that still has one: the first of the lowest rank. So all open rows stay equally long."""
+        ids, rows = self.byte_ids[data], np.arange(len(data))
+        ranks = self.byte_ranks[data[:, :-1], data[:, 1:]]
+        while len(rows):
+            if ids.shape[1] == 1:
+                yield rows, ids
+                return
+            at = ranks.argmin(1)
+            each = np.arange(len(rows))
+            done = ranks[each, at] == NO_RANK
+            if done.any():
+                yield rows[done], ids[done]
+                rows, ids, ranks, at = rows[~done], ids[~done], ranks[~done], at[~done]
+                if not len(rows):
+                    return
+                each = np.arange(len(rows))
+            ids[each, at] = self.made_ids[ranks[each, at]]
+            stays = np.ones(ids.shape, bool)
+            stays[each, at + 1] = False
+            ids = ids[stays].reshape(len(rows), -1)
+            ranks = ranks[stays[:, 1:]].reshape(len(rows), -1)  # the merged pair's rank goes
+            left = np.flatnonzero(at > 0)
+            ranks[left, at[left] - 1] = self.pair_ranks(ids[left, at[left] - 1], ids[left, at[left]])
+            right = np.flatnonzero(at < ranks.shape[1])
+            ranks[right, at[right]] = self.pair_ranks(ids[right, at[right]], ids[right, at[right] + 1])
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids, NO_RANK if it does not merge."""
+        keys = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.sorted_pairs, keys), len(self.sorted_pairs) - 1)
+        return np.where(self.sorted_pairs[at] == keys, self.sorted_ranks[at], NO_RANK)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The UTF-8 text of ids; bytes that are no UTF-8 become U+FFFD."""
         data = b"".join(map(self.tokens.__getitem__, ids.tolist()))
@@ -385,10 +445,9 @@ class Encoder:
         cut = [list(map(same.setdefault, words, words)) for words in map(self.v.pieces, block)]
         new = [w for w in same if w not in self.known and w not in self.fixed]
         data = [w.encode() for w in new]
-        made = {
-            w: found if found is not None else np.array(self.v.merge(x), "<u4").tobytes()
-            for w, x, found in zip(new, data, self.lexicon.outputs(data), strict=True)
-        }
+        made = dict(zip(new, self.lexicon.outputs(data), strict=True))
+        unseen = [w for w, ids in made.items() if ids is None]
+        made |= zip(unseen, self.v.merge_all([w.encode() for w in unseen]), strict=True)
         table = self.known | made | self.fixed
         if len(self.known) + len(made) > KNOWN_WORDS:
             self.known.clear()
