@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - makes pa.compute available
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ``[^\x20\x09-\x0D]+``: words are what these six white-space characters separate.
 #: ``bytes.split()`` splits on exactly these bytes.
@@ -52,6 +53,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, row_bytes: int, most_bytes: int = 64 << 20) -> DataFrame:
+    """A written table as a side of a join: broadcast if its rows take at most ``most_bytes`` of memory, else merged.
+
+    Its size on disk, which Spark would go by, says little: repeated values compress well.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= most_bytes else df.hint("merge")
+
+
+def removed(df: DataFrame) -> None:
+    """Delete the files of a table that `written` gave and nothing reads any more."""
+    spark = df.sparkSession
+    for place in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        if "/llm-" in place:
+            path = spark._jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def arrow_map(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

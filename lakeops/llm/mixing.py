@@ -11,26 +11,29 @@ by length alone:
    fitting lengths, until the open budget is small. Sources of few lengths (``room``) skip this;
 3. bounded-knapsack dynamic programming over the documents left finds the subset of lengths whose
    sum comes nearest to the open budget from below (usually it is met exactly);
-4. the wanted number of documents of a length are those with the smallest seeded hashes. Lengths
-   of very many documents are first dealt into hash buckets that are taken whole, so that only one
-   bucket per length needs ranking.
+4. the wanted number of documents of a length are those with the smallest seeded hashes. The hashes
+   of a length are dealt into ranges and counted; only the range with the boundary is looked at row
+   by row, and what comes out is one cut per length, which every document compares itself with.
 
 Only the counts by length, one row per (source, length), go to the per-source fit; the number of
-distinct lengths bounds them, not the number of documents.
+distinct lengths bounds them, not the number of documents. Where dynamic programming cannot cover
+the open budget (lengths above it remain), the distance left from the target is at most half of the
+words that it covers, or the shortest document left.
 
-Defined cases: a null text has size 0; documents of size 0 are never taken. A null source is a
-source of its own. Repeated rows are separate documents. Empty tables give empty results. Reruns
-agree: the choice depends on the rows and the seed only.
+Defined cases: a null text has size 0; documents of size 0 are never taken. Very long texts are one
+length like any other. A null source is a source of its own. Repeated rows are separate documents.
+Other columns are not read by `mix` and are passed on by `mixed`, whatever their names. Empty tables
+give empty results. Reruns agree: the choice depends on the rows and the seed only.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, bounded, written
 
 DP_BUDGET = 1 << 15  # words that dynamic programming fits at least
 DP_BITS = 1 << 29  # of its bit sets, where it fits more
@@ -126,11 +129,78 @@ def targets(sizes: DataFrame, most: int = 3) -> DataFrame:
     return filled.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, times (copies) and taken (words)."""
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size")), "mix")
-    counted = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+def sized(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, source, size, draw) of every document, written once; whatever is chosen by rows reads this."""
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), _size(text).alias("size"), _draw(doc_id, text).alias("draw")
+    )
+    return written(rows, "mix")
+
+
+def _size(text: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _draw(doc_id: str, text: str) -> Column:
+    """The seeded hash that a choice goes by, from 0 to 2^63 - 1: rows of one doc_id and text share it."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.col(doc_id), F.col(text)), 1)
+
+
+def _cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan (s, z, n, extra, ...) with ``cut``, ``take`` and ``ties``: the ``extra`` smallest draws of a source and size are
+    those below ``cut`` and ``take`` of the ``ties`` rows at it.
+
+    Draws are dealt into ranges of about BUCKET_ROWS rows; only the range that holds the cut is looked at row by row, equal draws
+    as one.
+    """
+    open_ = plan.where("extra > 0 AND extra < n").select("s", "z", "extra", F.ceil(F.col("n") / F.lit(BUCKET_ROWS)).alias("many"))
+    open_ = written(open_, "open")
+    met = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
+    bucket = F.shiftright(F.shiftright("draw", 31) * F.col("many"), 32)  # in the order of the draws
+    dealt = rows.join(bounded(open_, 64), met).select("s", "z", "extra", "draw", bucket.alias("bucket"))
+    key = ["s", "z", "bucket"]
+    up_to = Window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("held"), F.first("extra").alias("extra"))
+    inside = (
+        held.withColumn("reach", F.sum("held").over(up_to.partitionBy("s", "z").orderBy("bucket")))
+        .where("reach >= extra AND reach - held < extra")
+        .select(*(F.col(c).alias(f"i_{c}") for c in key), (F.col("extra") - F.col("reach") + F.col("held")).alias("need"))
+    )
+    inside = written(inside, "inside")
+    same = [F.col(c).eqNullSafe(F.col(f"i_{c}")) for c in key]
+    near = dealt.join(bounded(inside, 64), same).groupBy(*key, "draw").agg(F.count(F.lit(1)).alias("ties"), F.first("need").alias("need"))
+    cut = (
+        near.withColumn("reach", F.sum("ties").over(up_to.partitionBy(*key).orderBy("draw")))
+        .where("reach >= need AND reach - ties < need")
+        .select(F.col("s").alias("c_s"), F.col("z").alias("c_z"), F.col("draw").alias("cut"), F.expr("need - reach + ties").alias("take"), "ties")
+    )
+    joined = plan.join(cut, F.col("s").eqNullSafe(F.col("c_s")) & (F.col("z") == F.col("c_z")), "left").drop("c_s", "c_z")
+    everyone = F.when(F.col("extra") > 0, F.lit((1 << 63) - 1)).otherwise(F.lit(-1))
+    joined = joined.withColumn("cut", F.coalesce("cut", everyone))
+    return written(joined.withColumn("split", F.coalesce(F.col("take") < F.col("ties"), F.lit(False))), "cuts")
+
+
+_ONE_MORE = "base + CAST(draw <= cut AS LONG)"
+_TIED = "split AND draw = cut"
+
+
+def _repeated(df: DataFrame, n: str) -> DataFrame:
+    """Each row ``n`` times, also where n is very large: first in pieces of BUCKET_ROWS, which are dealt to tasks."""
+    last = F.expr(f"CAST(({n} - 1) div {BUCKET_ROWS} AS INT)")
+    pieces = df.where(f"{n} > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), last))).hint("rebalance")
+    held = F.expr(f"CAST(least({BUCKET_ROWS}, {n} - piece * {BUCKET_ROWS}) AS INT)")
+    return pieces.withColumn("piece", F.explode(F.array_repeat(F.lit(0), held))).drop("piece")
+
+
+def mix(
+    docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", rows: DataFrame | None = None
+) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target, times (copies) and taken (words).
+
+    ``rows`` are those of `sized`, where they are at hand.
+    """
+    rows = sized(docs, text, source, doc_id) if rows is None else rows
+    counted = rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     goals = written(targets(counted.select("source", (F.col("size") * F.col("n")).alias("size"))), "targets")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -152,75 +222,45 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
         )
     )
     plan = written(plan.withColumnRenamed("source", "s").withColumnRenamed("size", "z"), "plan")
-    draw = F.xxhash64(F.lit(SEED), "doc_id")
-    many = F.greatest(F.ceil(F.col("n") / F.lit(BUCKET_ROWS)), F.lit(1))
-    joined = (
-        sized.join(plan, sized["source"].eqNullSafe(plan["s"]) & (F.col("size") == F.col("z")))
-        .drop("s", "z")
-        .withColumn("draw", draw)
-        .withColumn("bucket", F.pmod(F.shiftrightunsigned("draw", 16), many))
-    )
-    chosen = F.col("extra") > 0
-    # rows of a bucket of a length, and how many rows of the length lie in earlier buckets
-    buckets = joined.where(chosen).groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("rows"))
-    ahead = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = buckets.withColumn("ahead", F.coalesce(F.sum("rows").over(ahead), F.lit(0))).select(
-        F.col("source").alias("s"), F.col("size").alias("z"), F.col("bucket").alias("b"), "ahead"
-    )
-    rank = F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("draw", "doc_id"))
-    drawn = (
-        joined.where(chosen)
-        .join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bucket") == F.col("b")))
-        .withColumn("times", F.col("base") + (rank + F.col("ahead") <= F.col("extra")).cast("long"))
-    )
-    out = ["doc_id", "source", "size", "source_size", "target", "times"]
-    both = drawn.select(*out).unionByName(joined.where(~chosen).withColumn("times", F.col("base")).select(*out))
-    return both.withColumn("taken", F.col("times") * F.col("size"))
+    cuts = _cuts(rows, plan)
+    joined = rows.join(bounded(cuts, 128), rows["source"].eqNullSafe(cuts["s"]) & (F.col("size") == F.col("z")))
+    out = ["doc_id", "source", "size", "source_size", "target"]
+    found = joined.where(f"NOT ({_TIED})").selectExpr(*out, f"{_ONE_MORE} AS times")
+    if not cuts.where("split").isEmpty():
+        # rows of one doc_id and text at the cut: some get a copy more, whichever
+        alike = joined.where(_TIED).groupBy(*out, "s", "z", "base", "take").agg(F.count(F.lit(1)).alias("n"))
+        ahead = Window.partitionBy("s", "z").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+        more = F.expr("greatest(0, least(n, take - coalesce(ahead, 0)))")
+        alike = alike.withColumn("ahead", F.sum("n").over(ahead)).withColumn("more", more)
+        tied = alike.withColumn("part", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
+            *out, "base + part AS times", "if(part = 1, more, n - more) AS rows"
+        )
+        found = found.unionByName(_repeated(tied, "rows").select(*out, "times"))
+    return found.withColumn("taken", F.col("times") * F.col("size"))
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """The mix itself: every document as often as it is taken, with all columns of ``docs``.
 
-    Copies are counted per (doc_id, source, size). Of the rows that are alike there (repeated or null
-    doc_ids), the first few by a hash of the row get one copy more if the copies do not divide evenly.
-    Large groups are dealt into hash buckets that get the copy whole or not at all, so that only one
-    bucket of a group needs ranking. (Equal rows share a bucket.)
+    Texts are not shuffled. What `mix` takes becomes one row per (source, size): copies for all, and the draw up to which a
+    document gets one copy more. Each document finds its size and draw in the scan and meets that row, which is
+    broadcast while the rows fit in 64 MB of memory; beyond that the documents are merged with them by size. Of rows of one
+    doc_id and text at the cut, equal ones are counted and those with the smallest hashes of the row get the copy.
     """
-    counted = (
-        mix(docs, text, source, doc_id)
-        .groupBy("doc_id", "source", "size")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum("times").alias("copies"))
-        .where("copies > 0")
-    )
-    counted = written(counted, "copies").alias("m")
-    size = F.coalesce(F.regexp_count(F.col(f"d.{text}"), F.lit(WORD)), F.lit(0))
-    same = (
-        F.col(f"d.{doc_id}").eqNullSafe(F.col("m.doc_id"))
-        & F.col(f"d.{source}").eqNullSafe(F.col("m.source"))
-        & (size == F.col("m.size"))
-    )
-    names, key = docs.columns, ["doc_id", "source", "size"]
-    joined = docs.alias("d").join(counted, same).select(F.struct("d.*").alias("row"), "m.*")
-    even = joined.where("copies % rows = 0").selectExpr("row", "copies div rows AS n")
-    many = F.ceil(F.col("rows") / F.lit(BUCKET_ROWS))
-    uneven = (
-        joined.where("copies % rows > 0")
-        .withColumn("draw", F.xxhash64("row"))
-        .withColumn("bucket", F.pmod(F.shiftrightunsigned("draw", 16), many))
-    )
-    ahead = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (
-        uneven.groupBy(*key, "bucket")
-        .agg(F.count(F.lit(1)).alias("held"), F.first(F.expr("copies % rows")).alias("more"))
-        .withColumn("more", F.col("more") - F.coalesce(F.sum("held").over(ahead), F.lit(0)))
-        .select(*(F.col(c).alias(f"b_{c}") for c in [*key, "bucket"]), "held", "more")
-    )
-    met = [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in [*key, "bucket"]]
-    dealt = uneven.join(buckets, met)
-    whole = dealt.where("more <= 0 OR more >= held").withColumn("place", F.when(F.col("more") > 0, 0).otherwise(1))
-    rank = F.row_number().over(Window.partitionBy(*key, "bucket").orderBy("draw"))
-    split = dealt.where("more > 0 AND more < held").withColumn("place", (rank > F.col("more")).cast("int"))
-    extra = whole.unionByName(split).selectExpr("row", "copies div rows + 1 - place AS n")
-    times = even.unionByName(extra).where("n > 0")
-    repeated = times.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
-    return repeated.select(*(F.col(f"row.`{c}`").alias(c) for c in names))
+    rows = sized(docs, text, source, doc_id)
+    taken = mix(docs, text, source, doc_id, rows).groupBy("source", "size")
+    plan = taken.agg(F.count(F.lit(1)).alias("n"), F.min("times").alias("base"), F.sum("times").alias("all"))
+    plan = plan.where("all > 0").selectExpr("source AS s", "size AS z", "n", "base", "all - n * base AS extra")
+    cuts = _cuts(rows, written(plan, "copies"))
+    names = docs.columns
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(source).alias("source"), _size(text).alias("size"), _draw(doc_id, text).alias("draw"))
+    joined = row.join(bounded(cuts, 128), row["source"].eqNullSafe(cuts["s"]) & (F.col("size") == F.col("z")))
+    plain = joined.where(f"NOT ({_TIED})").selectExpr("row", f"CAST({_ONE_MORE} AS INT) AS times")
+    found = plain.where("times > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("row")
+    if not cuts.where("split").isEmpty():
+        alike = joined.where(_TIED).groupBy("row", "s", "z", "base", "take").agg(F.count(F.lit(1)).alias("n"))
+        order = Window.partitionBy("s", "z").orderBy(F.xxhash64("row"), "row")
+        ahead = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        copies = F.expr("n * base + greatest(0, least(n, take - coalesce(ahead, 0)))")
+        found = found.unionByName(_repeated(alike.withColumn("ahead", ahead).withColumn("copies", copies), "copies").select("row"))
+    return found.select(*(F.col(f"row.`{c}`").alias(c) for c in names))

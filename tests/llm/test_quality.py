@@ -1,3 +1,4 @@
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -116,3 +117,23 @@ def test_mixed_rows_are_the_copies(spark, odd):
     rows = mixing.mixed(odd)
     assert rows.columns == odd.columns
     assert rows.count() == sum(r["times"] for r in mixing.mix(odd).collect())
+
+
+def test_mixed_deals_ties_over_equal_and_repeated_rows(spark, monkeypatch):
+    """Equal rows, null ids and one text under ids and columns of its own; whole buckets and single rows."""
+    rows = [(None, "w " * 5, "a", "x")] * 40 + [(7, "w " * 5, "a", str(i % 3)) for i in range(30)]
+    rows += [(i, "v " * (i % 4), "b", "y") for i in range(200)] + [(None, "u " * 3, None, None)] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, draw string")
+    for bucket in (mixing.BUCKET_ROWS, 3):
+        monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket)
+        want, taken = Counter(), Counter()
+        planned = mixing.mix(docs).collect()
+        assert len(planned) == len(rows)
+        for r in planned:
+            want[r["doc_id"], r["source"], r["size"]] += r["times"]
+        got = mixing.mixed(docs)
+        assert got.columns == docs.columns
+        for r in got.collect():
+            taken[r["doc_id"], r["source"], len(r["text"].split())] += 1
+        assert taken == +want
+        assert got.exceptAll(mixing.mixed(docs.repartition(5))).count() == 0
