@@ -3,6 +3,13 @@
 STAGES are applied in order. Each takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of documents. ``run`` writes each stage's result to the shared folder and
 reads it back as the next one's docs.
+
+Defined cases: a null or empty text fails the quality rules. Documents of a null doc_id are no copies
+of each other; of a repeated doc_id each text is judged by its own component, and of several rows in one
+component one stays. Very long texts pass through every stage whole. Ties go to the smallest doc_id, then to a
+hash of the row. Columns beside doc_id, text, lang, source and n_chars are passed on up to the
+mix, whatever their names; the last stage gives doc_id, lang, source and its own. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm import bpe, mixing, quality_rules, simhash, suffix_dedup
-from lakeops.llm.common import table, written
+from lakeops.llm.common import removed, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +65,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over all documents. A stage's files go once the next stage is written."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        made = written(stage(spark, docs, sf_dir), name)
+        if k:
+            removed(docs)
+        docs = made
     return STAGES[-1][1](spark, docs, sf_dir)
