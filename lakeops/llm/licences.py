@@ -7,22 +7,24 @@ frequencies come from the templates, and a word that no template has counts as t
    derived from the texts of GPL-3.0 and BSD-3-Clause);
 2. the blocks of the text (lines without an empty or bare comment line between them, joined)
    with titles, first paragraphs and notices of licences (BLOCKS);
-3. all lines with short notices (TEMPLATES).
+3. all lines, and the sentences of lines with several, with short notices (TEMPLATES).
 
 What reaches ``threshold`` decides: the whole text first, else the better of the best block and the
 best line, where "all rights reserved" alone gives way to any block.
 
-Texts, blocks and lines are skipped without a comparison only if that is exact. Words that no
-template has take so much of a text's norm that it cannot reach the threshold; and the terms of a
-template are split into telling ones and the rest, such that the rest alone cannot reach the
-threshold (both by Cauchy-Schwarz), so a line or block needs a telling term of some template.
+A text is cut into terms once. Texts, blocks and lines are skipped without a comparison only if that is
+exact. Words that no template has take so much of a text's norm that it cannot reach the threshold; and
+the terms of a template are split into telling ones and the rest, such that the rest alone cannot reach
+the threshold (both by Cauchy-Schwarz), so a line or block needs a telling term of some template, and
+is looked for only in texts that have one.
 
 A file without a licence of its own inherits that of the nearest directory at or above its own with a
 licence file. Only distinct directories are joined with their ancestors, and files then with their
 directory, so a directory that holds very many files costs one row until the last join, which Spark
 can split.
 
-Defined cases: a null or empty text has no header. A null path has no directory and inherits nothing.
+Defined cases: a null or empty text has no header; bytes that are not UTF-8 are read as U+FFFD. Very long
+texts are compared whole, as are their blocks and lines. A null path has no directory and inherits nothing.
 Of several licence files in a directory the one with the smallest path decides; of equal cosines the
 first template by name, of equal lines or blocks the first. Repeated rows get equal results. Empty tables give
 empty results. Columns are carried along where asked for; one with the name of an output column gives
@@ -33,6 +35,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -42,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, texts
 
 #: Short licence notices as they stand in headers. (Fixed values.)
 TEMPLATES = [
@@ -64,6 +67,31 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved."),
     ("Proprietary", "Copyright. All rights reserved."),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license."),
+    (
+        "BSD-3-Clause",
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    ),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "This program is made available under the terms of the Eclipse Public License 2.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+]
+#: SPDX identifiers and the names that notices use; None where the notice stands in TEMPLATES. (Fixed values.)
+NAMES = {
+    "AGPL-3.0": None, "AGPL-3.0-only": None, "AGPL-3.0-or-later": None,
+    "Apache-2.0": "Apache 2.0", "BSD-2-Clause": "BSD 2-Clause", "BSD-3-Clause": "BSD 3-Clause", "BSL-1.0": "Boost 1.0",
+    "CC-BY-4.0": None, "CC-BY-SA-4.0": None, "CC0-1.0": None, "EPL-1.0": "EPL 1.0", "EPL-2.0": "EPL 2.0",
+    "GPL-2.0": "GPL v2", "GPL-2.0-only": None, "GPL-2.0-or-later": None,
+    "GPL-3.0": "GPL v3", "GPL-3.0-only": None, "GPL-3.0-or-later": None, "ISC": "ISC",
+    "LGPL-2.1": "LGPL v2.1", "LGPL-2.1-only": None, "LGPL-2.1-or-later": None,
+    "LGPL-3.0": "LGPL v3", "LGPL-3.0-only": None, "LGPL-3.0-or-later": None,
+    "MIT": "MIT", "MIT OR Apache-2.0": "MIT or Apache 2.0", "MPL-2.0": "MPL 2.0", "Unlicense": None, "Zlib": "zlib",
+}
+TEMPLATES += [
+    (spdx, form)
+    for spdx, name in NAMES.items()
+    for form in (f"SPDX-License-Identifier: {spdx}", name and f"Licensed under the {name} license", name and f"Released under the {name} license")
+    if form and (spdx, form) not in TEMPLATES
 ]
 _GNU = "GNU {}GENERAL PUBLIC LICENSE Version {}"
 _FREE = (
@@ -103,6 +131,16 @@ BLOCKS = [
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     ),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("EPL-1.0", "Eclipse Public License - v 1.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("ISC", "ISC License"),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
     (
         "MPL-2.0",
@@ -113,6 +151,7 @@ BLOCKS = [
 #: Between two blocks: a line that is empty or has comment marks only.
 _GAP = re.compile(r"\n[ \t\r]*(?:[#*;%!\-]+|//+|/\*+|\*+/|<!--|-->)?[ \t\r]*(?=\n)")
 _TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_SENTENCE = re.compile(r"(?<=[a-z)][.;:])[ \t]+")
 
 
 def terms(text: str) -> Counter[str]:
@@ -120,11 +159,15 @@ def terms(text: str) -> Counter[str]:
 
 
 #: Words of ordinary prose: telling only where the others do not suffice. (Fixed values.)
-_COMMON = frozenset("a an and any as at be by for if in is it not of on or one that the this to use was with you".split())
+_COMMON = frozenset(
+    "a all an and any as at be by can copy do file following for free from if in is it license licensed may no not of on one or "
+    "other out own person public source state that the their this to under use used v version was with without work you "
+    "0 1 2 3 4 1.0 2.0 3.0 4.0".split()
+)
 
 
 @lru_cache(maxsize=1)
-def texts() -> list[tuple[str, str]]:
+def licence_texts() -> list[tuple[str, str]]:
     """The whole licence texts."""
     found = {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
     found["AGPL-3.0"] = re.sub(r"(GNU\s+)(General\s+Public)", r"\1Affero \2", found["GPL-3.0"], flags=re.I)
@@ -141,61 +184,57 @@ class Templates:
         self.idf = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in seen.items()}
         self.rarest = math.log(1 + len(bags)) + 1
         self.threshold = threshold
-        self.vectors, telling = [], set()
-        for name, bag in bags:
+        self.names = [name for name, _ in bags]
+        self.of_term: dict[str, list[tuple[int, float]]] = {}
+        self.telling: set[str] = set()
+        for k, (_, bag) in enumerate(bags):
             weights = {t: n * self.idf[t] for t, n in bag.items()}
             norm = math.sqrt(sum(w * w for w in weights.values()))
-            vector = {t: w / norm for t, w in weights.items()}
-            self.vectors.append((name, vector))
             rest = 1.0
-            for t, w in sorted(vector.items(), key=lambda x: (x[0] in _COMMON, -x[1], x[0])):
-                if math.sqrt(max(rest, 0)) < threshold:
-                    break
-                telling.add(t)
-                rest -= w * w
-        # finds candidate lines; whole terms are compared later, so a hit inside a word does no harm
-        self.telling = re.compile("|".join(map(re.escape, sorted(telling))), re.IGNORECASE)
-
-    def best(self, line: str) -> tuple[float, str] | None:
-        """(cosine, name) of the nearest template; None below the threshold."""
-        bag = terms(line)
-        idf, rarest = self.idf, self.rarest
+            for t, w in sorted(weights.items(), key=lambda x: (x[0] in _COMMON, -x[1], x[0])):
+                self.of_term.setdefault(t, []).append((k, w / norm))
+                if math.sqrt(max(rest, 0)) >= threshold - 1e-9:
+                    self.telling.add(t)
+                rest -= (w / norm) ** 2
+
+    def best(self, bag: Counter[str]) -> tuple[float, str] | None:
+        """(cosine, name) of the template nearest to a bag of terms; None below the threshold."""
+        idf = self.idf
         weights = {t: n * idf[t] for t, n in bag.items() if t in idf}
         known = sum(w * w for w in weights.values())
-        norm = math.sqrt(known + rarest * rarest * sum(n * n for t, n in bag.items() if t not in idf))
-        top = None
-        if math.sqrt(known) < (self.threshold - 1e-9) * norm:
+        unknown = sum(n * n for t, n in bag.items() if t not in idf)
+        norm = math.sqrt(known + self.rarest * self.rarest * unknown)
+        if not norm or math.sqrt(known) < (self.threshold - 1e-9) * norm:
             return None
-        for name, vector in self.vectors:
-            cosine = sum(w * weights[t] for t, w in vector.items() if t in weights) / norm if norm else 0.0
-            if cosine >= self.threshold and (top is None or (-cosine, name) < (-top[0], top[1])):
-                top = (cosine, name)
-        return top
+        dots = [0.0] * len(self.names)
+        for t, weight in weights.items():
+            for k, w in self.of_term[t]:
+                dots[k] += w * weight
+        top = max(dots)
+        if top / norm < self.threshold - 1e-9:
+            return None
+        return top / norm, min(name for name, dot in zip(self.names, dots, strict=True) if dot >= top - 1e-9 * norm)
 
-    def header(self, text: str) -> tuple[float, str] | None:
-        """The best line of a text."""
-        top, at = None, 0
-        while hit := self.telling.search(text, at):
-            start, end = text.rfind("\n", 0, hit.start()) + 1, text.find("\n", hit.end())
-            end = len(text) if end < 0 else end
-            found = self.best(text[start:end])
-            if found and (top is None or found[0] > top[0]):
-                top = found
-            at = end + 1
-        return top
 
-    def block(self, text: str) -> tuple[float, str] | None:
-        """The best block of a text."""
-        top, start, at = None, 0, 0
-        while hit := self.telling.search(text, at):
-            gap = _GAP.search(text, start)
-            while gap and gap.end() <= hit.start():  # to the block of the hit
-                start, gap = gap.end(), _GAP.search(text, gap.end())
-            at = gap.start() + 1 if gap and gap.start() >= hit.end() else len(text)
-            found = self.best(text[start:at])
-            if found and (top is None or found[0] > top[0]):
-                top = found
-        return top
+def _better(top: tuple[float, str] | None, found: tuple[float, str] | None) -> tuple[float, str] | None:
+    return found if found and (top is None or found[0] > top[0] + 1e-9) else top
+
+
+def _places(text: str, words: set[str]) -> list[int]:
+    """Where one of the words stands in a lower-case text, also inside longer words, in order."""
+    found = []
+    for word in words:
+        at = text.find(word)
+        while at >= 0:
+            found.append(at)
+            at = text.find(word, at + len(word))
+    return sorted(found)
+
+
+def sentences(line: str) -> list[str]:
+    """A line and, if it has several, its sentences."""
+    parts = _SENTENCE.split(line)
+    return [line, *parts] if len(parts) > 1 else [line]
 
 
 class Scan:
@@ -204,10 +243,43 @@ class Scan:
     def __init__(self, templates: list, threshold: float, blocks: list, whole: list):
         self.lines, self.blocks, self.whole = (Templates(x, threshold) for x in (templates, blocks, whole))
 
+    def line(self, low: str, words: set[str]) -> tuple[float, str] | None:
+        """The best line, or sentence of a line, of a lower-case text that holds these telling words."""
+        top, end = None, -1
+        for at in _places(low, words):
+            if at < end:
+                continue  # in the line before
+            start, end = low.rfind("\n", 0, at) + 1, low.find("\n", at)
+            end = len(low) if end < 0 else end
+            for part in sentences(low[start:end]):
+                top = _better(top, self.lines.best(Counter(_TERM.findall(part))))
+        return top
+
+    def block(self, low: str, words: set[str]) -> tuple[float, str] | None:
+        """The best block of a lower-case text that holds these telling words."""
+        places, top, start = _places(low, words), None, 0
+        gaps = _GAP.finditer(low)
+        while places:
+            gap = next(gaps, None)
+            end = gap.start() + 1 if gap else len(low)
+            here = bisect_left(places, end)
+            if here:
+                top = _better(top, self.blocks.best(Counter(_TERM.findall(low[start:end]))))
+                places = places[here:]
+            if gap is None:
+                break
+            start = gap.end()
+        return top
+
     def licence(self, text: str) -> tuple[float, str] | None:
-        if found := self.whole.best(text):
+        """(cosine, name) of the licence of a text; the text is cut into terms once."""
+        low = text.lower()
+        bag = Counter(_TERM.findall(low))
+        if found := self.whole.best(bag):
             return found
-        line, block = self.lines.header(text), self.blocks.block(text)
+        words = bag.keys()
+        line = self.line(low, here) if (here := self.lines.telling & words) else None
+        block = self.block(low, here) if (here := self.blocks.telling & words) else None
         if block and (not line or block[0] > line[0] or line[1] == "Proprietary"):
             return block
         return line
@@ -221,12 +293,12 @@ def headers(
 ) -> DataFrame:
     """The ``carry`` columns of every file with own_licence and own_score (null without a header)."""
     carry = [c for c in carry if c not in OUTPUT]
-    whole = texts()  # read by the driver: some 150 KB that go with the tasks
+    whole = licence_texts()  # read by the driver: some 150 KB that go with the tasks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Scan(templates, threshold, BLOCKS, whole)
         for batch in slices(batches, text, 8 << 20):
-            found = [known.licence(t) if t else None for t in batch.column(text).to_pylist()]
+            found = [known.licence(t) if t else None for t in texts(batch.column(text))]
             columns = [batch.column(c) for c in carry]
             columns += [
                 pa.array([f and f[1] for f in found], pa.string()),

@@ -35,8 +35,8 @@ def test_long_documents_fill_the_budget():
 
 
 def test_licence_texts_and_header_blocks_are_found():
-    scan = licences.Scan(licences.TEMPLATES, 0.8, licences.BLOCKS, licences.texts())
-    whole = dict(licences.texts())
+    scan = licences.Scan(licences.TEMPLATES, 0.8, licences.BLOCKS, licences.licence_texts())
+    whole = dict(licences.licence_texts())
     for name, text in whole.items():
         changed = text.replace("<year>", "2020").replace("<copyright holders>", "Foo Inc.").replace("<owner>", "Foo Inc.")
         assert scan.licence(changed)[1] == name and scan.licence(" ".join(changed.split()))[1] == name
