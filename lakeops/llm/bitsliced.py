@@ -17,9 +17,11 @@ limit keeps the best k. Blocks are dealt by a hash of the id, so a vector that v
 spreads over all blocks.
 
 Defined cases: a null vector, or one with a null or non-finite component, takes no part, nor does a
-null id. Rows with one id count once, with the smallest of their vectors. Shorter vectors are
-continued with zeros. Ties go to the smaller id. Empty tables give empty results. Components beyond
-the 64-bit range raise Spark's overflow error.
+null id. Rows of one id are rows of their own: each is a candidate of all others and, if its id is asked
+for, a query of its own, with results of its own under that id. Shorter vectors are continued with
+zeros. Ties go to the smaller id. Other columns are not read, whatever their names. Empty tables give
+empty results. A component whose quantised value, or a result whose score, is beyond the 64-bit range raises
+an error; where sums could leave that range, scores of boundary rows are added in unbounded integers.
 """
 
 from __future__ import annotations
@@ -41,15 +43,14 @@ LANES = 8
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, q): one row per id, q the floored components times SCALE."""
+    """(row, vec_id, q): a number of its own for each row once written, and the floored components times SCALE."""
     x = "CAST(x AS DOUBLE)"
+    held = f"CASE WHEN abs({SCALE} * {x}) < {2.0**63!r}D THEN floor({SCALE} * {x}) ELSE CAST(raise_error('component beyond 64 bits') AS LONG) END"
     finite = f"x IS NOT NULL AND NOT isnan({x}) AND abs({x}) < CAST('Infinity' AS DOUBLE)"
     return (
         vectors.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("v"))
         .where(f"vec_id IS NOT NULL AND v IS NOT NULL AND forall(v, x -> {finite})")
-        .selectExpr("CAST(vec_id AS LONG) AS vec_id", f"transform(v, x -> floor({SCALE} * {x})) AS q")
-        .groupBy("vec_id")
-        .agg(F.min("q").alias("q"))
+        .selectExpr("monotonically_increasing_id() AS row", "CAST(vec_id AS LONG) AS vec_id", f"transform(v, x -> {held}) AS q")
     )
 
 
@@ -66,26 +67,31 @@ def _matrix(rows: pd.Series) -> np.ndarray:
 class Slices:
     """The bit-sliced index of one block."""
 
-    def __init__(self, ids: np.ndarray, low: np.ndarray, bits: np.ndarray):
-        self.ids, self.low, self.bits = ids, low, bits  # bits[attribute, k, word]
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, low: np.ndarray, bits: np.ndarray):
+        self.rows, self.ids, self.low, self.bits = rows, ids, low, bits  # bits[attribute, k, word]
 
     @classmethod
-    def build(cls, ids: np.ndarray, values: np.ndarray) -> Slices:
+    def build(cls, ids: np.ndarray, values: np.ndarray, rows: np.ndarray | None = None) -> Slices:
         low = values.min(axis=0) if values.size else np.zeros(values.shape[1], np.int64)
-        above = (values - low).T
+        above = (values.astype(np.uint64) - low.astype(np.uint64)).T  # below 2^64, so exact
         width = max(1, int(above.max(initial=0)).bit_length())
         words = -(-len(ids) // 64)
         bits = np.zeros((len(low), width, words * 8), np.uint8)
         for k in range(width):
-            packed = np.packbits((above >> k & 1).astype(np.uint8), axis=1, bitorder="little")
+            packed = np.packbits((above >> np.uint64(k) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little")
             bits[:, k, : packed.shape[1]] = packed
-        return cls(ids, low, bits.view("<u8"))
+        return cls(np.arange(len(ids)) if rows is None else rows, ids, low, bits.view("<u8"))
 
     def values(self, rows: np.ndarray) -> np.ndarray:
         """Exact attribute values of some rows, (row, attribute)."""
         held = self.bits[:, :, rows >> 6] >> (rows & 63).astype(np.uint64) & np.uint64(1)
-        weights = np.int64(1) << np.arange(self.bits.shape[1], dtype=np.int64)
-        return np.einsum("jkr,k->rj", held.astype(np.int64), weights) + self.low
+        weights = np.uint64(1) << np.arange(self.bits.shape[1], dtype=np.uint64)
+        return (np.einsum("jkr,k->rj", held, weights) + self.low.astype(np.uint64)).view(np.int64)
+
+    def most(self) -> list[int]:
+        """A bound of the absolute value of each attribute."""
+        high = (1 << self.bits.shape[1]) - 1
+        return [max(abs(x), abs(x + high)) for x in self.low.tolist()]
 
 
 def signed_digits(n: int) -> list[tuple[int, int]]:
@@ -175,51 +181,59 @@ class Sums:
         return np.flatnonzero(np.unpackbits(held.view(np.uint8), bitorder="little"))
 
 
-def search(index: Slices, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def search(index: Slices, row: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and exact scores of the best k rows of a block, the query's own row left out."""
     if not len(index.ids):
         return index.ids, index.ids
     sums = Sums(index, query)
     rows = sums.at_least(sums.kth(k + 1) - sums.slack)  # one more, as the own row may be among them
-    rows = rows[index.ids[rows] != query_id]
+    rows = rows[index.rows[rows] != row]
     shared = min(len(query), len(index.low))
-    scores = index.values(rows)[:, :shared] @ query[:shared]
-    order = np.lexsort((index.ids[rows], -scores))[:k]
-    return index.ids[rows[order]], scores[order]
+    values, weights = index.values(rows)[:, :shared], query[:shared]
+    if sum(abs(w) * v for w, v in zip(weights.tolist(), index.most())) < 1 << 63:
+        scores = values @ weights
+        order = np.lexsort((index.ids[rows], -scores))[:k]
+        return index.ids[rows[order]], scores[order]
+    exact = [sum(a * b for a, b in zip(v, weights.tolist())) for v in values.tolist()]
+    best = sorted(zip((-x for x in exact), index.ids[rows].tolist()))[:k]
+    if any(abs(x) >= 1 << 63 for x, _ in best):
+        raise OverflowError("score beyond 64 bits")
+    return np.array([i for _, i in best], np.int64), np.array([-x for x, _ in best], np.int64)
 
 
 def top_k(vectors: DataFrame, k: int = 10, queries: str = "vec_id % 100 = 0") -> DataFrame:
-    """(query_id, rank, vec_id, score): the best ``k`` rows for each row that meets ``queries``."""
+    """(query_id, rank, vec_id, score): the best ``k`` rows for each row that meets ``queries`` (a condition on vec_id)."""
     data = written(quantised(vectors), "quantised")
     n_blocks = max(1, -(-data.count() // BLOCK_ROWS))
     asked = data.where(queries)
     n_chunks = max(1, -(-asked.count() // CHUNK_QUERIES))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
-        index = Slices.build(pdf["vec_id"].to_numpy(np.int64), _matrix(pdf["q"]))
-        parts = [index.ids.tobytes(), index.low.tobytes(), np.ascontiguousarray(index.bits).tobytes()]
-        return pd.DataFrame([[pdf["block"].iloc[0], index.bits.shape[1], *parts]], columns=["block", "width", "ids", "low", "bits"])
+        pdf = pdf.sort_values("row")
+        index = Slices.build(pdf["vec_id"].to_numpy(np.int64), _matrix(pdf["q"]), pdf["row"].to_numpy(np.int64))
+        parts = [x.tobytes() for x in (index.rows, index.ids, index.low, np.ascontiguousarray(index.bits))]
+        names = ["block", "width", "rows", "ids", "low", "bits"]
+        return pd.DataFrame([[pdf["block"].iloc[0], index.bits.shape[1], *parts]], columns=names)
 
     def bundle(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
+        pdf = pdf.sort_values("row")
         matrix = _matrix(pdf["q"])
-        parts = [pdf["vec_id"].to_numpy(np.int64).tobytes(), matrix.tobytes()]
-        return pd.DataFrame([[pdf["chunk"].iloc[0], matrix.shape[1], *parts]], columns=["chunk", "dim", "qids", "q"])
+        parts = [*(pdf[c].to_numpy(np.int64).tobytes() for c in ("row", "vec_id")), matrix.tobytes()]
+        return pd.DataFrame([[pdf["chunk"].iloc[0], matrix.shape[1], *parts]], columns=["chunk", "dim", "qrows", "qids", "q"])
 
     def dealt(n: int, seed: int) -> F.Column:
-        return F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n))
+        return F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(n))
 
     blocks = written(
         data.withColumn("block", dealt(n_blocks, 1))
         .groupBy("block")
-        .applyInPandas(pack, "block long, width int, ids binary, low binary, bits binary"),
+        .applyInPandas(pack, "block long, width int, rows binary, ids binary, low binary, bits binary"),
         "blocks",
     )
     chunks = (
         asked.withColumn("chunk", dealt(n_chunks, 2))
         .groupBy("chunk")
-        .applyInPandas(bundle, "chunk long, dim int, qids binary, q binary")
+        .applyInPandas(bundle, "chunk long, dim int, qrows binary, qids binary, q binary")
     )
     # Every chunk of the stated query set meets every block. A block is copied to a few lanes, among
     # which the chunks are dealt, so that many tasks share the work on one block.
@@ -235,18 +249,18 @@ def top_k(vectors: DataFrame, k: int = 10, queries: str = "vec_id % 100 = 0") ->
                 ids = np.frombuffer(r.ids, np.int64)
                 low = np.frombuffer(r.low, np.int64)
                 words = -(-len(ids) // 64)
-                index = Slices(ids, low, np.frombuffer(r.bits, "<u8").reshape(len(low), r.width, words))
+                index = Slices(np.frombuffer(r.rows, np.int64), ids, low, np.frombuffer(r.bits, "<u8").reshape(len(low), r.width, words))
                 found = []
-                qids = np.frombuffer(r.qids, np.int64)
+                qrows, qids = np.frombuffer(r.qrows, np.int64), np.frombuffer(r.qids, np.int64)
                 asked_here = np.frombuffer(r.q, np.int64).reshape(len(qids), r.dim)
-                for query_id, query in zip(qids, asked_here, strict=True):
-                    near, scores = search(index, int(query_id), query, k)
-                    found.append(pd.DataFrame({"query_id": query_id, "vec_id": near, "score": scores}))
+                for row, query_id, query in zip(qrows, qids, asked_here, strict=True):
+                    near, scores = search(index, int(row), query, k)
+                    found.append(pd.DataFrame({"row": row, "query_id": query_id, "vec_id": near, "score": scores}))
                 yield pd.concat(found)
 
-    found = met.select("width", "ids", "low", "bits", "dim", "qids", "q").mapInPandas(
-        score, "query_id long, vec_id long, score long"
+    found = met.select("width", "rows", "ids", "low", "bits", "dim", "qrows", "qids", "q").mapInPandas(
+        score, "row long, query_id long, vec_id long, score long"
     )
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -150,19 +150,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_topk": """
         WITH v AS (
-            SELECT vec_id, min([CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS q
+            SELECT row_number() OVER () AS "row", vec_id,
+                   [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-            GROUP BY vec_id
         ), s AS (
-            SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+            SELECT a."row", a.vec_id AS query_id, b.vec_id AS vec_id,
                    CAST(coalesce(list_sum(
                        [coalesce(x[1], 0) * coalesce(x[2], 0) FOR x IN list_zip(a.q, b.q)]), 0) AS BIGINT) AS score
-            FROM v a JOIN v b ON a.vec_id <> b.vec_id
+            FROM v a JOIN v b ON a."row" <> b."row"
             WHERE a.vec_id % 100 = 0
         ), r AS (
-            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
+            SELECT *, CAST(row_number() OVER (PARTITION BY "row" ORDER BY score DESC, vec_id) AS INTEGER) AS "rank"
             FROM s
         )
         SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 10

@@ -1,7 +1,11 @@
 import html
+import math
+import random
 import re
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from lakeops.llm import bitsliced, html_text, licences, queries
 from lakeops.llm.html_pages import PAGES
@@ -10,18 +14,18 @@ SF = "/root/testdata/sf0.001"
 
 
 def brute_top(rows, k=10):
-    held = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        q = [int(np.floor(1024 * float(np.float32(x)))) for x in v]
-        held[i] = min(held.get(i, q), q)
+    """Every row is a candidate of all others; rows of one id are rows of their own."""
+    held = [
+        (i, [int(np.floor(1024 * float(np.float32(x)))) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
     out = []
-    for i in sorted(held):
+    for n, (i, p) in enumerate(held):
         if i % 100 == 0:
-            scores = [(-sum(a * b for a, b in zip(held[i], q)), j) for j, q in held.items() if j != i]
+            scores = [(-sum(a * b for a, b in zip(p, q)), j) for m, (j, q) in enumerate(held) if m != n]
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scores)[:k])]
-    return out
+    return sorted(out)
 
 
 def test_top_k_equals_brute_force(spark):
@@ -42,6 +46,32 @@ def test_top_k_of_odd_rows(spark):
     assert bitsliced.top_k(df.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_candidates_and_queries(spark):
+    import duckdb
+
+    rows = [(100, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [9.0, 0.0]), (2, [0.7, 0.0]), (100, [1.0, 0.0]), (100, [0.0, 2.0])]
+    rows += [(1, [9.0, 0.0])] * 12 + [(200, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in bitsliced.top_k(df).collect())
+    assert got == brute_top(rows) and (100, 1, 1, 9216 * 1024) in got
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    sql = con.sql(queries.ORACLE_SQL["op3_exact_topk"])
+    assert got == sorted(tuple(r) for r in sql.select("query_id, rank, vec_id, score").fetchall())
+
+
+def test_scores_are_exact_or_refused(spark):
+    ddl = "vec_id long, embedding array<double>"
+    big = 2.0**40  # components of 2^50: products of 2^100 that cancel
+    rows = [(100, [big, big, 1.0]), (1, [big, -big, 3.0]), (2, [-big, big, 5.0]), (3, [0.0, 0.0, 4.0])]
+    got = sorted(tuple(r) for r in bitsliced.top_k(spark.createDataFrame(rows, ddl)).collect())
+    assert got == [(100, r + 1, i, x << 20) for r, (i, x) in enumerate([(2, 5), (3, 4), (1, 3)])]
+    for bad in ([(100, [3e9]), (1, [3e9])], [(100, [1.0]), (1, [1e300])]):
+        with pytest.raises(Exception, match="beyond 64 bits"):
+            bitsliced.top_k(spark.createDataFrame(bad, ddl)).collect()
+
+
 def test_sums_are_weighted_sums():
     rng = np.random.default_rng(5)
     values = rng.integers(-1000, 1000, (130, 6))
@@ -102,10 +132,49 @@ def test_odd_pages(spark):
     assert html_text.extract(df.limit(0), ["page_id"]).count() == 0
 
 
+def brute_cosines(templates, piece):
+    """{name: best cosine} of a lower-case piece of text, over plain dictionaries."""
+    bags = [(name, Counter(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", t.lower()))) for name, t in templates]
+    bag = Counter(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", piece))
+    held = Counter(w for _, b in bags for w in b)
+    idf = {w: math.log((1 + len(bags)) / (1 + held[w])) + 1 for w in set(held) | set(bag)}
+    length = lambda b: math.sqrt(sum((n * idf[w]) ** 2 for w, n in b.items()))
+    out = {}
+    for name, b in bags:
+        dot = sum(n * idf[w] * b[w] * idf[w] for w, n in bag.items() if w in b)
+        out[name] = max(out.get(name, 0), dot / (length(bag) * length(b)) if bag else 0)
+    return out
+
+
+def brute_licence(text, threshold=0.8):
+    """Every line, sentence and block and the whole text against every template."""
+
+    def best(templates, pieces):
+        top = None
+        for piece in dict.fromkeys(pieces):
+            found = brute_cosines(templates, piece)
+            cosine = max(found.values())
+            if cosine >= threshold and (top is None or cosine > top[0] + 1e-9):
+                top = cosine, min(n for n, c in found.items() if c >= cosine - 1e-9)
+        return top
+
+    low = text.lower()
+    if whole := best(licences.licence_texts(), [low]):
+        return whole[1]
+    lines, blocks = low.split("\n"), [[]]
+    for x in lines:
+        if re.fullmatch(r"[ \t\r]*(?:[#*;%!\-]+|//+|/\*+|\*+/|<!--|-->)?[ \t\r]*", x):
+            blocks.append([])
+        else:
+            blocks[-1].append(x)
+    line = best(licences.TEMPLATES, [p for x in lines for p in (x, *re.split(r"(?<=[a-z)][.;:])[ \t]+", x))])
+    block = best(licences.BLOCKS, ["\n".join(b) for b in blocks])
+    found = block if block and (not line or block[0] > line[0] or line[1] == "Proprietary") else line
+    return found and found[1]
+
+
 def brute_headers(text, threshold=0.8):
-    known = licences.Templates(licences.TEMPLATES, threshold)
-    found = [f for f in map(known.best, (text or "").split("\n")) if f]
-    return max(found, key=lambda f: f[0])[1] if found else None
+    return brute_licence(text or "", threshold)
 
 
 def test_skipping_lines_is_exact_and_headers_are_found(spark):
@@ -118,6 +187,47 @@ def test_skipping_lines_is_exact_and_headers_are_found(spark):
         assert got[f"d/{i}.txt"] == name
 
 
+def test_scan_equals_brute_force_on_planted_and_odd_rows(spark, odd):
+    rng = random.Random(8)
+    words = "the code is free to use and may not be sold under terms of any other license copyright 2020 foo inc version 2".split()
+    notices = [t for _, t in licences.TEMPLATES + licences.BLOCKS]
+    whole = [t for _, t in licences.licence_texts() if len(t) < 2000]
+    texts = []
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            notice = rng.choice(notices).split()
+            for _ in range(rng.randrange(3)):
+                notice.insert(rng.randrange(len(notice) + 1), rng.choice(words))
+            parts.append(rng.choice([" ".join(notice), " ".join(rng.choices(words, k=9)), "\n", "# ", "//", "* x", ""]))
+        texts.append("\n".join(parts))
+    texts += [w + "\n\n" + "code = 1\n" * rng.randrange(60) for w in whole] + ["license " * 5000, "İ MIT License", "\n\n#\nMIT License"]
+    plain = spark.createDataFrame([(t,) for t in texts], "text string")
+    for df in (plain, odd.where("coalesce(length(text), 0) < 5000").select("text")):
+        for r in licences.headers(df, ["text"]).collect():
+            assert r["own_licence"] == brute_licence(r["text"] or "")
+
+
+def test_notices_of_many_licences():
+    scan = licences.Scan(licences.TEMPLATES, 0.8, licences.BLOCKS, licences.licence_texts())
+    for line, name in (
+        ("Licensed under the MIT license", "MIT"), ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0-only"),
+        ("// SPDX-License-Identifier: (MIT OR Apache-2.0)", "MIT OR Apache-2.0"), ("SPDX-License-Identifier: ISC", "ISC"),
+        ("Copyright (c) 2020 Foo Inc. All rights reserved.", "Proprietary"),
+        ("Use of this source code is governed by a BSD-style license", "BSD-3-Clause"),
+        ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"), ("Eclipse Public License - v 2.0", "EPL-2.0"),
+    ):
+        assert scan.licence(f"x = 1\n\n{line}\n\ny = 2")[1] == name
+    assert scan.licence("Copyright (c) 2020 Foo Inc.") is None and scan.licence("the license may be the source of the work") is None
+
+
+def test_long_texts_and_bad_bytes_have_licences(spark):
+    long = "SELECT 1 AS i, concat(repeat('a line of words\n', 100000), 'Released under the MIT License.\n') AS text"
+    bad = "SELECT 2, concat('Released under the MIT License.\n', CAST(X'FF' AS STRING))"
+    got = licences.headers(spark.sql(f"{long} UNION ALL {bad}"), ["i"]).collect()
+    assert [r["own_licence"] for r in got] == ["MIT", "MIT"]
+
+
 def test_nearest_ancestor_decides(spark):
     mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
     rows = [
