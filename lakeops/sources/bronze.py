@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+import threading
 import time
 import uuid
 from collections.abc import Sequence
@@ -11,6 +13,7 @@ from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.keys import quote
 from lakeops.operators.cleaning import stamp
@@ -18,6 +21,9 @@ from lakeops.operators.contracts import Contract, enforce
 
 LAYERS = ("bronze", "silver", "gold", "quality")
 VERSION = "v-"
+DESCRIPTION = "_lakeops.json"  # beside a version's data; Spark's readers skip names that start so
+TRACKED = "spark.sql.hive.manageFilesourcePartitions"
+_CREATING = threading.Lock()
 
 
 class Lake:
@@ -35,13 +41,21 @@ class Lake:
 
     A replaced Parquet table is written to a version folder of its own before
     the catalog points to it: a failed write leaves the old version readable,
-    and so do running readers of it. ``vacuum`` removes versions no longer read.
+    and so do running readers of it. The catalog entry is changed, never
+    dropped, so readers always find the table: one change of its location, and a
+    second one of its columns where these differ. (Only other partition columns
+    need a new entry.) ``vacuum`` removes versions no longer read.
+
+    Each version keeps its schema and partition columns in a file beside the
+    data, so a session whose catalog does not have the table reads it with the
+    same types. Partitions are found by listing the version's folder.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", namespace: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
+        self.views: dict[str, str] = {}  # table -> temporary view that stands for it
         self.databases = {layer: self._database(f"{namespace}_{layer}" if namespace else layer, layer) for layer in LAYERS}
 
     def _database(self, name: str, layer: str) -> str:
@@ -86,24 +100,117 @@ class Lake:
         w = df.write.format(self.fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        if mode == "append" and self.spark.catalog.tableExists(full):
+        if mode == "append" and self.attach(layer, name):
             w.mode("append").saveAsTable(full)
         elif self.fmt == "parquet":
             place = f"{self.path(layer, name)}/{VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
             w.save(place)
-            self._point(full, df, place, partition_by)
+            self._describe(place, df.schema, partition_by)
+            self._point(full, df.schema, place, partition_by)
         else:  # a table format that replaces atomically itself
             w.mode(mode).option("path", self.path(layer, name)).saveAsTable(full)
         return full
 
-    def _point(self, full: str, df: DataFrame, place: str, partition_by: Sequence[str]) -> None:
+    def replace_partitions(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str]) -> str:
+        """Replace the partitions of ``layer.name`` that occur in ``df``; files of all others stay as they are.
+
+        The table is made if it is not there. The current version is changed in place (Spark's dynamic
+        partition overwrite: new files are staged and moved when all are written), so a repeated call
+        with the same rows gives the same table; a reader may meet a part of the partitions replaced.
+        Parquet tables only.
+        """
+        if self.fmt != "parquet":
+            raise ValueError("partitions are replaced in Parquet tables only")
+        if not self.attach(layer, name):
+            return self.write(df, layer, name, partition_by=partition_by)
+        full = self.table(layer, name)
+        columns = self.spark.catalog.listColumns(full)
+        if [c.name for c in columns if c.isPartition] != list(partition_by):
+            raise ValueError(f"{full} is not partitioned by {', '.join(partition_by)}")
+        rows = df.select(*(F.col(quote(c.name)).cast(c.dataType).alias(c.name) for c in columns)).hint("rebalance", *partition_by)
+        w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        w.parquet(self.location(layer, name))
+        self.spark.catalog.refreshTable(full)
+        return full
+
+    def drop_partitions(self, layer: str, name: str, column: str, values: Sequence[str]) -> None:
+        """Remove the partitions of these values of a table's first partition column."""
+        place = self.location(layer, name)
+        for value in values:
+            escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+            path, fs = self._folder(f"{place}/{column}={escaped}")
+            fs.delete(path, True)
+        self.spark.catalog.refreshTable(self.table(layer, name))
+
+    def view(self, df: DataFrame, layer: str, name: str) -> str:
+        """Let ``layer.name`` be a view of this session: `ref` reads it instead of a table. Returns the view's name."""
+        full = self.table(layer, name)
+        self.views[full] = f"{self.databases[layer]}__{name}"
+        publish_view(df, self.views[full])
+        return self.views[full]
+
+    def attach(self, layer: str, name: str) -> bool:
+        """Make sure that this session's catalog has a table which has been written; false if there is none."""
+        full = self.table(layer, name)
+        if not self.spark.catalog.tableExists(full):
+            versions = self._versions(layer, name) if self.fmt == "parquet" else []
+            known = self._described(versions[-1]) if versions else None
+            if known is None:
+                return False
+            self._point(full, known[0], versions[-1], known[1])
+        return True
+
+    def location(self, layer: str, name: str) -> str:
+        """The folder of the version that the catalog points to."""
+        return self._metadata(self.table(layer, name)).location().toString()
+
+    def _metadata(self, full: str):
+        state = self.spark._jsparkSession.sessionState()
+        return state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(full))
+
+    def _describe(self, place: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+        path, fs = self._folder(f"{place}/{DESCRIPTION}")
+        out = fs.create(path, True)
+        out.write(json.dumps({"schema": schema.jsonValue(), "partition_by": list(partition_by)}).encode())
+        out.close()
+
+    def _described(self, place: str) -> tuple[T.StructType, list[str]] | None:
+        path, fs = self._folder(f"{place}/{DESCRIPTION}")
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        held = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        stream.close()
+        return T.StructType.fromJson(held["schema"]), held["partition_by"]
+
+    def _point(self, full: str, schema: T.StructType, place: str, partition_by: Sequence[str]) -> None:
         """Let the catalog's table read the version at ``place``."""
-        columns = ", ".join(f"{quote(c)} {t}" for c, t in df.dtypes)
+        if self.spark.catalog.tableExists(full):
+            old = self._metadata(full)
+            if list(old.partitionColumnNames().mkString("\n").split("\n")) == (list(partition_by) or [""]) and not old.tracksPartitionsInCatalog():
+                self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{place}'")
+                data = T.StructType([T.StructField(f.name, f.dataType) for f in schema if f.name not in partition_by])
+                if T.StructType.fromJson(json.loads(old.dataSchema().json())).simpleString() != data.simpleString():
+                    self._set_columns(full, data)
+                return
+            self.spark.sql(f"DROP TABLE {full}")
+        columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema)
         parts = f"PARTITIONED BY ({', '.join(map(quote, partition_by))}) " if partition_by else ""
-        self.spark.sql(f"DROP TABLE IF EXISTS {full}")
-        self.spark.sql(f"CREATE TABLE {full} ({columns}) USING {self.fmt} {parts}LOCATION '{place}'")
-        if partition_by and self.spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true":
-            self.spark.sql(f"MSCK REPAIR TABLE {full}")
+        with _CREATING:  # partitions are to be listed, not kept in the catalog: that is one change less to be atomic
+            before = self.spark.conf.get(TRACKED)
+            self.spark.conf.set(TRACKED, "false")
+            try:
+                self.spark.sql(f"CREATE TABLE {full} ({columns}) USING {self.fmt} {parts}LOCATION '{place}'")
+            finally:
+                self.spark.conf.set(TRACKED, before)
+
+    def _set_columns(self, full: str, data: T.StructType) -> None:
+        """Give the catalog's table other columns, in one change."""
+        session = self.spark._jsparkSession.sessionState()
+        schema = self.spark._jvm.org.apache.spark.sql.types.DataType.fromJson(data.json())
+        database, table = full.split(".")
+        session.catalog().externalCatalog().alterTableDataSchema(database, table, schema)
+        self.spark.catalog.refreshTable(full)
 
     def _versions(self, layer: str, name: str) -> list[str]:
         """Completely written versions of a table, oldest first."""
@@ -124,9 +231,12 @@ class Lake:
         """Named read of a published table.
 
         Where this session's catalog does not have it (a new session without a
-        shared metastore), an unpartitioned table is read from its newest version.
+        shared metastore), it is read from its newest version, with the types
+        that were written.
         """
         full = self.table(layer, name)
+        if full in self.views:
+            return self.spark.table(self.views[full])
         if self.spark.catalog.tableExists(full):
             return self.spark.table(full)
         place = self.path(layer, name)
@@ -134,7 +244,10 @@ class Lake:
         if not fs.exists(folder):
             raise FileNotFoundError(f"no table {layer}.{name} under {self.root}")
         # a folder without versions was written by something else
-        return self.spark.read.format(self.fmt).load([place, *self._versions(layer, name)][-1])
+        newest = [place, *self._versions(layer, name)][-1]
+        known = self._described(newest)
+        reader = self.spark.read.format(self.fmt)
+        return (reader.schema(known[0]) if known else reader).load(newest)
 
     def vacuum(self, layer: str, name: str, keep: int = 2) -> int:
         """Delete all but the newest ``keep`` versions of a Parquet table; returns how many went."""
