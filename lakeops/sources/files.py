@@ -35,7 +35,7 @@ def _missing(e: AnalysisException) -> bool:
     return code == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
 
 
-def _load(reader, path: str, fmt: str, what: str) -> DataFrame:
+def _load(reader, path: str | list[str], fmt: str, what: str) -> DataFrame:
     try:
         return reader.format(fmt).load(path)
     except AnalysisException as e:
@@ -49,9 +49,9 @@ def read_json_array(
 ) -> DataFrame:
     """Rows of files that each hold one JSON array of objects (``path`` may be a folder or glob).
 
-    A file holding one JSON array cannot be split, so each file is one task:
-    at scale, land many files, or land JSON Lines (one object per line) and
-    pass ``json_lines=True``, which Spark splits into many tasks per file.
+    Spark does not split a file that holds one JSON array, so each file is one task here:
+    ``json_array.read_json_array_split`` reads large ones in blocks, and JSON Lines (one
+    object per line, ``json_lines=True``) split by themselves.
     """
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     if not json_lines:
@@ -59,11 +59,11 @@ def read_json_array(
     return _load(reader, path, "json", "JSON input")
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType = AD_SPEND_SCHEMA) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str | list[str], schema: T.StructType = AD_SPEND_SCHEMA) -> DataFrame:
     """CSV with a header, read by column name and typed by ``schema``.
 
     The header may name the columns in any order and have others besides; a
-    column that it lacks raises ``ValueError``. All files of ``path`` need the
+    column that it lacks raises ``ValueError``. All files of ``path`` (or of a list of paths) need the
     same header (another one fails the job). A value that does not parse
     (``abc`` for an int) fails the job instead of becoming NULL.
     """
