@@ -6,6 +6,7 @@ table exactly once: the stream's checkpoint is the cursor, and an
 ``availableNow`` trigger processes whatever has arrived and stops, so the same
 call serves a schedule or a sensor. A file rewritten under an existing name is
 not read again: landing names must be unique (Spark's writers make them so).
+``sources.landing`` takes in files that are delivered again under their name.
 """
 
 from __future__ import annotations
@@ -75,10 +76,10 @@ def ingest_new_csv(
     return query
 
 
-def land_csv(df, landing: str) -> None:
-    """Write one drop of rows into the landing folder (new, unique file names)."""
+def land_csv(df, landing: str, mode: str = "append") -> None:
+    """Write one drop of rows into the landing folder (new, unique file names; ``overwrite`` delivers it again)."""
     (
-        df.write.mode("append")
+        df.write.mode(mode)
         .option("header", True)
         .option("timestampNTZFormat", TIMESTAMP_TEXT_FORMAT)
         .csv(landing)
