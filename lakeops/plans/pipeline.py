@@ -108,9 +108,13 @@ def build(
     run_ts: datetime,
     contracts: bool = True,
     parallel_jobs: int = 1,
+    silver_views: bool = False,
 ) -> list[str]:
     """build and publish the named models from their published inputs.
 
+    With ``silver_views`` Silver models become views of this session instead of tables: nothing is written,
+    and each mart that reads them computes them. Marts that share them do so each, so tables are the default.
+
     Models are built after those of the named ones that they read, whatever the
     order of the names; models that do not need each other run side by side.
     """
@@ -126,6 +130,8 @@ def build(
         df = m.build(*inputs)
         if m.layer == "gold":
             return publish_table(lake, df, name, quality.MART_CONTRACTS[name] if contracts else None)
+        if silver_views:
+            return lake.view(df, m.layer, name)
         return lake.write(df, m.layer, name)
 
     done: dict[str, str] = {}

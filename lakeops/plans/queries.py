@@ -6,7 +6,9 @@ Each one reads the whole binding tables; nothing is sampled or capped.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,10 +21,12 @@ from lakeops.operators.dedup import latest_by
 from lakeops.operators.joins import enrich, exists_flag
 from lakeops.operators import checks as C
 from lakeops.operators.contracts import contract_report, null_report
-from lakeops.plans import context, gold, pipeline, quality, silver
+from lakeops.plans import context, gold, incremental, pipeline, quality, silver
 from lakeops.session import configure, shared_path
 from lakeops.sources.bronze import Lake, write_bronze
 from lakeops.sources.files import read_csv_typed, read_json_array
+from lakeops.sources.json_array import read_json_array_split
+from lakeops.sources.landing import ingest_drops
 from lakeops.streaming.ingest import ingest_new_csv, land_csv
 from lakeops.sources import bindings as B
 
@@ -568,6 +572,121 @@ def q_json_scan(spark, sf_dir):
     return read_json_array(spark, path, json_lines=True)
 
 
+LEAD_BUCKETS = 16
+
+
+def q_ad_redelivery(spark, sf_dir):
+    """Four drops of ad spend land; two are delivered again with clicks and without some rows. Their rows in
+    Bronze are replaced, and Silver is refreshed for the days touched."""
+    m = Models(spark, sf_dir)
+    lake = Lake(spark, shared_path(spark, "ad_redelivery", unique=True))
+    landing = f"{lake.root}/landing"
+    raw = m.raw("raw_ad_spend").withColumn("part", F.expr("coalesce(client_id, 0) % 4"))
+    for part in range(4):
+        land_csv(raw.where(f"part = {part}").withColumn("clicks", F.lit(0)).drop("part"), f"{landing}/drop-{part}")
+    incremental.ingest_ad_spend(lake, landing, RUN_TS, AD_SPEND_LANDED_SCHEMA)
+    for part in (1, 3):
+        final = raw.where(f"part = {part} AND NOT coalesce(impressions % 500 = 0, false)").drop("part")
+        land_csv(final, f"{landing}/drop-{part}", mode="overwrite")
+    incremental.ingest_ad_spend(lake, landing, RUN_TS, AD_SPEND_LANDED_SCHEMA)
+    return lake.ref("silver", "stg_ad_spend").drop(incremental.REGION)
+
+
+def _merged(spark, sf_dir, raw_name, name, model, parts, region, raw_region):
+    """Raw rows land in drops; after each, Silver is refreshed for the regions that occur in it."""
+    lake = Lake(spark, shared_path(spark, f"merge_{name}", unique=True))
+    raw = Models(spark, sf_dir).raw(raw_name)
+    for part in parts:
+        regions = incremental.land(lake, raw.where(f"coalesce({part}, false)"), raw_name, raw_region)
+        incremental.refresh(lake, lake.ref("bronze", raw_name), name, model, regions, region)
+    return lake.ref("silver", name).drop(incremental.REGION)
+
+
+def q_merge_latest_single(spark, sf_dir):
+    """Leads in three drops, re-sent ones in the last: merged by buckets of their key."""
+    parts = (
+        f"_loaded_at >= TIMESTAMP_NTZ '{B.CLIENT_LOAD_TS}' AND id % 2 = 0",
+        f"_loaded_at >= TIMESTAMP_NTZ '{B.CLIENT_LOAD_TS}' AND id % 2 <> 0",
+        f"_loaded_at < TIMESTAMP_NTZ '{B.CLIENT_LOAD_TS}'",
+    )
+    raw, own = (incremental.by_bucket(c, buckets=LEAD_BUCKETS) for c in ("CAST(id AS INT)", "lead_id"))
+    return _merged(spark, sf_dir, "raw_leads", "stg_leads", silver.stg_leads, parts, own, raw)
+
+
+def q_merge_latest_composite(spark, sf_dir):
+    """Ad spend in three drops that share days and keys: merged by day."""
+    day = "dayofmonth(CAST(date AS DATE))"
+    parts = (f"{day} <= 12 AND impressions % 300 = 0", f"impressions % 300 <> 0 AND {day} <= 20", f"{day} > 12 AND (impressions % 300 = 0 OR {day} > 20)")
+    rest = " OR ".join(f"coalesce({p}, false)" for p in parts)
+    model = partial(silver.stg_ad_spend, run_ts=RUN_TS)
+    raw, own = map(incremental.by_date, incremental.AD_DAY)
+    return _merged(spark, sf_dir, "raw_ad_spend", "stg_ad_spend", model, (*parts, f"NOT ({rest})"), own, raw)
+
+
+def q_json_array_scan(spark, sf_dir):
+    """Rankings landed as files that hold one JSON array each, read back in blocks."""
+    path = shared_path(spark, "json_array_scan", unique=True)
+    raw = Models(spark, sf_dir).raw("raw_seo_rankings").drop("_dlt_load_time")
+
+    def arrays(batches):
+        mark, held = "[", []
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                held.append(mark + value)
+                mark = ","
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
+            held.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if mark == "," else "[]"])], names=["value"])
+
+    raw.selectExpr("to_json(struct(*)) AS value").repartition(4).mapInArrow(arrays, "value string").write.text(path)
+    return read_json_array_split(spark, path, block_bytes=1 << 18)
+
+
+def q_missing_input(spark, sf_dir):
+    """Landed and missing inputs of both file readers: rows, or the error that names what is missing."""
+    path = shared_path(spark, "missing_input", unique=True)
+    m = Models(spark, sf_dir)
+    m.raw("raw_seo_rankings").drop("_dlt_load_time").write.json(f"{path}/seo")
+    land_csv(m.raw("raw_ad_spend"), f"{path}/ads")
+    readers = {
+        "seo": lambda p: read_json_array(spark, p, json_lines=True),
+        "ads": lambda p: read_csv_typed(spark, p, AD_SPEND_LANDED_SCHEMA),
+    }
+    parts = []
+    for name, read in readers.items():
+        parts.append(read(f"{path}/{name}").groupBy().count().selectExpr(f"'{name}' AS input", "CAST(NULL AS STRING) AS error", "count AS row_count"))
+        try:
+            read(f"{path}/no-{name}")
+        except FileNotFoundError as e:
+            found = str(e).replace(path, "")
+            parts.append(parts[0].selectExpr(f"'no-{name}' AS input", f"'{found}' AS error", "CAST(NULL AS BIGINT) AS row_count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_mart_on_views(spark, sf_dir):
+    """The ad performance mart built on Silver views over landed Bronze tables."""
+    m = Models(spark, sf_dir)
+    lake = Lake(spark, shared_path(spark, "mart_on_views", unique=True))
+    names = ("raw_clients", "raw_leads", "raw_ad_spend")
+    pipeline.each_table(lambda n: write_bronze(lake, m.raw(n), n), names, parallel_jobs=3)
+    pipeline.build(lake, ("stg_clients", "stg_leads", "stg_ad_spend"), AS_OF, RUN_TS, silver_views=True)
+    (mart,) = pipeline.build(lake, ("fct_ad_performance",), AS_OF, RUN_TS)
+    return spark.table(mart)
+
+
+def q_gate_failures(spark, sf_dir):
+    """The failed checks that the gate raises for both suites."""
+    m = Models(spark, sf_dir)
+    suites = {"stg_clients": quality.SUITE_CLIENTS, "stg_leads": quality.SUITE_LEADS}
+    tables = {"stg_clients": m.clients, "stg_leads": m.leads}
+    results = C.run_many(tables, {t: quality.suite_checks(s) for t, s in suites.items()})
+    try:
+        C.gate(results)
+    except C.QualityGateFailed as e:
+        return spark.createDataFrame(e.failures, results.schema)
+    return results.limit(0)
+
+
 def q_pipeline_counts(spark, sf_dir):
     """The full run on the bindings; the gate records instead of stopping (the
     reference's suite bounds are for 500 clients and fail on these tables)."""
@@ -624,5 +743,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_stream_ingest": q_ad_stream_ingest,
     "csv_scan": q_csv_scan,
     "json_scan": q_json_scan,
+    "json_array_scan": q_json_array_scan,
+    "missing_input": q_missing_input,
+    "ad_redelivery": q_ad_redelivery,
+    "merge_latest_single": q_merge_latest_single,
+    "merge_latest_composite": q_merge_latest_composite,
+    "mart_on_views": q_mart_on_views,
+    "gate_failures": q_gate_failures,
     "pipeline_counts": q_pipeline_counts,
 }

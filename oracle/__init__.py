@@ -27,6 +27,8 @@ def _finals() -> dict[str, str]:
     out["contract_diff"] = "\nUNION ALL\n".join(contract_parts)
     for key, spec in CHECK_SPECS.items():
         out[key] = checks_sql(spec(lambda name: None))
+    both = " UNION ALL ".join(f"SELECT * FROM ({out[f'suite_{t}']}) AS {t}_results" for t in ("clients", "leads"))
+    out["gate_failures"] = f"SELECT * FROM ({both}) AS results WHERE NOT success"
     return out
 
 

@@ -141,6 +141,33 @@ FROM dim_clients""",
     "client_context": "SELECT * FROM client_context",
     "bronze_roundtrip": "\nUNION ALL\n".join(_row_sum(t) for t in RAW_COLUMNS),
     "ad_stream_ingest": "SELECT * FROM stg_ad_spend",
+    "merge_latest_single": "SELECT * FROM stg_leads",
+    "merge_latest_composite": "SELECT * FROM stg_ad_spend",
+    "mart_on_views": "SELECT * FROM fct_ad_performance",
+    "json_array_scan": "SELECT client_id, keyword, position, snapshot_date FROM raw_seo_rankings",
+    "missing_input": """
+SELECT 'seo' AS input, CAST(NULL AS VARCHAR) AS error, count(*) AS row_count FROM raw_seo_rankings
+UNION ALL SELECT 'no-seo', 'JSON input not found at /no-seo', NULL
+UNION ALL SELECT 'ads', NULL, count(*) FROM raw_ad_spend
+UNION ALL SELECT 'no-ads', 'CSV input not found at /no-ads', NULL""",
+    # of the clients of parts 1 and 3 the second delivery counts, of the others the first, without clicks
+    "ad_redelivery": """
+SELECT md5(coalesce(CAST(client_id AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
+           coalesce(CAST(channel AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
+           coalesce(CAST(date AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS ad_spend_key,
+       CAST(client_id AS INTEGER) AS client_id, lower(channel) AS channel, CAST(date AS DATE) AS spend_date,
+       CAST(spend AS DECIMAL(10, 2)) AS spend, CAST(impressions AS INTEGER) AS impressions,
+       CAST(clicks AS INTEGER) AS clicks, TIMESTAMP '2024-02-10 00:00:00' AS _loaded_at
+FROM (
+    SELECT *, row_number() OVER (
+        PARTITION BY client_id, channel, date
+        ORDER BY _dlt_load_time DESC NULLS LAST, spend DESC NULLS LAST, impressions DESC NULLS LAST, clicks DESC NULLS LAST) AS place
+    FROM (
+        SELECT * REPLACE (CASE WHEN coalesce(client_id, 0) % 4 IN (1, 3) THEN clicks ELSE 0 END AS clicks)
+        FROM raw_ad_spend
+        WHERE coalesce(client_id, 0) % 4 IN (0, 2) OR NOT coalesce(impressions % 500 = 0, false)
+    )
+) WHERE place = 1""",
     "pipeline_counts": "\nUNION ALL\n".join(_key_sum(t, k) for t, k in PIPELINE_KEYS.items()),
     "client_context_json": """
 SELECT client_id,
