@@ -76,6 +76,8 @@ class PipelineConfig:
         default_factory=lambda: {"stg_clients": quality.SUITE_CLIENTS, "stg_leads": quality.SUITE_LEADS}
     )
     parallel_jobs: int = 4  # independent tables of one layer are written concurrently
+    # raw name -> what its rows are (a snapshot's id, a file's fingerprint): tables built from the same are not built again
+    snapshots: Mapping[str, str] = field(default_factory=dict)
 
 
 def each_table(fn: Callable[[str], T], names: Iterable[str], parallel_jobs: int) -> list[T]:
@@ -93,12 +95,19 @@ def each_table(fn: Callable[[str], T], names: Iterable[str], parallel_jobs: int)
 
 
 def load_bronze(lake: Lake, cfg: PipelineConfig) -> list[str]:
-    """A7: land every raw table (database tables, SEO file, ad spend file)."""
-    return each_table(
-        lambda name: write_bronze(lake, cfg.raw[name], name, partition_by=cfg.partition_by.get(name, ())),
-        cfg.raw,
-        cfg.parallel_jobs,
-    )
+    """A7: land every raw table (database tables, SEO file, ad spend file).
+
+    A table whose published version is of the same snapshot (``cfg.snapshots``) is left as it is.
+    """
+
+    def one(name: str) -> str:
+        parts = cfg.partition_by.get(name, ())
+        made_of = f"{name} {cfg.snapshots[name]} {parts}" if name in cfg.snapshots else None
+        if made_of is not None and lake.built_from("bronze", name) == made_of:
+            return lake.table("bronze", name)
+        return write_bronze(lake, cfg.raw[name], name, partition_by=parts, built_from=made_of)
+
+    return each_table(one, cfg.raw, cfg.parallel_jobs)
 
 
 def build(
@@ -109,12 +118,18 @@ def build(
     contracts: bool = True,
     parallel_jobs: int = 1,
     silver_views: bool = False,
+    resume: bool = False,
 ) -> list[str]:
     """build and publish the named models from their published inputs.
 
     With ``silver_views`` Silver models become views of this session instead of tables: nothing is written,
     and each mart that reads them computes them. Marts that share them do so each, so tables are the default.
 
+    Each published version notes what it was built from: the model, its dates, and the identities of its inputs'
+    versions. With ``resume`` a model is skipped where that is the same as now, so a run that failed goes on
+    where it stopped, and one on unchanged inputs writes nothing. (A change of a model's code is not seen: build
+    without ``resume`` then.)
+
     Models are built after those of the named ones that they read, whatever the
     order of the names; models that do not need each other run side by side.
     """
@@ -126,13 +141,17 @@ def build(
 
     def one(name: str) -> str:
         m = reg[name]
+        read = {i: lake.identity(*i.split(".")) for i in m.inputs}
+        made_of = f"{name} {as_of} {run_ts} {contracts} {sorted(read.items())}" if None not in read.values() else None
+        if resume and made_of is not None and lake.built_from(m.layer, name) == made_of:
+            return lake.table(m.layer, name)
         inputs = [lake.ref(*i.split(".")) for i in m.inputs]
         df = m.build(*inputs)
         if m.layer == "gold":
-            return publish_table(lake, df, name, quality.MART_CONTRACTS[name] if contracts else None)
+            return publish_table(lake, df, name, quality.MART_CONTRACTS[name] if contracts else None, built_from=made_of)
         if silver_views:
             return lake.view(df, m.layer, name)
-        return lake.write(df, m.layer, name)
+        return lake.write(df, m.layer, name, built_from=made_of)
 
     done: dict[str, str] = {}
     while len(done) < len(names):
@@ -151,12 +170,16 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     tests and source freshness on Bronze, the declared mart tests and the
     row-count/schema checks on Gold. With ``gate="raise"`` a failed test fails
     the run, after its results are written.
+
+    Where ``cfg.snapshots`` says what the raw rows are, tables that were built from the same inputs and dates
+    are not written again: a run that failed goes on behind its last published table.
     """
     lake = Lake(spark, cfg.root)
     tables: dict[str, str] = {}
     for full in load_bronze(lake, cfg):
         tables[full.split(".")[1]] = full
-    for full in build(lake, SILVER_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs):
+    resume = bool(cfg.snapshots)
+    for full in build(lake, SILVER_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs, resume=resume):
         tables[full.split(".")[1]] = full
     if cfg.suites:
         gate_results = C.run_many(
@@ -166,7 +189,7 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
         tables["gate_results"] = lake.write(gate_results, "quality", "gate_results")
         if cfg.gate == "raise":
             C.gate(lake.ref("quality", "gate_results"))
-    for full in build(lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs):
+    for full in build(lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs, resume=resume):
         tables[full.split(".")[1]] = full
     marts = {t: lake.ref("gold", t) for t in GOLD_TABLES}
     doc = context.snapshot(

@@ -82,9 +82,12 @@ class Lake:
         mode: str = "overwrite",
         partition_by: Sequence[str] = (),
         cluster_by: str | None = None,
+        built_from: str | None = None,
     ) -> str:
         """Replace (or append to) ``layer.name``; returns the catalog name.
 
+        ``built_from`` says what a version was made of (see `built_from`).
+
         Partitioned writes are rebalanced on the partition columns first:
         AQE then splits a partition value that holds a large share of the
         rows over several tasks instead of one, and each task writes few files.
@@ -102,10 +105,11 @@ class Lake:
             w = w.partitionBy(*partition_by)
         if mode == "append" and self.attach(layer, name):
             w.mode("append").saveAsTable(full)
+            self._changed(layer, name)
         elif self.fmt == "parquet":
             place = f"{self.path(layer, name)}/{VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
             w.save(place)
-            self._describe(place, df.schema, partition_by)
+            self._describe(place, df.schema, partition_by, built_from)
             self._point(full, df.schema, place, partition_by)
         else:  # a table format that replaces atomically itself
             w.mode(mode).option("path", self.path(layer, name)).saveAsTable(full)
@@ -131,6 +135,7 @@ class Lake:
         w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
         w.parquet(self.location(layer, name))
         self.spark.catalog.refreshTable(full)
+        self._changed(layer, name)
         return full
 
     def drop_partitions(self, layer: str, name: str, column: str, values: Sequence[str]) -> None:
@@ -141,6 +146,7 @@ class Lake:
             path, fs = self._folder(f"{place}/{column}={escaped}")
             fs.delete(path, True)
         self.spark.catalog.refreshTable(self.table(layer, name))
+        self._changed(layer, name)
 
     def view(self, df: DataFrame, layer: str, name: str) -> str:
         """Let ``layer.name`` be a view of this session: `ref` reads it instead of a table. Returns the view's name."""
@@ -168,20 +174,48 @@ class Lake:
         state = self.spark._jsparkSession.sessionState()
         return state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(full))
 
-    def _describe(self, place: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+    def identity(self, layer: str, name: str) -> str | None:
+        """Names the content of a Parquet table: its version, and the last change made to that in place. None without a table."""
+        if self.fmt != "parquet" or not self.attach(layer, name):
+            return None
+        place = self.location(layer, name)
+        held = self._notes(place)
+        return f"{_bare(place)}#{held.get('change', '')}" if held else None
+
+    def built_from(self, layer: str, name: str) -> str | None:
+        """What the table's version was made of, as it was given to `write`; None if it was changed since."""
+        if self.fmt != "parquet" or not self.attach(layer, name):
+            return None
+        return self._notes(self.location(layer, name)).get("built_from")
+
+    def _describe(self, place: str, schema: T.StructType, partition_by: Sequence[str], built_from: str | None = None) -> None:
+        held = {"schema": schema.jsonValue(), "partition_by": list(partition_by), "built_from": built_from}
+        self._note(place, held)
+
+    def _changed(self, layer: str, name: str) -> None:
+        """Note that the current version was changed in place."""
+        place = self.location(layer, name)
+        if held := self._notes(place):
+            self._note(place, held | {"built_from": None, "change": uuid.uuid4().hex})
+
+    def _note(self, place: str, held: dict) -> None:
         path, fs = self._folder(f"{place}/{DESCRIPTION}")
         out = fs.create(path, True)
-        out.write(json.dumps({"schema": schema.jsonValue(), "partition_by": list(partition_by)}).encode())
+        out.write(json.dumps(held).encode())
         out.close()
 
-    def _described(self, place: str) -> tuple[T.StructType, list[str]] | None:
+    def _notes(self, place: str) -> dict:
         path, fs = self._folder(f"{place}/{DESCRIPTION}")
         if not fs.exists(path):
-            return None
+            return {}
         stream = fs.open(path)
         held = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         stream.close()
-        return T.StructType.fromJson(held["schema"]), held["partition_by"]
+        return held
+
+    def _described(self, place: str) -> tuple[T.StructType, list[str]] | None:
+        held = self._notes(place)
+        return (T.StructType.fromJson(held["schema"]), held["partition_by"]) if held else None
 
     def _point(self, full: str, schema: T.StructType, place: str, partition_by: Sequence[str]) -> None:
         """Let the catalog's table read the version at ``place``."""
@@ -273,6 +307,7 @@ def write_bronze(
     partition_by: Sequence[str] = (),
     load_col: str | None = None,
     run_ts: datetime | None = None,
+    built_from: str | None = None,
 ) -> str:
     """A5/A6: land a raw table, stamping ``load_col`` with ``run_ts`` if it is absent.
 
@@ -283,7 +318,7 @@ def write_bronze(
         if run_ts is None:
             raise ValueError("run_ts is needed to stamp a load time")
         df = stamp(df, load_col, run_ts)
-    return lake.write(df, "bronze", name, mode=mode, partition_by=partition_by)
+    return lake.write(df, "bronze", name, mode=mode, partition_by=partition_by, built_from=built_from)
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
