@@ -2,9 +2,11 @@
 
 Written for this purpose. An element with the attribute ``main`` is main content together with what it
 holds, down to an element with the attribute ``rest``; all others are not. The model never sees these
-two attributes.
+two attributes. ``made_pages`` puts more of them together by rule.
 """
 
+import random
+
 _TEXT = (
     "The river rose for three days before the town council met, and by then most of the cellars along the quay were full.",
     "Nobody had expected the old pumps to last. They were built in 1952, and the spare parts ran out long ago.",
@@ -37,3 +39,106 @@ PAGES = [
     f"<html><body><h1 main>High water</h1><p main>{_TEXT[4]}</p><p main>{_TEXT[0]}</p><ul main><li>Two pumps</li></ul></body></html>",
     f"<div main><p>{_TEXT[2]}</p><p>{_TEXT[1]}</p></div>",
 ]
+
+#: Words of classes, ids and roles by what an element holds, in some languages. (Fixed values.)
+WORDS = {
+    "menu": "nav menu navigation navbar breadcrumb breadcrumbs links topnav tabs pager pagination",
+    "header": "header masthead top logo brand kopfzeile kopf entete cabecera",
+    "footer": "footer bottom copyright imprint impressum colophon fusszeile fuss pied legal",
+    "side": "sidebar aside side widget related recommended rail secondary seitenleiste popular trending",
+    "notice": "cookie cookies consent notice alert gdpr popup modal hinweis overlay privacy toast",
+    "ad": "ad ads advert advertisement sponsored sponsor promo promotion banner werbung anzeige publicite",
+    "comments": "comments comment responses response replies reply discussion disqus kommentare reactions thread",
+    "form": "form newsletter signup subscribe search login register anmeldung",
+    "share": "share social sharing tools actions toolbar",
+    "main": "article content main post entry story body text inhalt beitrag contenu articulo prose markdown",
+}
+
+
+def made_pages(n: int, seed: int, unseen: bool = False) -> list[str]:
+    """``n`` labelled pages put together by rule from a seed: layouts, short and long articles with linked paragraphs, lists
+    of links, tables, forms and adverts in them, and what stands around articles. With ``unseen`` the words of
+    classes are made up, so that tags and texts alone tell."""
+    rng = random.Random(seed)
+
+    def word() -> str:
+        return "".join(rng.choice("b d f g k l m n r s t v".split()) + rng.choice("aeiou") for _ in range(rng.randrange(1, 4)))
+
+    def sentence(low: int = 5, high: int = 22) -> str:
+        words = [word() for _ in range(rng.randrange(low, high))]
+        if len(words) > 8 and rng.random() < 0.7:
+            words[len(words) // 2] += ","
+        return " ".join(words).capitalize() + rng.choice("...!?")
+
+    def text(least: int = 1, most: int = 5) -> str:
+        return " ".join(sentence() for _ in range(rng.randrange(least, most)))
+
+    def link(low: int = 1, high: int = 4) -> str:
+        return f'<a href="/{word()}">{" ".join(word() for _ in range(rng.randrange(low, high))).capitalize()}</a>'
+
+    def links(low: int = 3, high: int = 9) -> str:
+        items = [link() for _ in range(rng.randrange(low, high))]
+        style = rng.randrange(3)
+        return f"<ul>{''.join(f'<li>{x}</li>' for x in items)}</ul>" if style else " ".join(items)
+
+    def named(kind: str) -> str:
+        if unseen:
+            return f'class="{word()}{word()}"'
+        chosen = rng.sample(WORDS[kind].split(), rng.choice((1, 1, 2)))
+        return f'{rng.choice(("class", "class", "id"))}="{rng.choice(("-", " ")).join(chosen)}"'
+
+    def around(tag: str, kind: str, inner: str, mark: str = "") -> str:
+        """An element of a telling tag, or a plain one with telling words."""
+        plain = tag in ("div", "section") or rng.random() < 0.5
+        if plain and not (unseen and tag not in ("div", "section")):
+            tag = rng.choice(("div", "div", "section")) if tag != "form" else tag
+            return f"<{tag} {named(kind)}{mark}>{inner}</{tag}>"
+        return f"<{tag}{mark}>{inner}</{tag}>"
+
+    def form() -> str:
+        fields = "".join(f"<label>{word().capitalize()}</label><input>" for _ in range(rng.randrange(1, 3)))
+        return f"<form>{rng.choice(('', f'<p>{sentence(3, 9)}</p>'))}{fields}<button>{word().capitalize()}</button></form>"
+
+    def article() -> str:
+        parts = [f"<h1>{' '.join(word() for _ in range(rng.randrange(2, 7))).capitalize()}</h1>"] if rng.random() < 0.8 else []
+        for _ in range(rng.choice((1, 2, 2, 3, 3, 4, 5, 7, 10))):
+            parts.append(f"<p>{text()}</p>")
+        extra = [
+            f"<p>{link(3, 7)}</p>", f"<p><a href='/x'>{sentence(4, 9)}</a></p>", f"<ul>{''.join(f'<li>{link(2, 6)}</li>' for _ in range(rng.randrange(2, 10)))}</ul>",
+            f"<ul>{''.join(f'<li>{sentence(3, 9)}</li>' for _ in range(rng.randrange(2, 6)))}</ul>", f"<h2>{word().capitalize()} {word()}</h2>",
+            f"<table>{''.join(f'<tr><td>{word()}</td><td>{rng.randrange(99)}</td></tr>' for _ in range(rng.randrange(1, 5)))}</table>",
+            f"<blockquote><p>{text(1, 3)}</p></blockquote>", f"<figure><figcaption>{sentence(3, 8)}</figcaption></figure>", f"<pre>{word()} = {word()}</pre>",
+            f"<p>{word().capitalize()}.</p>", f"<p>{text(1, 3)} {link()} {sentence()}</p>",
+        ]
+        apart = [
+            around("div", "ad", f"<p>{sentence()}</p>", " rest"), around("div", "share", f"{link()} {link()}", " rest"),
+            around("form", "form", form(), " rest"), around("aside", "side", f"<h3>{word()}</h3>{links()}", " rest"),
+        ]
+        for piece in rng.sample(extra, rng.choice((0, 1, 1, 2, 3))) + rng.sample(apart, rng.choice((0, 0, 1, 1, 2))):
+            parts.insert(rng.randrange(len(parts) + 1), piece)
+        inner = "".join(parts)
+        return rng.choice((inner, inner, f"<div>{inner}</div>"))
+
+    pages = []
+    for _ in range(n):
+        whole = rng.choice(("article", "article", "main", "div", "section"))
+        if whole in ("article", "main") and (unseen or rng.random() < 0.7):
+            body = f"<{whole} main>{article()}</{whole}>"
+        else:
+            body = f"<{whole} {named('main')} main>{article()}</{whole}>"
+        if rng.random() < 0.3:
+            body = f"<div{rng.choice(('', ' class=wrapper', ' class=container'))}>{body}</div>"
+        before = [around("nav", "menu", links()), around("header", "header", rng.choice((link(), f"<h2>{word()}</h2>{links()}")))]
+        before += [around("div", "notice", f"<p>{text(1, 3)}</p>{rng.choice(('', f'<button>{word()}</button>'))}"), around("div", "ad", f"<p>{text(1, 3)}</p>")]
+        after = [around("aside", "side", f"<h3>{word()}</h3>{links()}"), around("div", "ad", rng.choice((link(3, 8), f"<p>{sentence()}</p>")))]
+        after += [around("section", "comments", "".join(f'<div {named("comments")}><p>{text(1, 3)}</p></div>' for _ in range(rng.randrange(1, 5))))]
+        after += [around("div", "form", form())]
+        first = rng.sample(before, rng.randrange(1, 4))
+        last = rng.sample(after, rng.randrange(0, 4)) + [around("footer", "footer", f"{sentence(2, 7)} {link()}")]
+        if unseen:  # without telling words, adverts, notices and comments look like articles: only what tags or links tell
+            first = [around("nav", "menu", links()), around("header", "header", link())]
+            last = [around("aside", "side", f"<h3>{word()}</h3>{links()}"), around("footer", "footer", f"{sentence(2, 7)} {link()}"), form()]
+        if rng.random() < 0.15:  # an article and nothing else
+            first, last = [], []
+        pages.append(f"<html><head><title>{word()}</title></head><body>{''.join(first)}{body}{''.join(last)}</body></html>")
+    return pages

@@ -8,7 +8,7 @@ before children); together they give every element's exact marginal. The text of
 is above one half is the main text.
 
 The weights are trained by gradient ascent on the likelihood of labelled pages (`html_pages.PAGES`, a
-fixed small set): observed minus expected features, the expectations coming from the same messages.
+fixed small set, and ``MADE`` pages that `made_pages` puts together by rule): observed minus expected features, the expectations coming from the same messages.
 
 Blocks: each stretch of text between two block tags. Character references are decoded, white space is
 made one space, blocks are trimmed and joined in page order by a newline. ``br`` is white space. Heads,
@@ -19,7 +19,7 @@ next block begins.
 
 Defined cases: a null or empty page has the empty text. Markup may be broken: an end tag closes the
 nearest open element of its name, or nothing; ``<`` that starts no tag is text. Whole pages are read,
-at any length and depth (no recursion). Repeated rows get equal results. Empty tables give empty
+at any length and depth (no recursion), in linear time; bytes that are not UTF-8 are read as U+FFFD. Repeated rows get equal results. Empty tables give empty
 results. Other columns are carried along where asked for; text and n_chars give way to the results.
 """
 
@@ -34,17 +34,15 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices
-from .html_pages import PAGES
+from .common import slices, texts
+from .html_pages import PAGES, made_pages
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|iframe|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
-    r"|<(/?)([a-z][^\s/>]*)([^>]*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
+MADE, SEED = 240, 1  # training pages that are made by rule
+
+_OPENING = re.compile(r"<(?:(!--)|[!?]|(/?)([a-z][^\s/>]*))", re.I)
+_MARK = re.compile(r"""[>"']""")
+#: Elements whose content is text up to their end tag, and is left out. (Fixed values.)
+_RAW = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in ("script", "style", "iframe", "title")}
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|main|rest)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
 #: Elements that start and end blocks. (Fixed values.)
@@ -66,42 +64,88 @@ _SKIPPED = frozenset("noscript svg template".split())
 _IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript template".split())
 
 
-def _head_end(html: str, at: int) -> int:
+class Tags:
+    """The tags of a page, read from left to right in linear time.
+
+    A ``>`` in a quoted attribute value does not end a tag; where a quote is never closed, the first ``>`` does. A quote at
+    which that was found once is not followed again, and behind the last ``>`` there are no tags.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.limit, self.open_quotes = html, html.rfind(">"), set()
+
+    def _end(self, at: int) -> int:
+        """The ``>`` that ends the tag whose name ends at ``at``."""
+        seen, pos = [], at
+        while mark := _MARK.search(self.html, pos):
+            if mark[0] == ">":
+                return mark.start()
+            if mark.start() in self.open_quotes:
+                break
+            seen.append(mark.start())
+            pos = self.html.find(mark[0], mark.end()) + 1
+            if not pos:
+                break
+        self.open_quotes.update(seen)
+        return self.html.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, name, attributes) of the next tag from ``at`` on; comments and raw elements have no name."""
+        hit = _OPENING.search(self.html, at)
+        if hit is None:
+            return None
+        if hit[1]:
+            end = self.html.find("-->", hit.end())
+            return hit.start(), end + 3 if end >= 0 else len(self.html), "", "", ""
+        if hit.end() > self.limit:
+            end = self.html.find("<!--", hit.end())  # only a comment can follow
+            return (end, len(self.html), "", "", "") if end >= 0 else None
+        name = (hit[3] or "").lower()
+        if not name:
+            return hit.start(), self.html.find(">", hit.end()) + 1, "", "", ""
+        if name in _RAW and not hit[2]:
+            close = _RAW[name].search(self.html, self.html.find(">", hit.end()) + 1)
+            return hit.start(), close.end() if close else len(self.html), "", "", ""
+        end = self._end(hit.end())
+        return hit.start(), end + 1, hit[2], name, self.html[hit.end() : end]
+
+
+def _head_end(tags: Tags, at: int) -> int:
     """Where the head ends whose start tag ends at ``at``."""
     other = -1  # the first thing that no head holds
-    for hit in _TAG.finditer(html, at):
-        if other < 0 and html[at : hit.start()].strip():
+    while hit := tags.next(at):
+        start, end, slash, tag, _ = hit
+        if other < 0 and tags.html[at:start].strip():
             other = at
-        at = hit.end()
-        tag = (hit[3] or hit[6] or "").lower()
-        if tag == "head" and (hit[2] or hit[5]):
-            return hit.end()
+        at = end
+        if tag == "head" and slash:
+            return end
         if tag == "body" or tag in BLOCKS:
-            return hit.start() if other < 0 else other
+            return start if other < 0 else other
         if other < 0 and tag and tag not in _IN_HEAD:
-            other = hit.start()
+            other = start
     return other if other >= 0 else at
 
 
-def _skipped_end(html: str, at: int, tag: str, nodes: list[Node], stack: list[int]) -> int:
-    """Where the element ends whose start tag ends at ``at``; ``stack``: the open nodes around it."""
+def _skipped_end(tags: Tags, at: int, tag: str, open_at: dict[str, list[int]], top: bool) -> int:
+    """Where the element ends whose start tag ends at ``at``; ``open_at``: the open elements around it; ``top``: it is in none."""
     inner: dict[str, int] = {}
     block = -1  # the first block in it
-    for hit in _TAG.finditer(html, at):
-        name, end = (hit[3] or hit[6] or "").lower(), hit[2] or hit[5]
+    while hit := tags.next(at):
+        start, at, slash, name, _ = hit
         if name == tag:
-            if end:
-                return hit.end()
+            if slash:
+                return at
             if block >= 0:  # the end tag to come is that of this one
                 return block
-        elif name in BLOCKS and not end:
+        elif name in BLOCKS and not slash:
             inner[name] = inner.get(name, 0) + 1
-            block = hit.start() if block < 0 else block
+            block = start if block < 0 else block
         elif name in BLOCKS and inner.get(name):
             inner[name] -= 1
-        elif end and (name in ("body", "html") or name in BLOCKS and any(nodes[i].tag == name for i in stack)):
-            return hit.start() if len(stack) > 1 or block < 0 else block
-    return block if block >= 0 else len(html)
+        elif slash and (name in ("body", "html") or name in BLOCKS and open_at.get(name)):
+            return start if not top or block < 0 else block
+    return block if block >= 0 else len(tags.html)
 
 
 class Node:
@@ -128,6 +172,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The block elements, parents first, and the (node, text) blocks in page order."""
     nodes, blocks = [Node(-1, "body", (), False)], []
     stack, text, linked, links = [0], [], [], 0
+    open_at: dict[str, list[int]] = {}  # places in the stack of the open elements of a tag
 
     def flush() -> None:
         found = " ".join(unescape("".join(text)).split()) if text else ""
@@ -143,25 +188,31 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
     def close(depth: int) -> None:
         nonlocal links
         flush()
+        for i in reversed(stack[depth:]):
+            open_at[nodes[i].tag].pop()
         del stack[depth:]
         links = 0
 
+    def nearest(names: tuple[str, ...] | frozenset[str]) -> int:
+        """Place of the innermost open element of these tags; 0 if there is none."""
+        return max((open_at[x][-1] for x in names if open_at.get(x)), default=0)
+
+    tags = Tags(html)
     at, headed = 0, False
-    while hit := _TAG.search(html, at):
-        if hit.start() > at:
-            text.append(html[at : hit.start()])
+    while hit := tags.next(at):
+        start, stop, end, tag, rest = hit
+        if start > at:
+            text.append(html[at:start])
             if links:
                 linked.append(text[-1])
-        at = hit.end()
-        tag = hit[3] or hit[6]
+        at = stop
         if not tag:
             continue
-        end, tag, rest = hit[2] or hit[5], tag.lower(), hit[4] or hit[7] or ""
         if tag == "head":
             if not (end or headed):  # a page has one head
-                headed, at = True, _head_end(html, at)
+                headed, at = True, _head_end(tags, at)
         elif tag in _SKIPPED and not end and not (tag == "svg" and rest.endswith("/")):
-            at = _skipped_end(html, at, tag, nodes, stack)
+            at = _skipped_end(tags, at, tag, open_at, len(stack) == 1)
         elif tag == "a":
             links = 0 if end else 1
         elif tag == "br":
@@ -172,10 +223,8 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             nodes[0].names, nodes[0].main = nodes[0].names + words, nodes[0].main or main
         elif tag in BLOCKS:
             if end:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[depth]].tag == tag:
-                        close(depth)
-                        break
+                if depth := nearest((tag,)):
+                    close(depth)
                 else:
                     flush()
                 continue
@@ -184,17 +233,15 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if nodes[stack[-1]].tag == "p":
                 close(len(stack) - 1)
             if tag in _CLOSES:
-                for depth in range(len(stack) - 1, 0, -1):
+                while (depth := nearest(_CLOSES[tag])) > nearest(_HOLDERS):
                     over = nodes[stack[depth]].tag
-                    if over in _CLOSES[tag]:
-                        close(depth)
-                        if tag != "tr" or over == "tr":
-                            break
-                    elif over in _HOLDERS:
+                    close(depth)
+                    if tag != "tr" or over == "tr":
                         break
             words, main, off = _attributes(rest) if rest else ((), False, False)
             nodes.append(Node(stack[-1], tag, words, (nodes[stack[-1]].main or main) and not off))
             if tag not in _EMPTY:
+                open_at.setdefault(tag, []).append(len(stack))
                 stack.append(len(nodes) - 1)
     if at < len(html):
         text.append(html[at:])
@@ -220,8 +267,15 @@ _PLAIN = frozenset(
 )
 
 
+#: Parts of forms. (Fixed values.)
+_FORMS = frozenset("form fieldset legend label select option button textarea".split())
+
+
 def _bond(node: Node, known: frozenset[str] | set[str]) -> str:
-    """Kind of the potential between an element and its parent."""
+    """Kind of the potential between an element and its parent. What is linked text for the most part or belongs to a form
+    has one of its own: such elements stand inside articles as well as around them, and say little about their parent."""
+    if node.tag in _FORMS or 2 * node.linked > node.chars:
+        return "apart"
     if node.tag not in _PLAIN or any(w in known for w in node.names):
         return "told"
     return "plain" if node.parent else "top"
@@ -232,17 +286,17 @@ class Model:
 
     def __init__(self) -> None:
         self.unary: dict[str, float] = {}
-        self.bonds = {kind: [[0.0, 0.0], [0.0, 0.0]] for kind in ("plain", "told", "top")}
+        self.bonds = {kind: [[0.0, 0.0], [0.0, 0.0]] for kind in ("plain", "told", "top", "apart")}
         self.words: set[str] = set()
 
-    def marginals(self, nodes: list[Node]) -> tuple[list[float], list[tuple]]:
+    def marginals(self, nodes: list[Node], named: list[list[str]] | None = None) -> tuple[list[float], list[tuple]]:
         """P(label 1) of each node, and of each bond the joint probabilities, by sum-product."""
         n, unary = len(nodes), self.unary
         kinds = [_bond(x, self.words) for x in nodes]
         tables = {k: [[math.exp(v) for v in row] for row in t] for k, t in self.bonds.items()}
         own = []
-        for node in nodes:
-            w = sum(unary.get(f, 0.0) for f in features(node))
+        for found in named or map(features, nodes):
+            w = sum(unary.get(f, 0.0) for f in found)
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, w))))
             own.append((1 - p, p))
         up0, up1 = [x[0] for x in own], [x[1] for x in own]  # own potential times messages of the children
@@ -272,14 +326,16 @@ class Model:
 
     def train(self, pages: list[str], rounds: int = 300, rate: float = 0.4, decay: float = 0.002) -> None:
         trees = [parse(p)[0] for p in pages]
+        scale = 15 / len(pages)  # the rate is for 15 pages
         self.words = {w for t in trees for x in t for w in x.names}
+        named = [list(map(features, t)) for t in trees]
         for _ in range(rounds):
             change: dict[str, float] = {}
             bonds = {k: [[0.0, 0.0], [0.0, 0.0]] for k in self.bonds}
-            for nodes in trees:
-                marginal, joint = self.marginals(nodes)
+            for nodes, found in zip(trees, named, strict=True):
+                marginal, joint = self.marginals(nodes, found)
                 for i, node in enumerate(nodes):
-                    for f in features(node):
+                    for f in found[i]:
                         change[f] = change.get(f, 0.0) + node.main - marginal[i]
                     if i:
                         kind, a, b, c, d = joint[i]
@@ -288,18 +344,18 @@ class Model:
                             bonds[kind][k >> 1][k & 1] -= v
             for f, v in change.items():
                 old = self.unary.get(f, 0.0)
-                self.unary[f] = old + rate * (v / 4 - decay * len(pages) * old)
+                self.unary[f] = old + rate * (v * scale / 4 - decay * 15 * old)
             for kind, table in bonds.items():
                 for a in (0, 1):
                     for b in (0, 1):
                         old = self.bonds[kind][a][b]
-                        self.bonds[kind][a][b] = max(-8.0, min(8.0, old + rate * (table[a][b] / 8 - decay * len(pages) * old)))
+                        self.bonds[kind][a][b] = max(-8.0, min(8.0, old + rate * (table[a][b] * scale / 8 - decay * 15 * old)))
 
 
 @lru_cache(maxsize=1)
 def trained() -> Model:
     model = Model()
-    model.train(PAGES)
+    model.train(PAGES * 8 + made_pages(MADE, SEED), rounds=150, rate=0.8, decay=0.0002)
     return model
 
 
@@ -319,9 +375,9 @@ def extract(pages: DataFrame, carry: list[str], html: str = "html", model: Model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, html, 8 << 20):
-            texts = [main_text(shared.value, x) for x in batch.column(html).to_pylist()]
+            found = [main_text(shared.value, x) for x in texts(batch.column(html))]
             columns = [batch.column(c) for c in carry]
-            columns += [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
+            columns += [pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*carry, "text", "n_chars"])
 
     types = dict(pages.dtypes)
