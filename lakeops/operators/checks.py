@@ -3,9 +3,10 @@
 Every check yields one row ``check, table_name, column_name, success,
 observed, unexpected, detail``. All checks of one table that are plain
 counts share a single aggregate pass; ``unique`` and ``relationship`` need a
-grouping each, pre-aggregated per key before any shuffle of raw rows. Nothing
-is pulled to the driver except by ``gate``, which collects only failed rows
-(one per failed check).
+grouping each, pre-aggregated per key before any shuffle of raw rows. With
+``two_pass``, ``unique`` is answered without shuffling its keys (see
+`lakeops.operators.uniqueness`). Else nothing is pulled to the driver except
+by ``gate``, which collects only failed rows (one per failed check).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.uniqueness import find_repeats
 
 RESULT_SCHEMA = T.StructType(
     [
@@ -292,7 +294,23 @@ class _Evaluated:
     served: dict  # column -> distinct non-NULL values, for checks that use this table as parent
 
 
-def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+def _unique_rows(df: DataFrame, table: str, checks: Sequence[Check]) -> list[DataFrame]:
+    """Results of ``unique`` checks in two passes, of which the first runs now, for all of them together."""
+    parts = []
+    for c, found in zip(checks, find_repeats(df, [[c.column] for c in checks]), strict=True):
+        totals = found.keys().selectExpr("coalesce(sum(rows), 0) AS __dup")
+        parts.append(_rows(totals, [_row(c, table, "__dup = 0", str(found.rows), "__dup", "NULL")]))
+    return parts
+
+
+def _apart(checks: Sequence[Check], serve_keys: Sequence[str] = ()) -> tuple[list[Check], list[Check]]:
+    """Checks for the one scan, and ``unique`` checks for two passes: those whose keys nothing else groups."""
+    grouped = {c.column for c in checks if c.kind == "relationship"} | set(serve_keys)
+    two = [c for c in checks if c.kind == "unique" and c.column not in grouped]
+    return [c for c in checks if c not in two], two
+
+
+def run_checks(df: DataFrame, table: str, checks: Sequence[Check], two_pass: bool = False) -> DataFrame:
     """Evaluate ``checks`` on ``df`` in one scan; one result row per check.
 
     Each input row is expanded into one row per key group: group 0 carries the
@@ -303,13 +321,14 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     one row per task) and a global aggregate folds everything into the result
     row. Relationship checks join the per-key counts of their group with the
     parent's distinct keys.
+
+    With ``two_pass`` the ``unique`` checks whose keys no other check groups
+    are taken out of that scan: right for large tables whose keys hardly ever
+    repeat, where the shuffle of all keys costs more than another scan of them.
     """
     if not checks:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    ev = _evaluate(df, table, checks)
-    parts = list(ev.counted)
-    parts += [_relationship_rows(child, table, c) for c, child in ev.children]
-    return reduce(DataFrame.unionByName, parts)
+    return run_many({table: df}, {table: checks}, two_pass)
 
 
 def _relationship_rows(child: DataFrame, table: str, c: Check, parent_keys: DataFrame | None = None) -> DataFrame:
@@ -324,7 +343,7 @@ def _relationship_rows(child: DataFrame, table: str, c: Check, parent_keys: Data
     return _rows(totals, [_row(c, table, "__orph = 0", "__obs", "__orph", detail)])
 
 
-def run_many(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]]) -> DataFrame:
+def run_many(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]], two_pass: bool = False) -> DataFrame:
     """``run_checks`` for several tables, as one result DataFrame.
 
     When a relationship's parent is itself a checked table of this run, the
@@ -339,8 +358,12 @@ def run_many(tables: dict[str, DataFrame], checks: dict[str, Sequence[Check]]) -
                 owner = next((p for p in checked if tables[p] is c.parent), None)
                 if owner is not None:
                     serve.setdefault(owner, []).append(c.parent_col)
-    done = {t: _evaluate(tables[t], t, checks[t], serve.get(t, ())) for t in checked}
-    parts: list[DataFrame] = []
+    done, parts = {}, []
+    for t in checked:
+        once, twice = _apart(checks[t], serve.get(t, ())) if two_pass else (checks[t], [])
+        done[t] = _evaluate(tables[t], t, once, serve.get(t, ()))
+        if twice:
+            parts += _unique_rows(tables[t], t, twice)
     for t in checked:
         ev = done[t]
         parts += ev.counted

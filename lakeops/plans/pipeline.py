@@ -76,6 +76,7 @@ class PipelineConfig:
         default_factory=lambda: {"stg_clients": quality.SUITE_CLIENTS, "stg_leads": quality.SUITE_LEADS}
     )
     parallel_jobs: int = 4  # independent tables of one layer are written concurrently
+    two_pass_unique: bool = False  # large tables: uniqueness without a shuffle of the keys (`operators.uniqueness`)
     # raw name -> what its rows are (a snapshot's id, a file's fingerprint): tables built from the same are not built again
     snapshots: Mapping[str, str] = field(default_factory=dict)
 
@@ -185,6 +186,7 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
         gate_results = C.run_many(
             {t: lake.ref("silver", t) for t in cfg.suites},
             {t: quality.suite_checks(s) for t, s in cfg.suites.items()},
+            cfg.two_pass_unique,
         )
         tables["gate_results"] = lake.write(gate_results, "quality", "gate_results")
         if cfg.gate == "raise":
@@ -198,7 +200,9 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
     tables["client_context"] = lake.write(doc, "gold", "client_context", cluster_by="client_id")
     bronze = {t: lake.ref("bronze", t) for t in cfg.raw}
     tests = (
-        quality.bronze_tests(bronze, cfg.run_ts).unionByName(quality.mart_tests(marts))  # one pass over each table
+        quality.bronze_tests(bronze, cfg.run_ts, cfg.two_pass_unique).unionByName(
+            quality.mart_tests(marts, cfg.two_pass_unique)
+        )  # one pass over each table
     )
     tables["test_results"] = lake.write(tests, "quality", "test_results")
     if cfg.gate == "raise":

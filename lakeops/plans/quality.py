@@ -322,12 +322,12 @@ def _together(*sets: Mapping[str, Sequence[C.Check]]) -> dict[str, list[C.Check]
     return out
 
 
-def bronze_tests(tables: Mapping[str, DataFrame], now: datetime) -> DataFrame:
-    """The declared tests and the freshness of the landed tables, in one pass over each."""
+def bronze_tests(tables: Mapping[str, DataFrame], now: datetime, two_pass: bool = False) -> DataFrame:
+    """The declared tests and the freshness of the landed tables, in one pass over each (see `checks.run_checks`)."""
     declared = declared_checks([t for t in SOURCE_TESTS if t[0] in tables], tables)
-    return C.run_many(dict(tables), _together(declared, freshness_checks(tables, now)))
+    return C.run_many(dict(tables), _together(declared, freshness_checks(tables, now)), two_pass)
 
 
-def mart_tests(marts: Mapping[str, DataFrame]) -> DataFrame:
-    """The declared tests and the asset checks of the marts, in one pass over each."""
-    return C.run_many(dict(marts), _together(declared_checks(MART_TESTS, marts), asset_checks()))
+def mart_tests(marts: Mapping[str, DataFrame], two_pass: bool = False) -> DataFrame:
+    """The declared tests and the asset checks of the marts, in one pass over each (see `checks.run_checks`)."""
+    return C.run_many(dict(marts), _together(declared_checks(MART_TESTS, marts), asset_checks()), two_pass)

@@ -21,6 +21,7 @@ from lakeops.operators.dedup import latest_by
 from lakeops.operators.joins import enrich, exists_flag
 from lakeops.operators import checks as C
 from lakeops.operators.contracts import contract_report, null_report
+from lakeops.operators.uniqueness import repeated_keys
 from lakeops.plans import context, gold, incremental, pipeline, quality, silver
 from lakeops.session import configure, shared_path
 from lakeops.sources.bronze import Lake, write_bronze
@@ -349,6 +350,16 @@ def spec_unique(r):
     }
 
 
+def spec_unique_two_pass(r):
+    return {
+        "raw_clients": [C.unique("id"), C.not_null("id")],
+        "raw_leads": [C.unique("id"), C.unique("client_id")],
+        "raw_appointments": [C.unique("id")],
+        "stg_leads": [C.unique("lead_id"), C.unique("lead_key")],
+        "stg_ad_spend": [C.unique("ad_spend_key")],
+    }
+
+
 def spec_accepted_values(r):
     return {
         "raw_leads": [C.accepted_values("status", quality.LEAD_STATUSES)],
@@ -450,6 +461,7 @@ class _Lazy(dict):
 CHECK_SPECS = {
     "check_not_null": spec_not_null,
     "check_unique": spec_unique,
+    "check_unique_two_pass": spec_unique_two_pass,
     "check_accepted_values": spec_accepted_values,
     "check_relationships": spec_relationships,
     "check_freshness": spec_freshness,
@@ -466,8 +478,12 @@ CHECK_SPECS = {
 }
 
 
-# Silver tables that several marts of one query read.
-SHARED_SILVER = {"mart_tests": ("clients", "leads", "appointments", "ad_spend")}
+# Silver tables that several marts (or several passes) of one query read.
+SHARED_SILVER = {
+    "mart_tests": ("clients", "leads", "appointments", "ad_spend"),
+    "check_unique_two_pass": ("leads", "ad_spend"),
+}
+TWO_PASS = ("check_unique_two_pass",)
 
 
 def _checks_query(key, spec):
@@ -476,12 +492,24 @@ def _checks_query(key, spec):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = Tables(Models(spark, sf_dir).published(*shared))
         checks = spec(tables)
-        return C.run_many({t: tables(t) for t in checks}, checks)
+        return C.run_many({t: tables(t) for t in checks}, checks, two_pass=key in TWO_PASS)
 
     q.__name__ = f"q_{key}"
     return q
 
 
+def q_repeated_keys(spark, sf_dir):
+    """Natural keys that occur in several landed rows, with their rows: re-sent rankings and ad spend."""
+    m = Models(spark, sf_dir)
+    seo = repeated_keys(m.raw("raw_seo_rankings"), ["client_id", "keyword", "snapshot_date"])
+    spend = repeated_keys(m.raw("raw_ad_spend"), ["client_id", "channel", "date"])
+    parts = [
+        seo.selectExpr("'raw_seo_rankings' AS table_name", "client_id", "keyword AS part", "CAST(snapshot_date AS STRING) AS day", "rows"),
+        spend.selectExpr("'raw_ad_spend' AS table_name", "client_id", "channel AS part", "CAST(date AS STRING) AS day", "rows"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- sources, sinks, stream, pipeline ---------------------------------------------
 
 AD_SPEND_LANDED_SCHEMA = T.StructType(
@@ -738,6 +766,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_diff": q_contract_diff,
     "contract_nulls": q_contract_nulls,
     **{k: _checks_query(k, v) for k, v in CHECK_SPECS.items()},
+    "repeated_keys": q_repeated_keys,
     "bronze_roundtrip": q_bronze_roundtrip,
     "bronze_stamp": q_bronze_stamp,
     "ad_stream_ingest": q_ad_stream_ingest,

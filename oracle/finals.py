@@ -145,6 +145,14 @@ FROM dim_clients""",
     "merge_latest_composite": "SELECT * FROM stg_ad_spend",
     "mart_on_views": "SELECT * FROM fct_ad_performance",
     "json_array_scan": "SELECT client_id, keyword, position, snapshot_date FROM raw_seo_rankings",
+    "repeated_keys": """
+SELECT 'raw_seo_rankings' AS table_name, client_id, keyword AS part, CAST(snapshot_date AS VARCHAR) AS day, count(*) AS rows
+FROM raw_seo_rankings WHERE client_id IS NOT NULL AND keyword IS NOT NULL AND snapshot_date IS NOT NULL
+GROUP BY ALL HAVING count(*) > 1
+UNION ALL
+SELECT 'raw_ad_spend', client_id, channel, CAST(date AS VARCHAR), count(*)
+FROM raw_ad_spend WHERE client_id IS NOT NULL AND channel IS NOT NULL AND date IS NOT NULL
+GROUP BY ALL HAVING count(*) > 1""",
     "missing_input": """
 SELECT 'seo' AS input, CAST(NULL AS VARCHAR) AS error, count(*) AS row_count FROM raw_seo_rankings
 UNION ALL SELECT 'no-seo', 'JSON input not found at /no-seo', NULL
