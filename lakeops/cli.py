@@ -1,7 +1,8 @@
-"""Command line: the full run, the quality gate, and a context lookup.
+"""Command line: the full run, the quality gate, freshness, and a context lookup.
 
     python -m lakeops pipeline --root PATH (--testdata SF_DIR | --jdbc-url URL --seo-json F --ad-spend-csv F)
     python -m lakeops quality  --root PATH
+    python -m lakeops freshness --root PATH
     python -m lakeops context  --root PATH --client-id N
 
 ``--root`` is the shared folder of the Bronze/Silver/Gold tables. ``--as-of``
@@ -85,6 +86,18 @@ def cmd_quality(args) -> int:
     return 0
 
 
+def cmd_freshness(args) -> int:
+    from lakeops.plans import quality
+    from lakeops.sources.bronze import Lake
+
+    spark = _session()
+    results = quality.from_footers(Lake(spark, args.root), quality.published_state(_clock(args)[1]))
+    rows = results.collect()  # one per declared check
+    for r in rows:
+        print(f"{r.table_name:22s} {r.check:18s} {'ok' if r.success else 'FAILED':6s} {r.detail or ''} {r.observed}")
+    return 0 if all(r.success for r in rows) else 1
+
+
 def cmd_context(args) -> int:
     from lakeops.plans import context
     from lakeops.sources.bronze import Lake
@@ -120,6 +133,11 @@ def main(argv=None) -> int:
     q = sub.add_parser("quality", help="run the expectation suites on published Silver and gate")
     q.add_argument("--root", required=True)
     q.set_defaults(fn=cmd_quality)
+    f = sub.add_parser("freshness", help="freshness and row counts of the published tables, from file footers")
+    f.add_argument("--root", required=True)
+    f.add_argument("--as-of")
+    f.add_argument("--run-ts")
+    f.set_defaults(fn=cmd_freshness)
     c = sub.add_parser("context", help="print the context document of one client")
     c.add_argument("--root", required=True)
     c.add_argument("--client-id", type=int, required=True)

@@ -173,6 +173,61 @@ def _type(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
 
+COUNT_KINDS = ("row_count_between", "row_count_min", "row_count_near")
+AGE_KINDS = ("freshness", "staleness")
+
+
+def _count_row(c: Check, table: str) -> str:
+    """Result of a row-count check from the column ``__n``."""
+    if c.kind == "row_count_near":
+        dev = f"abs(__n - {c.expected})"
+        ok = f"CAST({dev} AS DOUBLE) / {_lit(float(c.expected))} < {_lit(float(c.tol))}"
+        return _row(c, table, ok, "__n", dev, "NULL")
+    ok = ["true"]
+    if c.lo is not None:
+        ok.append(f"__n >= {c.lo}")
+    if c.hi is not None:
+        ok.append(f"__n <= {c.hi}")
+    return _row(c, table, " AND ".join(ok), "__n", "NULL", "NULL")
+
+
+def _age_row(c: Check, table: str, m: str) -> str:
+    """Result of a freshness or staleness check from the column ``m`` that holds the latest value."""
+    age = (
+        f"(unix_micros(CAST({_lit(c.now)} AS TIMESTAMP)) - "
+        f"unix_micros(CAST(CAST({m} AS TIMESTAMP_NTZ) AS TIMESTAMP)))"
+    )
+    age_s = f"floor({age} / 1000000)"
+    if c.kind == "staleness":
+        fresh = f"({m} IS NOT NULL AND {age} <= {_us(c.error)})"
+        return _row(c, table, fresh, age_s, "NULL", f"CASE WHEN {fresh} THEN 'fresh' ELSE 'stale' END")
+    whens = [f"WHEN {m} IS NULL THEN 'error'"]
+    if c.error is not None:
+        whens.append(f"WHEN {age} > {_us(c.error)} THEN 'error'")
+    if c.warn is not None:
+        whens.append(f"WHEN {age} > {_us(c.warn)} THEN 'warn'")
+    status = f"CASE {' '.join(whens)} ELSE 'pass' END"
+    return _row(c, table, f"{status} <> 'error'", age_s, "NULL", status)
+
+
+def latest_columns(checks: Sequence[Check]) -> list[str]:
+    """Columns whose latest value the checks ask for."""
+    return list(dict.fromkeys(c.column for c in checks if c.kind in AGE_KINDS))
+
+
+def run_on_stats(stats: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """Row-count, freshness and staleness checks from one row of statistics: ``row_count`` and the `latest_columns`.
+
+    Gives the rows that `run_checks` gives on the table itself; other kinds of checks need its rows.
+    """
+    rows, place = [], {c: f"__m{i}" for i, c in enumerate(latest_columns(checks))}
+    for c in checks:
+        if c.kind not in COUNT_KINDS + AGE_KINDS:
+            raise ValueError(f"{c.kind} cannot be answered from a table's statistics")
+        rows.append(_count_row(c, table) if c.kind in COUNT_KINDS else _age_row(c, table, place[c.column]))
+    return _rows(stats.selectExpr("row_count AS __n", *(f"{_ident(c)} AS {m}" for c, m in place.items())), rows)
+
+
 def _evaluate(df: DataFrame, table: str, checks: Sequence[Check], serve_keys: Sequence[str] = ()) -> "_Evaluated":
     """The single-scan evaluation behind ``run_checks`` (see there).
 
@@ -217,40 +272,16 @@ def _evaluate(df: DataFrame, table: str, checks: Sequence[Check], serve_keys: Se
             flags[s] = (f"CASE WHEN {bad} THEN 1 ELSE 0 END", "int")
             finals.append(f"coalesce(sum(CASE WHEN __w = 0 THEN {s} END), 0) AS {s}")
             rows.append(_row(c, table, f"{s} = 0", obs if c.kind == "between" else "__n", s, "NULL"))
-        elif c.kind in ("row_count_between", "row_count_min"):
-            ok = ["true"]
-            if c.lo is not None:
-                ok.append(f"__n >= {c.lo}")
-            if c.hi is not None:
-                ok.append(f"__n <= {c.hi}")
-            rows.append(_row(c, table, " AND ".join(ok), "__n", "NULL", "NULL"))
-        elif c.kind == "row_count_near":
-            dev = f"abs(__n - {c.expected})"
-            ok = f"CAST({dev} AS DOUBLE) / {_lit(float(c.expected))} < {_lit(float(c.tol))}"
-            rows.append(_row(c, table, ok, "__n", dev, "NULL"))
+        elif c.kind in COUNT_KINDS:
+            rows.append(_count_row(c, table))
         elif c.kind == "has_columns":
             missing = sorted(set(c.names) - present)
             detail = _lit(",".join(missing)) if missing else "NULL"
             schema_rows.append(_row(c, table, _lit(not missing), str(len(c.names) - len(missing)), str(len(missing)), detail))
-        elif c.kind in ("freshness", "staleness"):
+        elif c.kind in AGE_KINDS:
             flags[m] = (col, _type(df, c.column))
             finals.append(f"max(CASE WHEN __w = 0 THEN {m} END) AS {m}")
-            age = (
-                f"(unix_micros(CAST({_lit(c.now)} AS TIMESTAMP)) - "
-                f"unix_micros(CAST(CAST({m} AS TIMESTAMP_NTZ) AS TIMESTAMP)))"
-            )
-            age_s = f"floor({age} / 1000000)"
-            if c.kind == "freshness":
-                whens = [f"WHEN {m} IS NULL THEN 'error'"]
-                if c.error is not None:
-                    whens.append(f"WHEN {age} > {_us(c.error)} THEN 'error'")
-                if c.warn is not None:
-                    whens.append(f"WHEN {age} > {_us(c.warn)} THEN 'warn'")
-                status = f"CASE {' '.join(whens)} ELSE 'pass' END"
-                rows.append(_row(c, table, f"{status} <> 'error'", age_s, "NULL", status))
-            else:
-                fresh = f"({m} IS NOT NULL AND {age} <= {_us(c.error)})"
-                rows.append(_row(c, table, fresh, age_s, "NULL", f"CASE WHEN {fresh} THEN 'fresh' ELSE 'stale' END"))
+            rows.append(_age_row(c, table, m))
         elif c.kind == "unique":
             g = slot[i]
             hit = f"__w = {g} AND __k{g} IS NOT NULL"

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from lakeops.operators import checks as C
 from lakeops.operators.contracts import Contract
+from lakeops.sources.bronze import Lake
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's declarations.
@@ -328,6 +330,23 @@ def bronze_tests(tables: Mapping[str, DataFrame], now: datetime, two_pass: bool
     return C.run_many(dict(tables), _together(declared, freshness_checks(tables, now)), two_pass)
 
 
+def from_footers(lake: Lake, checks: Mapping[str, Sequence[C.Check]]) -> DataFrame:
+    """Row-count, freshness and staleness checks of published tables ("layer.name"), without reading their rows."""
+    parts = []
+    for full, listed in checks.items():
+        layer, name = full.split(".")
+        parts.append(C.run_on_stats(lake.stats(layer, name, C.latest_columns(listed)), name, listed))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def published_state(now: datetime) -> dict[str, list[C.Check]]:
+    """By "layer.name": freshness of Bronze, and the row counts that the published marts must have."""
+    out = {f"bronze.{t}": [C.freshness(col, warn, err, now)] for t, (col, warn, err) in SOURCE_FRESHNESS.items()}
+    for t, listed in asset_checks().items():
+        out[f"gold.{t}"] = [c for c in listed if c.kind in C.COUNT_KINDS]
+    return out
+
+
 def mart_tests(marts: Mapping[str, DataFrame], two_pass: bool = False) -> DataFrame:
     """The declared tests and the asset checks of the marts, in one pass over each (see `checks.run_checks`)."""
     return C.run_many(dict(marts), _together(declared_checks(MART_TESTS, marts), asset_checks()), two_pass)

@@ -416,6 +416,12 @@ def spec_row_count_near(r):
     }
 
 
+def spec_footers(r):
+    counts = {"raw_clients": C.row_count_between(1, 500), "raw_leads": C.row_count_min(17_500)}
+    counts["raw_ad_spend"] = C.row_count_near(10_000, 0.25)
+    return {t: [*checks, *([counts[t]] if t in counts else [])] for t, checks in spec_freshness(r).items()}
+
+
 def spec_required_columns(r):
     return {
         "dim_clients": [C.has_columns(quality.DIM_CLIENTS_REQUIRED)],
@@ -471,6 +477,7 @@ CHECK_SPECS = {
     "check_row_count_near": spec_row_count_near,
     "check_required_columns": spec_required_columns,
     "check_between": spec_between,
+    "check_footers": spec_footers,
     "suite_clients": spec_suite_clients,
     "suite_leads": spec_suite_leads,
     "source_tests": spec_source_tests,
@@ -498,6 +505,15 @@ def _checks_query(key, spec):
     return q
 
 
+def q_check_footers(spark, sf_dir):
+    """Freshness and row counts of the landed Bronze tables from the footers of their files."""
+    m = Models(spark, sf_dir)
+    lake = Lake(spark, shared_path(spark, "check_footers", unique=True))
+    checks = spec_footers(None)
+    pipeline.each_table(lambda n: write_bronze(lake, m.raw(n), n, partition_by=BRONZE_PARTITIONS.get(n, ())), checks, parallel_jobs=5)
+    return quality.from_footers(lake, {f"bronze.{t}": listed for t, listed in checks.items()})
+
+
 def q_repeated_keys(spark, sf_dir):
     """Natural keys that occur in several landed rows, with their rows: re-sent rankings and ad spend."""
     m = Models(spark, sf_dir)
@@ -766,6 +782,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "contract_diff": q_contract_diff,
     "contract_nulls": q_contract_nulls,
     **{k: _checks_query(k, v) for k, v in CHECK_SPECS.items()},
+    "check_footers": q_check_footers,  # in place of the one on scans
     "repeated_keys": q_repeated_keys,
     "bronze_roundtrip": q_bronze_roundtrip,
     "bronze_stamp": q_bronze_stamp,

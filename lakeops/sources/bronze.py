@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from lakeops.functions.keys import quote
 from lakeops.operators.cleaning import stamp
 from lakeops.operators.contracts import Contract, enforce
+from lakeops.sources.footers import footer_stats
 
 LAYERS = ("bronze", "silver", "gold", "quality")
 VERSION = "v-"
@@ -283,6 +284,15 @@ class Lake:
         reader = self.spark.read.format(self.fmt)
         return (reader.schema(known[0]) if known else reader).load(newest)
 
+    def stats(self, layer: str, name: str, latest: Sequence[str] = ()) -> DataFrame:
+        """``row_count`` and the greatest values of the ``latest`` columns of a Parquet table, from its files' footers."""
+        if self.fmt != "parquet":
+            raise ValueError("footers are read of Parquet tables only")
+        if not self.attach(layer, name):
+            raise FileNotFoundError(f"no table {layer}.{name} under {self.root}")
+        schema = self.spark.table(self.table(layer, name)).schema
+        return footer_stats(self.spark, self.location(layer, name), schema, latest)
+
     def vacuum(self, layer: str, name: str, keep: int = 2) -> int:
         """Delete all but the newest ``keep`` versions of a Parquet table; returns how many went."""
         if keep < 1:
