@@ -2,10 +2,13 @@
 
 All joins are left equi-joins, so orphan facts survive with NULL client
 attributes. Counts are aggregated *before* they are joined, so no join fans out.
+``heavy`` lists values of a fact's join keys whose rows are joined apart (see
+`lakeops.operators.joins.heavy_keys`); the rows of the mart are the same.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -15,6 +18,7 @@ from lakeops.operators.aggregates import counts_by
 from lakeops.operators.joins import enrich, exists_flag
 
 CLIENT_ATTRS = ("industry", "plan_tier")
+Heavy = Mapping[str, Sequence]
 
 # Projections are SQL expression text built by the ``*_sql`` helpers of
 # ``lakeops.functions`` (the same expressions as their Column forms).
@@ -71,8 +75,10 @@ def dim_clients(clients: DataFrame, leads: DataFrame, appointments: DataFrame, a
     )
 
 
-def fct_leads(leads: DataFrame, clients: DataFrame, appointments: DataFrame, run_ts: datetime | str) -> DataFrame:
-    j = enrich(leads, clients, "client_id", CLIENT_ATTRS)
+def fct_leads(
+    leads: DataFrame, clients: DataFrame, appointments: DataFrame, run_ts: datetime | str, heavy: Heavy = {}
+) -> DataFrame:
+    j = enrich(leads, clients, "client_id", CLIENT_ATTRS, heavy.get("client_id", ()))
     j = exists_flag(j, appointments, "lead_id", "has_appointment")
     return j.selectExpr(
         "lead_key",
@@ -98,12 +104,12 @@ def daily_costs(ad_spend: DataFrame, leads: DataFrame) -> DataFrame:
     return j.selectExpr("client_id", "spend_date", "spend", f"{safe_ratio_sql('spend', 'daily_leads', 2)} AS cpl")
 
 
-def fct_ad_performance(ad_spend: DataFrame, clients: DataFrame, leads: DataFrame) -> DataFrame:
+def fct_ad_performance(ad_spend: DataFrame, clients: DataFrame, leads: DataFrame, heavy: Heavy = {}) -> DataFrame:
     """Daily performance per client x channel; ``cpl`` divides each channel's
     spend by *all* of that client's leads that day (never sum ``daily_leads``
     over channels)."""
     daily = daily_lead_counts(leads).withColumnRenamed("lead_date", "spend_date")
-    j = enrich(ad_spend, clients, "client_id", CLIENT_ATTRS).join(daily, ["client_id", "spend_date"], "left")
+    j = enrich(ad_spend, clients, "client_id", CLIENT_ATTRS, heavy.get("client_id", ())).join(daily, ["client_id", "spend_date"], "left")
     return j.selectExpr(
         "ad_spend_key",
         "client_id",
@@ -122,10 +128,10 @@ def fct_ad_performance(ad_spend: DataFrame, clients: DataFrame, leads: DataFrame
     )
 
 
-def fct_appointments(appointments: DataFrame, leads: DataFrame, clients: DataFrame) -> DataFrame:
+def fct_appointments(appointments: DataFrame, leads: DataFrame, clients: DataFrame, heavy: Heavy = {}) -> DataFrame:
     lead_cols = leads.selectExpr("lead_id", "lead_source", "lead_value", "created_at AS lead_created_at")
-    j = appointments.join(lead_cols, "lead_id", "left")
-    j = enrich(j, clients, "client_id", CLIENT_ATTRS)
+    j = enrich(appointments, lead_cols, "lead_id", lead_cols.columns[1:], heavy.get("lead_id", ()))
+    j = enrich(j, clients, "client_id", CLIENT_ATTRS, heavy.get("client_id", ()))
     return j.selectExpr(
         "appointment_key",
         "appointment_id",

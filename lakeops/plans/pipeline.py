@@ -16,6 +16,7 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.operators import checks as C
+from lakeops.operators.joins import heavy_keys
 from lakeops.plans import context, gold, quality, silver
 from lakeops.sources.bronze import Lake, publish_table, row_counts, write_bronze
 
@@ -31,6 +32,7 @@ class Model:
     layer: str
     build: Callable[..., DataFrame]
     inputs: tuple[str, ...]  # "layer.name"
+    joins: tuple[str, ...] = ()  # join keys of the first input that may be heavy
 
 
 def registry(as_of: date, run_ts: datetime) -> dict[str, Model]:
@@ -52,12 +54,19 @@ def registry(as_of: date, run_ts: datetime) -> dict[str, Model]:
             "gold",
             partial(gold.fct_leads, run_ts=run_ts),
             ("silver.stg_leads", "silver.stg_clients", "silver.stg_appointments"),
+            ("client_id",),
         ),
         "fct_ad_performance": Model(
-            "gold", gold.fct_ad_performance, ("silver.stg_ad_spend", "silver.stg_clients", "silver.stg_leads")
+            "gold",
+            gold.fct_ad_performance,
+            ("silver.stg_ad_spend", "silver.stg_clients", "silver.stg_leads"),
+            ("client_id",),
         ),
         "fct_appointments": Model(
-            "gold", gold.fct_appointments, ("silver.stg_appointments", "silver.stg_leads", "silver.stg_clients")
+            "gold",
+            gold.fct_appointments,
+            ("silver.stg_appointments", "silver.stg_leads", "silver.stg_clients"),
+            ("lead_id", "client_id"),
         ),
     }
 
@@ -76,6 +85,7 @@ class PipelineConfig:
         default_factory=lambda: {"stg_clients": quality.SUITE_CLIENTS, "stg_leads": quality.SUITE_LEADS}
     )
     parallel_jobs: int = 4  # independent tables of one layer are written concurrently
+    heavy_share: float | None = None  # join keys that hold this share of a fact's rows are joined apart
     two_pass_unique: bool = False  # large tables: uniqueness without a shuffle of the keys (`operators.uniqueness`)
     # raw name -> what its rows are (a snapshot's id, a file's fingerprint): tables built from the same are not built again
     snapshots: Mapping[str, str] = field(default_factory=dict)
@@ -120,6 +130,7 @@ def build(
     parallel_jobs: int = 1,
     silver_views: bool = False,
     resume: bool = False,
+    heavy_share: float | None = None,
 ) -> list[str]:
     """build and publish the named models from their published inputs.
 
@@ -131,6 +142,9 @@ def build(
     where it stopped, and one on unchanged inputs writes nothing. (A change of a model's code is not seen: build
     without ``resume`` then.)
 
+    With ``heavy_share`` each fact is first searched for join keys that hold that share of its rows, in one pass; these
+    are joined apart from the others, without a shuffle.
+
     Models are built after those of the named ones that they read, whatever the
     order of the names; models that do not need each other run side by side.
     """
@@ -147,7 +161,8 @@ def build(
         if resume and made_of is not None and lake.built_from(m.layer, name) == made_of:
             return lake.table(m.layer, name)
         inputs = [lake.ref(*i.split(".")) for i in m.inputs]
-        df = m.build(*inputs)
+        heavy = heavy_keys(inputs[0], m.joins, heavy_share) if heavy_share and m.joins else {}
+        df = m.build(*inputs, heavy=heavy) if heavy else m.build(*inputs)
         if m.layer == "gold":
             return publish_table(lake, df, name, quality.MART_CONTRACTS[name] if contracts else None, built_from=made_of)
         if silver_views:
@@ -191,7 +206,9 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
         tables["gate_results"] = lake.write(gate_results, "quality", "gate_results")
         if cfg.gate == "raise":
             C.gate(lake.ref("quality", "gate_results"))
-    for full in build(lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs, resume=resume):
+    for full in build(
+        lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs, resume=resume, heavy_share=cfg.heavy_share
+    ):
         tables[full.split(".")[1]] = full
     marts = {t: lake.ref("gold", t) for t in GOLD_TABLES}
     doc = context.snapshot(

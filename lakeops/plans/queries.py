@@ -18,7 +18,7 @@ from lakeops.functions.measures import flag
 from lakeops.operators.aggregates import counts_by, distinct_keys
 from lakeops.operators.cleaning import lowered, typed
 from lakeops.operators.dedup import latest_by
-from lakeops.operators.joins import enrich, exists_flag
+from lakeops.operators.joins import enrich, exists_flag, heavy_keys
 from lakeops.operators import checks as C
 from lakeops.operators.contracts import contract_report, null_report
 from lakeops.operators.uniqueness import repeated_keys
@@ -193,6 +193,20 @@ def q_join_left_composite(spark, sf_dir):
     return ads.join(daily, ["client_id", "spend_date"], "left")
 
 
+def q_join_heavy_keys(spark, sf_dir):
+    """The appointment facts, with leads and clients that hold a thousandth of the rows joined apart."""
+    m = Models(spark, sf_dir).published("clients", "leads", "appointments")
+    heavy = heavy_keys(m.appointments, ["lead_id", "client_id"])
+    return gold.fct_appointments(m.appointments, m.leads, m.clients, heavy)
+
+
+def q_exists_heavy_keys(spark, sf_dir):
+    """Which appointments' clients have leads, clients that hold a thousandth of the appointments joined apart."""
+    m = Models(spark, sf_dir).published("leads", "appointments")
+    facts = m.appointments.select("appointment_id", "client_id")
+    return exists_flag(facts, m.leads, "client_id", "has_leads", heavy=heavy_keys(facts, ["client_id"])["client_id"])
+
+
 def q_exists_flag(spark, sf_dir):
     m = Models(spark, sf_dir)
     return exists_flag(m.leads.select("lead_id"), m.appointments, "lead_id", "has_appointment")
@@ -765,6 +779,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_left_single": q_join_left_single,
     "join_left_composite": q_join_left_composite,
     "exists_flag": q_exists_flag,
+    "join_heavy_keys": q_join_heavy_keys,
+    "exists_heavy_keys": q_exists_heavy_keys,
     "agg_count_by_key": q_agg_count_by_key,
     "agg_count_filter": q_agg_count_filter,
     "agg_count_by_day": q_agg_count_by_day,

@@ -120,6 +120,10 @@ SELECT ad_spend_key, client_id, spend_date, nullif(daily_leads, 0) AS daily_lead
     "exists_flag": """
 SELECT lead_id, EXISTS (SELECT 1 FROM stg_appointments v WHERE v.lead_id = l.lead_id) AS has_appointment
 FROM stg_leads l""",
+    "join_heavy_keys": "SELECT * FROM fct_appointments",
+    "exists_heavy_keys": """
+SELECT appointment_id, client_id, EXISTS (SELECT 1 FROM stg_leads l WHERE l.client_id = v.client_id) AS has_leads
+FROM stg_appointments v""",
     "agg_count_by_key": "SELECT client_id, count(*) AS total_leads FROM stg_leads GROUP BY client_id",
     "agg_count_filter": "SELECT client_id, leads AS total_leads, wins AS converted_leads FROM client_totals WHERE leads > 0",
     "agg_count_by_day": "SELECT client_id, CAST(created_at AS DATE) AS lead_date, count(*) AS daily_leads FROM stg_leads GROUP BY ALL",
