@@ -86,6 +86,8 @@ class PipelineConfig:
     )
     parallel_jobs: int = 4  # independent tables of one layer are written concurrently
     heavy_share: float | None = None  # join keys that hold this share of a fact's rows are joined apart
+    # mart -> columns it is looked up by: Bloom filters per row group
+    bloom: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
     two_pass_unique: bool = False  # large tables: uniqueness without a shuffle of the keys (`operators.uniqueness`)
     # raw name -> what its rows are (a snapshot's id, a file's fingerprint): tables built from the same are not built again
     snapshots: Mapping[str, str] = field(default_factory=dict)
@@ -131,6 +133,7 @@ def build(
     silver_views: bool = False,
     resume: bool = False,
     heavy_share: float | None = None,
+    bloom: Mapping[str, tuple[str, ...]] = {},
 ) -> list[str]:
     """build and publish the named models from their published inputs.
 
@@ -142,6 +145,8 @@ def build(
     where it stopped, and one on unchanged inputs writes nothing. (A change of a model's code is not seen: build
     without ``resume`` then.)
 
+    ``bloom`` names the columns of a mart by which single rows are looked up (see `Lake.write`).
+
     With ``heavy_share`` each fact is first searched for join keys that hold that share of its rows, in one pass; these
     are joined apart from the others, without a shuffle.
 
@@ -164,7 +169,8 @@ def build(
         heavy = heavy_keys(inputs[0], m.joins, heavy_share) if heavy_share and m.joins else {}
         df = m.build(*inputs, heavy=heavy) if heavy else m.build(*inputs)
         if m.layer == "gold":
-            return publish_table(lake, df, name, quality.MART_CONTRACTS[name] if contracts else None, built_from=made_of)
+            contract = quality.MART_CONTRACTS[name] if contracts else None
+            return publish_table(lake, df, name, contract, built_from=made_of, bloom=bloom.get(name, ()))
         if silver_views:
             return lake.view(df, m.layer, name)
         return lake.write(df, m.layer, name, built_from=made_of)
@@ -206,9 +212,8 @@ def run_all(spark: SparkSession, cfg: PipelineConfig) -> dict[str, str]:
         tables["gate_results"] = lake.write(gate_results, "quality", "gate_results")
         if cfg.gate == "raise":
             C.gate(lake.ref("quality", "gate_results"))
-    for full in build(
-        lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, parallel_jobs=cfg.parallel_jobs, resume=resume, heavy_share=cfg.heavy_share
-    ):
+    how = {"parallel_jobs": cfg.parallel_jobs, "heavy_share": cfg.heavy_share, "bloom": cfg.bloom}
+    for full in build(lake, GOLD_TABLES, cfg.as_of, cfg.run_ts, resume=resume, **how):
         tables[full.split(".")[1]] = full
     marts = {t: lake.ref("gold", t) for t in GOLD_TABLES}
     doc = context.snapshot(

@@ -732,6 +732,14 @@ def q_mart_on_views(spark, sf_dir):
     return spark.table(mart)
 
 
+def q_lookup_bloom(spark, sf_dir):
+    """One lead's appointments from the published mart, which has Bloom filters on ``lead_id``."""
+    m = Models(spark, sf_dir)
+    lake = Lake(spark, shared_path(spark, "lookup_bloom", unique=True))
+    name = lake.write(m.fct_appointments, "gold", "fct_appointments", bloom=("lead_id",))
+    return spark.table(name).where(F.col("lead_id") == 42)
+
+
 def q_gate_failures(spark, sf_dir):
     """The failed checks that the gate raises for both suites."""
     m = Models(spark, sf_dir)
@@ -811,6 +819,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_latest_single": q_merge_latest_single,
     "merge_latest_composite": q_merge_latest_composite,
     "mart_on_views": q_mart_on_views,
+    "lookup_bloom": q_lookup_bloom,
     "gate_failures": q_gate_failures,
     "pipeline_counts": q_pipeline_counts,
 }

@@ -22,6 +22,7 @@ from lakeops.sources.footers import footer_stats
 
 LAYERS = ("bronze", "silver", "gold", "quality")
 VERSION = "v-"
+BLOOM_BYTES = 4 << 20  # about 3.5 million values at one false hit in a hundred
 DESCRIPTION = "_lakeops.json"  # beside a version's data; Spark's readers skip names that start so
 TRACKED = "spark.sql.hive.manageFilesourcePartitions"
 _CREATING = threading.Lock()
@@ -84,6 +85,7 @@ class Lake:
         partition_by: Sequence[str] = (),
         cluster_by: str | None = None,
         built_from: str | None = None,
+        bloom: Sequence[str] = (),
     ) -> str:
         """Replace (or append to) ``layer.name``; returns the catalog name.
 
@@ -95,6 +97,12 @@ class Lake:
         ``cluster_by`` range-partitions and sorts by one column, so each file
         covers a narrow key range and a point lookup skips all but one row
         group by its min/max statistics (for tables unique on that column).
+        ``bloom`` lists columns of Parquet tables that get a Bloom filter per
+        row group, so a lookup by another column than the one that orders the
+        table skips the row groups that cannot hold the value. A filter takes
+        as much space as its row group's values need, at most ``BLOOM_BYTES``;
+        lookups are exact with filters of any size. (`replace_partitions`
+        writes files without them.)
         """
         full = self.table(layer, name)
         if partition_by:
@@ -104,6 +112,12 @@ class Lake:
         w = df.write.format(self.fmt)
         if partition_by:
             w = w.partitionBy(*partition_by)
+        for column in bloom:
+            if self.fmt != "parquet" or column not in df.columns or column in partition_by:
+                raise ValueError(f"no Bloom filter for {column}: not a column stored in Parquet files")
+            w = w.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        if bloom:
+            w = w.option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.max.bytes", BLOOM_BYTES)
         if mode == "append" and self.attach(layer, name):
             w.mode("append").saveAsTable(full)
             self._changed(layer, name)

@@ -120,6 +120,7 @@ SELECT ad_spend_key, client_id, spend_date, nullif(daily_leads, 0) AS daily_lead
     "exists_flag": """
 SELECT lead_id, EXISTS (SELECT 1 FROM stg_appointments v WHERE v.lead_id = l.lead_id) AS has_appointment
 FROM stg_leads l""",
+    "lookup_bloom": "SELECT * FROM fct_appointments WHERE lead_id = 42",
     "join_heavy_keys": "SELECT * FROM fct_appointments",
     "exists_heavy_keys": """
 SELECT appointment_id, client_id, EXISTS (SELECT 1 FROM stg_leads l WHERE l.client_id = v.client_id) AS has_leads

@@ -52,6 +52,16 @@ def test_full_run_and_rebuild_one_model(spark, tmpdir_path):
     assert spark.table(again[0]).count() == counts["fct_leads"]
 
 
+def test_options_for_large_tables_give_the_same_tables(spark, tmpdir_path):
+    large = {"two_pass_unique": True, "heavy_share": 0.005, "bloom": {"fct_leads": ("lead_id",)}}
+    found = []
+    for name, options in (("plain", {}), ("large", large)):
+        run = pipeline.run_all(spark, replace(cfg(spark, f"{tmpdir_path}/{name}", "record"), **options))
+        results = [set(map(tuple, spark.table(run[t]).collect())) for t in ("gate_results", "test_results")]
+        found.append((set(map(tuple, pipeline.published_sums(spark, run).collect())), *results))
+    assert found[0] == found[1]
+
+
 def test_repeat_runs_are_equal(spark):
     from lakeops.plans.queries import QUERIES
 
