@@ -13,8 +13,9 @@ to be one that all executors share (``spark.checkpoint.dir``).
 
 Defined cases: an empty document (two separators in a row, or a null text when files are written)
 has 0 tokens. Tokens after a file's last separator are one more document. An empty file has none. A
-file whose size is not a multiple of the width is refused. Null ids are kept. Empty tables give
-empty results. Other columns are not read.
+file whose size is not a multiple of the width is refused. Null ids are kept. Repeated rows are documents
+of their own. A text of any length is one document, whose tokens may fill many blocks; bytes that are not
+UTF-8 are read as U+FFFD. Empty tables give empty results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import tokenizer
-from .common import new_folder, slices, written
+from .common import new_folder, slices, texts, written
 
 BLOCK_BYTES = 4 << 20
 BLOCKS_A_TASK = 4
@@ -65,7 +66,7 @@ def write_token_files(
                     system, place = _opened(uri)
                     system.create_dir(place.rpartition("/")[0], recursive=True)
                     out = stack.enter_context(system.open_output_stream(place))
-                for ids in t.encode([x or "" for x in batch.column(text).to_pylist()]):
+                for ids in t.encode(texts(batch.column(text))):
                     size += out.write(np.frombuffer(ids, "<u4").astype(type_).tobytes() + end)
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays(
@@ -124,21 +125,26 @@ def count_tokens(files: DataFrame, separator: int, width: int = 2, block_bytes:
     scanned = spread.select("file", "bytes", "block").mapInArrow(
         run, "file string, block long, n_sep long, head long, tail long, inner array<long>"
     )
+    scanned = written(scanned, "scanned")
+    # only five numbers of a block pass through the one task of its file; the lengths stay where they are
     order = Window.partitionBy("file").orderBy("block")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     stitched = (
-        scanned.withColumn("first", F.coalesce(F.sum("n_sep").over(earlier), zero))
+        scanned.select("file", "block", "n_sep", "tail")
+        .withColumn("first", F.coalesce(F.sum("n_sep").over(earlier), zero))
         .withColumn("run", F.coalesce(F.sum("tail").over(earlier), zero))
         .withColumn("since", F.last(F.when(F.col("n_sep") > 0, F.col("run")), ignorenulls=True).over(earlier))
         .withColumn("carry", F.col("run") - F.coalesce("since", zero))
         .withColumn("end", F.lead("block").over(order).isNull())
+        .select("file", "block", "first", "carry", "end")
     )
+    found = scanned.join(stitched.hint("merge"), ["file", "block"])
     closed = F.concat(F.array(F.col("carry") + F.col("head")), F.col("inner"))
     rest = F.col("tail") + F.when(F.col("n_sep") == 0, F.col("carry")).otherwise(zero)
     ended = F.when(F.col("n_sep") > 0, closed).otherwise(F.array().cast("array<bigint>"))
     all_ = F.when(F.col("end") & (rest > 0), F.concat(ended, F.array(rest))).otherwise(ended)
-    return stitched.select("file", "first", F.posexplode(all_).alias("place", "n_tokens")).select(
+    return found.select("file", "first", F.posexplode(all_).alias("place", "n_tokens")).select(
         "file", (F.col("first") + F.col("place")).alias("ordinal"), "n_tokens"
     )
 

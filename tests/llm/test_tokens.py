@@ -78,3 +78,10 @@ def test_open_end_and_empty_documents(spark, tmpdir_path):
     for block in (2, 4, 6, 64):
         got = sorted((r["file"][-5], r["ordinal"], r["n_tokens"]) for r in token_counts.count_tokens(files, 9, 2, block).collect())
         assert got == [("a", 0, 2), ("a", 1, 0), ("a", 2, 1), ("a", 3, 3), ("c", 0, 2)]
+
+
+def test_token_files_of_bytes_that_are_not_utf8(spark):
+    docs = spark.sql("SELECT 1 AS doc_id, CAST(X'61FF62' AS STRING) AS text UNION ALL SELECT 2, 'a\ufffdb'")
+    manifest = token_counts.write_token_files(docs, PATH, public.PATTERN, SEPARATOR)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.document_tokens(manifest, SEPARATOR).collect()}
+    assert got[1] == got[2] > 2
