@@ -126,7 +126,7 @@ def count_tokens(files: DataFrame, separator: int, width: int = 2, block_bytes:
         run, "file string, block long, n_sep long, head long, tail long, inner array<long>"
     )
     scanned = written(scanned, "scanned")
-    # only five numbers of a block pass through the one task of its file; the lengths stay where they are
+    # only four values of a block pass through the one task of its file; the lengths stay where they are
     order = Window.partitionBy("file").orderBy("block")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
