@@ -37,3 +37,17 @@ def surrogate_key_sql(*cols: str) -> str:
         raise ValueError("surrogate_key needs at least one column")
     parts = ", ".join(f"coalesce(CAST({quote(c)} AS STRING), '{NULL_PLACEHOLDER}')" for c in cols)
     return f"md5(concat_ws('{SEPARATOR}', {parts}))"
+
+
+def light_key_sql(key: str, *cols: str) -> str:
+    """What a shuffle has to carry of a surrogate key where the columns ``cols`` go along: empty if ``key`` is the key of these.
+
+    A hash does not compress, so it is the widest column of most rows. Any other key, as one that was made of differently
+    spelt values, is carried whole, behind a mark; NULL stays NULL. ``whole_key_sql`` gives back exactly ``key``.
+    """
+    return f"CASE WHEN {quote(key)} = {surrogate_key_sql(*cols)} THEN '' ELSE concat('=', {quote(key)}) END"
+
+
+def whole_key_sql(key: str, *cols: str) -> str:
+    """The key that ``light_key_sql`` made light, from the same columns."""
+    return f"CASE WHEN {quote(key)} = '' THEN {surrogate_key_sql(*cols)} ELSE substr({quote(key)}, 2) END"

@@ -4,6 +4,8 @@ All joins are left equi-joins, so orphan facts survive with NULL client
 attributes. Counts are aggregated *before* they are joined, so no join fans out.
 ``heavy`` lists values of a fact's join keys whose rows are joined apart (see
 `lakeops.operators.joins.heavy_keys`); the rows of the mart are the same.
+Surrogate keys of facts do not travel through the joins where they can be made
+again from the columns that do (`lakeops.functions.keys.light_key_sql`).
 """
 
 from __future__ import annotations
@@ -12,7 +14,9 @@ from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from lakeops.functions.keys import light_key_sql, whole_key_sql
 from lakeops.functions.measures import days_between_sql, flag_sql, safe_ratio_sql, zero_fill_sql
 from lakeops.operators.aggregates import counts_by
 from lakeops.operators.joins import enrich, exists_flag
@@ -25,6 +29,10 @@ Heavy = Mapping[str, Sequence]
 IS_CONVERTED = flag_sql("lead_status = 'converted'")
 IS_COMPLETED = flag_sql("appointment_status = 'completed'")
 
+# Key of a fact and the columns that it is made of.
+LEAD_KEY = ("lead_key", "lead_id")
+AD_SPEND_KEY = ("ad_spend_key", "client_id", "channel", "spend_date")
+
 
 def _day(value: date | str) -> date:
     return date.fromisoformat(value) if isinstance(value, str) else value
@@ -34,6 +42,14 @@ def _instant(value: datetime | str) -> datetime:
     return datetime.fromisoformat(value) if isinstance(value, str) else value
 
 
+def _light(fact: DataFrame, key: Sequence[str]) -> DataFrame:
+    return fact.withColumn(key[0], F.expr(light_key_sql(*key)))
+
+
+def _whole(key: Sequence[str]) -> str:
+    return f"{whole_key_sql(*key)} AS {key[0]}"
+
+
 def lead_counts(leads: DataFrame) -> DataFrame:
     """Total and converted leads per client (C1 + C2)."""
     return counts_by(
@@ -78,10 +94,10 @@ def dim_clients(clients: DataFrame, leads: DataFrame, appointments: DataFrame, a
 def fct_leads(
     leads: DataFrame, clients: DataFrame, appointments: DataFrame, run_ts: datetime | str, heavy: Heavy = {}
 ) -> DataFrame:
-    j = enrich(leads, clients, "client_id", CLIENT_ATTRS, heavy.get("client_id", ()))
+    j = enrich(_light(leads, LEAD_KEY), clients, "client_id", CLIENT_ATTRS, heavy.get("client_id", ()))
     j = exists_flag(j, appointments, "lead_id", "has_appointment")
     return j.selectExpr(
-        "lead_key",
+        _whole(LEAD_KEY),
         "lead_id",
         "client_id",
         "industry",
@@ -109,9 +125,10 @@ def fct_ad_performance(ad_spend: DataFrame, clients: DataFrame, leads: DataFrame
     spend by *all* of that client's leads that day (never sum ``daily_leads``
     over channels)."""
     daily = daily_lead_counts(leads).withColumnRenamed("lead_date", "spend_date")
-    j = enrich(ad_spend, clients, "client_id", CLIENT_ATTRS, heavy.get("client_id", ())).join(daily, ["client_id", "spend_date"], "left")
+    ads = _light(ad_spend, AD_SPEND_KEY)
+    j = enrich(ads, clients, "client_id", CLIENT_ATTRS, heavy.get("client_id", ())).join(daily, ["client_id", "spend_date"], "left")
     return j.selectExpr(
-        "ad_spend_key",
+        _whole(AD_SPEND_KEY),
         "client_id",
         "industry",
         "plan_tier",

@@ -763,6 +763,7 @@ def q_pipeline_counts(spark, sf_dir):
         run_ts=RUN_TS,
         raw={name: m.raw(name) for name in pipeline.RAW_TABLES},
         gate="record",
+        two_pass_unique=True,
     )
     tables = pipeline.run_all(spark, cfg)
     return pipeline.published_sums(spark, tables)

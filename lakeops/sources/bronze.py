@@ -22,6 +22,7 @@ from lakeops.sources.footers import footer_stats
 
 LAYERS = ("bronze", "silver", "gold", "quality")
 VERSION = "v-"
+CODEC = "zstd"  # of Parquet tables: surrogate keys, hexadecimal digits, take half the bytes that they take with snappy
 BLOOM_BYTES = 4 << 20  # about 3.5 million values at one false hit in a hundred
 DESCRIPTION = "_lakeops.json"  # beside a version's data; Spark's readers skip names that start so
 TRACKED = "spark.sql.hive.manageFilesourcePartitions"
@@ -110,6 +111,8 @@ class Lake:
         if cluster_by:
             df = df.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
         w = df.write.format(self.fmt)
+        if self.fmt == "parquet":
+            w = w.option("compression", CODEC)
         if partition_by:
             w = w.partitionBy(*partition_by)
         for column in bloom:
@@ -148,7 +151,7 @@ class Lake:
             raise ValueError(f"{full} is not partitioned by {', '.join(partition_by)}")
         rows = df.select(*(F.col(quote(c.name)).cast(c.dataType).alias(c.name) for c in columns)).hint("rebalance", *partition_by)
         w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-        w.parquet(self.location(layer, name))
+        w.option("compression", CODEC).parquet(self.location(layer, name))
         self.spark.catalog.refreshTable(full)
         self._changed(layer, name)
         return full

@@ -4,6 +4,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from lakeops.functions import NULL_PLACEHOLDER, days_between, flag, safe_ratio, surrogate_key, zero_fill
+from lakeops.functions.keys import light_key_sql, whole_key_sql
 
 
 def md5(text):
@@ -74,3 +75,12 @@ def test_sql_forms_equal_column_forms(spark):
         f"{zero_fill_sql('c')} AS z", f"{days_between_sql('s', 'e')} AS dd",
     ).collect()
     assert cols == text
+
+
+def test_light_keys_are_given_back_exactly(spark):
+    rows = [(1, "a", md5("1-a")), (1, "a", md5("1-A")), (2, None, None), (3, "c", ""), (4, "d", "=x"), (None, None, md5(f"{NULL_PLACEHOLDER}-{NULL_PLACEHOLDER}"))]
+    df = spark.createDataFrame(rows, "id int, ch string, k string").withColumn("whole", F.col("k"))
+    light = df.withColumn("k", F.expr(light_key_sql("k", "id", "ch")))
+    got = [(r.light, r.k, r.whole) for r in light.selectExpr("k AS light", f"{whole_key_sql('k', 'id', 'ch')} AS k", "whole").collect()]
+    assert [(k, w) for _, k, w in got] == [(k, k) for _, _, k in rows]
+    assert [x for x, _, _ in got] == ["", "=" + md5("1-A"), None, "=", "==x", ""]

@@ -148,3 +148,13 @@ def test_publish_table_checks_contract_before_writing(spark, tmpdir_path):
     with pytest.raises(ContractViolation):
         publish_table(lake, broken_dim_clients(clients), "dim_clients", MART_CONTRACTS["dim_clients"])
     assert not __import__("os").path.exists(f"{tmpdir_path}/lake/gold/dim_clients")
+
+
+def test_full_run_sends_packed_slots_instead_of_keys(spark, monkeypatch):
+    from lakeops.plans import pipeline, queries
+
+    seen = []
+    monkeypatch.setattr(pipeline, "run_all", lambda s, cfg: seen.append(cfg) or {})
+    monkeypatch.setattr(pipeline, "published_sums", lambda s, tables: None)
+    queries.q_pipeline_counts(spark, SF)
+    assert seen[0].two_pass_unique and set(seen[0].raw) == set(pipeline.RAW_TABLES)

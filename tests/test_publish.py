@@ -97,3 +97,21 @@ def test_partitions_are_replaced_alone(spark, lake):
     assert spark.table(name).count() == 30
     with pytest.raises(ValueError, match="not partitioned by"):
         lake.replace_partitions(rows(["d0"], 0), "silver", "t", ("id",))
+
+
+def test_tables_are_written_with_zstd(spark, tmpdir_path):
+    """Keys are hexadecimal digits, of which snappy saves nothing."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    lake = Lake(spark, tmpdir_path, namespace="zstd")
+    keys = spark.range(5000).selectExpr("id", "id % 2 AS part", "md5(CAST(id AS STRING)) AS key")
+    lake.write(keys, "silver", "whole")
+    lake.write(keys, "silver", "parts", partition_by=("part",))
+    lake.replace_partitions(keys.where("part = 1"), "silver", "parts", ("part",))
+    files = glob.glob(f"{tmpdir_path}/silver/**/*.parquet", recursive=True)
+    metas = [pq.ParquetFile(f).metadata for f in files]
+    chunks = [m.row_group(g).column(c) for m in metas for g in range(m.num_row_groups) for c in range(m.num_columns)]
+    assert chunks and {c.compression for c in chunks} == {"ZSTD"}
+    assert lake.ref("silver", "parts").count() == lake.ref("silver", "whole").count() == 5000
