@@ -8,7 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial, reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -682,21 +684,22 @@ def q_merge_latest_composite(spark, sf_dir):
 
 
 def q_json_array_scan(spark, sf_dir):
-    """Rankings landed as files that hold one JSON array each, read back in blocks."""
+    """Rankings landed as files that hold one JSON array each, one by each task, read back in blocks."""
     path = shared_path(spark, "json_array_scan", unique=True)
     raw = Models(spark, sf_dir).raw("raw_seo_rankings").drop("_dlt_load_time")
 
     def arrays(batches):
-        mark, held = "[", []
+        opened = False
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                held.append(mark + value)
-                mark = ","
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], names=["value"])
-            held.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(["]" if mark == "," else "[]"])], names=["value"])
-
-    raw.selectExpr("to_json(struct(*)) AS value").repartition(4).mapInArrow(arrays, "value string").write.text(path)
+            if batch.num_rows:
+                marks = np.full(batch.num_rows, ",", object)
+                marks[0] = "," if opened else "["
+                lines = pc.binary_join_element_wise(pa.array(marks, pa.string()), batch.column(0).cast(pa.string()), "")
+                yield pa.RecordBatch.from_arrays([lines], names=["value"])
+                opened = True
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if opened else "[]"])], names=["value"])
+
+    raw.selectExpr("to_json(struct(*)) AS value").mapInArrow(arrays, "value string").write.text(path)
     return read_json_array_split(spark, path, block_bytes=1 << 18)
 
 

@@ -31,43 +31,58 @@ from lakeops.sources.files import SEO_RANKINGS_SCHEMA, _missing
 
 BLOCK_BYTES = 8 << 20
 BLOCKS_A_TASK = 4
+TASK_BYTES = BLOCKS_A_TASK * BLOCK_BYTES  # of blocks of any size
 OUTSIDE, INSIDE, ESCAPED = 0, 1, 2  # states: of a string, and after a backslash in one
 _QUOTE, _BACKSLASH = 34, 92
 _STEP = np.zeros(256, np.int8)
 _STEP[[ord("["), ord("{")]] = 1
 _STEP[[ord("]"), ord("}")]] = -1
+_MARK = _STEP != 0
+_MARK[_QUOTE] = True
 _BETWEEN = b" \t\r\n,"
-
-
-def _quoted(data: np.ndarray, state: int) -> tuple[np.ndarray, int]:
-    """For each byte how many strings have begun or ended up to it (odd: inside one), and the state at the end."""
-    n = len(data)
-    place = np.arange(1, n + 1, dtype=np.int32)
-    other = np.maximum.accumulate(np.where(data == _BACKSLASH, np.int32(0), place))  # last byte that is no backslash
-    run = place - other  # backslashes in a row up to here
-    if state == ESCAPED:
-        run += other == 0
-    before = np.empty(n, np.int32)
-    before[:1] = state == ESCAPED
-    before[1:] = run[:-1]
-    quotes = (data == _QUOTE) & (before % 2 == 0)
-    count = np.cumsum(quotes, dtype=np.int32) + np.int32(state != OUTSIDE)
-    if not n:
-        return count, state
-    inside = int(count[-1]) % 2 == 1
-    return count, (ESCAPED if run[-1] % 2 and data[-1] == _BACKSLASH else INSIDE) if inside else OUTSIDE
-
-
-def _steps(data: np.ndarray, state: int) -> tuple[np.ndarray, int]:
-    """For each byte +1 or -1 if it is a bracket outside strings, else 0; and the state at the end."""
-    count, end = _quoted(data, state)
-    return np.where(count % 2 == 0, _STEP[data], np.int8(0)), end
+_IS_BETWEEN = np.zeros(256, bool)
+_IS_BETWEEN[list(_BETWEEN)] = True
+
+
+def _escaped(data: np.ndarray, state: int) -> np.ndarray:
+    """Places behind an odd number of backslashes, ascending; the last may be that behind the data."""
+    slashes = np.flatnonzero(data == _BACKSLASH)
+    ends = np.flatnonzero(np.diff(slashes, append=len(data) + 1) != 1)  # the last backslash of each run
+    lengths = np.diff(ends, prepend=-1)
+    behind = slashes[ends] + 1
+    if state == ESCAPED:  # a backslash before the data
+        if len(slashes) and slashes[0] == 0:
+            lengths[0] += 1
+        else:
+            behind, lengths = np.append(0, behind), np.append(1, lengths)
+    return behind[lengths % 2 == 1]
+
+
+def _marks(data: np.ndarray, state: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places of quotes and brackets; +1 or -1 for each that is a bracket outside strings, else 0; and the state at the end."""
+    places = np.flatnonzero(_MARK[data])
+    kinds = data[places]
+    quotes = kinds == _QUOTE
+    escaped = _escaped(data, state)
+    if len(escaped):
+        at = np.searchsorted(places, escaped)
+        there = at < len(places)
+        at, escaped_places = at[there], escaped[there]
+        quotes[at[places[at] == escaped_places]] = False
+    count = np.cumsum(quotes, dtype=np.int32) + np.int32(state != OUTSIDE)  # odd: inside a string
+    inside = (int(count[-1]) if len(count) else int(state != OUTSIDE)) % 2 == 1
+    end = OUTSIDE if not inside else ESCAPED if len(escaped) and escaped[-1] == len(data) else INSIDE
+    return places, np.where(count % 2 == 0, _STEP[kinds], np.int8(0)), end
 
 
 def effect(data: bytes) -> list[tuple[int, int]]:
     """(state at the end, change of depth) of a block for each state in which it may begin."""
     view = np.frombuffer(data, np.uint8)
-    return [(end, int(steps.sum(dtype=np.int64))) for steps, end in (_steps(view, s) for s in (OUTSIDE, INSIDE, ESCAPED))]
+    found = [(end, int(steps.sum(dtype=np.int64))) for _, steps, end in (_marks(view, s) for s in (OUTSIDE, INSIDE))]
+    if data[:1] in (b"", b"\\", b'"'):
+        _, steps, end = _marks(view, ESCAPED)
+        return [*found, (end, int(steps.sum(dtype=np.int64)))]
+    return [*found, found[INSIDE]]  # what a backslash before the block escapes is neither a quote nor a backslash
 
 
 def objects(data: bytes, state: int, depth: int, own: int) -> tuple[list[bytes], bool]:
@@ -76,10 +91,10 @@ def objects(data: bytes, state: int, depth: int, own: int) -> tuple[list[bytes],
     ``depth`` is that at the beginning: 0 before the array or after it, 1 between its objects, more inside one.
     """
     view = np.frombuffer(data, np.uint8)
-    steps, _ = _steps(view, state)
+    places, steps, _ = _marks(view, state)
     levels = np.cumsum(steps, dtype=np.int32) + np.int32(depth)
-    starts = np.flatnonzero((steps == 1) & (levels == 2))
-    ends = np.flatnonzero((steps == -1) & (levels == 1)) + 1
+    starts = places[(steps == 1) & (levels == 2)]
+    ends = places[(steps == -1) & (levels == 1)] + 1
     first = 0
     if depth > 1:  # in an object of an earlier block
         if not len(ends):
@@ -87,13 +102,16 @@ def objects(data: bytes, state: int, depth: int, own: int) -> tuple[list[bytes],
         first, ends = int(ends[0]), ends[1:]
     mine = int(np.searchsorted(starts, own))
     whole = len(ends) >= mine
-    found, at = [], first
-    for a, b in zip(starts[:mine].tolist(), ends[:mine].tolist()):
-        _check(data[at:a], b"[" if at == 0 and depth == 0 else b"")
-        if data[a] != ord("{"):
-            raise ValueError("JSON array holds an element that is no object")
-        found.append(data[a:b])
-        at = b
+    a, b = starts[:mine], ends[:mine]
+    a = a[: len(b)]
+    if (view[a] != ord("{")).any():
+        raise ValueError("JSON array holds an element that is no object")
+    before = np.append(first, b[:-1])[: len(a)]  # where the text between two objects begins
+    plain = (a - before == 1) & _IS_BETWEEN[view[before]]
+    for x, y in zip(before[~plain].tolist(), a[~plain].tolist()):
+        _check(data[x:y], b"[" if x == 0 and depth == 0 else b"")
+    found = [data[x:y] for x, y in zip(a.tolist(), b.tolist())]
+    at = int(b[-1]) if len(found) else first
     if whole:
         rest = int(starts[mine]) if mine < len(starts) else len(data)
         left = data[at : min(rest, max(own, at))]
@@ -180,7 +198,9 @@ def read_json_array_split(
     place = shared_path(spark, "json_array", unique=True)
     blocks.write.parquet(f"{place}/blocks")
     blocks = spark.read.schema(blocks.schema).parquet(f"{place}/blocks")
-    tasks = max(1, -(-blocks.count() // BLOCKS_A_TASK))  # the rows are small, the work on each is not
+    listed, held = blocks.selectExpr("count(1)", f"sum(least(bytes - block * {block_bytes}, {block_bytes}))").first()
+    most = -(-listed // BLOCKS_A_TASK)  # the rows are small, the work on each is not
+    tasks = max(1, min(most, 4 * spark.sparkContext.defaultParallelism), -(-(held or 0) // TASK_BYTES))
     scanned = blocks.repartition(tasks, "file", "block").mapInArrow(
         scan, "file string, bytes long, block long, ends array<int>, changes array<long>, opens boolean"
     )

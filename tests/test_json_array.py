@@ -80,3 +80,52 @@ def test_bad_files_fail(spark, tmp_path, text):
 def test_missing_path(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         ja.read_json_array_split(spark, str(tmp_path / "gone.json"))
+
+
+def slowly(data, state):
+    """`effect` for one state, byte by byte."""
+    depth = 0
+    for byte in data.decode("latin-1"):
+        if state == ja.ESCAPED:
+            state = ja.INSIDE
+        elif state == ja.INSIDE:
+            state = ja.OUTSIDE if byte == '"' else ja.ESCAPED if byte == "\\" else ja.INSIDE
+        else:
+            state = ja.INSIDE if byte == '"' else state
+            depth += {"[": 1, "{": 1, "]": -1, "}": -1}.get(byte, 0)
+    return state, depth
+
+
+@settings(max_examples=300, deadline=None)
+@given(arrays, st.integers(0, 60), st.integers(0, 60))
+def test_effect_is_that_of_the_bytes_one_by_one(rows, start, length):
+    data = json.dumps(rows).encode()
+    state, _ = slowly(data[:start], ja.OUTSIDE)
+    assert ja.effect(data[start : start + length])[state] == slowly(data[start : start + length], state)
+    if b"\\" not in data:  # then a block may begin in any state
+        for state in (ja.OUTSIDE, ja.INSIDE, ja.ESCAPED):
+            assert ja.effect(data[start : start + length])[state] == slowly(data[start : start + length], state)
+
+
+def test_small_blocks_do_not_make_small_tasks(spark, tmp_path):
+    rows = [{"id": i, "s": "x" * 50} for i in range(4000)]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    df = ja.read_json_array_split(spark, str(tmp_path / "a.json"), SCHEMA, block_bytes=200)
+    assert 1 < df.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert sorted(r.id for r in df.collect()) == list(range(4000))
+
+
+def test_rankings_land_without_a_shuffle_into_few_files(spark, monkeypatch):
+    """Every task writes its rows as one array, so writing grows with the tasks that read; tasks without rows write ``[]``."""
+    from lakeops.plans import queries as Q
+
+    raw = spark.range(0, 70, 1, 7).selectExpr(
+        "id AS client_id", "concat('k\"', id) AS keyword", "CAST(id AS INT) AS position", "'2024-01-01' AS snapshot_date", "1 AS _dlt_load_time"
+    )
+    monkeypatch.setattr(Q.Models, "raw", lambda self, name: raw.where("client_id >= 10"))
+    read = []
+    monkeypatch.setattr(Q, "read_json_array_split", lambda s, path, **kw: read.append(path) or ja.read_json_array_split(s, path, **kw))
+    got = Q.q_json_array_scan(spark, "nowhere")
+    assert sorted((r.client_id, r.keyword) for r in got.collect()) == [(i, f'k"{i}') for i in range(10, 70)]
+    files = [json.loads(r.value) for r in spark.read.text(read[0], wholetext=True).collect()]
+    assert sorted(map(len, files)) == [0, 10, 10, 10, 10, 10, 10]
