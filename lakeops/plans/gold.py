@@ -32,6 +32,7 @@ IS_COMPLETED = flag_sql("appointment_status = 'completed'")
 # Key of a fact and the columns that it is made of.
 LEAD_KEY = ("lead_key", "lead_id")
 AD_SPEND_KEY = ("ad_spend_key", "client_id", "channel", "spend_date")
+APPOINTMENT_KEY = ("appointment_key", "appointment_id")
 
 
 def _day(value: date | str) -> date:
@@ -147,10 +148,10 @@ def fct_ad_performance(ad_spend: DataFrame, clients: DataFrame, leads: DataFrame
 
 def fct_appointments(appointments: DataFrame, leads: DataFrame, clients: DataFrame, heavy: Heavy = {}) -> DataFrame:
     lead_cols = leads.selectExpr("lead_id", "lead_source", "lead_value", "created_at AS lead_created_at")
-    j = enrich(appointments, lead_cols, "lead_id", lead_cols.columns[1:], heavy.get("lead_id", ()))
+    j = enrich(_light(appointments, APPOINTMENT_KEY), lead_cols, "lead_id", lead_cols.columns[1:], heavy.get("lead_id", ()))
     j = enrich(j, clients, "client_id", CLIENT_ATTRS, heavy.get("client_id", ()))
     return j.selectExpr(
-        "appointment_key",
+        _whole(APPOINTMENT_KEY),
         "appointment_id",
         "client_id",
         "industry",

@@ -1,6 +1,8 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from lakeops.plans import gold
 
 AS_OF = date(2024, 2, 10)
@@ -105,3 +107,23 @@ def test_marts_have_contract_types(spark):
     }
     for name, df in marts.items():
         assert [p for p in schema_diff(df, MART_CONTRACTS[name]) if p[3] != "ok"] == [], name
+
+
+def test_keys_do_not_travel_through_the_joins(spark, monkeypatch):
+    """The joins of the facts see no key that can be made again from the key columns."""
+    seen = []
+    monkeypatch.setattr(gold, "enrich", lambda fact, *a, _f=gold.enrich: seen.append(fact) or _f(fact, *a))
+    ld = leads(spark).withColumns({"lead_key": F.expr("md5(CAST(lead_id AS STRING))")})
+    ap = appts(spark).withColumns({"appointment_key": F.expr("md5(CAST(appointment_id AS STRING))")})
+    ads_ = spark.createDataFrame([(None, 1, "google", date(2024, 1, 5), Decimal("1.00"), 1, 1, LOADED)], ADS)
+    ads_ = ads_.withColumns({"ad_spend_key": F.expr("md5('1-google-2024-01-05')")})
+    marts = [
+        (gold.fct_leads(ld, clients(spark), ap, RUN_TS), "lead_key", "lead_id"),
+        (gold.fct_ad_performance(ads_, clients(spark), ld), "ad_spend_key", "'1-google-2024-01-05'"),
+        (gold.fct_appointments(ap, ld, clients(spark)), "appointment_key", "appointment_id"),
+    ]
+    for mart, key, source in marts:
+        assert mart.where(f"{key} IS DISTINCT FROM md5(CAST({source} AS STRING))").count() == 0 < mart.count()
+    keys = ("lead_key", "ad_spend_key", "appointment_key", "appointment_key")
+    for fact, key in zip(seen, keys, strict=True):
+        assert {r[0] for r in fact.select(key).collect()} == {""}
