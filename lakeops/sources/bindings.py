@@ -128,13 +128,16 @@ def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem")
-    o = read(spark, sf_dir, "orders")
+    # The small numbers that dates and part keys are reduced to travel through the join, not the values themselves.
+    li = read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey % 14 AS part_day", "l_returnflag", "l_linestatus", "l_shipdate"
+    )
+    o = read(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", f"{_DAY30} AS order_day")
     return li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(
         "l_orderkey * 8 + l_linenumber AS id",
         "l_orderkey AS lead_id",
         f"{_CLIENT_OF_ORDER} AS client_id",
-        f"CAST(date_add(DATE '{LEAD_BASE}', CAST({_DAY30} + l_partkey % 14 + 1 AS INT)) AS TIMESTAMP_NTZ) AS scheduled_at",
+        f"CAST(date_add(DATE '{LEAD_BASE}', CAST(order_day + part_day + 1 AS INT)) AS TIMESTAMP_NTZ) AS scheduled_at",
         f"{_case('l_returnflag', APPOINTMENT_STATUS_BY_FLAG, None)} AS status",
         "l_linestatus AS notes",
         "CAST(l_shipdate AS TIMESTAMP_NTZ) AS _loaded_at",

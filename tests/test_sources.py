@@ -169,3 +169,26 @@ def test_ansi_is_forced(spark):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     configure(spark)
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_appointments_carry_small_numbers_through_their_join(spark, tmpdir_path):
+    from datetime import datetime
+
+    from lakeops.sources import bindings as B
+
+    ship = datetime(2024, 1, 20, 5)
+    orders = [(1, 7, datetime(1995, 1, 4)), (2, 8, datetime(1995, 2, 1)), (3, None, None), (None, 9, datetime(1995, 1, 1))]
+    lines = [(1, 30, 1, "N", "O", ship), (2, None, 2, "A", "F", None), (3, 5, 1, None, None, ship), (9, 1, 1, "R", "F", ship), (None, 1, 1, "R", "F", ship)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmpdir_path}/orders.parquet")
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ).write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    raw = B.raw_appointments(spark, tmpdir_path)
+    got = {r.id: (r.lead_id, r.client_id, r.scheduled_at, r.status, r.notes, r._loaded_at) for r in raw.collect()}
+    assert got == {
+        9: (1, -7, datetime(2024, 1, 7), "Scheduled", "O", ship),  # 3 days, 30 % 14 = 2, and one
+        18: (2, 8, None, "Completed", "F", None),
+        25: (3, None, None, None, None, ship),
+    }
+    join = raw._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1]
+    assert "AS part_day" in join and "AS order_day" in join
