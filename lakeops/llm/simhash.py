@@ -24,6 +24,10 @@ such or lies inside a star of links.
 Repeated fingerprints are one row from the start (with their smallest doc_id), however many
 documents share them; only fingerprints with a link enter the search for components.
 
+Joins: Spark sizes the replicas like the fingerprints they are made of, some 60 times too low, and tables of
+a row per document by their files, where repeated values take little room. Such sides are merged at every
+size, never broadcast.
+
 Defined cases: a null or empty text has no words and fingerprint zero, linked like any other. Texts
 are hashed whole. Rows with a null doc_id get a fingerprint, and the component of the documents
 within reach, but do not name one: alone, their component is null. Repeated rows get equal results.
@@ -173,8 +177,8 @@ def links(fps: DataFrame, distance: int = 2, crowd: int = 16) -> DataFrame:
             row, anchor = replicas(fp, code, 0)
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(fp[row])], names=["anchor", "fp"])
 
-    everywhere = fps.mapInArrow(replicate, "anchor long, fp long")
-    homes = fps.mapInArrow(at_home, "anchor long, fp long")
+    everywhere = fps.mapInArrow(replicate, "anchor long, fp long").hint("merge")
+    homes = fps.mapInArrow(at_home, "anchor long, fp long").hint("merge")
     counts = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     # a crowded anchor stands as one row with a null fingerprint
     marked = (
@@ -211,7 +215,7 @@ def _components(rows: DataFrame, distance: int) -> DataFrame:
         "fp", "first", "coalesce(root, fp) AS root"
     )
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rooted.join(named, "root").selectExpr("fp AS f", "root", "component_id")
+    return rooted.hint("merge").join(named, "root").selectExpr("fp AS f", "root", "component_id")
 
 
 def near_duplicates(
@@ -223,7 +227,7 @@ def near_duplicates(
     """
     rows = written(fingerprints(docs, text, doc_id, length), "fingerprints")
     per_fp = _components(rows, distance)
-    return rows.join(per_fp, rows["fp"] == per_fp["f"]).selectExpr(
+    return rows.hint("merge").join(per_fp, rows["fp"] == per_fp["f"]).selectExpr(
         "doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id"
     )
 
