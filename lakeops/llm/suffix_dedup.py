@@ -418,7 +418,8 @@ def _answers(docs: DataFrame, doc_id: str, text: str, crowd: int) -> DataFrame:
     size = points.agg(F.sum(F.length("points") + 8 * F.length("hot"))).first()[0] or 0
     parts = max(1, -(-size * 9 // PART_BYTES))  # a point has 8 bytes, its segment about 66
     mine = points.groupBy("block").agg(F.collect_list("points").alias("points"), F.collect_list("hot").alias("hot"))
-    marked = written(mine.join(manifest, "block"), "marked")
+    # what a block gets is sized by the files it is made of, too low where points repeat: merged, not broadcast
+    marked = written(mine.hint("merge").join(manifest, "block"), "marked")
     bundles = _segment_bundles(_spread(marked), parts, doc_id, text)
     resolved = bundles.groupBy("part").applyInPandas(
         resolve, "block long, number binary, first binary, earlier binary"
@@ -429,7 +430,7 @@ def _answers(docs: DataFrame, doc_id: str, text: str, crowd: int) -> DataFrame:
         .agg(F.collect_list(F.struct("number", "first", "earlier")).alias("a"))
         .selectExpr("block AS b", "a.number AS number", "a.first AS first", "a.earlier AS earlier")
     )
-    joined = manifest.join(answers, F.col("block") == F.col("b"), "left")
+    joined = manifest.join(answers.hint("merge"), F.col("block") == F.col("b"), "left")
     return _spread(written(joined.select("block", "uri", "number", "first", "earlier"), "answers"))
 
 
